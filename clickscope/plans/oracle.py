@@ -6,6 +6,8 @@ the driver's tables). Ties, rounding and text forms follow the Spark side.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from ..params import (BATCH_MS, FILTER_PARAMS, REPORT_PARAMS, SLIDE_MS, TEST_THRESHOLD,
                       WINDOW_MS, flow_pairs)
 
@@ -108,7 +110,72 @@ def r3_sql() -> dict[str, str]:
     }
 
 
+# ---- R0, R1, R2, R4 --------------------------------------------------------
+
+def _category_ctes() -> list[str]:
+    return [
+        """acts AS (SELECT
+  CASE WHEN click_category_id IS NOT NULL AND click_category_id <> -1 THEN 'click'
+       WHEN order_category_ids IS NOT NULL THEN 'order'
+       WHEN pay_category_ids IS NOT NULL THEN 'pay' END AS kind,
+  CASE WHEN click_category_id IS NOT NULL AND click_category_id <> -1 THEN [cast(click_category_id AS VARCHAR)]
+       WHEN order_category_ids IS NOT NULL THEN list_filter(string_split(order_category_ids, ','), lambda x: x <> '')
+       WHEN pay_category_ids IS NOT NULL THEN list_filter(string_split(pay_category_ids, ','), lambda x: x <> '') END AS ids
+  FROM uva_f)""",
+        """cat AS (SELECT kind, unnest(ids) AS cid FROM acts WHERE kind IS NOT NULL)""",
+        """counts AS (SELECT cid,
+  count(*) FILTER (WHERE kind='click') AS click_count,
+  count(*) FILTER (WHERE kind='order') AS order_count,
+  count(*) FILTER (WHERE kind='pay') AS pay_count
+  FROM cat GROUP BY cid)""",
+        """top AS (SELECT * FROM counts ORDER BY click_count DESC, order_count DESC, pay_count DESC, cid LIMIT 10)""",
+        """scc AS (SELECT cast(click_category_id AS VARCHAR) AS category_id, session_id, count(*) AS click_count
+  FROM uva_f WHERE click_category_id IN (SELECT cast(cid AS BIGINT) FROM top)
+  GROUP BY click_category_id, session_id)""",
+    ]
+
+
+def _page_ctes(flow) -> list[str]:
+    pages = ",".join(str(p) for p in sorted(set(flow[:-1]))) or "NULL"
+    jumps = ",".join(f"'{a}-{b}'" for a, b in flow_pairs(flow)) or "NULL"
+    return [
+        f"""pvc AS (SELECT page_id, count(*) AS visits FROM uva_f WHERE page_id IN ({pages}) GROUP BY page_id)""",
+        """pairs AS (SELECT * FROM (SELECT session_id, page_id AS from_page,
+  lead(page_id) OVER (PARTITION BY session_id ORDER BY action_time, event_id) AS to_page FROM uva_f)
+  WHERE to_page IS NOT NULL)""",
+        f"""pjc AS (SELECT from_page || '-' || to_page AS page_jump, count(*) AS jumps FROM pairs
+  WHERE from_page || '-' || to_page IN ({jumps}) GROUP BY 1)""",
+        """pcr AS (SELECT page_jump,
+  floor(cast(jumps AS DOUBLE)*1000.0/cast(coalesce(visits, 100000) AS DOUBLE) + 0.5)/10.0 AS ratio
+  FROM pjc LEFT JOIN pvc ON cast(split_part(page_jump,'-',1) AS BIGINT)=pvc.page_id)""",
+    ]
+
+
+def offline_sql() -> dict[str, str]:
+    base = [EV, UVA, USER_INFO]
+    filt = _with(*base, _visit_filter(FILTER_PARAMS))
+    written = _with(*base, _visit_filter(replace(FILTER_PARAMS, as_written=True)))
+    rep = [*base, _visit_filter(REPORT_PARAMS.visits)]
+    cats = _with(*rep, *_category_ctes())
+    pages = _with(*rep, *_page_ctes(REPORT_PARAMS.target_page_flow))
+    return {
+        "user_visit_filter": filt + "SELECT event_id, user_id, date, age FROM uva_f",
+        "user_visit_filter_as_written": written + "SELECT event_id, user_id, date, age FROM uva_f",
+        "category_action_counts": cats + "SELECT * FROM counts",
+        "category_top10": cats + "SELECT * FROM top",
+        "category_session_counts": cats + "SELECT * FROM scc",
+        "top10_session": cats + """SELECT category_id, session_id, click_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id) AS rn FROM scc)
+WHERE rn<=10""",
+        "page_visit_counts": pages + "SELECT * FROM pvc",
+        "session_page_pairs": pages + "SELECT * FROM pairs",
+        "page_jump_counts": pages + "SELECT * FROM pjc",
+        "page_convert_ratio": pages + "SELECT * FROM pcr",
+    }
+
+
 def all_sql() -> dict[str, str]:
     out = {}
+    out.update(offline_sql())
     out.update(r3_sql())
     return out

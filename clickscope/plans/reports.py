@@ -10,12 +10,66 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import areas
+from dataclasses import replace
+
+from ..operators import areas, categories, pages, visits
+from ..params import FILTER_PARAMS, REPORT_PARAMS
 from ..sources import tables as tb
 
 Report = Callable[[SparkSession, str], DataFrame]
 
 
+def _visit_filter(spark, d, p):
+    return visits.user_visit_filter(tb.user_visit_action(spark, d), tb.user_info(spark, d), p)
+
+
+def _user_visit_filter(spark, d):
+    return _visit_filter(spark, d, FILTER_PARAMS).select("event_id", "user_id", "date", "age")
+
+
+def _user_visit_filter_as_written(spark, d):
+    p = replace(FILTER_PARAMS, as_written=True)
+    return _visit_filter(spark, d, p).select("event_id", "user_id", "date", "age")
+
+
+def _report_visits(spark, d):
+    return _visit_filter(spark, d, REPORT_PARAMS.visits)
+
+
+def _category_action_counts(spark, d):
+    return categories.category_action_counts(_report_visits(spark, d))
+
+
+def _category_top10(spark, d):
+    return categories.category_top(_category_action_counts(spark, d), 10)
+
+
+def _category_session_counts(spark, d):
+    v = _report_visits(spark, d)
+    top = categories.category_top(categories.category_action_counts(v), 10)
+    return categories.category_session_counts(v, top)
+
+
+def _top10_session(spark, d):
+    return categories.top_sessions(_category_session_counts(spark, d), 10)
+
+
+def _page_visit_counts(spark, d):
+    return pages.page_visit_counts(_report_visits(spark, d), REPORT_PARAMS.target_page_flow)
+
+
+def _session_page_pairs(spark, d):
+    return pages.session_page_pairs(_report_visits(spark, d))
+
+
+def _page_jump_counts(spark, d):
+    return pages.page_jump_counts(_session_page_pairs(spark, d), REPORT_PARAMS.target_page_flow)
+
+
+def _page_convert_ratio(spark, d):
+    return pages.page_convert_ratio(_page_jump_counts(spark, d), _page_visit_counts(spark, d))
+
+
 def _area_city_clicks(spark, d):
     return areas.area_city_clicks(tb.user_visit_action(spark, d), tb.city_info(spark, d))
 
@@ -35,6 +89,16 @@ def _area_top3_product_star(spark, d):
 
 def registry() -> dict[str, Report]:
     return {
+        "user_visit_filter": _user_visit_filter,
+        "user_visit_filter_as_written": _user_visit_filter_as_written,
+        "category_action_counts": _category_action_counts,
+        "category_top10": _category_top10,
+        "category_session_counts": _category_session_counts,
+        "top10_session": _top10_session,
+        "page_visit_counts": _page_visit_counts,
+        "session_page_pairs": _session_page_pairs,
+        "page_jump_counts": _page_jump_counts,
+        "page_convert_ratio": _page_convert_ratio,
         "area_city_clicks": _area_city_clicks,
         "area_product_clicks": _area_product_clicks,
         "area_top3_product": _area_top3_product,
