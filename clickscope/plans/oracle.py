@@ -174,8 +174,59 @@ WHERE rn<=10""",
     }
 
 
+# ---- ads: R5-R8 -----------------------------------------------------------
+
+def _ads_ctes(threshold: int = TEST_THRESHOLD) -> list[str]:
+    # The ban is written here in its direct form: the batch of the N-th
+    # event (by time, then id) of each (user, ad, day), minimum per user.
+    return [
+        f"b AS (SELECT *, ts//{BATCH_MS} AS batch FROM ads)",
+        f"""nth AS (SELECT uid, batch FROM (
+  SELECT uid, batch, row_number() OVER (PARTITION BY uid, ads_id, dt ORDER BY ts, event_id) AS rn FROM b)
+  WHERE rn = {threshold})""",
+        "bans AS (SELECT uid, min(batch) AS banned_batch FROM nth GROUP BY uid)",
+        """surv AS (SELECT b.* FROM b LEFT JOIN bans ON b.uid=bans.uid
+  WHERE bans.banned_batch IS NULL OR b.batch <= bans.banned_batch)""",
+        "acc AS (SELECT area, city, ads_id, dt, count(*) AS clicks FROM surv GROUP BY area, city, ads_id, dt)",
+        "aad AS (SELECT area, ads_id, dt, cast(sum(clicks) AS BIGINT) AS clicks FROM acc GROUP BY area, ads_id, dt)",
+        """top3 AS (SELECT dt, area,
+  '[' || string_agg('{"' || ads_id || '":' || clicks || '}', ',' ORDER BY rn) || ']' AS top3_json
+  FROM (SELECT *, row_number() OVER (PARTITION BY dt, area ORDER BY clicks DESC, ads_id) AS rn FROM aad)
+  WHERE rn <= 3 GROUP BY dt, area)""",
+        f"""lhm AS (SELECT ads_id, strftime(make_timestamp(ts*1000),'%H:%M') AS hour_minute,
+  ts - (ts % 60000) AS minute_ms, count(*) AS clicks
+  FROM surv
+  WHERE ts > (SELECT max(ts) - (max(ts) % {SLIDE_MS}) + {SLIDE_MS - 1} FROM surv) - {WINDOW_MS}
+    AND ts <= (SELECT max(ts) - (max(ts) % {SLIDE_MS}) + {SLIDE_MS - 1} FROM surv)
+  GROUP BY ALL)""",
+    ]
+
+
+def ads_sql() -> dict[str, str]:
+    base = _with(EV, CITY_INFO, ADS, *_ads_ctes())
+    return {
+        "ads_log_parse": _with(EV, CITY_INFO, ADS)
+        + "SELECT event_id, ts, area, city, uid, ads_id, dt FROM ads",
+        "blacklist_users": base + "SELECT * FROM bans",
+        "blacklist_filter": base + "SELECT event_id, uid, ads_id FROM surv",
+        "user_ads_daycount": base + "SELECT uid, ads_id, dt, count(*) AS clicks FROM surv GROUP BY ALL",
+        "area_city_ads_daycount": base + "SELECT * FROM acc",
+        "area_ads_daycount": base + "SELECT * FROM aad",
+        "top3_ads_per_day": base + "SELECT * FROM top3",
+        "last_hour_ads_minutes": base + "SELECT ads_id, hour_minute, clicks FROM lhm",
+        "last_hour_ads_click": base + """SELECT ads_id,
+  '[' || string_agg('{"' || hour_minute || '":' || clicks || '}', ',' ORDER BY minute_ms) || ']' AS minutes_json
+  FROM lhm GROUP BY ads_id""",
+        "kv_area_city_ads_daycount": base + """SELECT 'area_city_ads_daycount' AS key,
+  area || ':' || city || ':' || ads_id || ':' || dt AS field, cast(clicks AS VARCHAR) AS value FROM acc""",
+        "kv_top3_ads_per_day": base + """SELECT 'top3_ads_per_day:' || dt AS key, area AS field,
+  top3_json AS value FROM top3""",
+    }
+
+
 def all_sql() -> dict[str, str]:
     out = {}
+    out.update(ads_sql())
     out.update(offline_sql())
     out.update(r3_sql())
     return out

@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dataclasses import replace
 
-from ..operators import areas, categories, pages, visits
-from ..params import FILTER_PARAMS, REPORT_PARAMS
+from ..operators import ads, areas, categories, pages, visits
+from ..params import FILTER_PARAMS, REPORT_PARAMS, TEST_THRESHOLD
+from ..sinks import kv
+from ..sources import adslog
 from ..sources import tables as tb
 
 Report = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +89,66 @@ def _area_top3_product_star(spark, d):
     return areas.area_top3_product(pc, tb.product_info(spark, d))
 
 
+def _ads_log_parse(spark, d):
+    lines = adslog.ads_lines(tb.ads_log(spark, d), keep=["event_id"])
+    parsed = adslog.parse_ads_lines(lines, keep=["event_id"])
+    return parsed.select("event_id", "ts", adslog.area_from_line().alias("area"),
+                         "city", "uid", "ads_id", "dt")
+
+
+def _batched_ads(spark, d):
+    return ads.with_batch(tb.ads_log(spark, d))
+
+
+def _blacklist_users(spark, d):
+    return ads.ban_batches(_batched_ads(spark, d), TEST_THRESHOLD)
+
+
+def _survivors(spark, d):
+    b = _batched_ads(spark, d)
+    return ads.blacklist_filter(b, ads.ban_batches(b, TEST_THRESHOLD))
+
+
+def _blacklist_filter(spark, d):
+    return _survivors(spark, d).select("event_id", "uid", "ads_id")
+
+
+def _user_ads_daycount(spark, d):
+    return ads.user_ads_daycount(_survivors(spark, d))
+
+
+def _area_city_ads_daycount(spark, d):
+    return ads.area_city_ads_daycount(_survivors(spark, d))
+
+
+def _area_ads_daycount(spark, d):
+    return ads.area_ads_daycount(_area_city_ads_daycount(spark, d))
+
+
+def _top3_ads_per_day(spark, d):
+    return ads.top_ads_per_day(_area_ads_daycount(spark, d), 3)
+
+
+def _last_hour_minutes(spark, d):
+    return ads.last_hour_ads_minutes(_survivors(spark, d))
+
+
+def _last_hour_ads_minutes(spark, d):
+    return _last_hour_minutes(spark, d).select("ads_id", "hour_minute", "clicks")
+
+
+def _last_hour_ads_click(spark, d):
+    return ads.last_hour_ads_click(_last_hour_minutes(spark, d))
+
+
+def _kv_area_city_ads_daycount(spark, d):
+    return kv.kv_area_city_ads_daycount(_area_city_ads_daycount(spark, d))
+
+
+def _kv_top3_ads_per_day(spark, d):
+    return kv.kv_top3_ads_per_day(_top3_ads_per_day(spark, d))
+
+
 def registry() -> dict[str, Report]:
     return {
         "user_visit_filter": _user_visit_filter,
@@ -103,4 +165,15 @@ def registry() -> dict[str, Report]:
         "area_product_clicks": _area_product_clicks,
         "area_top3_product": _area_top3_product,
         "area_top3_product_star": _area_top3_product_star,
+        "ads_log_parse": _ads_log_parse,
+        "blacklist_users": _blacklist_users,
+        "blacklist_filter": _blacklist_filter,
+        "user_ads_daycount": _user_ads_daycount,
+        "area_city_ads_daycount": _area_city_ads_daycount,
+        "area_ads_daycount": _area_ads_daycount,
+        "top3_ads_per_day": _top3_ads_per_day,
+        "last_hour_ads_minutes": _last_hour_ads_minutes,
+        "last_hour_ads_click": _last_hour_ads_click,
+        "kv_area_city_ads_daycount": _kv_area_city_ads_daycount,
+        "kv_top3_ads_per_day": _kv_top3_ads_per_day,
     }
