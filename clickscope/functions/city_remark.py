@@ -11,6 +11,7 @@ same name for SQL callers; it is the slow path (no partial aggregation).
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -56,8 +57,6 @@ def city_remark_by_group(rows: DataFrame, group_cols: list[str], city_col: str,
 
 def register_city_remark(spark: SparkSession, name: str = "city_remark") -> None:
     """Register ``city_remark(city)`` as a grouped-aggregate pandas UDF."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def city_remark(cities: pd.Series) -> str:
         counts = cities.value_counts()
