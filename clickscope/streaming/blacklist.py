@@ -1,0 +1,77 @@
+"""Q1: blacklist stage of the ad-click stream.
+
+Per user, the state store keeps the running click count of each (ad, day)
+and a banned flag. In a micro-batch a banned user's events are dropped; a
+user not yet banned keeps all of this batch's events, adds them to the
+counts, and is banned when some count reaches the threshold. The ban thus
+applies from the next batch on, to every ad and day, as when the blacklist is
+read at the start of each batch.
+
+State lives in the query's checkpoint (survives executor and driver loss);
+events reach Python in Arrow batches, one chunk at a time.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+OUT_SCHEMA = ("kind string, ts long, area string, city string, uid long, ads_id long, "
+              "dt string, clicks long")
+STATE_SCHEMA = "banned boolean, counts string"
+EVENT_COLS = ["ts", "area", "city", "uid", "ads_id", "dt"]
+OUT_COLS = ["kind", *EVENT_COLS, "clicks"]
+
+
+def _rows(kind: str, frame: pd.DataFrame, clicks=None) -> pd.DataFrame:
+    out = frame.reindex(columns=EVENT_COLS).copy()
+    out.insert(0, "kind", kind)
+    out["clicks"] = clicks if clicks is not None else pd.Series([None] * len(out), dtype="Int64")
+    return out[OUT_COLS]
+
+
+def blacklist_step(threshold: int):
+    """The per-user state function for ``applyInPandasWithState``."""
+
+    def step(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        (uid,) = key
+        banned, counts = state.get if state.exists else (False, "{}")
+        counts = json.loads(counts)
+        if banned:
+            for _ in chunks:  # drop: banned in an earlier batch
+                pass
+            return
+        touched: dict[str, tuple] = {}
+        for pdf in chunks:
+            if pdf.empty:
+                continue
+            yield _rows("event", pdf)
+            for (ad, day), n in pdf.groupby(["ads_id", "dt"]).size().items():
+                k = f"{int(ad)}|{day}"
+                counts[k] = counts.get(k, 0) + int(n)
+                touched[k] = (int(ad), day)
+        if not touched:
+            return
+        if any(counts[k] >= threshold for k in touched):
+            banned = True
+            yield _rows("ban", pd.DataFrame({"uid": [int(uid)]}))
+        cnt = pd.DataFrame({"uid": [int(uid)] * len(touched),
+                            "ads_id": [a for a, _ in touched.values()],
+                            "dt": [d for _, d in touched.values()]})
+        yield _rows("count", cnt, pd.Series([counts[k] for k in touched], dtype="Int64"))
+        state.update((banned, json.dumps(counts)))
+
+    return step
+
+
+def blacklist_stream(parsed: DataFrame, threshold: int) -> DataFrame:
+    """Tagged rows per batch: ``event`` (survivor), ``ban`` (uid banned in
+    this batch), ``count`` (new running count of a touched (uid, ad, day))."""
+    return (parsed.select(*EVENT_COLS)
+                  .groupBy("uid")
+                  .applyInPandasWithState(blacklist_step(threshold), OUT_SCHEMA, STATE_SCHEMA,
+                                          "append", GroupStateTimeout.NoTimeout))

@@ -1,0 +1,235 @@
+"""The ad-click stream as three Structured Streaming queries.
+
+Q1 lines -> parse -> per-user blacklist state -> foreachBatch:
+   survivors (parquet, one folder per batch), bans, running user/ad/day counts.
+Q2 survivors (file stream) -> running count per (area, city, ad, day), update
+   mode -> foreachBatch: day-count KV, then the top-3 ads of the touched days.
+Q3 survivors (file stream) -> 10-second panes with a one-hour watermark ->
+   foreachBatch: the last-hour per-minute snapshot per ad (replaces the key).
+
+Every foreachBatch output is keyed by the batch id and written so that a
+replayed batch leaves it unchanged. All folders live below one base folder
+in shared storage (``session.shared_dir``), never on a machine-local disk.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import ads as ads_ops
+from ..params import SLIDE_MS, WINDOW_MS
+from ..sinks import kv
+from ..sources.adslog import parse_ads_lines
+from .blacklist import blacklist_stream
+
+SURVIVOR_SCHEMA = ("ts long, area string, city string, uid long, ads_id long, dt string, "
+                   "batch_id long")
+
+
+@dataclass(frozen=True)
+class StreamPaths:
+    base: str
+
+    @property
+    def survivors(self): return f"{self.base}/survivors"
+    @property
+    def bans(self): return f"{self.base}/blacklist"
+    @property
+    def kv(self): return f"{self.base}/kv"
+    @property
+    def daycounts(self): return f"{self.base}/area_city_ads_daycount"
+    @property
+    def panes(self): return f"{self.base}/last_hour_panes"
+    @property
+    def clock(self): return f"{self.base}/last_hour_clock"
+
+    def checkpoint(self, q: str) -> str:
+        return f"{self.base}/_checkpoints/{q}"
+
+
+def _fs_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _kv_store(spark: SparkSession, paths: StreamPaths, name: str) -> kv.KvLog:
+    return kv.KvLog(spark, f"{paths.kv}/{name}")
+
+
+# ---- Q1 ---------------------------------------------------------------------
+
+def blacklist_batch_writer(paths: StreamPaths):
+    def write(out: DataFrame, batch_id: int) -> None:
+        spark = out.sparkSession
+        folder = f"{paths.survivors}/batch_id={batch_id}"
+        if _fs_exists(spark, f"{folder}/_SUCCESS"):
+            return  # batch already landed; a replay must not feed Q2 twice
+        out = out.persist()
+        try:
+            bans = (out.where("kind = 'ban'")
+                       .select("uid", F.lit(batch_id).cast("bigint").alias("banned_batch")))
+            bans.write.mode("overwrite").parquet(f"{paths.bans}/batch_id={batch_id}")
+            counts = out.where("kind = 'count'").select("uid", "ads_id", "dt", "clicks")
+            _kv_store(spark, paths, kv.USER_ADS_DAYCOUNT).write(kv.kv_user_ads_daycount(counts), batch_id)
+            _kv_store(spark, paths, kv.BLACKLIST).write(kv.kv_blacklist(bans), batch_id)
+            # survivors last: their _SUCCESS marks the whole batch as done
+            (out.where("kind = 'event'").select("ts", "area", "city", "uid", "ads_id", "dt")
+                .write.mode("overwrite").parquet(folder))
+        finally:
+            out.unpersist()
+    return write
+
+
+def start_blacklist_query(lines: DataFrame, paths: StreamPaths, threshold: int, trigger: dict,
+                          name: str = "ads_blacklist"):
+    parsed = parse_ads_lines(lines)
+    tagged = blacklist_stream(parsed, threshold)
+    return (tagged.writeStream.queryName(name)
+                  .option("checkpointLocation", paths.checkpoint("q1"))
+                  .outputMode("append")
+                  .foreachBatch(blacklist_batch_writer(paths))
+                  .trigger(**trigger)
+                  .start())
+
+
+def survivors_stream(spark: SparkSession, paths: StreamPaths, max_files: int | None = None) -> DataFrame:
+    r = spark.readStream.schema(SURVIVOR_SCHEMA)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", str(max_files))
+    return r.parquet(paths.survivors)
+
+
+# ---- Q2 ---------------------------------------------------------------------
+
+def area_counts_batch_writer(paths: StreamPaths):
+    def write(updated: DataFrame, batch_id: int) -> None:
+        spark = updated.sparkSession
+        upd = updated.select("area", "city", "ads_id", "dt", F.col("count").alias("clicks")).persist()
+        try:
+            (upd.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy("dt", "batch_id").parquet(paths.daycounts))
+            _kv_store(spark, paths, kv.AREA_CITY_ADS_DAYCOUNT).write(kv.kv_area_city_ads_daycount(upd), batch_id)
+            # days touched by this batch: a handful of values, so pruning is static
+            days = [r.dt for r in upd.select("dt").distinct().collect()]
+            if not days:
+                return
+            log = spark.read.parquet(paths.daycounts).where(F.col("dt").isin(days))
+            totals = (log.where(F.col("batch_id") <= batch_id)
+                         .groupBy("area", "city", "ads_id", "dt")
+                         .agg(F.max("clicks").alias("clicks")))  # running totals only grow
+            top = ads_ops.top_ads_per_day(ads_ops.area_ads_daycount(totals), 3)
+            _kv_store(spark, paths, kv.TOP3_ADS_PER_DAY).write(kv.kv_top3_ads_per_day(top), batch_id)
+        finally:
+            upd.unpersist()
+    return write
+
+
+def start_area_counts_query(spark: SparkSession, paths: StreamPaths, trigger: dict,
+                            name: str = "ads_area_counts", max_files: int | None = None):
+    counts = survivors_stream(spark, paths, max_files).groupBy("area", "city", "ads_id", "dt").count()
+    return (counts.writeStream.queryName(name)
+                  .option("checkpointLocation", paths.checkpoint("q2"))
+                  .outputMode("update")
+                  .foreachBatch(area_counts_batch_writer(paths))
+                  .trigger(**trigger)
+                  .start())
+
+
+# ---- Q3 ---------------------------------------------------------------------
+
+def last_hour_batch_writer(paths: StreamPaths, length_ms: int = WINDOW_MS, slide_ms: int = SLIDE_MS):
+    hour = 3600 * 1000
+
+    def write(updated: DataFrame, batch_id: int) -> None:
+        spark = updated.sparkSession
+        panes = (updated.select("ads_id", F.unix_millis(F.col("pane.start")).alias("pane_ms"),
+                                F.col("count").alias("clicks"))
+                        .withColumn("hour_bucket", (F.col("pane_ms") / hour).cast("bigint"))
+                        .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
+        panes = panes.persist()
+        try:
+            (panes.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                  .partitionBy("hour_bucket", "batch_id").parquet(paths.panes))
+            # the clock: start of the latest pane seen so far (monotone); one
+            # row per batch, the previous value read back from shared storage
+            last = panes.agg(F.max("pane_ms")).first()[0]
+            if _fs_exists(spark, paths.clock):
+                prev = (spark.read.parquet(paths.clock).where(F.col("batch_id") < batch_id)
+                             .agg(F.max("last_pane")).first()[0])
+                vals = [v for v in (last, prev) if v is not None]
+                last = max(vals) if vals else None
+        finally:
+            panes.unpersist()
+        if last is None:
+            return
+        (spark.createDataFrame([(int(last), int(batch_id))], "last_pane long, batch_id long")
+              .write.mode("overwrite").parquet(f"{paths.clock}/batch_id={batch_id}"))
+        end = int(last) + slide_ms - 1
+        start = end - length_ms  # window (start, end]
+        seen = spark.read.parquet(paths.panes)
+        recent = (seen.where((F.col("hour_bucket") >= F.lit(start // hour)) & (F.col("batch_id") <= batch_id))
+                      .where((F.col("pane_ms") > start) & (F.col("pane_ms") <= end))
+                      .groupBy("ads_id", "pane_ms").agg(F.max("clicks").alias("clicks")))
+        minute = (F.col("pane_ms") - F.pmod(F.col("pane_ms"), F.lit(60000))).alias("minute_ms")
+        minutes = (recent.groupBy("ads_id", minute,
+                                  F.date_format(F.timestamp_millis("pane_ms"), "HH:mm").alias("hour_minute"))
+                         .agg(F.sum("clicks").cast("bigint").alias("clicks")))
+        snap = ads_ops.last_hour_ads_click(minutes)
+        _kv_store(spark, paths, kv.LAST_HOUR_ADS_CLICK).write(
+            kv.kv_last_hour_ads_click(snap), batch_id, replace_keys=True)
+
+    return write
+
+
+def start_last_hour_query(spark: SparkSession, paths: StreamPaths, trigger: dict,
+                          length_ms: int = WINDOW_MS, slide_ms: int = SLIDE_MS,
+                          name: str = "ads_last_hour", max_files: int | None = None):
+    ev = survivors_stream(spark, paths, max_files).withColumn("event_time", F.timestamp_millis("ts"))
+    panes = (ev.withWatermark("event_time", f"{length_ms // 1000} seconds")
+               .groupBy("ads_id", F.window("event_time", f"{slide_ms // 1000} seconds").alias("pane"))
+               .count())
+    return (panes.writeStream.queryName(name)
+                 .option("checkpointLocation", paths.checkpoint("q3"))
+                 .outputMode("update")
+                 .foreachBatch(last_hour_batch_writer(paths, length_ms, slide_ms))
+                 .trigger(**trigger)
+                 .start())
+
+
+# ---- driver -------------------------------------------------------------------
+
+def run_available_now(spark: SparkSession, lines: DataFrame, paths: StreamPaths, threshold: int,
+                      length_ms: int = WINDOW_MS) -> None:
+    """Drain the line source through Q1, then Q2 and Q3 (tests, backfills)."""
+    q1 = start_blacklist_query(lines, paths, threshold, {"availableNow": True})
+    q1.awaitTermination()
+    q2 = start_area_counts_query(spark, paths, {"availableNow": True})
+    q3 = start_last_hour_query(spark, paths, {"availableNow": True}, length_ms=length_ms)
+    q2.awaitTermination()
+    q3.awaitTermination()
+
+
+def start_all(spark: SparkSession, lines: DataFrame, paths: StreamPaths, threshold: int,
+              interval: str = "5 seconds"):
+    """Run the three queries continuously (the live deployment)."""
+    trig = {"processingTime": interval}
+    return [start_blacklist_query(lines, paths, threshold, trig),
+            start_area_counts_query(spark, paths, trig),
+            start_last_hour_query(spark, paths, trig)]
+
+
+def current_bans(spark: SparkSession, paths: StreamPaths) -> DataFrame:
+    return spark.read.parquet(paths.bans)
+
+
+def current_survivors(spark: SparkSession, paths: StreamPaths) -> DataFrame:
+    return spark.read.schema(SURVIVOR_SCHEMA).parquet(paths.survivors)
+
+
+def kv_current(spark: SparkSession, paths: StreamPaths, name: str) -> DataFrame:
+    return _kv_store(spark, paths, name).current()
