@@ -8,6 +8,12 @@ partitioned by (g, piece); the only pairs a piece boundary cuts are between the
 last row of one range partition and the first row of the next non-empty one.
 Those edge rows (two per partition, a bound fixed by the partition count) are
 stitched with a window over that small set. Every pair appears exactly once.
+
+Both branches must see the same range partitions. Range bounds come from a
+sample, so two separate range exchanges could disagree; the range-partitioned
+rows are therefore checkpointed (lazily, to the shared checkpoint folder):
+both branches read one RDD with one partitioner, and a lost executor cannot
+change the bounds on recompute.
 """
 
 from __future__ import annotations
@@ -15,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def _partitions(df: DataFrame) -> int:
     spark = df.sparkSession
@@ -33,8 +41,10 @@ def consecutive_pairs(df: DataFrame, group: str, order: list[str], value: str,
     next_name = next_name or f"to_{value}"
     n = num_ranges or _partitions(df)
     keys = [group, *order]
+    ensure_checkpoint_dir(df.sparkSession)
     ranged = (df.select(*keys, value)
                 .repartitionByRange(n, *[F.col(k).asc() for k in keys])
+                .checkpoint(eager=False)
                 .withColumn("_piece", F.spark_partition_id()))
 
     # pairs inside one piece (same group, same range partition)

@@ -68,6 +68,14 @@ def shared_dir(spark: SparkSession) -> str:
     return local
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Make sure ``checkpoint()`` has the shared folder to write to."""
+    base = shared_dir(spark)
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(base)
+    return base
+
+
 def fresh_subdir(spark: SparkSession, name: str) -> str:
     """A new, unused folder below the shared folder (one per run)."""
     base = shared_dir(spark)
