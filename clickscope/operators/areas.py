@@ -6,16 +6,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.city_remark import city_remark_by_group
+from ..plans.joins import bounded_broadcast
 
 
 def area_city_clicks(uva: DataFrame, city_info: DataFrame) -> DataFrame:
     """Product clicks placed in their city and area.
 
-    The city dimension is joined by key; Spark broadcasts it when its measured
-    size is under the broadcast threshold and shuffles otherwise.
+    The city dimension is broadcast after a bounded size check; above the
+    bound the join shuffles.
     """
     clicks = uva.where(F.col("click_product_id") > 0).select("city_id", "click_product_id")
-    return (clicks.join(city_info, "city_id")
+    return (clicks.join(bounded_broadcast(city_info), "city_id")
                   .select("area", "city_name", "click_product_id"))
 
 

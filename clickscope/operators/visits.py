@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..params import VisitParams
+from ..plans.joins import bounded_broadcast
 
 
 def _present(v) -> bool:
@@ -32,8 +33,8 @@ def visit_predicate(p: VisitParams) -> Column:
 def user_visit_filter(uva: DataFrame, user_info: DataFrame, p: VisitParams) -> DataFrame:
     """Visits of known users inside the date and age bounds, with ``age`` added.
 
-    The date bounds reach the events scan as pushed filters; the age bounds
-    reach the user scan, so the join sees only qualifying users.
+    The age bounds reach the user scan, so the join sees only qualifying
+    users; the user dimension is broadcast after a bounded size check.
     """
     users = user_info.select("user_id", "age")
-    return uva.join(users, "user_id").where(visit_predicate(p))
+    return uva.join(bounded_broadcast(users), "user_id").where(visit_predicate(p))

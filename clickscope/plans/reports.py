@@ -22,7 +22,8 @@ Report = Callable[[SparkSession, str], DataFrame]
 
 
 def _visit_filter(spark, d, p):
-    return visits.user_visit_filter(tb.user_visit_action(spark, d), tb.user_info(spark, d), p)
+    uva = tb.user_visit_action(spark, d, p.start_date, p.end_date)
+    return visits.user_visit_filter(uva, tb.user_info(spark, d), p)
 
 
 def _user_visit_filter(spark, d):

@@ -20,31 +20,35 @@ def _int_field(tok: Column) -> Column:
     return F.when(tok.rlike(_INT), tok.try_cast("bigint"))
 
 
-def parse_fields(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """Add the parsed fields and a ``valid`` flag to every line."""
-    parts = F.split(F.col(value_col), " ")
+def parse_record(value: Column) -> Column:
+    """Line -> struct(ts, area, city, uid, ads_id), or NULL when rejected."""
+    parts = F.split(value, " ")
     tok = [F.try_element_at(parts, F.lit(i + 1)) for i in range(5)]
     ts, uid, ads = _int_field(tok[0]), _int_field(tok[3]), _int_field(tok[4])
-    out = lines.select(
-        "*",
-        ts.alias("ts"), tok[1].alias("area"), tok[2].alias("city"),
-        uid.alias("uid"), ads.alias("ads_id"))
-    valid = (F.col("ts").isNotNull() & F.col("area").isNotNull() & F.col("city").isNotNull()
-             & F.col("uid").isNotNull() & F.col("ads_id").isNotNull())
-    return out.withColumn("valid", valid)
+    valid = (ts.isNotNull() & tok[1].isNotNull() & tok[2].isNotNull()
+             & uid.isNotNull() & ads.isNotNull())
+    rec = F.struct(ts.alias("ts"), tok[1].alias("area"), tok[2].alias("city"),
+                   uid.alias("uid"), ads.alias("ads_id"))
+    return F.when(valid, rec)
 
 
 def parse_ads_lines(lines: DataFrame, value_col: str = "value", keep: list[str] | None = None) -> DataFrame:
-    """Valid lines as (ts, area, city, uid, ads_id, dt) plus ``keep`` columns."""
+    """Valid lines as (ts, area, city, uid, ads_id, dt) plus ``keep`` columns.
+
+    A flatMap: each line yields its record or nothing. The record is built in
+    one projection (one split per line, shared by all fields), and dropping
+    rejects through ``explode`` keeps Catalyst from re-evaluating the parse
+    inside a pushed-down filter.
+    """
     keep = keep or []
-    p = parse_fields(lines, value_col)
-    return (p.where("valid")
-             .select(*keep, "ts", "area", "city", "uid", "ads_id",
-                     epoch_ms_day(F.col("ts")).alias("dt")))
+    recs = lines.select(*keep, parse_record(F.col(value_col)).alias("_rec"))
+    rec = F.col("_rec")
+    one = recs.select(*keep, F.explode(F.when(rec.isNotNull(), F.array(rec))).alias("_r"))
+    return one.select(*keep, "_r.*", epoch_ms_day(F.col("_r.ts")).alias("dt"))
 
 
 def rejected_ads_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    return parse_fields(lines, value_col).where(~F.col("valid")).select(value_col)
+    return lines.where(parse_record(F.col(value_col)).isNull()).select(value_col)
 
 
 def ads_lines(ads: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -6,9 +6,13 @@ and pushes filters from the reports down into the scan.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.joins import bounded_broadcast
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -31,9 +35,29 @@ def _cat_list(k: Column, event_id: Column) -> Column:
     return F.array_join(F.slice(cats, F.lit(1), (event_id % 3 + 1).cast("int")), ",")
 
 
-def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The user-visit-action table over ``events`` (one row per event)."""
+def _iso_day(day: str | None) -> _dt.date | None:
+    """ISO day text -> ``date``, or None when absent or not an ISO day."""
+    try:
+        return _dt.date.fromisoformat(day) if day else None
+    except ValueError:
+        return None
+
+
+def user_visit_action(spark: SparkSession, sf_dir: str,
+                      start_date: str | None = None, end_date: str | None = None) -> DataFrame:
+    """The user-visit-action table over ``events`` (one row per event).
+
+    ``start_date``/``end_date`` (ISO days, inclusive) become a range on the
+    raw ``ts`` so the bound reaches the parquet scan; the report still
+    applies its own predicate on ``date``, this is only a superset prefilter.
+    """
     ev = events_k(spark, sf_dir)
+    lo, hi = _iso_day(start_date), _iso_day(end_date)
+    if lo is not None:
+        ev = ev.where(F.col("ts") >= F.to_timestamp_ntz(F.lit(f"{lo.isoformat()} 00:00:00")))
+    if hi is not None:
+        nxt = hi + _dt.timedelta(days=1)
+        ev = ev.where(F.col("ts") < F.to_timestamp_ntz(F.lit(f"{nxt.isoformat()} 00:00:00")))
     k, eid, et = F.col("k"), F.col("event_id"), F.col("event_type")
     day = F.date_format("ts", "yyyy-MM-dd")
     is_click = et == "click"
@@ -88,7 +112,7 @@ def city_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ads_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ad-click records: ``events`` placed in a city/area, ts in epoch ms."""
     ev = events_k(spark, sf_dir)
-    ci = city_info(spark, sf_dir)
+    ci = bounded_broadcast(city_info(spark, sf_dir))
     ts_ms = F.unix_millis(F.col("ts").cast("timestamp"))
     return (ev.join(ci, (ev.user_id % 25) == ci.city_id)
               .select(ev.event_id,
@@ -109,7 +133,7 @@ def star_area_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    ci = city_info(spark, sf_dir)
+    ci = bounded_broadcast(city_info(spark, sf_dir))
     return (li.join(o, li.l_orderkey == o.o_orderkey)
               .join(c, o.o_custkey == c.c_custkey)
               .join(ci, c.c_nationkey.cast("bigint") == ci.city_id)
