@@ -176,11 +176,11 @@ WHERE rn<=10""",
 
 # ---- ads: R5-R8 -----------------------------------------------------------
 
-def _ads_ctes(threshold: int = TEST_THRESHOLD) -> list[str]:
+def _ads_ctes(threshold: int = TEST_THRESHOLD, batch_sql: str = f"ts//{BATCH_MS}") -> list[str]:
     # The ban is written here in its direct form: the batch of the N-th
     # event (by time, then id) of each (user, ad, day), minimum per user.
     return [
-        f"b AS (SELECT *, ts//{BATCH_MS} AS batch FROM ads)",
+        f"b AS (SELECT *, {batch_sql} AS batch FROM ads)",
         f"""nth AS (SELECT uid, batch FROM (
   SELECT uid, batch, row_number() OVER (PARTITION BY uid, ads_id, dt ORDER BY ts, event_id) AS rn FROM b)
   WHERE rn = {threshold})""",
@@ -224,8 +224,32 @@ def ads_sql() -> dict[str, str]:
     }
 
 
+# ---- stream replay (batch k = k-th time block) -------------------------------
+
+def stream_sql() -> dict[str, str]:
+    from .streams import BLOCK_DAYS
+    batch = f"dense_rank() OVER (ORDER BY (ts//86400000)//{BLOCK_DAYS}) - 1"
+    base = _with(EV, CITY_INFO, ADS, *_ads_ctes(TEST_THRESHOLD, batch))
+    line_area = "replace(area, ' ', '_')"
+    return {
+        "stream_blacklist_users": base + "SELECT * FROM bans",
+        "stream_blacklist_filter": base + "SELECT ts, area, city, uid, ads_id, dt FROM surv",
+        "stream_user_ads_daycount": base + """SELECT 'user_ads_daycount' AS key,
+  uid || ':' || ads_id || ':' || dt AS field, cast(count(*) AS VARCHAR) AS value
+  FROM surv GROUP BY uid, ads_id, dt""",
+        "stream_area_city_ads_daycount": base + f"""SELECT 'area_city_ads_daycount' AS key,
+  {line_area} || ':' || city || ':' || ads_id || ':' || dt AS field, cast(clicks AS VARCHAR) AS value FROM acc""",
+        "stream_top3_ads_per_day": base + f"""SELECT 'top3_ads_per_day:' || dt AS key, {line_area} AS field,
+  top3_json AS value FROM top3""",
+        "stream_last_hour_ads_click": base + """SELECT 'last_hour_ads_click' AS key, cast(ads_id AS VARCHAR) AS field,
+  '[' || string_agg('{"' || hour_minute || '":' || clicks || '}', ',' ORDER BY minute_ms) || ']' AS value
+  FROM lhm GROUP BY ads_id""",
+    }
+
+
 def all_sql() -> dict[str, str]:
     out = {}
+    out.update(stream_sql())
     out.update(ads_sql())
     out.update(offline_sql())
     out.update(r3_sql())

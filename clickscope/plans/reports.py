@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dataclasses import replace
 
+from . import streams
 from ..operators import ads, areas, categories, pages, visits
 from ..params import FILTER_PARAMS, REPORT_PARAMS, TEST_THRESHOLD
 from ..sinks import kv
@@ -177,4 +178,5 @@ def registry() -> dict[str, Report]:
         "last_hour_ads_click": _last_hour_ads_click,
         "kv_area_city_ads_daycount": _kv_area_city_ads_daycount,
         "kv_top3_ads_per_day": _kv_top3_ads_per_day,
+        **streams.registry(),
     }

@@ -108,6 +108,8 @@ def survivors_stream(spark: SparkSession, paths: StreamPaths, max_files: int | N
 def area_counts_batch_writer(paths: StreamPaths):
     def write(updated: DataFrame, batch_id: int) -> None:
         spark = updated.sparkSession
+        if updated.isEmpty():  # no key changed (e.g. a watermark-only batch)
+            return
         upd = updated.select("area", "city", "ads_id", "dt", F.col("count").alias("clicks")).persist()
         try:
             (upd.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
@@ -143,18 +145,20 @@ def start_area_counts_query(spark: SparkSession, paths: StreamPaths, trigger: di
 # ---- Q3 ---------------------------------------------------------------------
 
 def last_hour_batch_writer(paths: StreamPaths, length_ms: int = WINDOW_MS, slide_ms: int = SLIDE_MS):
-    hour = 3600 * 1000
-
     def write(updated: DataFrame, batch_id: int) -> None:
         spark = updated.sparkSession
+        if updated.isEmpty():  # watermark-only batch: no pane changed
+            return
         panes = (updated.select("ads_id", F.unix_millis(F.col("pane.start")).alias("pane_ms"),
                                 F.col("count").alias("clicks"))
-                        .withColumn("hour_bucket", (F.col("pane_ms") / hour).cast("bigint"))
                         .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
         panes = panes.persist()
         try:
-            (panes.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                  .partitionBy("hour_bucket", "batch_id").parquet(paths.panes))
+            # one folder per batch; files are sorted on pane_ms so parquet
+            # statistics skip those outside the window on read
+            (panes.sortWithinPartitions("pane_ms")
+                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                  .partitionBy("batch_id").parquet(paths.panes))
             # the clock: start of the latest pane seen so far (monotone); one
             # row per batch, the previous value read back from shared storage
             last = panes.agg(F.max("pane_ms")).first()[0]
@@ -172,7 +176,7 @@ def last_hour_batch_writer(paths: StreamPaths, length_ms: int = WINDOW_MS, slide
         end = int(last) + slide_ms - 1
         start = end - length_ms  # window (start, end]
         seen = spark.read.parquet(paths.panes)
-        recent = (seen.where((F.col("hour_bucket") >= F.lit(start // hour)) & (F.col("batch_id") <= batch_id))
+        recent = (seen.where(F.col("batch_id") <= batch_id)
                       .where((F.col("pane_ms") > start) & (F.col("pane_ms") <= end))
                       .groupBy("ads_id", "pane_ms").agg(F.max("clicks").alias("clicks")))
         minute = (F.col("pane_ms") - F.pmod(F.col("pane_ms"), F.lit(60000))).alias("minute_ms")
