@@ -21,28 +21,31 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-# Event rows carry no count and count rows no event fields; the Arrow
-# serializer's concat of such frames warns about all-NA columns.
-warnings.filterwarnings("ignore", message="The behavior of DataFrame concatenation with empty or all-NA")
-
 OUT_SCHEMA = ("kind string, ts long, area string, city string, uid long, ads_id long, "
               "dt string, clicks long")
 STATE_SCHEMA = "banned boolean, counts string"
 EVENT_COLS = ["ts", "area", "city", "uid", "ads_id", "dt"]
-OUT_COLS = ["kind", *EVENT_COLS, "clicks"]
 
 
-def _rows(kind: str, frame: pd.DataFrame, clicks=None) -> pd.DataFrame:
-    out = frame.reindex(columns=EVENT_COLS).copy()
-    out.insert(0, "kind", kind)
-    out["clicks"] = clicks if clicks is not None else pd.Series([None] * len(out), dtype="Int64")
-    return out[OUT_COLS]
+def blacklist_step(threshold: int):
+    """The per-user state function for ``applyInPandasWithState``.
 
+    Everything it uses is local (closures are shipped to the Python workers
+    by value), so the workers need only pandas, not this package.
+    """
+    event_cols = list(EVENT_COLS)
+    out_cols = ["kind", *event_cols, "clicks"]
 
-def blacklist_step(threshold: int):
-    """The per-user state function for ``applyInPandasWithState``."""
+    def rows(kind: str, frame: pd.DataFrame, clicks=None) -> pd.DataFrame:
+        out = frame.reindex(columns=event_cols).copy()
+        out.insert(0, "kind", kind)
+        out["clicks"] = clicks if clicks is not None else pd.Series([None] * len(out), dtype="Int64")
+        return out[out_cols]
 
     def step(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        # event rows carry no count and count rows no event fields; the
+        # Arrow serializer's concat of such frames warns about all-NA columns
+        warnings.filterwarnings("ignore", message="The behavior of DataFrame concatenation with empty")
         (uid,) = key
         banned, counts = state.get if state.exists else (False, "{}")
         counts = json.loads(counts)
@@ -54,7 +57,7 @@ def blacklist_step(threshold: int):
         for pdf in chunks:
             if pdf.empty:
                 continue
-            yield _rows("event", pdf)
+            yield rows("event", pdf)
             for (ad, day), n in pdf.groupby(["ads_id", "dt"]).size().items():
                 k = f"{int(ad)}|{day}"
                 counts[k] = counts.get(k, 0) + int(n)
@@ -63,11 +66,11 @@ def blacklist_step(threshold: int):
             return
         if any(counts[k] >= threshold for k in touched):
             banned = True
-            yield _rows("ban", pd.DataFrame({"uid": [int(uid)]}))
+            yield rows("ban", pd.DataFrame({"uid": [int(uid)]}))
         cnt = pd.DataFrame({"uid": [int(uid)] * len(touched),
                             "ads_id": [a for a, _ in touched.values()],
                             "dt": [d for _, d in touched.values()]})
-        yield _rows("count", cnt, pd.Series([counts[k] for k in touched], dtype="Int64"))
+        yield rows("count", cnt, pd.Series([counts[k] for k in touched], dtype="Int64"))
         state.update((banned, json.dumps(counts)))
 
     return step
