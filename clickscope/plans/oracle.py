@@ -221,6 +221,13 @@ def ads_sql() -> dict[str, str]:
   area || ':' || city || ':' || ads_id || ':' || dt AS field, cast(clicks AS VARCHAR) AS value FROM acc""",
         "kv_top3_ads_per_day": base + """SELECT 'top3_ads_per_day:' || dt AS key, area AS field,
   top3_json AS value FROM top3""",
+        "kv_last_hour_ads_click": base + """SELECT 'last_hour_ads_click' AS key, cast(ads_id AS VARCHAR) AS field,
+  '[' || string_agg('{"' || hour_minute || '":' || clicks || '}', ',' ORDER BY minute_ms) || ']' AS value
+  FROM lhm GROUP BY ads_id""",
+        "kv_user_ads_daycount": base + """SELECT 'user_ads_daycount' AS key,
+  uid || ':' || ads_id || ':' || dt AS field, cast(count(*) AS VARCHAR) AS value
+  FROM surv GROUP BY uid, ads_id, dt""",
+        "kv_blacklist": base + "SELECT 'blacklist' AS key, cast(uid AS VARCHAR) AS field, '' AS value FROM bans",
     }
 
 

@@ -151,6 +151,18 @@ def _kv_top3_ads_per_day(spark, d):
     return kv.kv_top3_ads_per_day(_top3_ads_per_day(spark, d))
 
 
+def _kv_last_hour_ads_click(spark, d):
+    return kv.kv_last_hour_ads_click(_last_hour_ads_click(spark, d))
+
+
+def _kv_user_ads_daycount(spark, d):
+    return kv.kv_user_ads_daycount(_user_ads_daycount(spark, d))
+
+
+def _kv_blacklist(spark, d):
+    return kv.kv_blacklist(_blacklist_users(spark, d))
+
+
 def registry() -> dict[str, Report]:
     return {
         "user_visit_filter": _user_visit_filter,
@@ -178,5 +190,8 @@ def registry() -> dict[str, Report]:
         "last_hour_ads_click": _last_hour_ads_click,
         "kv_area_city_ads_daycount": _kv_area_city_ads_daycount,
         "kv_top3_ads_per_day": _kv_top3_ads_per_day,
+        "kv_last_hour_ads_click": _kv_last_hour_ads_click,
+        "kv_user_ads_daycount": _kv_user_ads_daycount,
+        "kv_blacklist": _kv_blacklist,
         **streams.registry(),
     }
