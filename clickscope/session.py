@@ -30,11 +30,19 @@ BASE_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Local runs only: in local mode the executors live in the driver JVM, whose
+# default 1 GiB heap makes long sessions GC-bound. Clusters size their own.
+LOCAL_CONF = {
+    "spark.driver.memory": "16g",
+}
+
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "clickscope", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(BASE_CONF)
+    if master.startswith("local"):
+        conf.update(LOCAL_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():

@@ -32,7 +32,8 @@ def parse_record(value: Column) -> Column:
     return F.when(valid, rec)
 
 
-def parse_ads_lines(lines: DataFrame, value_col: str = "value", keep: list[str] | None = None) -> DataFrame:
+def parse_ads_lines(lines: DataFrame, value_col: str = "value", keep: list[str] | None = None,
+                    observe_as: str | None = None) -> DataFrame:
     """Valid lines as (ts, area, city, uid, ads_id, dt) plus ``keep`` columns.
 
     A flatMap: each line yields its record or nothing. The record is built in
@@ -43,6 +44,10 @@ def parse_ads_lines(lines: DataFrame, value_col: str = "value", keep: list[str]
     keep = keep or []
     recs = lines.select(*keep, parse_record(F.col(value_col)).alias("_rec"))
     rec = F.col("_rec")
+    if observe_as:
+        # per-batch line and reject counts, reported in the query progress
+        recs = recs.observe(observe_as, F.count(F.lit(1)).alias("lines"),
+                            F.count_if(rec.isNull()).alias("rejected"))
     one = recs.select(*keep, F.explode(F.when(rec.isNotNull(), F.array(rec))).alias("_r"))
     return one.select(*keep, "_r.*", epoch_ms_day(F.col("_r.ts")).alias("dt"))
 

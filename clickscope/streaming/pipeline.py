@@ -84,9 +84,14 @@ def blacklist_batch_writer(paths: StreamPaths):
     return write
 
 
+PARSE_METRICS = "ads_parse"
+
+
 def start_blacklist_query(lines: DataFrame, paths: StreamPaths, threshold: int, trigger: dict,
                           name: str = "ads_blacklist"):
-    parsed = parse_ads_lines(lines)
+    """Q1. Malformed lines are dropped and counted: ``observedMetrics`` of
+    each progress report holds ``ads_parse`` = {lines, rejected}."""
+    parsed = parse_ads_lines(lines, observe_as=PARSE_METRICS)
     tagged = blacklist_stream(parsed, threshold)
     return (tagged.writeStream.queryName(name)
                   .option("checkpointLocation", paths.checkpoint("q1"))
@@ -208,14 +213,23 @@ def start_last_hour_query(spark: SparkSession, paths: StreamPaths, trigger: dict
 # ---- driver -------------------------------------------------------------------
 
 def run_available_now(spark: SparkSession, lines: DataFrame, paths: StreamPaths, threshold: int,
-                      length_ms: int = WINDOW_MS) -> None:
-    """Drain the line source through Q1, then Q2 and Q3 (tests, backfills)."""
+                      length_ms: int = WINDOW_MS) -> dict:
+    """Drain the line source through Q1, then Q2 and Q3 (tests, backfills).
+
+    Returns the summed parse metrics of Q1's batches."""
     q1 = start_blacklist_query(lines, paths, threshold, {"availableNow": True})
     q1.awaitTermination()
+    seen = {"lines": 0, "rejected": 0}
+    for prog in q1.recentProgress:
+        m = (prog.get("observedMetrics") or {}).get(PARSE_METRICS)
+        if m:
+            seen["lines"] += int(m["lines"])
+            seen["rejected"] += int(m["rejected"])
     q2 = start_area_counts_query(spark, paths, {"availableNow": True})
     q3 = start_last_hour_query(spark, paths, {"availableNow": True}, length_ms=length_ms)
     q2.awaitTermination()
     q3.awaitTermination()
+    return seen
 
 
 def start_all(spark: SparkSession, lines: DataFrame, paths: StreamPaths, threshold: int,

@@ -29,14 +29,16 @@ def stream_run(spark):
                   .orderBy("ts").collect())
     src = tempfile.mkdtemp(prefix="lines-", dir=fresh_subdir(spark, "stream-src"))
     per = (len(rows) + N_FILES - 1) // N_FILES
+    bad = ["1704067200000 north cityA 7", "oops north cityA 7 3"]  # short / non-numeric
     for i in range(N_FILES):
         path = os.path.join(src, f"part-{i:03d}.txt")
         with open(path, "w") as fh:
-            fh.write("\n".join(r.value for r in rows[i * per:(i + 1) * per]) + "\n")
+            fh.write("\n".join([r.value for r in rows[i * per:(i + 1) * per]] + (bad if i == 2 else [])) + "\n")
         os.utime(path, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
     paths = pl.StreamPaths(fresh_subdir(spark, "stream-out"))
     lines = adslog.text_lines(spark, src, max_files_per_trigger=1)
-    pl.run_available_now(spark, lines, paths, TEST_THRESHOLD)
+    seen = pl.run_available_now(spark, lines, paths, TEST_THRESHOLD)
+    assert seen == {"lines": len(rows) + len(bad), "rejected": len(bad)}
 
     # batch form over the same lines, batch number = file number
     static = (spark.read.text(src)
