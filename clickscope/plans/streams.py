@@ -1,5 +1,8 @@
 """Stream reports over the driver's tables: a deterministic replay.
 
+State stores get one partition per core of the session (the replay's
+throughput), whatever the batch shuffle setting is.
+
 The ad records are replayed through the three stream queries in time blocks
 (``BLOCK_DAYS`` days each, blocks in time order). Each block is written as
 log lines by one parallel Spark job, then the queries drain it with an
@@ -43,7 +46,8 @@ def replay(spark: SparkSession, sf_dir: str, threshold: int = TEST_THRESHOLD) ->
     for b in blocks:
         (adslog.ads_lines(ads.where(F.col("_block") == b))
                .write.mode("overwrite").text(f"{src}/block-{b:08d}"))
-        pl.run_available_now(spark, adslog.text_lines(spark, f"{src}/*"), paths, threshold)
+        pl.run_available_now(spark, adslog.text_lines(spark, f"{src}/*"), paths, threshold,
+                             state_partitions=spark.sparkContext.defaultParallelism)
     _RUNS[key] = paths
     return paths
 

@@ -14,6 +14,7 @@ in shared storage (``session.shared_dir``), never on a machine-local disk.
 
 from __future__ import annotations
 
+import contextlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +57,26 @@ def _fs_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+@contextlib.contextmanager
+def _state_partitions(spark: SparkSession, n: int | None):
+    """Start a query with ``n`` state partitions.
+
+    A stateful query fixes its partition count at first start (kept in the
+    checkpoint afterwards) from ``spark.sql.shuffle.partitions``; the stream
+    clones the session conf at start, so the session value is restored
+    right after.
+    """
+    if not n:
+        yield
+        return
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(int(n)))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def _kv_store(spark: SparkSession, paths: StreamPaths, name: str) -> kv.KvLog:
     return kv.KvLog(spark, f"{paths.kv}/{name}")
 
@@ -88,17 +109,18 @@ PARSE_METRICS = "ads_parse"
 
 
 def start_blacklist_query(lines: DataFrame, paths: StreamPaths, threshold: int, trigger: dict,
-                          name: str = "ads_blacklist"):
+                          name: str = "ads_blacklist", state_partitions: int | None = None):
     """Q1. Malformed lines are dropped and counted: ``observedMetrics`` of
     each progress report holds ``ads_parse`` = {lines, rejected}."""
     parsed = parse_ads_lines(lines, observe_as=PARSE_METRICS)
     tagged = blacklist_stream(parsed, threshold)
-    return (tagged.writeStream.queryName(name)
-                  .option("checkpointLocation", paths.checkpoint("q1"))
-                  .outputMode("append")
-                  .foreachBatch(blacklist_batch_writer(paths))
-                  .trigger(**trigger)
-                  .start())
+    with _state_partitions(lines.sparkSession, state_partitions):
+        return (tagged.writeStream.queryName(name)
+                      .option("checkpointLocation", paths.checkpoint("q1"))
+                      .outputMode("append")
+                      .foreachBatch(blacklist_batch_writer(paths))
+                      .trigger(**trigger)
+                      .start())
 
 
 def survivors_stream(spark: SparkSession, paths: StreamPaths, max_files: int | None = None) -> DataFrame:
@@ -137,14 +159,16 @@ def area_counts_batch_writer(paths: StreamPaths):
 
 
 def start_area_counts_query(spark: SparkSession, paths: StreamPaths, trigger: dict,
-                            name: str = "ads_area_counts", max_files: int | None = None):
+                            name: str = "ads_area_counts", max_files: int | None = None,
+                            state_partitions: int | None = None):
     counts = survivors_stream(spark, paths, max_files).groupBy("area", "city", "ads_id", "dt").count()
-    return (counts.writeStream.queryName(name)
-                  .option("checkpointLocation", paths.checkpoint("q2"))
-                  .outputMode("update")
-                  .foreachBatch(area_counts_batch_writer(paths))
-                  .trigger(**trigger)
-                  .start())
+    with _state_partitions(spark, state_partitions):
+        return (counts.writeStream.queryName(name)
+                      .option("checkpointLocation", paths.checkpoint("q2"))
+                      .outputMode("update")
+                      .foreachBatch(area_counts_batch_writer(paths))
+                      .trigger(**trigger)
+                      .start())
 
 
 # ---- Q3 ---------------------------------------------------------------------
@@ -197,27 +221,30 @@ def last_hour_batch_writer(paths: StreamPaths, length_ms: int = WINDOW_MS, slide
 
 def start_last_hour_query(spark: SparkSession, paths: StreamPaths, trigger: dict,
                           length_ms: int = WINDOW_MS, slide_ms: int = SLIDE_MS,
-                          name: str = "ads_last_hour", max_files: int | None = None):
+                          name: str = "ads_last_hour", max_files: int | None = None,
+                          state_partitions: int | None = None):
     ev = survivors_stream(spark, paths, max_files).withColumn("event_time", F.timestamp_millis("ts"))
     panes = (ev.withWatermark("event_time", f"{length_ms // 1000} seconds")
                .groupBy("ads_id", F.window("event_time", f"{slide_ms // 1000} seconds").alias("pane"))
                .count())
-    return (panes.writeStream.queryName(name)
-                 .option("checkpointLocation", paths.checkpoint("q3"))
-                 .outputMode("update")
-                 .foreachBatch(last_hour_batch_writer(paths, length_ms, slide_ms))
-                 .trigger(**trigger)
-                 .start())
+    with _state_partitions(spark, state_partitions):
+        return (panes.writeStream.queryName(name)
+                     .option("checkpointLocation", paths.checkpoint("q3"))
+                     .outputMode("update")
+                     .foreachBatch(last_hour_batch_writer(paths, length_ms, slide_ms))
+                     .trigger(**trigger)
+                     .start())
 
 
 # ---- driver -------------------------------------------------------------------
 
 def run_available_now(spark: SparkSession, lines: DataFrame, paths: StreamPaths, threshold: int,
-                      length_ms: int = WINDOW_MS) -> dict:
+                      length_ms: int = WINDOW_MS, state_partitions: int | None = None) -> dict:
     """Drain the line source through Q1, then Q2 and Q3 (tests, backfills).
 
     Returns the summed parse metrics of Q1's batches."""
-    q1 = start_blacklist_query(lines, paths, threshold, {"availableNow": True})
+    n = state_partitions
+    q1 = start_blacklist_query(lines, paths, threshold, {"availableNow": True}, state_partitions=n)
     q1.awaitTermination()
     seen = {"lines": 0, "rejected": 0}
     for prog in q1.recentProgress:
@@ -225,20 +252,25 @@ def run_available_now(spark: SparkSession, lines: DataFrame, paths: StreamPaths,
         if m:
             seen["lines"] += int(m["lines"])
             seen["rejected"] += int(m["rejected"])
-    q2 = start_area_counts_query(spark, paths, {"availableNow": True})
-    q3 = start_last_hour_query(spark, paths, {"availableNow": True}, length_ms=length_ms)
+    q2 = start_area_counts_query(spark, paths, {"availableNow": True}, state_partitions=n)
+    q3 = start_last_hour_query(spark, paths, {"availableNow": True}, length_ms=length_ms,
+                               state_partitions=n)
     q2.awaitTermination()
     q3.awaitTermination()
     return seen
 
 
 def start_all(spark: SparkSession, lines: DataFrame, paths: StreamPaths, threshold: int,
-              interval: str = "5 seconds"):
-    """Run the three queries continuously (the live deployment)."""
+              interval: str = "5 seconds", state_partitions: int | None = None):
+    """Run the three queries continuously (the live deployment).
+
+    ``state_partitions`` sizes the state stores (fixed for the life of the
+    checkpoint); None keeps the session's shuffle partition setting."""
     trig = {"processingTime": interval}
-    return [start_blacklist_query(lines, paths, threshold, trig),
-            start_area_counts_query(spark, paths, trig),
-            start_last_hour_query(spark, paths, trig)]
+    n = state_partitions
+    return [start_blacklist_query(lines, paths, threshold, trig, state_partitions=n),
+            start_area_counts_query(spark, paths, trig, state_partitions=n),
+            start_last_hour_query(spark, paths, trig, state_partitions=n)]
 
 
 def current_bans(spark: SparkSession, paths: StreamPaths) -> DataFrame:
