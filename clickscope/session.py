@@ -21,11 +21,16 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    # Broadcast only below this many bytes of *measured* (AQE) or estimated
-    # size; above it Spark falls back to a shuffled join.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # No broadcast from static estimates: un-costed join estimates can make a
+    # fact table look like the small side, and a static broadcast cannot be
+    # undone at runtime. Broadcasts come from explicit, size-checked hints
+    # (plans.joins.bounded_broadcast) or from AQE on measured sizes below
+    # this bound; above it the join stays a shuffled (sort-merge) join.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # delete checkpoint files once their RDD is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -129,12 +129,16 @@ def star_area_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     lineitem -> orders -> customer -> nation (city) -> region (area); the
     product is the part. Used to run the area top-3 report at lineitem scale.
+
+    Orders are placed first (orders x customer x city, orders-sized), so the
+    largest table, lineitem, is shuffled once, on the order key.
     """
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     ci = bounded_broadcast(city_info(spark, sf_dir))
-    return (li.join(o, li.l_orderkey == o.o_orderkey)
-              .join(c, o.o_custkey == c.c_custkey)
-              .join(ci, c.c_nationkey.cast("bigint") == ci.city_id)
-              .select(ci.area, ci.city_name, li.l_partkey.alias("click_product_id")))
+    placed = (o.join(c, o.o_custkey == c.c_custkey)
+               .join(ci, c.c_nationkey.cast("bigint") == ci.city_id)
+               .select(o.o_orderkey, ci.area, ci.city_name))
+    return (li.join(placed, li.l_orderkey == placed.o_orderkey)
+              .select("area", "city_name", li.l_partkey.alias("click_product_id")))
