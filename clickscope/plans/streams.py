@@ -40,12 +40,14 @@ def replay(spark: SparkSession, sf_dir: str, threshold: int = TEST_THRESHOLD) ->
         return _RUNS[key]
     base = fresh_subdir(spark, "stream-replay")
     src, paths = f"{base}/lines", pl.StreamPaths(f"{base}/out")
-    ads = tb.ads_log(spark, sf_dir).withColumn("_block", block_of(F.col("ts")))
+    ads = tb.ads_log(spark, sf_dir)
     # the block numbers: one value per BLOCK_DAYS days of data
-    blocks = [r[0] for r in ads.select("_block").distinct().orderBy("_block").collect()]
+    blocks = [r[0] for r in ads.select(block_of(F.col("ts")).alias("b")).distinct().orderBy("b").collect()]
+    span = BLOCK_DAYS * _DAY_MS
     for b in blocks:
-        (adslog.ads_lines(ads.where(F.col("_block") == b))
-               .write.mode("overwrite").text(f"{src}/block-{b:08d}"))
+        # the block's time range reaches the events scan as pushed filters
+        part = tb.ads_log(spark, sf_dir, since_ms=b * span, until_ms=(b + 1) * span)
+        adslog.ads_lines(part).write.mode("overwrite").text(f"{src}/block-{b:08d}")
         pl.run_available_now(spark, adslog.text_lines(spark, f"{src}/*"), paths, threshold,
                              state_partitions=spark.sparkContext.defaultParallelism)
     _RUNS[key] = paths

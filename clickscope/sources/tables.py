@@ -109,9 +109,23 @@ def city_info(spark: SparkSession, sf_dir: str) -> DataFrame:
                      r.r_name.alias("area")))
 
 
-def ads_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ad-click records: ``events`` placed in a city/area, ts in epoch ms."""
+def _ntz(ms: int):
+    """Epoch ms -> TIMESTAMP_NTZ literal (UTC wall time)."""
+    t = _dt.datetime(1970, 1, 1) + _dt.timedelta(milliseconds=int(ms))
+    return F.to_timestamp_ntz(F.lit(t.isoformat(sep=" ")))
+
+
+def ads_log(spark: SparkSession, sf_dir: str, since_ms: int | None = None,
+            until_ms: int | None = None) -> DataFrame:
+    """Ad-click records: ``events`` placed in a city/area, ts in epoch ms.
+
+    ``[since_ms, until_ms)`` restricts the raw ``ts`` so the range reaches
+    the parquet scan (used to replay the table block by block)."""
     ev = events_k(spark, sf_dir)
+    if since_ms is not None:
+        ev = ev.where(F.col("ts") >= _ntz(since_ms))
+    if until_ms is not None:
+        ev = ev.where(F.col("ts") < _ntz(until_ms))
     ci = bounded_broadcast(city_info(spark, sf_dir))
     ts_ms = F.unix_millis(F.col("ts").cast("timestamp"))
     return (ev.join(ci, (ev.user_id % 25) == ci.city_id)
