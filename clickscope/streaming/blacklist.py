@@ -27,11 +27,17 @@ STATE_SCHEMA = "banned boolean, counts string"
 EVENT_COLS = ["ts", "area", "city", "uid", "ads_id", "dt"]
 
 
-def blacklist_step(threshold: int):
+def blacklist_step(threshold: int, keep_days: int | None = None):
     """The per-user state function for ``applyInPandasWithState``.
 
     Everything it uses is local (closures are shipped to the Python workers
     by value), so the workers need only pandas, not this package.
+
+    State per user: the banned flag, and while not banned the running count
+    per (ad, day). A banned user's counts are dropped (every later event is
+    dropped anyway). ``keep_days`` optionally forgets counts of days more
+    than that many days before the user's latest day (a late click on such a
+    day then counts from zero); by default counts are kept, as before.
     """
     event_cols = list(EVENT_COLS)
     out_cols = ["kind", *event_cols, "clicks"]
@@ -71,15 +77,21 @@ def blacklist_step(threshold: int):
                             "ads_id": [a for a, _ in touched.values()],
                             "dt": [d for _, d in touched.values()]})
         yield rows("count", cnt, pd.Series([counts[k] for k in touched], dtype="Int64"))
+        if banned:
+            counts = {}
+        elif keep_days is not None:
+            latest = max(pd.Timestamp(k.split("|", 1)[1]) for k in counts)
+            oldest = latest - pd.Timedelta(days=keep_days)
+            counts = {k: v for k, v in counts.items() if pd.Timestamp(k.split("|", 1)[1]) >= oldest}
         state.update((banned, json.dumps(counts)))
 
     return step
 
 
-def blacklist_stream(parsed: DataFrame, threshold: int) -> DataFrame:
+def blacklist_stream(parsed: DataFrame, threshold: int, keep_days: int | None = None) -> DataFrame:
     """Tagged rows per batch: ``event`` (survivor), ``ban`` (uid banned in
     this batch), ``count`` (new running count of a touched (uid, ad, day))."""
     return (parsed.select(*EVENT_COLS)
                   .groupBy("uid")
-                  .applyInPandasWithState(blacklist_step(threshold), OUT_SCHEMA, STATE_SCHEMA,
+                  .applyInPandasWithState(blacklist_step(threshold, keep_days), OUT_SCHEMA, STATE_SCHEMA,
                                           "append", GroupStateTimeout.NoTimeout))

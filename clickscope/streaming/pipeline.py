@@ -109,11 +109,12 @@ PARSE_METRICS = "ads_parse"
 
 
 def start_blacklist_query(lines: DataFrame, paths: StreamPaths, threshold: int, trigger: dict,
-                          name: str = "ads_blacklist", state_partitions: int | None = None):
+                          name: str = "ads_blacklist", state_partitions: int | None = None,
+                          keep_days: int | None = None):
     """Q1. Malformed lines are dropped and counted: ``observedMetrics`` of
     each progress report holds ``ads_parse`` = {lines, rejected}."""
     parsed = parse_ads_lines(lines, observe_as=PARSE_METRICS)
-    tagged = blacklist_stream(parsed, threshold)
+    tagged = blacklist_stream(parsed, threshold, keep_days)
     with _state_partitions(lines.sparkSession, state_partitions):
         return (tagged.writeStream.queryName(name)
                       .option("checkpointLocation", paths.checkpoint("q1"))

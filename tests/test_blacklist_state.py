@@ -1,0 +1,52 @@
+"""The per-user state function, driven directly (no Spark)."""
+import json
+
+import pandas as pd
+
+from clickscope.streaming.blacklist import blacklist_step
+
+
+class FakeState:
+    def __init__(self):
+        self.value = None
+
+    @property
+    def exists(self):
+        return self.value is not None
+
+    @property
+    def get(self):
+        return self.value
+
+    def update(self, v):
+        self.value = tuple(v)
+
+
+def batch(*rows):
+    """rows: (ads_id, dt)"""
+    return [pd.DataFrame({"ts": [1] * len(rows), "area": ["a"] * len(rows), "city": ["c"] * len(rows),
+                          "uid": [7] * len(rows), "ads_id": [r[0] for r in rows],
+                          "dt": [r[1] for r in rows]})]
+
+
+def run(step, state, chunks):
+    out = pd.concat(list(step((7,), iter(chunks), state)) or [pd.DataFrame()], ignore_index=True)
+    return {k: g for k, g in out.groupby("kind")} if len(out) else {}
+
+
+def test_ban_applies_from_next_batch_and_clears_counts():
+    step, st = blacklist_step(threshold=3), FakeState()
+    out = run(step, st, batch((1, "d1"), (1, "d1")))
+    assert len(out["event"]) == 2 and "ban" not in out
+    out = run(step, st, batch((1, "d1"), (2, "d1"), (1, "d1")))   # third click -> ban
+    assert len(out["event"]) == 3 and len(out["ban"]) == 1
+    assert sorted(out["count"]["clicks"].tolist()) == [1, 4]
+    assert st.get == (True, "{}")                                   # counts dropped
+    assert run(step, st, batch((3, "d2"))) == {}                    # everything dropped now
+
+
+def test_keep_days_prunes_old_days():
+    step, st = blacklist_step(threshold=100, keep_days=1), FakeState()
+    run(step, st, batch((1, "2024-01-01"), (1, "2024-01-02")))
+    run(step, st, batch((1, "2024-01-05")))
+    assert set(json.loads(st.get[1])) == {"1|2024-01-05"}
