@@ -1,0 +1,121 @@
+"""A keyed, batch-numbered upsert log in shared storage.
+
+Layout below ``path``: one folder per micro-batch, ``batch_id=N``, holding the
+rows that batch wrote, and compacted snapshots in ``_snapshots/upto=U`` (the
+latest row per key as of batch U). Reads take the newest snapshot and the
+batches after it, and keep the row of the latest batch per key.
+
+* Rewriting batch N replaces exactly batch N's folder, so a replayed
+  ``foreachBatch`` leaves the log unchanged.
+* ``compact(U)`` folds batches up to U into a snapshot; the folders of
+  batches already folded into the *previous* snapshot are then removed (one
+  compaction behind, so a reader that listed them a moment ago still finds
+  them), which keeps listing and reading bounded in a long-running stream.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _list_numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers N of the committed ``prefix=N`` folders directly below
+    ``path`` (a folder counts once its write left a ``_SUCCESS`` marker)."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    jvm = spark.sparkContext._jvm
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(prefix + "="):
+            try:
+                n = int(name.split("=", 1)[1])
+            except ValueError:
+                continue
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append(n)
+    return sorted(out)
+
+
+class KeyedLog:
+    """``keys`` identify a row; ``values`` are replaced by later batches."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], values: list[str]):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.keys, self.values = list(keys), list(values)
+
+    # ---- write ---------------------------------------------------------------
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        (rows.select(*self.keys, *self.values)
+             .write.mode("overwrite").parquet(f"{self.path}/batch_id={int(batch_id)}"))
+
+    # ---- read ----------------------------------------------------------------
+
+    def _snapshot_for(self, upto: int | None) -> int | None:
+        snaps = [u for u in _list_numbered(self.spark, f"{self.path}/_snapshots", "upto")
+                 if upto is None or u <= upto]
+        return snaps[-1] if snaps else None
+
+    def rows(self, upto: int | None = None, where: Column | None = None) -> DataFrame:
+        """All rows that can still be the latest: newest snapshot (as batch U)
+        and the batches after it, up to ``upto``. ``where`` filters on key
+        columns before anything is merged."""
+        cols = [*self.keys, *self.values]
+        u = self._snapshot_for(upto)
+        batches = [n for n in _list_numbered(self.spark, self.path, "batch_id")
+                   if (u is None or n > u) and (upto is None or n <= upto)]
+        parts = []
+        if u is not None:
+            snap = self.spark.read.parquet(f"{self.path}/_snapshots/upto={u}")
+            parts.append(snap.select(*cols, F.lit(u).cast("bigint").alias("batch_id")))
+        if batches:
+            # only the listed folders: a half-written newer batch is not read
+            paths = [f"{self.path}/batch_id={n}" for n in batches]
+            d = self.spark.read.option("basePath", self.path).parquet(*paths)
+            parts.append(d.select(*cols, F.col("batch_id").cast("bigint")))
+        if not parts:
+            return None
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out.where(where) if where is not None else out
+
+    def latest(self, rows: DataFrame) -> DataFrame:
+        """Keys and values of the row of the highest batch per key (a partial
+        aggregate: a key written by every batch costs one row per task)."""
+        last = F.max_by(F.struct(*self.values), F.col("batch_id")).alias("_v")
+        return rows.groupBy(*self.keys).agg(last).select(*self.keys, "_v.*")
+
+    def current(self, upto: int | None = None, where: Column | None = None) -> DataFrame | None:
+        """Latest row per key as of batch ``upto`` (default: all), or None."""
+        r = self.rows(upto, where)
+        return None if r is None else self.latest(r)
+
+    # ---- compaction --------------------------------------------------------
+
+    def compact(self, upto: int) -> None:
+        prev = self._snapshot_for(upto - 1)
+        r = self.rows(upto)
+        if r is None:
+            return
+        self.latest(r).write.mode("overwrite").parquet(f"{self.path}/_snapshots/upto={int(upto)}")
+        if prev is None:
+            return
+        # one compaction behind: drop what the previous snapshot already held
+        for n in _list_numbered(self.spark, self.path, "batch_id"):
+            if n <= prev:
+                p, fs = _fs(self.spark, f"{self.path}/batch_id={n}")
+                fs.delete(p, True)
+        for u in _list_numbered(self.spark, f"{self.path}/_snapshots", "upto"):
+            if u < prev:
+                p, fs = _fs(self.spark, f"{self.path}/_snapshots/upto={u}")
+                fs.delete(p, True)

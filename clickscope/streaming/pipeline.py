@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..operators import ads as ads_ops
 from ..params import SLIDE_MS, WINDOW_MS
 from ..sinks import kv
+from ..sinks.keyed_log import KeyedLog
 from ..sources.adslog import parse_ads_lines
 from .blacklist import blacklist_stream
 
@@ -51,6 +52,32 @@ class StreamPaths:
         return f"{self.base}/_checkpoints/{q}"
 
 
+# Logs the stream writes, one folder per batch, compacted periodically.
+COMPACT_EVERY = 100
+
+
+def bans_log(spark: SparkSession, paths: StreamPaths) -> KeyedLog:
+    return KeyedLog(spark, paths.bans, ["uid"], ["banned_batch"])
+
+
+def daycount_log(spark: SparkSession, paths: StreamPaths) -> KeyedLog:
+    return KeyedLog(spark, paths.daycounts, ["area", "city", "ads_id", "dt"], ["clicks"])
+
+
+def pane_log(spark: SparkSession, paths: StreamPaths) -> KeyedLog:
+    return KeyedLog(spark, paths.panes, ["ads_id", "pane_ms"], ["clicks"])
+
+
+def clock_log(spark: SparkSession, paths: StreamPaths) -> KeyedLog:
+    return KeyedLog(spark, paths.clock, ["clock"], ["last_pane"])
+
+
+def _maybe_compact(batch_id: int, every: int, *logs: KeyedLog) -> None:
+    if every and batch_id > 0 and batch_id % every == 0:
+        for log in logs:
+            log.compact(batch_id)
+
+
 def _fs_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -83,7 +110,7 @@ def _kv_store(spark: SparkSession, paths: StreamPaths, name: str) -> kv.KvLog:
 
 # ---- Q1 ---------------------------------------------------------------------
 
-def blacklist_batch_writer(paths: StreamPaths):
+def blacklist_batch_writer(paths: StreamPaths, compact_every: int = COMPACT_EVERY):
     def write(out: DataFrame, batch_id: int) -> None:
         spark = out.sparkSession
         folder = f"{paths.survivors}/batch_id={batch_id}"
@@ -93,10 +120,13 @@ def blacklist_batch_writer(paths: StreamPaths):
         try:
             bans = (out.where("kind = 'ban'")
                        .select("uid", F.lit(batch_id).cast("bigint").alias("banned_batch")))
-            bans.write.mode("overwrite").parquet(f"{paths.bans}/batch_id={batch_id}")
             counts = out.where("kind = 'count'").select("uid", "ads_id", "dt", "clicks")
-            _kv_store(spark, paths, kv.USER_ADS_DAYCOUNT).write(kv.kv_user_ads_daycount(counts), batch_id)
-            _kv_store(spark, paths, kv.BLACKLIST).write(kv.kv_blacklist(bans), batch_id)
+            logs = (bans_log(spark, paths), _kv_store(spark, paths, kv.USER_ADS_DAYCOUNT),
+                    _kv_store(spark, paths, kv.BLACKLIST))
+            logs[0].write(bans, batch_id)
+            logs[1].write(kv.kv_user_ads_daycount(counts), batch_id)
+            logs[2].write(kv.kv_blacklist(bans), batch_id)
+            _maybe_compact(batch_id, compact_every, *logs)
             # survivors last: their _SUCCESS marks the whole batch as done
             (out.where("kind = 'event'").select("ts", "area", "city", "uid", "ads_id", "dt")
                 .write.mode("overwrite").parquet(folder))
@@ -110,7 +140,7 @@ PARSE_METRICS = "ads_parse"
 
 def start_blacklist_query(lines: DataFrame, paths: StreamPaths, threshold: int, trigger: dict,
                           name: str = "ads_blacklist", state_partitions: int | None = None,
-                          keep_days: int | None = None):
+                          keep_days: int | None = None, compact_every: int = COMPACT_EVERY):
     """Q1. Malformed lines are dropped and counted: ``observedMetrics`` of
     each progress report holds ``ads_parse`` = {lines, rejected}."""
     parsed = parse_ads_lines(lines, observe_as=PARSE_METRICS)
@@ -119,7 +149,7 @@ def start_blacklist_query(lines: DataFrame, paths: StreamPaths, threshold: int,
         return (tagged.writeStream.queryName(name)
                       .option("checkpointLocation", paths.checkpoint("q1"))
                       .outputMode("append")
-                      .foreachBatch(blacklist_batch_writer(paths))
+                      .foreachBatch(blacklist_batch_writer(paths, compact_every))
                       .trigger(**trigger)
                       .start())
 
@@ -133,27 +163,24 @@ def survivors_stream(spark: SparkSession, paths: StreamPaths, max_files: int | N
 
 # ---- Q2 ---------------------------------------------------------------------
 
-def area_counts_batch_writer(paths: StreamPaths):
+def area_counts_batch_writer(paths: StreamPaths, compact_every: int = COMPACT_EVERY):
     def write(updated: DataFrame, batch_id: int) -> None:
         spark = updated.sparkSession
         if updated.isEmpty():  # no key changed (e.g. a watermark-only batch)
             return
         upd = updated.select("area", "city", "ads_id", "dt", F.col("count").alias("clicks")).persist()
         try:
-            (upd.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy("dt", "batch_id").parquet(paths.daycounts))
-            _kv_store(spark, paths, kv.AREA_CITY_ADS_DAYCOUNT).write(kv.kv_area_city_ads_daycount(upd), batch_id)
+            days_log = daycount_log(spark, paths)
+            kv_counts = _kv_store(spark, paths, kv.AREA_CITY_ADS_DAYCOUNT)
+            kv_top = _kv_store(spark, paths, kv.TOP3_ADS_PER_DAY)
+            days_log.write(upd, batch_id)
+            kv_counts.write(kv.kv_area_city_ads_daycount(upd), batch_id)
             # days touched by this batch: a handful of values, so pruning is static
             days = [r.dt for r in upd.select("dt").distinct().collect()]
-            if not days:
-                return
-            log = spark.read.parquet(paths.daycounts).where(F.col("dt").isin(days))
-            totals = (log.where(F.col("batch_id") <= batch_id)
-                         .groupBy("area", "city", "ads_id", "dt")
-                         .agg(F.max("clicks").alias("clicks")))  # running totals only grow
+            totals = days_log.current(upto=batch_id, where=F.col("dt").isin(days))
             top = ads_ops.top_ads_per_day(ads_ops.area_ads_daycount(totals), 3)
-            _kv_store(spark, paths, kv.TOP3_ADS_PER_DAY).write(kv.kv_top3_ads_per_day(top), batch_id)
+            kv_top.write(kv.kv_top3_ads_per_day(top), batch_id)
+            _maybe_compact(batch_id, compact_every, days_log, kv_counts, kv_top)
         finally:
             upd.unpersist()
     return write
@@ -161,61 +188,52 @@ def area_counts_batch_writer(paths: StreamPaths):
 
 def start_area_counts_query(spark: SparkSession, paths: StreamPaths, trigger: dict,
                             name: str = "ads_area_counts", max_files: int | None = None,
-                            state_partitions: int | None = None):
+                            state_partitions: int | None = None, compact_every: int = COMPACT_EVERY):
     counts = survivors_stream(spark, paths, max_files).groupBy("area", "city", "ads_id", "dt").count()
     with _state_partitions(spark, state_partitions):
         return (counts.writeStream.queryName(name)
                       .option("checkpointLocation", paths.checkpoint("q2"))
                       .outputMode("update")
-                      .foreachBatch(area_counts_batch_writer(paths))
+                      .foreachBatch(area_counts_batch_writer(paths, compact_every))
                       .trigger(**trigger)
                       .start())
 
 
 # ---- Q3 ---------------------------------------------------------------------
 
-def last_hour_batch_writer(paths: StreamPaths, length_ms: int = WINDOW_MS, slide_ms: int = SLIDE_MS):
+def last_hour_batch_writer(paths: StreamPaths, length_ms: int = WINDOW_MS, slide_ms: int = SLIDE_MS,
+                           compact_every: int = COMPACT_EVERY):
     def write(updated: DataFrame, batch_id: int) -> None:
         spark = updated.sparkSession
         if updated.isEmpty():  # watermark-only batch: no pane changed
             return
         panes = (updated.select("ads_id", F.unix_millis(F.col("pane.start")).alias("pane_ms"),
                                 F.col("count").alias("clicks"))
-                        .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
-        panes = panes.persist()
+                        .sortWithinPartitions("pane_ms")   # parquet stats skip old panes on read
+                        .persist())
         try:
-            # one folder per batch; files are sorted on pane_ms so parquet
-            # statistics skip those outside the window on read
-            (panes.sortWithinPartitions("pane_ms")
-                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                  .partitionBy("batch_id").parquet(paths.panes))
-            # the clock: start of the latest pane seen so far (monotone); one
-            # row per batch, the previous value read back from shared storage
+            plog, clog = pane_log(spark, paths), clock_log(spark, paths)
+            kv_last = _kv_store(spark, paths, kv.LAST_HOUR_ADS_CLICK)
+            plog.write(panes, batch_id)
+            # the clock: start of the latest pane seen so far (monotone)
             last = panes.agg(F.max("pane_ms")).first()[0]
-            if _fs_exists(spark, paths.clock):
-                prev = (spark.read.parquet(paths.clock).where(F.col("batch_id") < batch_id)
-                             .agg(F.max("last_pane")).first()[0])
-                vals = [v for v in (last, prev) if v is not None]
-                last = max(vals) if vals else None
+            prev = clog.current(upto=batch_id - 1)
+            prev = prev.first().last_pane if prev is not None else None
+            last = max(v for v in (last, prev) if v is not None)
+            clog.write(spark.createDataFrame([("clock", int(last))], "clock string, last_pane long"), batch_id)
         finally:
             panes.unpersist()
-        if last is None:
-            return
-        (spark.createDataFrame([(int(last), int(batch_id))], "last_pane long, batch_id long")
-              .write.mode("overwrite").parquet(f"{paths.clock}/batch_id={batch_id}"))
         end = int(last) + slide_ms - 1
         start = end - length_ms  # window (start, end]
-        seen = spark.read.parquet(paths.panes)
-        recent = (seen.where(F.col("batch_id") <= batch_id)
-                      .where((F.col("pane_ms") > start) & (F.col("pane_ms") <= end))
-                      .groupBy("ads_id", "pane_ms").agg(F.max("clicks").alias("clicks")))
+        recent = plog.current(upto=batch_id,
+                              where=(F.col("pane_ms") > start) & (F.col("pane_ms") <= end))
         minute = (F.col("pane_ms") - F.pmod(F.col("pane_ms"), F.lit(60000))).alias("minute_ms")
         minutes = (recent.groupBy("ads_id", minute,
                                   F.date_format(F.timestamp_millis("pane_ms"), "HH:mm").alias("hour_minute"))
                          .agg(F.sum("clicks").cast("bigint").alias("clicks")))
         snap = ads_ops.last_hour_ads_click(minutes)
-        _kv_store(spark, paths, kv.LAST_HOUR_ADS_CLICK).write(
-            kv.kv_last_hour_ads_click(snap), batch_id, replace_keys=True)
+        kv_last.write(kv.kv_last_hour_ads_click(snap), batch_id, replace_keys=True)
+        _maybe_compact(batch_id, compact_every, plog, clog, kv_last)
 
     return write
 
@@ -223,7 +241,7 @@ def last_hour_batch_writer(paths: StreamPaths, length_ms: int = WINDOW_MS, slide
 def start_last_hour_query(spark: SparkSession, paths: StreamPaths, trigger: dict,
                           length_ms: int = WINDOW_MS, slide_ms: int = SLIDE_MS,
                           name: str = "ads_last_hour", max_files: int | None = None,
-                          state_partitions: int | None = None):
+                          state_partitions: int | None = None, compact_every: int = COMPACT_EVERY):
     ev = survivors_stream(spark, paths, max_files).withColumn("event_time", F.timestamp_millis("ts"))
     panes = (ev.withWatermark("event_time", f"{length_ms // 1000} seconds")
                .groupBy("ads_id", F.window("event_time", f"{slide_ms // 1000} seconds").alias("pane"))
@@ -232,7 +250,7 @@ def start_last_hour_query(spark: SparkSession, paths: StreamPaths, trigger: dict
         return (panes.writeStream.queryName(name)
                      .option("checkpointLocation", paths.checkpoint("q3"))
                      .outputMode("update")
-                     .foreachBatch(last_hour_batch_writer(paths, length_ms, slide_ms))
+                     .foreachBatch(last_hour_batch_writer(paths, length_ms, slide_ms, compact_every))
                      .trigger(**trigger)
                      .start())
 
@@ -240,12 +258,15 @@ def start_last_hour_query(spark: SparkSession, paths: StreamPaths, trigger: dict
 # ---- driver -------------------------------------------------------------------
 
 def run_available_now(spark: SparkSession, lines: DataFrame, paths: StreamPaths, threshold: int,
-                      length_ms: int = WINDOW_MS, state_partitions: int | None = None) -> dict:
+                      length_ms: int = WINDOW_MS, state_partitions: int | None = None,
+                      compact_every: int = COMPACT_EVERY, survivor_files_per_trigger: int | None = None) -> dict:
     """Drain the line source through Q1, then Q2 and Q3 (tests, backfills).
 
     Returns the summed parse metrics of Q1's batches."""
     n = state_partitions
-    q1 = start_blacklist_query(lines, paths, threshold, {"availableNow": True}, state_partitions=n)
+    c = compact_every
+    q1 = start_blacklist_query(lines, paths, threshold, {"availableNow": True}, state_partitions=n,
+                               compact_every=c)
     q1.awaitTermination()
     seen = {"lines": 0, "rejected": 0}
     for prog in q1.recentProgress:
@@ -253,9 +274,11 @@ def run_available_now(spark: SparkSession, lines: DataFrame, paths: StreamPaths,
         if m:
             seen["lines"] += int(m["lines"])
             seen["rejected"] += int(m["rejected"])
-    q2 = start_area_counts_query(spark, paths, {"availableNow": True}, state_partitions=n)
+    m = survivor_files_per_trigger
+    q2 = start_area_counts_query(spark, paths, {"availableNow": True}, state_partitions=n,
+                                 compact_every=c, max_files=m)
     q3 = start_last_hour_query(spark, paths, {"availableNow": True}, length_ms=length_ms,
-                               state_partitions=n)
+                               state_partitions=n, compact_every=c, max_files=m)
     q2.awaitTermination()
     q3.awaitTermination()
     return seen
@@ -275,7 +298,8 @@ def start_all(spark: SparkSession, lines: DataFrame, paths: StreamPaths, thresho
 
 
 def current_bans(spark: SparkSession, paths: StreamPaths) -> DataFrame:
-    return spark.read.parquet(paths.bans)
+    cur = bans_log(spark, paths).current()
+    return cur if cur is not None else spark.createDataFrame([], "uid long, banned_batch long")
 
 
 def current_survivors(spark: SparkSession, paths: StreamPaths) -> DataFrame:
