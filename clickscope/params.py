@@ -57,6 +57,38 @@ def parse_condition(text: str) -> ReportParams:
     )
 
 
+def parse_properties(text: str) -> dict[str, str]:
+    """Java-style ``.properties``: ``key=value`` or ``key: value`` lines, ``#``/``!``
+    comments, a trailing backslash continues the value on the next line
+    (leading blanks of the continuation dropped)."""
+    out: dict[str, str] = {}
+    logical, buf = [], ""
+    for raw in text.splitlines():
+        line = raw.lstrip() if buf else raw.strip()
+        if not buf and (not line or line[0] in "#!"):
+            continue
+        if line.endswith("\\") and not line.endswith("\\\\"):
+            buf += line[:-1]
+            continue
+        logical.append(buf + line)
+        buf = ""
+    if buf:
+        logical.append(buf)
+    for line in logical:
+        m = re.match(r"\s*([^=:\s]+)\s*[=:]\s*(.*)$", line)
+        if m:
+            out[m.group(1)] = m.group(2).strip()
+    return out
+
+
+CONDITION_KEY = "condition.params.json"
+
+
+def condition_from_properties(text: str) -> ReportParams:
+    """Report parameters from the condition ``.properties`` file text."""
+    return parse_condition(parse_properties(text)[CONDITION_KEY])
+
+
 def flow_pairs(flow: tuple[int, ...]) -> list[tuple[int, int]]:
     """Consecutive page pairs of a flow, duplicates removed, order kept."""
     seen, out = set(), []
