@@ -254,8 +254,13 @@ def stream_sql() -> dict[str, str]:
     }
 
 
+def sink_sql() -> dict[str, str]:
+    return {"table_replace": _with(CITY_INFO) + "SELECT * FROM city_info"}
+
+
 def all_sql() -> dict[str, str]:
     out = {}
+    out.update(sink_sql())
     out.update(stream_sql())
     out.update(ads_sql())
     out.update(offline_sql())

@@ -163,6 +163,17 @@ def _kv_blacklist(spark, d):
     return kv.kv_blacklist(_blacklist_users(spark, d))
 
 
+def _table_replace(spark, d):
+    """Catalog-table replace (drop and recreate) written twice, read back."""
+    from ..session import fresh_subdir
+    from ..sinks.tables import replace_table
+    where = fresh_subdir(spark, "tables") + "/city_info"
+    ci = tb.city_info(spark, d)
+    replace_table(ci, "clickscope_city_info", path=where)
+    replace_table(ci, "clickscope_city_info", path=where)
+    return spark.table("clickscope_city_info")
+
+
 def registry() -> dict[str, Report]:
     return {
         "user_visit_filter": _user_visit_filter,
@@ -193,5 +204,6 @@ def registry() -> dict[str, Report]:
         "kv_last_hour_ads_click": _kv_last_hour_ads_click,
         "kv_user_ads_daycount": _kv_user_ads_daycount,
         "kv_blacklist": _kv_blacklist,
+        "table_replace": _table_replace,
         **streams.registry(),
     }
