@@ -11,9 +11,10 @@ stitched with a window over that small set. Every pair appears exactly once.
 
 Both branches must see the same range partitions. Range bounds come from a
 sample, so two separate range exchanges could disagree; the range-partitioned
-rows are therefore checkpointed (lazily, to the shared checkpoint folder):
-both branches read one RDD with one partitioner, and a lost executor cannot
-change the bounds on recompute.
+rows are therefore checkpointed to the shared checkpoint folder: both
+branches read one RDD with one partitioner, and a lost executor cannot
+change the bounds on recompute. (Building the frame already runs the range
+shuffle; the checkpoint files are written with the first action.)
 """
 
 from __future__ import annotations

@@ -21,7 +21,7 @@ from ..session import fresh_subdir
 from ..sinks import kv
 from ..sources import adslog
 from ..sources import tables as tb
-from ..streaming import pipeline as pl
+from ..streaming import adstream as pl
 
 BLOCK_DAYS = 10
 _DAY_MS = 86400 * 1000

@@ -16,7 +16,7 @@ from clickscope.session import fresh_subdir
 from clickscope.sinks import kv
 from clickscope.sources import adslog
 from clickscope.sources import tables as tb
-from clickscope.streaming import pipeline as pl
+from clickscope.streaming import adstream as pl
 
 from .conftest import SF_SMALL
 
