@@ -5,17 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension we broadcast (rows); beyond it the join shuffles.
+# Largest dimension we broadcast; beyond these bounds the join shuffles.
 MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_FILES = 256
+MAX_BROADCAST_INPUT_BYTES = 256 * 1024 * 1024
 
 
-def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``dim`` for broadcast only after checking it has at most ``max_rows``.
+def _input_bytes(dim: DataFrame, max_files: int) -> int | None:
+    """Total size of the files ``dim`` reads (file metadata only, no job);
+    None when it reads more than ``max_files`` files."""
+    files = dim.inputFiles()
+    if len(files) > max_files:
+        return None
+    sc = dim.sparkSession.sparkContext
+    conf = sc._jsc.hadoopConfiguration()
+    total = 0
+    for f in files:
+        p = sc._jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return total
 
-    The check reads at most ``max_rows + 1`` rows per partition of the
-    dimension (a limit, not a full count); call it on dimension scans, not on
-    derived results (those are sized by AQE at runtime). Above the bound the
-    plain frame is returned and Spark plans a shuffled join.
+
+def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                      max_bytes: int = MAX_BROADCAST_INPUT_BYTES,
+                      max_files: int = MAX_BROADCAST_FILES) -> DataFrame:
+    """Mark ``dim`` for broadcast only after checking it is small.
+
+    First a metadata check: at most ``max_files`` input files of at most
+    ``max_bytes`` in total (no Spark job, so a large table is turned down
+    without being read). Then the exact bound: at most ``max_rows`` rows,
+    counted over ``limit(max_rows + 1)`` of the (small) input. Call it on
+    dimension scans, not on derived results (those are sized by AQE at
+    runtime). Above a bound the plain frame is returned and Spark plans a
+    shuffled join.
     """
+    size = _input_bytes(dim, max_files)
+    if size is None or size > max_bytes:
+        return dim
     n = dim.limit(max_rows + 1).count()
     return F.broadcast(dim) if n <= max_rows else dim

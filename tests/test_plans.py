@@ -51,3 +51,14 @@ def test_no_python_in_batch_reports(spark):
             continue
         p = plan(E.queries()[key](spark, SF_SMALL))
         assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p, key
+
+
+def test_bounded_broadcast_checks(spark):
+    from clickscope.plans.joins import bounded_broadcast
+    from clickscope.sources import tables as tb
+    ci = tb.city_info(spark, SF_SMALL)
+    hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+    assert hinted(bounded_broadcast(ci))
+    assert not hinted(bounded_broadcast(ci, max_rows=3))          # row bound
+    assert not hinted(bounded_broadcast(ci, max_bytes=10))        # input size bound, no job
+    assert not hinted(bounded_broadcast(ci, max_files=0))         # file count bound, no job
