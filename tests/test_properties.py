@@ -67,3 +67,30 @@ def test_pairs_equal_lead(spark, rows, ranges):
         xs.sort()
         want += [(g, a[2], b[2]) for a, b in zip(xs, xs[1:])]
     assert got == sorted(want)
+
+
+def remark_text(cities):
+    """The remark straight from its definition: two cities with most clicks
+    (ties: name), each share truncated to 0.1 %, the rest as "other"."""
+    counts = {}
+    for c in cities:
+        counts[c] = counts.get(c, 0) + 1
+    total = sum(counts.values())
+    top = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:2]
+    tenths = [(c, n * 1000 // total) for c, n in top]
+    parts = [f"{c}:{t / 10.0}%" for c, t in tenths]
+    parts.append(f"其他:{(1000 - sum(t for _, t in tenths)) / 10.0}%")
+    return total, ",".join(parts)
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 2), st.sampled_from(["北京", "上海", "A", "B", "C"])),
+                min_size=1, max_size=50))
+def test_city_remark_equals_definition(spark, clicks):
+    from clickscope.functions.city_remark import city_remark_by_group
+    df = spark.createDataFrame([("x", p, c) for p, c in clicks], "area string, pid long, city_name string")
+    got = {r.pid: (r.clicount, r.remark) for r in city_remark_by_group(df, ["area", "pid"], "city_name").collect()}
+    want = {}
+    for p in {p for p, _ in clicks}:
+        want[p] = remark_text([c for q, c in clicks if q == p])
+    assert got == want
