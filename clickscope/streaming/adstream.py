@@ -297,6 +297,15 @@ def start_all(spark: SparkSession, lines: DataFrame, paths: StreamPaths, thresho
             start_last_hour_query(spark, paths, trig, state_partitions=n)]
 
 
+def start_raw_preview(lines: DataFrame, trigger: dict | None = None, rows: int = 20,
+                      name: str = "ads_raw_preview"):
+    """Print each micro-batch's raw lines on the driver console (a debugging
+    aid; the console sink is not fault tolerant)."""
+    w = (lines.writeStream.queryName(name).format("console")
+              .option("truncate", "false").option("numRows", str(rows)))
+    return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+
+
 def current_bans(spark: SparkSession, paths: StreamPaths) -> DataFrame:
     cur = bans_log(spark, paths).current()
     return cur if cur is not None else spark.createDataFrame([], "uid long, banned_batch long")

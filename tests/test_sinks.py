@@ -20,3 +20,20 @@ def test_task_id_and_preview(spark):
     df = with_task_id(tb.city_info(spark, SF_SMALL), "t-1")
     assert df.columns[0] == "task_id"
     assert preview(df, 3).count() == 3
+
+
+def test_raw_preview_prints_batches(spark):
+    import os
+    import tempfile
+
+    from clickscope.session import fresh_subdir
+    from clickscope.streaming.adstream import start_raw_preview
+    src = tempfile.mkdtemp(dir=fresh_subdir(spark, "preview"))
+    with open(os.path.join(src, "a.txt"), "w") as fh:
+        fh.write("1704067200000 north cityA 7 3\n")
+    q = start_raw_preview(spark.readStream.format("text").load(src), {"availableNow": True})
+    q.awaitTermination()
+    # the console output goes to the JVM's stdout; check the query's progress
+    prog = [p for p in q.recentProgress if p["numInputRows"]]
+    assert prog and prog[0]["numInputRows"] == 1
+    assert "Console" in prog[0]["sink"]["description"]
