@@ -41,8 +41,9 @@ def blacklist_filter(ads: DataFrame, bans: DataFrame, batch_col: str = "batch")
     """Events that pass the blacklist: user never banned, or event in a batch
     no later than the user's ban batch.
 
-    ``bans`` has one row per banned user. Spark broadcasts it when its
-    measured size is under the threshold; otherwise the join shuffles on uid
+    ``bans`` has one row per banned user. Callers pass it through
+    ``plans.joins.materialized_broadcast`` (measured, then broadcast when
+    small: no shuffle of the ad records); otherwise the join shuffles on uid
     and AQE splits a hot user's partition.
     """
     j = ads.join(bans, "uid", "left")

@@ -44,3 +44,20 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
         return dim
     n = dim.limit(max_rows + 1).count()
     return F.broadcast(dim) if n <= max_rows else dim
+
+
+def materialized_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a *derived* result after measuring it.
+
+    ``small`` is computed once and checkpointed to the shared checkpoint
+    folder (which also cuts its lineage); its row count is then checked on
+    the written data. Under the bound it is broadcast, so the large side of
+    the join is read map-side without a shuffle; over it, the checkpointed
+    frame joins with a shuffle. Use where the result is usually small but
+    has no bound by construction (e.g. the set of banned users).
+    """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(small.sparkSession)
+    m = small.checkpoint(eager=True)
+    n = m.limit(max_rows + 1).count()
+    return F.broadcast(m) if n <= max_rows else m

@@ -15,6 +15,7 @@ from dataclasses import replace
 from . import streams
 from ..operators import ads, areas, categories, pages, visits
 from ..params import FILTER_PARAMS, REPORT_PARAMS, TEST_THRESHOLD
+from .joins import materialized_broadcast
 from ..sinks import kv
 from ..sources import adslog
 from ..sources import tables as tb
@@ -108,7 +109,10 @@ def _blacklist_users(spark, d):
 
 def _survivors(spark, d):
     b = _batched_ads(spark, d)
-    return ads.blacklist_filter(b, ads.ban_batches(b, TEST_THRESHOLD))
+    # the ban list is measured before the join: broadcast when small, so the
+    # ad records are filtered map-side instead of shuffled
+    bans = materialized_broadcast(ads.ban_batches(b, TEST_THRESHOLD))
+    return ads.blacklist_filter(b, bans)
 
 
 def _blacklist_filter(spark, d):
