@@ -94,3 +94,39 @@ def test_city_remark_equals_definition(spark, clicks):
     for p in {p for p, _ in clicks}:
         want[p] = remark_text([c for q, c in clicks if q == p])
     assert got == want
+
+
+def java_style_parse(line):
+    """The original parse: split on single spaces, trailing empty strings
+    dropped; five fields needed; ts, uid and ad must be longs."""
+    parts = line.split(" ")
+    while parts and parts[-1] == "":
+        parts.pop()
+    if len(parts) < 5:
+        return None
+
+    def long_(s):
+        body = s[1:] if s[:1] in "+-" else s
+        if not body or not body.isascii() or not body.isdigit():
+            return None
+        v = int(s)
+        return v if -2**63 <= v < 2**63 else None
+
+    ts, uid, ad = long_(parts[0]), long_(parts[3]), long_(parts[4])
+    if ts is None or uid is None or ad is None:
+        return None
+    return (ts, parts[1], parts[2], uid, ad)
+
+
+tokens = st.sampled_from(["1704067200000", "42", "-3", "+7", "x", "", "EUROPE", "NATION_3",
+                          "99999999999999999999", "9223372036854775807", "0.5"])
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(tokens, min_size=0, max_size=7).map(" ".join), min_size=1, max_size=30))
+def test_parser_equals_java_style_split(spark, lines):
+    from clickscope.sources.adslog import parse_ads_lines
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(lines)], "id long, value string")
+    got = {r.id: (r.ts, r.area, r.city, r.uid, r.ads_id) for r in parse_ads_lines(df, keep=["id"]).collect()}
+    want = {i: p for i, p in ((i, java_style_parse(s)) for i, s in enumerate(lines)) if p is not None}
+    assert got == want
