@@ -155,6 +155,9 @@ def start_blacklist_query(lines: DataFrame, paths: StreamPaths, threshold: int,
 
 
 def survivors_stream(spark: SparkSession, paths: StreamPaths, max_files: int | None = None) -> DataFrame:
+    # a file stream needs its folder at start; Q1 may not have landed a batch yet
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(paths.survivors)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
     r = spark.readStream.schema(SURVIVOR_SCHEMA)
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))

@@ -144,3 +144,25 @@ def test_kv_log_replay_and_replace(spark):
 def pl_out_schema():
     from clickscope.streaming.blacklist import OUT_SCHEMA
     return OUT_SCHEMA
+
+
+def test_live_queries_with_processing_time_trigger(spark):
+    """start_all runs the three queries continuously; drain, check, stop."""
+    src = tempfile.mkdtemp(dir=fresh_subdir(spark, "live-src"))
+    day = 1704067200000
+    with open(os.path.join(src, "a.txt"), "w") as fh:
+        fh.write("\n".join(f"{day + i * 1000} north cityA {1 + i % 2} {1 + i % 3}" for i in range(12)) + "\n")
+    paths = pl.StreamPaths(fresh_subdir(spark, "live-out"))
+    qs = pl.start_all(spark, adslog.text_lines(spark, src), paths, threshold=100,
+                      interval="1 second", state_partitions=2)
+    try:
+        qs[0].processAllAvailable()
+        for q in qs[1:]:
+            q.processAllAvailable()
+    finally:
+        for q in qs:
+            q.stop()
+    assert pl.current_survivors(spark, paths).count() == 12
+    counts = pl.kv_current(spark, paths, kv.AREA_CITY_ADS_DAYCOUNT)
+    assert sum(int(r.value) for r in counts.collect()) == 12
+    assert pl.kv_current(spark, paths, kv.LAST_HOUR_ADS_CLICK).count() == 3
