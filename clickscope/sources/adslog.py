@@ -2,8 +2,9 @@
 
 Line format: ``<epoch ms> <area> <city> <uid> <ad id>``, fields separated by
 single spaces. Fields past the fifth are ignored. A line with fewer than five
-fields or a non-integer ts/uid/ad is rejected (kept out of the parsed rows,
-available for counting) instead of failing the batch.
+fields, a non-integer ts/uid/ad, or a ts outside the timestamp range (years
+1-9999) is rejected (kept out of the parsed rows, available for counting)
+instead of failing the batch.
 """
 
 from __future__ import annotations
@@ -14,6 +15,10 @@ from pyspark.sql import functions as F
 from ..functions.scalars import epoch_ms_day
 
 _INT = r"^[+-]?[0-9]{1,19}$"
+# Epoch ms of 0001-01-01T00:00:00Z and 9999-12-31T23:59:59.999Z: the range of
+# Spark timestamps. A ts outside it is rejected (the day could not be formed).
+MIN_TS_MS = -62135596800000
+MAX_TS_MS = 253402300799999
 
 
 def _int_field(tok: Column) -> Column:
@@ -25,6 +30,7 @@ def parse_record(value: Column) -> Column:
     parts = F.split(value, " ")
     tok = [F.try_element_at(parts, F.lit(i + 1)) for i in range(5)]
     ts, uid, ads = _int_field(tok[0]), _int_field(tok[3]), _int_field(tok[4])
+    ts = F.when(ts.between(MIN_TS_MS, MAX_TS_MS), ts)
     valid = (ts.isNotNull() & tok[1].isNotNull() & tok[2].isNotNull()
              & uid.isNotNull() & ads.isNotNull())
     rec = F.struct(ts.alias("ts"), tok[1].alias("area"), tok[2].alias("city"),

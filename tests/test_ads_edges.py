@@ -13,11 +13,12 @@ def test_parser_rejects_and_accepts(spark):
         (f"{DAY0} north cityA x 3",),          # non-numeric uid
         (f"abc north cityA 7 3",),             # non-numeric ts
         (f"{DAY0} north cityA 7 3.5",),        # non-integer ad
+        ("9223372036854775807 north cityA 7 3",),  # ts past year 9999
     ], "value string")
     ok = adslog.parse_ads_lines(lines).collect()
     assert [(r.ts, r.area, r.city, r.uid, r.ads_id, r.dt) for r in ok] == \
         [(DAY0, "north", "cityA", 7, 3, "2024-01-01")] * 2
-    assert adslog.rejected_ads_lines(lines).count() == 4
+    assert adslog.rejected_ads_lines(lines).count() == 5
 
 
 def _ads(spark, rows):

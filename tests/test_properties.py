@@ -98,7 +98,8 @@ def test_city_remark_equals_definition(spark, clicks):
 
 def java_style_parse(line):
     """The original parse: split on single spaces, trailing empty strings
-    dropped; five fields needed; ts, uid and ad must be longs."""
+    dropped; five fields needed; ts, uid and ad must be longs. One deviation:
+    a ts outside the timestamp range (years 1-9999) is rejected."""
     parts = line.split(" ")
     while parts and parts[-1] == "":
         parts.pop()
@@ -115,6 +116,8 @@ def java_style_parse(line):
     ts, uid, ad = long_(parts[0]), long_(parts[3]), long_(parts[4])
     if ts is None or uid is None or ad is None:
         return None
+    if not -62135596800000 <= ts <= 253402300799999:  # outside years 1-9999: rejected
+        return None
     return (ts, parts[1], parts[2], uid, ad)
 
 
