@@ -6,14 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash
+from . import pieces, simhash, substrings, topk, urlrep
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_url_filter": urlrep.op1_url_filter,
+        "op3_sentencepiece": pieces.op3_sentencepiece,
+        "op4_exact_top_k": topk.op4_exact_top_k,
+        "op7_substring_dedup": substrings.op7_substring_dedup,
         "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_url_filter": urlrep.OP1_SQL,
+        "op3_sentencepiece": pieces.op3_sentencepiece,
+        "op4_exact_top_k": topk.OP4_SQL,
+    }
