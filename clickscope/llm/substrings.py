@@ -4,10 +4,13 @@ A byte goes when a 50-byte string that covers it also starts in a document
 with a smaller doc_id. The common strings are read off the Burrows-Wheeler
 transform and the common-prefix array of a collection of strings, built column
 by column: each round puts one symbol in front of every string of the
-collection, merges the new suffixes into the transform, and derives their
-common prefixes from those of the round before (``ColumnwiseIndex``). The
-transform and its companions are read and written front to back in files of
-the task, one set a round.
+collection, sorts the new suffixes from the order of the round before, and
+derives their common prefixes from that round's (``ColumnwiseIndex``). What a
+round has made is written front to back to the task's files and read once by
+the next. The strings of a collection are aligned so that equal 50-byte
+strings start in the same column; columns of the transform therefore stay
+apart, and merging them, which costs a pass over all columns in every round,
+is not needed.
 
 One index over a whole corpus would need a round for every byte of its longest
 document. Strings of 50 bytes need far less, so Spark first deals the text out:
@@ -48,6 +51,7 @@ import tempfile
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +59,7 @@ from .shared import buckets, read_table
 
 WINDOW = 50
 GRAM = 20
+WIDTH = 2 * WINDOW - GRAM  # of a context
 SLICE = 1 << 16  # bytes hashed at a time
 M1, M2 = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
 
@@ -135,17 +140,20 @@ class Bucket:
         fits = size >= WINDOW
         places, doc, lo, size = places[fits], doc[fits], lo[fits], size[fits]
         width = 2 * WINDOW - GRAM
-        at = np.minimum(lo[:, None] + np.arange(width), max(0, len(self.data) - 1))
-        rows = self.data[at] if len(self.data) else np.empty((0, width), np.uint8)
-        rows[np.arange(width) >= size[:, None]] = 0
-        which, first = _distinct(rows, size)
+        # aligned at the anchor, zeros where the document does not reach
+        left = lo - (places + GRAM - WINDOW)
+        col = np.arange(WIDTH)
+        at = np.clip((places + GRAM - WINDOW)[:, None] + col, 0, max(0, len(self.data) - 1))
+        rows = self.data[at] if len(self.data) else np.empty((0, WIDTH), np.uint8)
+        rows[(col < left[:, None]) | (col >= (left + size)[:, None])] = 0
+        bounds = np.stack([left, left + size], axis=1).astype(np.uint8)
+        which, first = _distinct(rows, bounds)
         owner = np.full(len(first), np.iinfo(np.int64).max)
         np.minimum.at(owner, which, self.ids[doc])
-        other = np.full(len(first), np.iinfo(np.int64).min)
-        np.maximum.at(other, which, self.ids[doc])
-        gram = self.data[places[first][:, None] + np.arange(GRAM)] if len(first) else np.empty((0, GRAM), np.uint8)
-        return {"rows": rows[first], "size": size[first], "owner": owner, "most": other, "which": which,
-                "lo": lo, "doc": doc, "key": _row_hash(gram)}
+        most = np.full(len(first), np.iinfo(np.int64).min)
+        np.maximum.at(most, which, self.ids[doc])
+        return {"rows": rows[first], "bounds": bounds[first], "owner": owner, "many": most > owner,
+                "which": which, "begin": places + GRAM - WINDOW, "doc": doc}
 
 
 def _row_hash(rows: np.ndarray) -> np.ndarray:
@@ -157,104 +165,63 @@ def _row_hash(rows: np.ndarray) -> np.ndarray:
     return h
 
 
-def _distinct(rows: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _distinct(rows: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(class of each row, first row of each class); equal content, equal class."""
-    _, first, which = np.unique(_row_hash(rows) + size.astype(np.uint64), return_index=True, return_inverse=True)
-    if len(rows) and not ((rows == rows[first][which]).all() and (size == size[first][which]).all()):
-        both = np.concatenate([rows, size[:, None].astype(np.uint8)], axis=1)
+    both = np.concatenate([rows, bounds], axis=1)
+    _, first, which = np.unique(_row_hash(both), return_index=True, return_inverse=True)
+    if not (both == both[first][which]).all():  # two contents with one hash
         _, first, which = np.unique(both, axis=0, return_index=True, return_inverse=True)
     return which.reshape(-1), first
 
 
 class ColumnwiseIndex:
-    """Sorted suffixes of a collection of strings, built one column a round.
-
-    Round t takes the suffixes of length below t of every string, in order,
-    with the symbol in front of each (the Burrows-Wheeler transform) and the
-    prefix each shares with its forerunner (capped). Putting the symbol in
-    front moves a suffix to the place given by the count of smaller symbols,
-    and of equal ones before it; only the newest suffix of each string moves
-    on, the others stay in order. Old and new rows are merged front to back
-    into the next set of files.
+    """Suffixes of a collection of aligned strings, sorted column by column.
+
+    Round t puts the symbol of column ``width - t`` in front of the suffixes
+    of the round before. Among the strings of one column, sorting stably by
+    that symbol sorts the longer suffixes; two neighbours of one symbol share
+    one symbol more than the least of the common prefixes that lay between
+    them, others share none. A column is written as its part of the
+    Burrows-Wheeler transform (the symbols before its suffixes, in order), its
+    common prefixes (capped) and the strings in order; only the column before
+    is read again.
     """
 
-    FILES = ("symbol", "common", "string", "depth")
-    KINDS = (np.int16, np.uint8, np.int32, np.uint8)
-
-    def __init__(self, rows: np.ndarray, size: np.ndarray, folder: str, cap: int):
-        self.rows, self.size, self.folder, self.cap = rows, size.astype(np.int64), folder, cap
-        m = len(rows)
-        # the empty suffixes, in the order of their strings: all alike
-        newest = np.arange(m)
-        self._write(0, self._front(newest, 0), np.zeros(m), newest, np.zeros(m))
-        place = newest  # where the newest suffix of each string stands
-        for depth in range(1, int(self.size.max(initial=0)) + 1):
-            place = self._round(depth, place)
-        self.rounds = int(self.size.max(initial=0))
-
-    def _front(self, strings: np.ndarray, depth: int) -> np.ndarray:
-        """The symbol before the suffix of length ``depth``; -1 when it is whole."""
-        at = self.size[strings] - depth - 1
-        return np.where(at >= 0, self.rows[strings, np.maximum(at, 0)].astype(np.int16), -1)
-
-    def _path(self, depth: int, name: str) -> str:
-        return os.path.join(self.folder, f"{name}-{depth % 2}")
-
-    def _write(self, depth: int, *columns) -> None:
-        for name, kind, col in zip(self.FILES, self.KINDS, columns):
-            np.asarray(col, kind).tofile(self._path(depth, name))
-
-    def read(self, depth: int) -> list[np.ndarray]:
-        return [np.fromfile(self._path(depth, n), k) for n, k in zip(self.FILES, self.KINDS)]
-
-    def _round(self, depth: int, place: np.ndarray) -> np.ndarray:
-        symbol, common, string, length = self.read(depth - 1)
-        n = len(symbol)
-        going = np.flatnonzero(self.size >= depth)  # strings that still have a symbol
-        at = place[going]
-        c = symbol[at]
-        order = np.lexsort((at, c))
-        going, at, c = going[order], at[order], c[order]
-        # rows before: the empty suffixes, smaller symbols, equal symbols above
-        counts = np.bincount(symbol[symbol >= 0], minlength=257)
-        below = len(self.rows) + np.concatenate([[0], np.cumsum(counts)])
-        target = np.empty(len(c), np.int64)
-        above = np.full(len(c), -1)  # the row with the same symbol next above
-        below_row = np.full(len(c), -1)
-        edges = np.flatnonzero(np.r_[True, c[1:] != c[:-1]]) if len(c) else np.empty(0, np.int64)
-        for a, b in zip(edges, np.r_[edges[1:], len(c)]):
-            rows = np.flatnonzero(symbol == c[a])
-            rank = np.searchsorted(rows, at[a:b])
-            target[a:b] = below[c[a]] + rank
-            above[a:b] = np.where(rank > 0, rows[rank - 1], -1)
-            below_row[a:b] = np.where(rank + 1 < len(rows), rows[np.minimum(rank + 1, len(rows) - 1)], -1)
-        least = _RangeMin(common)
-        with_above = np.where(above >= 0, np.minimum(self.cap, 1 + least(above + 1, at)), 0)
-        with_below = np.where(below_row >= 0, np.minimum(self.cap, 1 + least(at + 1, below_row)), 0)
-        # merge: new rows at their targets, old rows fill the rest in order
-        total = n + len(target)
-        fresh = np.zeros(total, bool)
-        fresh[target] = True
-        old_at = np.flatnonzero(~fresh)
-        out = []
-        for kind, old, new in ((np.int16, symbol, self._front(going, depth)), (np.uint8, common, with_above),
-                               (np.int32, string, going), (np.uint8, length, np.full(len(going), depth))):
-            col = np.empty(total, kind)
-            col[old_at] = old
-            col[target] = new
-            out.append(col)
-        # an old row right below a new one shares with it what was derived above
-        follows = target + 1
-        ok = (below_row >= 0) & (follows < total)
-        ok[ok] = ~fresh[follows[ok]]
-        out[1][follows[ok]] = with_below[ok]
-        none = (below_row < 0) & (follows < total)
-        none[none] = ~fresh[follows[none]]
-        out[1][follows[none]] = 0
-        self._write(depth, *out)
-        moved = old_at[place]
-        moved[going] = target
-        return moved
+    FILES = ("front", "common", "string")
+    KINDS = (np.uint8, np.uint8, np.int32)
+
+    def __init__(self, rows: np.ndarray, folder: str, cap: int):
+        self.rows, self.folder, self.cap = rows, folder, cap
+        self.columns = np.ascontiguousarray(rows.T)
+        m, self.width = rows.shape
+        # the empty suffixes: all alike, in the order of their strings
+        self._write(self.width, np.zeros(m), np.arange(m))
+
+    def _path(self, column: int, name: str) -> str:
+        return os.path.join(self.folder, f"{name}-{column}")
+
+    def _write(self, column: int, common: np.ndarray, string: np.ndarray) -> None:
+        front = self.columns[column - 1][string] if column else np.zeros(len(string))
+        for name, kind, col in zip(self.FILES, self.KINDS, (front, common, string)):
+            np.asarray(col, kind).tofile(self._path(column, name))
+
+    def read(self, column: int) -> list[np.ndarray]:
+        return [np.fromfile(self._path(column, n), k) for n, k in zip(self.FILES, self.KINDS)]
+
+    def insert(self, column: int) -> tuple[np.ndarray, np.ndarray]:
+        """The round of ``column``: (common prefixes, strings) in order."""
+        symbol, common, string = self.read(column + 1)
+        place = np.argsort(symbol, kind="stable")  # where each suffix stood before
+        symbol = symbol[place]
+        same = np.flatnonzero(symbol[1:] == symbol[:-1]) + 1
+        shared = np.zeros(len(place), np.uint8)
+        least = _RangeMin(common)(place[same - 1] + 1, place[same])
+        shared[same] = np.minimum(self.cap, 1 + least)
+        string = string[place]
+        self._write(column, shared, string)
+        for name in self.FILES:
+            os.remove(self._path(column + 1, name))
+        return shared, string
 
 
 class _RangeMin:
@@ -262,42 +229,42 @@ class _RangeMin:
 
     def __init__(self, values: np.ndarray):
         self.spans = [values]
-        while 2 * (1 << (len(self.spans) - 1)) <= len(values):
-            have = 1 << (len(self.spans) - 1)
-            self.spans.append(np.minimum(self.spans[-1][:-have], self.spans[-1][have:]))
 
     def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(a), np.int64)
-        size = b - a + 1
-        level = np.frexp(np.maximum(size, 1))[1] - 1
-        for k in np.unique(level[size > 0]):
-            at = np.flatnonzero((level == k) & (size > 0))
-            span = self.spans[k]
-            out[at] = np.minimum(span[a[at]], span[b[at] - (1 << k) + 1])
+        out = np.empty(len(a), np.int64)
+        level = np.frexp(b - a + 1)[1] - 1
+        for k in range(int(level.max(initial=-1)) + 1):
+            if k:
+                have = 1 << (k - 1)
+                self.spans.append(np.minimum(self.spans[-1][:-have], self.spans[-1][have:]))
+            at = np.flatnonzero(level == k)
+            out[at] = np.minimum(self.spans[k][a[at]], self.spans[k][b[at] - (1 << k) + 1])
         return out
 
 
-def smallest_owner(rows: np.ndarray, size: np.ndarray, owner: np.ndarray, key: np.ndarray) -> np.ndarray:
+def smallest_owner(rows: np.ndarray, bounds: np.ndarray, owner: np.ndarray) -> np.ndarray:
     """For distinct contexts, the smallest doc_id that has the 50-byte string
-    at each of a context's starts (columns beyond its size mean nothing)."""
-    starts = rows.shape[1] - WINDOW + 1
+    at each of a context's starts (outside its bounds the context's own)."""
+    starts = WIDTH - WINDOW + 1
     out = np.repeat(owner[:, None], starts, axis=1)
+    key = _row_hash(rows[:, WINDOW - GRAM:WINDOW])  # the anchor
     _, which, several = np.unique(key, return_inverse=True, return_counts=True)
     some = np.flatnonzero(several[which.reshape(-1)] > 1)
-    if len(some):
-        with tempfile.TemporaryDirectory() as folder:
-            index = ColumnwiseIndex(rows[some], size[some], folder, WINDOW)
-            _, common, string, depth = index.read(index.rounds)
-        at = np.flatnonzero(depth >= WINDOW)
-        # rows of 50 or more symbols that share them stand together
-        edge = np.ones(len(common), bool)
-        edge[1:] = common[1:] < WINDOW
-        run = np.cumsum(edge)[at]
-        first = np.flatnonzero(np.r_[True, run[1:] != run[:-1]]) if len(at) else np.empty(0, np.int64)
-        if len(at):
-            low = np.minimum.reduceat(owner[some][string[at]], first)
-            low = np.repeat(low, np.diff(np.r_[first, len(at)]))
-            out[some[string[at]], size[some][string[at]] - depth[at]] = low
+    if not len(some):
+        return out
+    with tempfile.TemporaryDirectory() as folder:
+        index = ColumnwiseIndex(rows[some], folder, WINDOW)
+        for column in range(WIDTH - 1, -1, -1):
+            common, string = index.insert(column)
+            if column >= starts:
+                continue
+            # strings that share 50 symbols or more from here on stand together
+            who = some[string]
+            valid = (bounds[who, 0] <= column) & (column + WINDOW <= bounds[who, 1])
+            first = np.flatnonzero(np.r_[True, common[1:] < WINDOW])
+            low = np.minimum.reduceat(np.where(valid, owner[who], np.iinfo(np.int64).max), first)
+            low = np.repeat(low, np.diff(np.r_[first, len(who)]))
+            out[who[valid], column] = low[valid]
     return out
 
 
@@ -326,9 +293,8 @@ BUCKET_ROWS = pa.schema([("home", pa.int32()), ("doc_id", pa.int64()), ("text",
 ANCHORS = pa.schema([("bucket", pa.int32()), ("low", pa.binary()), ("high", pa.binary()),
                      ("place", pa.binary()), ("home", pa.int32())])
 SHARED = pa.schema([("home", pa.int32()), ("place", pa.binary())])
-CONTEXTS = pa.schema([("bucket", pa.int32()), ("rows", pa.binary()), ("size", pa.binary()),
-                      ("owner", pa.binary()), ("most", pa.binary()), ("key", pa.binary()),
-                      ("number", pa.binary()), ("home", pa.int32())])
+CONTEXTS = pa.schema([("bucket", pa.int32()), ("rows", pa.binary()), ("bounds", pa.binary()), ("owner", pa.binary()),
+                      ("many", pa.binary()), ("number", pa.binary()), ("home", pa.int32())])
 OWNERS = pa.schema([("home", pa.int32()), ("number", pa.binary()), ("start", pa.binary()), ("owner", pa.binary())])
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
                     ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
@@ -350,7 +316,6 @@ def repeated_bytes_removed(docs: DataFrame, keep_bytes: bool = True) -> DataFram
     text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     homes = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("home"),
                         F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    width = 2 * WINDOW - GRAM
 
     def send_anchors(table: pa.Table) -> pa.Table:
         places, hashes = Bucket(table).anchors()
@@ -377,34 +342,39 @@ def repeated_bytes_removed(docs: DataFrame, keep_bytes: bool = True) -> DataFram
         if not docs.num_rows or not shared.num_rows:
             return _table([], CONTEXTS)
         got = Bucket(docs).contexts(_packed(shared, "place", np.uint32)[0])
-        kind = ((got["key"] >> np.uint64(17)) % np.uint64(n)).astype(np.int32)
-        home = _number(docs, "home")
-        rows = _rows_by(kind, rows=got["rows"], size=got["size"].astype(np.uint8), owner=got["owner"],
-                        most=got["most"], key=got["key"], number=np.arange(len(kind), dtype=np.uint32))
-        return _table([(*r, home) for r in rows], CONTEXTS)
+        key = _row_hash(got["rows"][:, WINDOW - GRAM:WINDOW])
+        kind = ((key >> np.uint64(17)) % np.uint64(n)).astype(np.int32)
+        rows = _rows_by(kind, rows=got["rows"], bounds=got["bounds"], owner=got["owner"], many=got["many"],
+                        number=np.arange(len(kind), dtype=np.uint32))
+        home, squeeze = _number(docs, "home"), zstandard.ZstdCompressor(level=1)
+        return _table([(r[0], *map(squeeze.compress, r[1:]), home) for r in rows], CONTEXTS)
 
     def find_owners(table: pa.Table) -> pa.Table:
-        rows, size = _packed(table, "rows", np.uint8)[0].reshape(-1, width), _packed(table, "size", np.uint8)[0]
-        (owner, count), most = _packed(table, "owner", np.int64), _packed(table, "most", np.int64)[0]
-        key, number = _packed(table, "key", np.uint64)[0], _packed(table, "number", np.uint32)[0]
-        home = np.repeat(np.asarray(table.column("home")), count)
-        which, first = _distinct(rows, size)
+        expand = zstandard.ZstdDecompressor()
+        table = pa.table({c: pa.array(map(expand.decompress, table.column(c).to_pylist()), pa.binary())
+                          if c not in ("bucket", "home") else table.column(c) for c in table.column_names})
+        rows = _packed(table, "rows", np.uint8)[0]
+        rows, bounds = rows.reshape(-1, WIDTH), _packed(table, "bounds", np.uint8)[0].reshape(-1, 2)
+        (owner, count), many = _packed(table, "owner", np.int64), _packed(table, "many", np.bool_)[0]
+        number, home = _packed(table, "number", np.uint32)[0], np.repeat(np.asarray(table.column("home")), count)
+        which, first = _distinct(rows, bounds)
         least = np.full(len(first), np.iinfo(np.int64).max)
         np.minimum.at(least, which, owner)
-        best = smallest_owner(rows[first], size[first].astype(np.int64), least, key[first])
+        bounds = bounds[first]
+        best = smallest_owner(rows[first], bounds, least)
         # where the smallest owner changes along a context
+        column = np.arange(best.shape[1])
         change = np.ones(best.shape, bool)
         change[:, 1:] = best[:, 1:] != best[:, :-1]
-        change &= np.arange(best.shape[1]) <= (size[first].astype(np.int64) - WINDOW)[:, None]
+        change &= (column >= bounds[:, :1]) & (column + WINDOW <= bounds[:, 1:])
+        change[np.arange(len(first)), bounds[:, 0]] = True
         ctx, start = np.nonzero(change)
         value = best[ctx, start]
-        head = np.searchsorted(ctx, np.arange(len(first)))
-        many = np.bincount(ctx, minlength=len(first))
-        use = np.flatnonzero(best.min(1)[which] < most)  # someone there loses something
-        pick = np.repeat(head[which[use]], many[which[use]])
-        step = np.arange(len(pick)) - np.repeat(np.cumsum(many[which[use]]) - many[which[use]], many[which[use]])
-        pick = pick + step
-        sent = np.repeat(use, many[which[use]])
+        head, length = np.searchsorted(ctx, np.arange(len(first))), np.bincount(ctx, minlength=len(first))
+        use = np.flatnonzero((best.min(1)[which] < owner) | many)  # someone there loses something
+        turns = length[which[use]]
+        pick = np.repeat(head[which[use]] - (np.cumsum(turns) - turns), turns) + np.arange(turns.sum())
+        sent = np.repeat(use, turns)
         return _table(_rows_by(home[sent], number=number[sent], start=start[pick].astype(np.uint8),
                                owner=value[pick]), OWNERS)
 
@@ -419,7 +389,7 @@ def repeated_bytes_removed(docs: DataFrame, keep_bytes: bool = True) -> DataFram
             got = bucket.contexts(_packed(places, "place", np.uint32)[0])
             number, start, owner = (_packed(found, c, k)[0] for c, k in (
                 ("number", np.uint32), ("start", np.uint8), ("owner", np.int64)))
-            best = np.repeat(got["owner"][:, None], width - WINDOW + 1, axis=1)
+            best = np.repeat(got["owner"][:, None], WIDTH - WINDOW + 1, axis=1)
             told = np.zeros(best.shape, bool)
             told[number, start] = True
             best[number, start] = owner
@@ -427,9 +397,10 @@ def repeated_bytes_removed(docs: DataFrame, keep_bytes: bool = True) -> DataFram
             last = np.maximum.accumulate(np.where(told, np.arange(best.shape[1]), 0), axis=1)
             best = np.take_along_axis(best, last, axis=1)
             loses = best[got["which"]] < bucket.ids[got["doc"]][:, None]
-            loses &= np.arange(best.shape[1]) <= (got["size"] - WINDOW)[got["which"]][:, None]
+            column, bounds = np.arange(best.shape[1]), got["bounds"][got["which"]]
+            loses &= (column >= bounds[:, :1]) & (column + WINDOW <= bounds[:, 1:])
             occ, off = np.nonzero(loses)
-            begin = np.unique(got["lo"][occ] + off)
+            begin = np.unique(got["begin"][occ] + off)
             covered[begin] += 1
             covered[begin + WINDOW] -= 1
         gone = np.cumsum(covered[:-1]) > 0

@@ -62,20 +62,18 @@ def test_empty_table_and_extra_columns(make_docs):
     assert [r.n_removed for r in S.repeated_bytes_removed(more).orderBy("doc_id").collect()] == [0, 60]
 
 
-def test_columnwise_index_sorts_all_suffixes(tmp_path):
-    rnd = random.Random(2)
-    words = [bytes(rnd.choice(b"ab") for _ in range(rnd.randrange(1, 12))) for _ in range(30)]
-    size = np.array([len(w) for w in words])
-    rows = np.array([list(w.ljust(12, b"\0")) for w in words], np.uint8)
-    index = S.ColumnwiseIndex(rows, size, str(tmp_path), 50)
-    symbol, common, string, depth = index.read(index.rounds)
-    got = [words[s][len(words[s]) - d:] for s, d in zip(string, depth)]
-    assert got == sorted(got) and len(got) == size.sum() + len(words)
-    lcp = [next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
-           for a, b in zip(got, got[1:])]
-    assert common[1:].tolist() == lcp
-    front = [words[s][len(words[s]) - d - 1] if d < len(words[s]) else -1 for s, d in zip(string, depth)]
-    assert symbol.tolist() == front
+def test_columnwise_index_sorts_every_column(tmp_path):
+    rnd = np.random.default_rng(2)
+    rows = rnd.integers(97, 99, (300, 12)).astype(np.uint8)
+    index = S.ColumnwiseIndex(rows, str(tmp_path), 6)
+    for column in range(11, -1, -1):
+        common, string = index.insert(column)
+        got = [bytes(rows[s, column:]) for s in string]
+        assert got == sorted(got)
+        lcp = [min(6, next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), len(a))) for a, b in zip(got, got[1:])]
+        assert common[1:].tolist() == lcp
+        front = index.read(column)[0]
+        assert not column or front.tolist() == [rows[s, column - 1] for s in string]
 
 
 def test_anchors_do_not_depend_on_what_is_around():
