@@ -63,7 +63,8 @@ class Pieces:
         self.byte = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.spelled = {i: p.encode() for p, i in self.ids.items()} | {
             i: bytes([b]) for b, i in enumerate(self.byte)}
-        self.unknown = min(self.score.values()) - 10.0  # of a character in byte pieces
+        # a character in byte pieces is worse than any ranked piece
+        self.unknown = min(s for s in self.score.values() if s > -1e8) - 10.0
         self.cache: dict[str, tuple] = {}
         self.few: dict[tuple[str, int], list] = {}
 

@@ -6,22 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pieces, simhash, substrings, topk, urlrep
+import corpus_pipeline
+
+from . import decontaminate, linededup, perplexity, pieces, pii, simhash, substrings, topk, toxicity, urlrep
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": urlrep.op1_url_filter,
+        "op2_toxic_passages": toxicity.op2_toxic_passages,
         "op3_sentencepiece": pieces.op3_sentencepiece,
         "op4_exact_top_k": topk.op4_exact_top_k,
+        "op5_personal_data": pii.op5_personal_data,
+        "op6_line_dedup": linededup.op6_line_dedup,
         "op7_substring_dedup": substrings.op7_substring_dedup,
+        "op8_decontaminate": decontaminate.op8_decontaminate,
+        "op9_quality_classifier": perplexity.op9_quality_classifier,
         "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_filter": urlrep.OP1_SQL,
-        "op3_sentencepiece": pieces.op3_sentencepiece,
         "op4_exact_top_k": topk.OP4_SQL,
     }

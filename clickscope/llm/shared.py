@@ -4,15 +4,18 @@ connected components."""
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from functools import reduce
+from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, shared_dir
 from ..sources.tables import read_table
 
-__all__ = ["buckets", "components", "landed", "read_table"]
+__all__ = ["broadcast", "buckets", "components", "landed", "read_table"]
 
 
 def landed(df: DataFrame, name: str) -> DataFrame:
@@ -27,10 +30,17 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """``value`` sent to every executor, its class by value; a task calls the
+    result once to get it. For values of a bounded size only."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: cloudpickle.loads(sent.value)
+
+
 def buckets(spark: SparkSession) -> int:
-    """Hash buckets for packed shuffles: several for each shuffle partition,
-    so that what one task holds falls as the cluster's setting grows."""
-    return max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    """Hash buckets for packed shuffles: one for each shuffle partition at
+    least, so that what one task holds falls as the cluster's setting grows."""
+    return max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
