@@ -5,13 +5,12 @@ truncated to one decimal, then the remainder as "other", always present:
 ``北京:66.6%,上海:33.3%,其他:0.1%``. Ties between cities break on the name.
 
 The batch path composes it from built-in aggregates (partial aggregation, no
-Python). ``register_city_remark`` adds a grouped-aggregate pandas UDF under the
-same name for SQL callers; it is the slow path (no partial aggregation).
+Python). ``register_city_remark`` adds a SQL function of the same name that
+takes the counts per city, so SQL callers count per city first too.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -56,15 +55,14 @@ def city_remark_by_group(rows: DataFrame, group_cols: list[str], city_col: str,
 
 
 def register_city_remark(spark: SparkSession, name: str = "city_remark") -> None:
-    """Register ``city_remark(city)`` as a grouped-aggregate pandas UDF."""
-    @F.pandas_udf("string")
-    def city_remark(cities: pd.Series) -> str:
-        counts = cities.value_counts()
-        total = int(counts.sum())
-        order = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:TOP_CITIES]
-        shown = [(c, (int(n) * 1000) // total) for c, n in order]
-        entries = [f"{c}:{t / 10.0}%" for c, t in shown]
-        entries.append(f"{OTHER_LABEL}:{(1000 - sum(t for _, t in shown)) / 10.0}%")
-        return ",".join(entries)
-
-    spark.udf.register(name, city_remark)
+    """Register ``city_remark(array of (city, n))`` as a SQL function of the
+    session, built from SQL expressions: one entry a city, in any order."""
+    tenths = "((x.n * 1000) div total)"
+    ranked = ("array_sort(cities, (x, y) -> CASE WHEN x.n > y.n THEN -1 WHEN x.n < y.n THEN 1 "
+              "WHEN x.city < y.city THEN -1 WHEN x.city > y.city THEN 1 ELSE 0 END)")
+    spark.sql(f"""
+CREATE OR REPLACE TEMPORARY FUNCTION {name}(cities ARRAY<STRUCT<city: STRING, n: BIGINT>>) RETURNS STRING
+RETURN (
+  SELECT concat_ws(',', transform(top, x -> concat(x.city, ':', {tenths} / 10.0D, '%')),
+                   concat('{OTHER_LABEL}:', (1000 - aggregate(top, 0L, (a, x) -> a + {tenths})) / 10.0D, '%'))
+  FROM (SELECT slice({ranked}, 1, {TOP_CITIES}) AS top, aggregate(cities, 0L, (a, x) -> a + x.n) AS total))""")

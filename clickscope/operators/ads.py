@@ -8,17 +8,17 @@ default ``ts div 5000``, the 5-second trigger; a stream test passes its own):
   of the user's ads and days, and the rest of the banning batch still counts.
 * Until the first ban nothing of the user is dropped, so the ban batch is the
   first batch in which some (user, ad, day) running count reaches the
-  threshold: a partial count per (user, ad, day, batch) and a running sum over
-  batches. A hot key costs one row per batch, not one row per click.
+  threshold. Only keys whose whole count reaches it are followed batch by batch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import epoch_ms_minute, json_pairs
 from ..params import BATCH_MS, SLIDE_MS, WINDOW_MS
+from ..plans.joins import materialized_broadcast
 
 
 def with_batch(ads: DataFrame, batch_ms: int = BATCH_MS) -> DataFrame:
@@ -27,11 +27,18 @@ def with_batch(ads: DataFrame, batch_ms: int = BATCH_MS) -> DataFrame:
 
 
 def ban_batches(ads: DataFrame, threshold: int, batch_col: str = "batch") -> DataFrame:
-    """(uid, banned_batch): the batch in which each banned user is banned."""
-    per = (ads.groupBy("uid", "ads_id", "dt", F.col(batch_col).alias("_b"))
-              .agg(F.count(F.lit(1)).alias("_n")))
-    w = (Window.partitionBy("uid", "ads_id", "dt").orderBy("_b")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    """(uid, banned_batch): the batch in which each banned user is banned.
+
+    Counts per (user, ad, day) come first (a partial aggregate that a hot key
+    passes as one row a task); only the few keys that reach the threshold at
+    all get their clicks ordered by batch. Those keys are measured and
+    broadcast when small, so the second pass over the records filters them
+    where they are read."""
+    keys = ["uid", "ads_id", "dt"]
+    reach = ads.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= threshold).select(*keys)
+    few = ads.join(materialized_broadcast(reach), keys, "left_semi")
+    per = few.groupBy(*keys, F.col(batch_col).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     run = per.withColumn("_run", F.sum("_n").over(w))
     crossed = run.where((F.col("_run") >= threshold) & (F.col("_run") - F.col("_n") < threshold))
     return crossed.groupBy("uid").agg(F.min("_b").alias("banned_batch"))
@@ -80,23 +87,32 @@ def top_ads_per_day(area_counts: DataFrame, k: int = 3) -> DataFrame:
                .select("dt", "area", json_pairs(F.col("_e"), "ad", "n").alias("top3_json")))
 
 
-def window_end(ads: DataFrame, slide_ms: int = SLIDE_MS) -> Column:
-    """Inclusive end (ms) of the slide pane holding the latest event, as a
-    scalar subquery: windows end on slide edges."""
-    m = F.max("ts")
-    return ads.select((m - F.pmod(m, F.lit(slide_ms)) + F.lit(slide_ms - 1)).alias("e")).scalar()
+def latest_event(ads: DataFrame) -> int | None:
+    """The latest event time (ms) that is not after now: a far-future ts in
+    the data must not move the window."""
+    now = F.unix_millis(F.current_timestamp())
+    return ads.where(F.col("ts") <= now).agg(F.max("ts")).first()[0]
 
 
-def last_hour_ads_minutes(survivors: DataFrame, as_of_ms=None, length_ms: int = WINDOW_MS,
+def window(latest_ms: int, length_ms: int = WINDOW_MS, slide_ms: int = SLIDE_MS) -> tuple[int, int]:
+    """(start, end) of the window ``(start, end]`` in ms: it ends with the
+    slide pane that holds the latest event."""
+    end = latest_ms - latest_ms % slide_ms + slide_ms - 1
+    return end - length_ms, end
+
+
+def last_hour_ads_minutes(survivors: DataFrame, as_of_ms: int | None = None, length_ms: int = WINDOW_MS,
                           slide_ms: int = SLIDE_MS) -> DataFrame:
     """(ads_id, hour_minute, minute_ms, clicks) over ``(as_of - length, as_of]``.
 
     ``as_of_ms`` defaults to the end of the slide pane of the latest event.
-    The range predicate reaches the scan when the input is a table of ts.
-    """
-    end = window_end(survivors, slide_ms) if as_of_ms is None else F.lit(int(as_of_ms))
+    Callers that can bound their scan take ``window`` of ``latest_event`` and
+    pass survivors of that range only."""
+    if as_of_ms is None:
+        latest = latest_event(survivors)
+        as_of_ms = -1 if latest is None else window(latest, length_ms, slide_ms)[1]
     ts = F.col("ts")
-    recent = survivors.where((ts > end - F.lit(length_ms)) & (ts <= end))
+    recent = survivors.where((ts > as_of_ms - length_ms) & (ts <= as_of_ms))
     minute = (ts - F.pmod(ts, F.lit(60000))).alias("minute_ms")
     return (recent.groupBy("ads_id", minute, epoch_ms_minute(ts).alias("hour_minute"))
                   .agg(F.count(F.lit(1)).alias("clicks")))

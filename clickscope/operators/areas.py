@@ -32,10 +32,11 @@ def area_top3_product(product_clicks: DataFrame, product_info: DataFrame, k: int
     ``product_info`` drops its slot instead of promoting the next one. Ties
     break on the product id. ``row_number() <= k`` lets Spark insert a
     partial WindowGroupLimit before the shuffle, so each map task ships at
-    most k rows per area.
+    most k rows per area; those rows (k for each area of the city dimension)
+    are broadcast to the product table, which stays where it is.
     """
     w = Window.partitionBy("area").orderBy(F.col("clicount").desc(), F.col("click_product_id").asc())
     top = (product_clicks.withColumn("rn", F.row_number().over(w))
                          .where(F.col("rn") <= k))
-    return (top.join(product_info, top.click_product_id == product_info.product_id)
+    return (product_info.join(F.broadcast(top), top.click_product_id == product_info.product_id)
                .select("area", "product_name", "clicount", "remark"))

@@ -15,7 +15,7 @@ from ..functions.scalars import pct_half_up
 from ..params import flow_pairs
 from .sequence import consecutive_pairs
 
-# A jump's from-page lacking a visit count gets this denominator (cannot
+# Fixed value. A jump's from-page lacking a visit count gets this denominator (cannot
 # happen: a jump's from-page is itself a visit of a flow page).
 MISSING_VISITS = 100000
 
@@ -29,7 +29,8 @@ def page_visit_counts(visits: DataFrame, flow: tuple[int, ...]) -> DataFrame:
 
 def session_page_pairs(visits: DataFrame) -> DataFrame:
     """(session_id, from_page, to_page) for every pair of neighbouring actions."""
-    return consecutive_pairs(visits, "session_id", ["action_time", "event_id"], "page_id",
+    hour = F.substring("action_time", 1, len("yyyy-MM-dd HH"))
+    return consecutive_pairs(visits, "session_id", ["action_time", "event_id"], "page_id", piece=hour,
                              prev_name="from_page", next_name="to_page")
 
 

@@ -1,68 +1,45 @@
 """Consecutive pairs inside ordered groups, safe against hot groups.
 
 ``lead(x) over (partition by g order by o)`` sends every row of a group to one
-task; a group holding a third of the data would run in one task. Here the rows
-are range-partitioned on (g, o...) instead, so a hot group is cut into
-contiguous pieces over many partitions. Each piece is paired with a window
-partitioned by (g, piece); the only pairs a piece boundary cuts are between the
-last row of one range partition and the first row of the next non-empty one.
-Those edge rows (two per partition, a bound fixed by the partition count) are
-stitched with a window over that small set. Every pair appears exactly once.
-
-Both branches must see the same range partitions. Range bounds come from a
-sample, so two separate range exchanges could disagree; the range-partitioned
-rows are therefore checkpointed to the shared checkpoint folder: both
-branches read one RDD with one partitioner, and a lost executor cannot
-change the bounds on recompute. (Building the frame already runs the range
-shuffle; the checkpoint files are written with the first action.)
+task; a group holding a third of the data would run in one task. Here rows are
+clustered by the group and a *piece* of it, a value that does not decrease in
+the group's order (the hour of the action, say), so a hot group is cut into as
+many tasks as it has pieces. Neighbours inside a piece are paired there. Only
+the pairs that a piece's edge cuts are left: they are stitched from the first
+and last row of each piece (two rows a piece, however many rows it has) in the
+group's order. Every pair appears exactly once. The pieces come from the rows
+themselves, so nothing is sampled or stored, and both halves read the same
+shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-
-
-def _partitions(df: DataFrame) -> int:
-    spark = df.sparkSession
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-
-def consecutive_pairs(df: DataFrame, group: str, order: list[str], value: str,
-                      num_ranges: int | None = None,
+def consecutive_pairs(df: DataFrame, group: str, order: list[str], value: str, piece: Column,
                       prev_name: str | None = None, next_name: str | None = None) -> DataFrame:
     """(group, prev value, next value) for each pair of neighbouring rows.
 
     ``order`` must make the row order inside a group total (add a unique id
-    as the last key); a group with a single row yields no pair.
+    as the last key), and ``piece`` must not decrease along it; a group with a
+    single row yields no pair.
     """
     prev_name = prev_name or f"from_{value}"
     next_name = next_name or f"to_{value}"
-    n = num_ranges or _partitions(df)
-    keys = [group, *order]
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = (df.select(*keys, value)
-                .repartitionByRange(n, *[F.col(k).asc() for k in keys])
-                .checkpoint(eager=False)
-                .withColumn("_piece", F.spark_partition_id()))
-
-    # pairs inside one piece (same group, same range partition)
-    w = Window.partitionBy(group, "_piece").orderBy(*[F.col(k).asc() for k in order])
-    inner = (ranged.withColumn("_next", F.lead(value).over(w))
-                   .where(F.col("_next").isNotNull())
-                   .select(group, F.col(value).alias(prev_name), F.col("_next").alias(next_name)))
-
-    # pairs cut by a range-partition edge: last row of p, first row of the
-    # next non-empty partition, kept when both belong to the same group
-    row = F.struct(*[F.col(k) for k in keys], F.col(value).alias("_v"))
-    edges = ranged.groupBy("_piece").agg(F.min(row).alias("_first"), F.max(row).alias("_last"))
-    we = Window.orderBy("_piece")  # at most one row per range partition
-    stitched = (edges.withColumn("_nf", F.lead("_first").over(we))
-                     .where(F.col("_nf").isNotNull()
-                            & (F.col("_last")[group] == F.col("_nf")[group]))
-                     .select(F.col("_last")[group].alias(group),
-                             F.col("_last")["_v"].alias(prev_name),
-                             F.col("_nf")["_v"].alias(next_name)))
+    rows = df.select(group, *order, F.col(value).alias("_v"), piece.alias("_piece"))
+    inside = Window.partitionBy(group, "_piece").orderBy(*order)
+    last = F.lead(F.lit(True)).over(inside).isNull()
+    first = F.lag(F.lit(True)).over(inside).isNull()
+    marked = rows.select("*", F.lead("_v").over(inside).alias("_next"), first.alias("_first"), last.alias("_last"))
+
+    pair = [F.col(group), F.col("_v").alias(prev_name), F.col("_next").alias(next_name)]
+    inner = marked.where(~F.col("_last")).select(*pair)
+
+    across = Window.partitionBy(group).orderBy(*order)  # at most two rows a piece
+    edges = marked.where(F.col("_first") | F.col("_last")).drop("_next")
+    after = F.lead(F.struct("_v")).over(across)
+    stitched = (edges.withColumn("_after", after).where(F.col("_last") & F.col("_after").isNotNull())
+                     .withColumn("_next", F.col("_after._v")).select(*pair))
     return inner.unionByName(stitched)

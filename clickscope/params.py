@@ -39,8 +39,9 @@ def parse_flow(text: str) -> tuple[int, ...]:
 
 def parse_condition(text: str) -> ReportParams:
     """Read the condition object (JSON whose keys may be unquoted)."""
-    quoted = re.sub(r'([{,]\s*)([A-Za-z_][A-Za-z0-9_]*)\s*:', r'\1"\2":', text)
-    raw = json.loads(quoted)
+    # strings first, so that nothing inside one is taken for a key
+    token = re.compile(r'("(?:[^"\\]|\\.)*")|([A-Za-z_][A-Za-z0-9_]*)(?=\s*:)')
+    raw = json.loads(token.sub(lambda m: m.group(1) or f'"{m.group(2)}"', text))
 
     def age(k):
         v = raw.get(k)
@@ -103,6 +104,7 @@ def flow_pairs(flow: tuple[int, ...]) -> list[tuple[int, int]]:
 # January 2024 events; customer ages span 10..59).
 FILTER_PARAMS = VisitParams("2024-01-05", "2024-01-25", 20, 50)
 REPORT_PARAMS = ReportParams(VisitParams("2024-01-01", "2024-12-31", 20, 50), (1, 2, 3, 4, 5, 6, 7))
+REPORT_TASK_ID = "task-1"     # stamped on the registered task report
 BLACKLIST_THRESHOLD = 100     # clicks per user, ad and day
 TEST_THRESHOLD = 3            # the driver's data never reaches 100
 BATCH_MS = 5000               # micro-batch width

@@ -46,18 +46,34 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     return F.broadcast(dim) if n <= max_rows else dim
 
 
-def materialized_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def _measured(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of a frame: 8 bytes a value, texts by their length."""
+    texts = [F.coalesce(F.octet_length(F.col(f"`{n}`")), F.lit(0)) for n, kind in df.dtypes if kind in ("string", "binary")]
+    size = sum(texts, F.lit(8 * len(df.columns)))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size.cast("bigint")), F.lit(0)).alias("b")).first()
+    return row.n, row.b
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                       max_bytes: int = MAX_BROADCAST_INPUT_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast when its measured rows and bytes are both
+    under their bounds; else it stays as it is and the join shuffles. Use it
+    on frames that are cheap to read twice (files, checkpoints)."""
+    rows, size = _measured(df)
+    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
+
+
+def materialized_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                           max_bytes: int = MAX_BROADCAST_INPUT_BYTES) -> DataFrame:
     """Broadcast a *derived* result after measuring it.
 
     ``small`` is computed once and checkpointed to the shared checkpoint
-    folder (which also cuts its lineage); its row count is then checked on
-    the written data. Under the bound it is broadcast, so the large side of
-    the join is read map-side without a shuffle; over it, the checkpointed
+    folder (which also cuts its lineage); its rows and bytes are then measured
+    on the written data. Under both bounds it is broadcast, so the large side
+    of the join is read map-side without a shuffle; over one, the checkpointed
     frame joins with a shuffle. Use where the result is usually small but
     has no bound by construction (e.g. the set of banned users).
     """
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(small.sparkSession)
-    m = small.checkpoint(eager=True)
-    n = m.limit(max_rows + 1).count()
-    return F.broadcast(m) if n <= max_rows else m
+    return broadcast_if_small(small.checkpoint(eager=True), max_rows, max_bytes)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from ..params import (BATCH_MS, FILTER_PARAMS, REPORT_PARAMS, SLIDE_MS, TEST_THRESHOLD,
+from ..params import (BATCH_MS, FILTER_PARAMS, REPORT_PARAMS, REPORT_TASK_ID, SLIDE_MS, TEST_THRESHOLD,
                       WINDOW_MS, flow_pairs)
 
 EV = "ev AS (SELECT *, cast(json_extract_string(props,'$.k') AS BIGINT) AS k FROM events)"
@@ -53,19 +53,14 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-def _visit_filter(p, alias="uva_f") -> str:
-    conds = ["TRUE"]
-    if p.start_date:
-        conds.append(f"uv.date >= '{p.start_date}'")
-    if p.end_date:
-        conds.append(f"uv.date <= '{p.end_date}'")
-    if p.start_age is not None:
-        conds.append(f"ui.age >= {p.start_age}")
-    if p.end_age is not None:
-        conds.append(f"ui.age {'>=' if p.as_written else '<='} {p.end_age}")
-    return f"""{alias} AS (
-  SELECT uv.*, ui.age FROM uva uv JOIN user_info ui ON uv.user_id=ui.user_id
-  WHERE {' AND '.join(conds)})"""
+def _visit_filter(p, name="uva_f") -> str:
+    """Visits of known users within the bounds of ``p``, with the age."""
+    bounds = [("date", ">=", p.start_date and f"'{p.start_date}'"), ("date", "<=", p.end_date and f"'{p.end_date}'"),
+              ("age", ">=", p.start_age), ("age", ">=" if p.as_written else "<=", p.end_age)]
+    tests = "".join(f" AND {col} {op} {value}" for col, op, value in bounds if value is not None)
+    return f"""{name} AS (
+  SELECT * FROM (SELECT visit.*, known.age FROM uva AS visit INNER JOIN user_info AS known USING (user_id))
+  WHERE user_id IS NOT NULL{tests})"""
 
 
 # ---- R3 ------------------------------------------------------------------
@@ -85,28 +80,32 @@ def _remark_ctes(src: str) -> list[str]:
     ]
 
 
-AREA_CITY_CLICKS_CTE = """t1 AS (SELECT ci.area, ci.city_name, uv.click_product_id
-  FROM uva uv JOIN city_info ci ON uv.city_id=ci.city_id WHERE uv.click_product_id>0)"""
+LOCATED = """located AS (
+  SELECT town.area, town.city_name, visit.click_product_id
+  FROM uva AS visit INNER JOIN city_info AS town USING (city_id) WHERE visit.click_product_id > 0)"""
 
-STAR_CLICKS_CTE = """t1 AS (SELECT ci.area, ci.city_name, l.l_partkey AS click_product_id
-  FROM lineitem l JOIN orders o ON l.l_orderkey=o.o_orderkey
-  JOIN customer c ON o.o_custkey=c.c_custkey
-  JOIN city_info ci ON cast(c.c_nationkey AS BIGINT)=ci.city_id)"""
+STAR_LOCATED = """located AS (
+  SELECT town.area, town.city_name, item.l_partkey AS click_product_id
+  FROM lineitem AS item INNER JOIN orders ON o_orderkey = item.l_orderkey
+  INNER JOIN customer ON c_custkey = o_custkey
+  INNER JOIN city_info AS town ON town.city_id = cast(c_nationkey AS BIGINT))"""
 
-TOP3_TAIL = """SELECT t3.area, p.product_name, t3.clicount, t3.remark
-FROM (SELECT *, row_number() OVER (PARTITION BY area ORDER BY clicount DESC, click_product_id) AS rn FROM apc) t3
-JOIN product_info p ON t3.click_product_id=p.product_id
-WHERE rn<=3"""
+BEST_THREE = """SELECT best.area, goods.product_name, best.clicount, best.remark
+FROM apc AS best INNER JOIN product_info AS goods ON goods.product_id = best.click_product_id
+WHERE (best.area, best.click_product_id) IN (
+  SELECT (area, click_product_id) FROM apc
+  QUALIFY row_number() OVER (PARTITION BY area ORDER BY clicount DESC, click_product_id) <= 3)"""
 
 
 def r3_sql() -> dict[str, str]:
-    base = [EV, UVA, CITY_INFO]
+    located = [EV, UVA, CITY_INFO, LOCATED]
+    products = _remark_ctes("located")
     return {
-        "area_city_clicks": _with(*base, AREA_CITY_CLICKS_CTE) + "SELECT * FROM t1",
-        "area_product_clicks": _with(*base, AREA_CITY_CLICKS_CTE, *_remark_ctes("t1"))
+        "area_city_clicks": _with(*located) + "SELECT * FROM located",
+        "area_product_clicks": _with(*located, *products)
         + "SELECT area, click_product_id, clicount, remark FROM apc",
-        "area_top3_product": _with(*base, PRODUCT_INFO, AREA_CITY_CLICKS_CTE, *_remark_ctes("t1")) + TOP3_TAIL,
-        "area_top3_product_star": _with(CITY_INFO, PRODUCT_INFO, STAR_CLICKS_CTE, *_remark_ctes("t1")) + TOP3_TAIL,
+        "area_top3_product": _with(*located, PRODUCT_INFO, *products) + BEST_THREE,
+        "area_top3_product_star": _with(CITY_INFO, PRODUCT_INFO, STAR_LOCATED, *products) + BEST_THREE,
     }
 
 
@@ -171,6 +170,7 @@ WHERE rn<=10""",
         "session_page_pairs": pages + "SELECT * FROM pairs",
         "page_jump_counts": pages + "SELECT * FROM pjc",
         "page_convert_ratio": pages + "SELECT * FROM pcr",
+        "page_convert_ratio_task": pages + f"SELECT '{REPORT_TASK_ID}' AS task_id, * FROM pcr",
     }
 
 

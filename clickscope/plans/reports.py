@@ -6,6 +6,7 @@ Each report reads the driver's tables through the bindings in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,10 @@ from dataclasses import replace
 
 from . import streams
 from ..operators import ads, areas, categories, pages, visits
-from ..params import FILTER_PARAMS, REPORT_PARAMS, TEST_THRESHOLD
+from ..params import FILTER_PARAMS, REPORT_PARAMS, REPORT_TASK_ID, TEST_THRESHOLD
 from .joins import materialized_broadcast
 from ..sinks import kv
+from ..sinks.tables import with_task_id
 from ..sources import adslog
 from ..sources import tables as tb
 
@@ -136,7 +138,15 @@ def _top3_ads_per_day(spark, d):
 
 
 def _last_hour_minutes(spark, d):
-    return ads.last_hour_ads_minutes(_survivors(spark, d))
+    """The window is found first, over what survives; then only its time range
+    is scanned (the range reaches the events scan), with the ban list made
+    from all history."""
+    b = _batched_ads(spark, d)
+    bans = materialized_broadcast(ads.ban_batches(b, TEST_THRESHOLD))
+    latest = ads.latest_event(ads.blacklist_filter(b, bans))
+    start, end = ads.window(-1 if latest is None else latest)
+    recent = ads.with_batch(tb.ads_log(spark, d, since_ms=start + 1, until_ms=end + 1))
+    return ads.last_hour_ads_minutes(ads.blacklist_filter(recent, bans), as_of_ms=end)
 
 
 def _last_hour_ads_minutes(spark, d):
@@ -168,14 +178,21 @@ def _kv_blacklist(spark, d):
 
 
 def _table_replace(spark, d):
-    """Catalog-table replace (drop and recreate) written twice, read back."""
+    """Catalog-table replace (drop and recreate) written twice, read back. The
+    table has a name of its own and does not stay in the catalog; its files
+    are in shared storage."""
     from ..session import fresh_subdir
     from ..sinks.tables import replace_table
     where = fresh_subdir(spark, "tables") + "/city_info"
-    ci = tb.city_info(spark, d)
-    replace_table(ci, "clickscope_city_info", path=where)
-    replace_table(ci, "clickscope_city_info", path=where)
-    return spark.table("clickscope_city_info")
+    name = f"city_info_{uuid.uuid4().hex}"
+    for _ in range(2):
+        replace_table(tb.city_info(spark, d), name, path=where)
+    spark.sql(f"DROP TABLE {name}")  # external: the files stay
+    return spark.read.parquet(where)
+
+
+def _page_convert_ratio_task(spark, d):
+    return with_task_id(_page_convert_ratio(spark, d), REPORT_TASK_ID)
 
 
 def registry() -> dict[str, Report]:
@@ -190,6 +207,7 @@ def registry() -> dict[str, Report]:
         "session_page_pairs": _session_page_pairs,
         "page_jump_counts": _page_jump_counts,
         "page_convert_ratio": _page_convert_ratio,
+        "page_convert_ratio_task": _page_convert_ratio_task,
         "area_city_clicks": _area_city_clicks,
         "area_product_clicks": _area_product_clicks,
         "area_top3_product": _area_top3_product,

@@ -1,54 +1,51 @@
-"""The SQL surface: the model's tables as temp views, ``city_remark`` as a
+"""The SQL surface: the model's tables as temp views and ``city_remark`` as a
 function, for users who query with ``spark.sql``.
 
-Views are lazy projections over the parquet scans (filters and column
-pruning reach the scans as with the DataFrame API). ``city_remark`` is the
-pandas grouped-aggregate UDF: Spark does not mix it with built-in aggregates
-in one SELECT, so count and remark come from two aggregates joined on the
-group key (see ``AREA_PRODUCT_CLICKS_SQL``); the DataFrame report
-``operators.areas`` is the fast path.
+Views are lazy projections over the scans (filters and column pruning reach
+them as with the DataFrame API); their names take a prefix, so that a session's
+own tables are left alone. ``city_remark`` takes the clicks of each city as an
+array and is built in: count per city first, then the remark of the counts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.city_remark import register_city_remark
 from ..sources import tables as tb
 
-VIEWS = ("user_visit_action", "user_info", "product_info", "city_info", "ads_log")
+VIEWS = {
+    "user_visit_action": tb.user_visit_action, "user_info": tb.user_info, "product_info": tb.product_info,
+    "city_info": tb.city_info, "ads_log": tb.ads_log,
+}
 
 
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    tb.user_visit_action(spark, sf_dir).createOrReplaceTempView("user_visit_action")
-    tb.user_info(spark, sf_dir).createOrReplaceTempView("user_info")
-    tb.product_info(spark, sf_dir).createOrReplaceTempView("product_info")
-    tb.city_info(spark, sf_dir).createOrReplaceTempView("city_info")
-    tb.ads_log(spark, sf_dir).createOrReplaceTempView("ads_log")
+def register_views(spark: SparkSession, sf_dir: str, prefix: str = "") -> None:
+    for name, binding in VIEWS.items():
+        binding(spark, sf_dir).createOrReplaceTempView(prefix + name)
     register_city_remark(spark, "city_remark")
 
 
-# The area report in SQL over the views (ties broken on the product id).
-AREA_CLICKS_SQL = """
-SELECT ci.area, ci.city_name, uv.click_product_id
-FROM user_visit_action uv JOIN city_info ci ON uv.city_id = ci.city_id
-WHERE uv.click_product_id > 0"""
-
-AREA_PRODUCT_CLICKS_SQL = """
-SELECT c.area, c.click_product_id, c.clicount, r.remark
-FROM (SELECT area, click_product_id, count(*) AS clicount FROM t1 GROUP BY area, click_product_id) c
-JOIN (SELECT area, click_product_id, city_remark(city_name) AS remark FROM t1 GROUP BY area, click_product_id) r
-  ON c.area = r.area AND c.click_product_id = r.click_product_id"""
-
-AREA_TOP3_SQL = """
-SELECT t3.area, p.product_name, t3.clicount, t3.remark
-FROM (SELECT *, row_number() OVER (PARTITION BY area ORDER BY clicount DESC, click_product_id) AS rn FROM t2) t3
-JOIN product_info p ON t3.click_product_id = p.product_id
-WHERE t3.rn <= 3"""
+# The area report as one statement over the views (ties break on the product).
+AREA_TOP3 = """
+WITH located AS (
+  SELECT town.area, town.city_name AS city, visit.click_product_id AS product
+  FROM {p}user_visit_action AS visit INNER JOIN {p}city_info AS town USING (city_id)
+  WHERE visit.click_product_id > 0
+), by_city AS (
+  SELECT area, product, city, count(*) AS n FROM located GROUP BY area, product, city
+), by_product AS (
+  SELECT area, product, sum(n) AS clicks, city_remark(collect_list(named_struct('city', city, 'n', n))) AS remark
+  FROM by_city GROUP BY area, product
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY area ORDER BY clicks DESC, product) AS place FROM by_product
+)
+SELECT best.area, goods.product_name, best.clicks AS clicount, best.remark
+FROM best INNER JOIN {p}product_info AS goods ON goods.product_id = best.product
+WHERE best.place <= 3
+"""
 
 
-def area_top3_product_sql(spark: SparkSession):
+def area_top3_product_sql(spark: SparkSession, prefix: str = "") -> DataFrame:
     """The area top-3 report through ``spark.sql`` over registered views."""
-    spark.sql(AREA_CLICKS_SQL).createOrReplaceTempView("t1")
-    spark.sql(AREA_PRODUCT_CLICKS_SQL).createOrReplaceTempView("t2")
-    return spark.sql(AREA_TOP3_SQL)
+    return spark.sql(AREA_TOP3.format(p=prefix))

@@ -1,11 +1,8 @@
 """Stream reports over the driver's tables: a deterministic replay.
 
-State stores get one partition per core of the session (the replay's
-throughput), whatever the batch shuffle setting is.
-
-The ad records are replayed through the three stream queries in time blocks
+The ad records are replayed through the stream in time blocks
 (``BLOCK_DAYS`` days each, blocks in time order). Each block is written as
-log lines by one parallel Spark job, then the queries drain it with an
+log lines by one parallel Spark job, then the query drains it with an
 ``availableNow`` trigger, so micro-batch k is block k and the batch form
 (and its SQL oracle) can number batches the same way. One replay per session
 and input folder serves every ``stream_*`` key.
@@ -48,8 +45,7 @@ def replay(spark: SparkSession, sf_dir: str, threshold: int = TEST_THRESHOLD) ->
         # the block's time range reaches the events scan as pushed filters
         part = tb.ads_log(spark, sf_dir, since_ms=b * span, until_ms=(b + 1) * span)
         adslog.ads_lines(part).write.mode("overwrite").text(f"{src}/block-{b:08d}")
-        pl.run_available_now(spark, adslog.text_lines(spark, f"{src}/*"), paths, threshold,
-                             state_partitions=spark.sparkContext.defaultParallelism)
+        pl.run_available_now(spark, adslog.text_lines(spark, f"{src}/*"), paths, threshold, keep_survivors=True)
     _RUNS[key] = paths
     return paths
 

@@ -7,8 +7,8 @@ shared storage the jobs need: a folder that survives executor loss.
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -38,7 +38,7 @@ BASE_CONF = {
 # Local runs only: in local mode the executors live in the driver JVM, whose
 # default 1 GiB heap makes long sessions GC-bound. Clusters size their own.
 LOCAL_CONF = {
-    "spark.driver.memory": "16g",
+    "spark.driver.memory": "8g",
 }
 
 
@@ -66,8 +66,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints, stream state and written tables.
 
-    Read from ``spark.checkpoint.dir`` as the cluster names it. Only when the
-    session has none (local tests) do we create one and set it.
+    Read from ``spark.checkpoint.dir`` as the cluster names it, or from the
+    context's checkpoint folder. Only a local session (tests) may have none:
+    one is then made and set. On a cluster a machine-local folder would not be
+    seen by the other machines, so a missing one is an error there.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
@@ -75,10 +77,11 @@ def shared_dir(spark: SparkSession) -> str:
     jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
     if jdir.isDefined():
         return jdir.get().rstrip("/")
-    local = tempfile.mkdtemp(prefix="clickscope-ckpt-")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+    local = "file:" + tempfile.mkdtemp(prefix="clickscope-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -90,12 +93,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def fresh_subdir(spark: SparkSession, name: str) -> str:
-    """A new, unused folder below the shared folder (one per run)."""
-    base = shared_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if "://" in base:
-        import uuid
-        return f"{base}/{name}-{uuid.uuid4().hex}"
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    """A new folder below the shared folder (one per run), made through the
+    file system that Spark resolves the path with, whatever its scheme."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    return fs.makeQualified(path).toString()

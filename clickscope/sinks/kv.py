@@ -1,23 +1,14 @@
-"""Key/value (hash-store) sink layouts and a replay-safe KV log.
+"""Key/value (hash-store) sink layouts.
 
 A hash store holds ``key -> {field: value}``. Reports are rendered into
 (key, field, value) rows here; strings are built only at this edge.
-
-``KvLog`` keeps the store as a batch-keyed log (``keyed_log.KeyedLog``):
-writing batch N again replaces exactly batch N's rows, so a replayed
-``foreachBatch`` leaves the store unchanged, and periodic compaction bounds
-what a read lists and scans. ``current()`` is the store's content: the last
-write per (key, field) wins, except for keys written in "replace" mode,
-where only the key's latest batch counts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .keyed_log import KeyedLog
-
 # Fixed key names of the hash store.
 AREA_CITY_ADS_DAYCOUNT = "area_city_ads_daycount"
 TOP3_ADS_PER_DAY = "top3_ads_per_day"
@@ -53,33 +44,3 @@ def kv_blacklist(bans: DataFrame) -> DataFrame:
     """Set members as fields with an empty value."""
     return bans.select(F.lit(BLACKLIST).alias("key"), F.col("uid").cast("string").alias("field"),
                        F.lit("").alias("value"))
-
-
-class KvLog(KeyedLog):
-    """The hash store as a keyed log of (key, field) -> value.
-
-    Last write wins per field; a key written with ``replace_keys=True``
-    holds only the fields of its latest such write (a whole-key replace).
-    """
-
-    def __init__(self, spark: SparkSession, path: str):
-        super().__init__(spark, path, ["key", "field"], ["value", "replace_key"])
-
-    def write(self, rows: DataFrame, batch_id: int, replace_keys: bool = False) -> None:
-        super().write(rows.withColumn("replace_key", F.lit(bool(replace_keys))), batch_id)
-
-    def latest(self, rows: DataFrame) -> DataFrame:
-        merged = rows.where(~F.col("replace_key"))
-        # keys in replace mode: only the key's latest batch counts. One key
-        # may hold every field, so find that batch with a partial aggregate
-        # and an equi-join, never a window over the key.
-        repl = rows.where(F.col("replace_key"))
-        newest = repl.groupBy("key").agg(F.max("batch_id").alias("batch_id"))
-        replaced = repl.join(newest, ["key", "batch_id"], "left_semi")
-        return super().latest(merged.unionByName(replaced))
-
-    def current(self, upto: int | None = None, where=None) -> DataFrame:
-        cur = super().current(upto, where)
-        if cur is None:
-            return self.spark.createDataFrame([], "key string, field string, value string")
-        return cur.select("key", "field", "value")

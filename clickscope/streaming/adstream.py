@@ -1,34 +1,46 @@
-"""The ad-click stream as three Structured Streaming queries.
-
-Q1 lines -> parse -> per-user blacklist state -> foreachBatch:
-   survivors (parquet, one folder per batch), bans, running user/ad/day counts.
-Q2 survivors (file stream) -> running count per (area, city, ad, day), update
-   mode -> foreachBatch: day-count KV, then the top-3 ads of the touched days.
-Q3 survivors (file stream) -> 10-second panes with a one-hour watermark ->
-   foreachBatch: the last-hour per-minute snapshot per ad (replaces the key).
-
-Every foreachBatch output is keyed by the batch id and written so that a
-replayed batch leaves it unchanged. All folders live below one base folder
-in shared storage (``session.shared_dir``), never on a machine-local disk.
+"""The ad-click stream: one query, every report updated once per batch.
+
+Each micro-batch of log lines is parsed, filtered by the blacklist as it stood
+before the batch, and the surviving events are handed, as one frame, to all
+reports of that batch:
+
+* clicks per (user, ad, day), and the users who reach the threshold with them
+  (banned from the next batch on);
+* clicks per (area, city, ad, day), and the top-3 ads of the touched days;
+* 10-second panes of the last hour, and the per-minute snapshot per ad.
+
+Running totals are tables partitioned by day (hour for the panes), merged by
+partition overwrite and marked with the batch that wrote them
+(``sinks.merged``), so a batch that is replayed after a crash, wherever it
+came, changes nothing twice, and late clicks still add to their own day.
+Everything is built from DataFrame operations; the query itself keeps no state.
+
+The last hour follows arrival: its clock is the latest event time that is not
+after the arrival of its batch, so a line from the far future counts in its
+day but does not move the window.
 """
 
 from __future__ import annotations
 
-import contextlib
+import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalars import epoch_ms_day
 from ..operators import ads as ads_ops
 from ..params import SLIDE_MS, WINDOW_MS
+from ..plans.joins import broadcast_if_small
 from ..sinks import kv
-from ..sinks.keyed_log import KeyedLog
-from ..sources.adslog import parse_ads_lines
-from .blacklist import blacklist_stream
+from ..sinks.merged import MergedTable
+from ..sources.adslog import parse_record
 
-SURVIVOR_SCHEMA = ("ts long, area string, city string, uid long, ads_id long, dt string, "
-                   "batch_id long")
+SURVIVOR_SCHEMA = "ts long, area string, city string, uid long, ads_id long, dt string, batch_id long"
+HOUR_MS = 3_600_000
+#: publish(store key, (key, field, value) rows changed by the batch, batch id)
+Publish = Callable[[str, DataFrame, int], None]
 
 
 @dataclass(frozen=True)
@@ -38,285 +50,186 @@ class StreamPaths:
     @property
     def survivors(self): return f"{self.base}/survivors"
     @property
-    def bans(self): return f"{self.base}/blacklist"
-    @property
-    def kv(self): return f"{self.base}/kv"
-    @property
-    def daycounts(self): return f"{self.base}/area_city_ads_daycount"
-    @property
-    def panes(self): return f"{self.base}/last_hour_panes"
-    @property
-    def clock(self): return f"{self.base}/last_hour_clock"
-
-    def checkpoint(self, q: str) -> str:
-        return f"{self.base}/_checkpoints/{q}"
-
-
-# Logs the stream writes, one folder per batch, compacted periodically.
-COMPACT_EVERY = 100
-
-
-def bans_log(spark: SparkSession, paths: StreamPaths) -> KeyedLog:
-    return KeyedLog(spark, paths.bans, ["uid"], ["banned_batch"])
-
+    def checkpoint(self): return f"{self.base}/_checkpoint"
 
-def daycount_log(spark: SparkSession, paths: StreamPaths) -> KeyedLog:
-    return KeyedLog(spark, paths.daycounts, ["area", "city", "ads_id", "dt"], ["clicks"])
 
+def user_counts(spark: SparkSession, paths: StreamPaths) -> MergedTable:
+    return MergedTable(spark, f"{paths.base}/user_ads_daycount", "dt string, uid long, ads_id long, clicks long",
+                       "dt", ["dt", "uid", "ads_id"], {"clicks": "sum"})
 
-def pane_log(spark: SparkSession, paths: StreamPaths) -> KeyedLog:
-    return KeyedLog(spark, paths.panes, ["ads_id", "pane_ms"], ["clicks"])
 
+def bans(spark: SparkSession, paths: StreamPaths) -> MergedTable:
+    """Banned users in 16 buckets; a user's first ban counts."""
+    return MergedTable(spark, f"{paths.base}/blacklist", "bucket int, uid long, banned_batch long",
+                       "bucket", ["bucket", "uid"], {"banned_batch": "min"})
 
-def clock_log(spark: SparkSession, paths: StreamPaths) -> KeyedLog:
-    return KeyedLog(spark, paths.clock, ["clock"], ["last_pane"])
 
+def area_counts(spark: SparkSession, paths: StreamPaths) -> MergedTable:
+    return MergedTable(spark, f"{paths.base}/area_city_ads_daycount",
+                       "dt string, area string, city string, ads_id long, clicks long",
+                       "dt", ["dt", "area", "city", "ads_id"], {"clicks": "sum"})
 
-def _maybe_compact(batch_id: int, every: int, *logs: KeyedLog) -> None:
-    if every and batch_id > 0 and batch_id % every == 0:
-        for log in logs:
-            log.compact(batch_id)
 
+def panes(spark: SparkSession, paths: StreamPaths) -> MergedTable:
+    return MergedTable(spark, f"{paths.base}/last_hour_panes", "hour long, ads_id long, pane_ms long, clicks long",
+                       "hour", ["hour", "ads_id", "pane_ms"], {"clicks": "sum"})
 
-def _fs_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
+def batch_stats(spark: SparkSession, paths: StreamPaths) -> MergedTable:
+    """One row a batch: lines, rejected lines, arrival, and the window's clock."""
+    return MergedTable(spark, f"{paths.base}/batches",
+                       "block long, batch_id long, lines long, rejected long, arrival_ms long, clock_ms long",
+                       "block", ["block", "batch_id"],
+                       {c: "max" for c in ("lines", "rejected", "arrival_ms", "clock_ms")})
 
-@contextlib.contextmanager
-def _state_partitions(spark: SparkSession, n: int | None):
-    """Start a query with ``n`` state partitions.
 
-    A stateful query fixes its partition count at first start (kept in the
-    checkpoint afterwards) from ``spark.sql.shuffle.partitions``; the stream
-    clones the session conf at start, so the session value is restored
-    right after.
-    """
-    if not n:
-        yield
-        return
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(int(n)))
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+def _last_hour(spark: SparkSession, paths: StreamPaths, clock_ms: int, length_ms: int, slide_ms: int) -> DataFrame:
+    end = clock_ms - clock_ms % slide_ms + slide_ms - 1
+    start = end - length_ms  # window (start, end]
+    rows = panes(spark, paths).read().where(
+        (F.col("hour") >= start // HOUR_MS) & (F.col("pane_ms") > start) & (F.col("pane_ms") <= end))
+    minute = (F.col("pane_ms") - F.pmod(F.col("pane_ms"), F.lit(60000))).alias("minute_ms")
+    minutes = rows.groupBy("ads_id", minute, F.date_format(F.timestamp_millis("pane_ms"), "HH:mm").alias(
+        "hour_minute")).agg(F.sum("clicks").cast("bigint").alias("clicks"))
+    return ads_ops.last_hour_ads_click(minutes)
 
 
-def _kv_store(spark: SparkSession, paths: StreamPaths, name: str) -> kv.KvLog:
-    return kv.KvLog(spark, f"{paths.kv}/{name}")
-
-
-# ---- Q1 ---------------------------------------------------------------------
-
-def blacklist_batch_writer(paths: StreamPaths, compact_every: int = COMPACT_EVERY):
-    def write(out: DataFrame, batch_id: int) -> None:
-        spark = out.sparkSession
-        folder = f"{paths.survivors}/batch_id={batch_id}"
-        if _fs_exists(spark, f"{folder}/_SUCCESS"):
-            return  # batch already landed; a replay must not feed Q2 twice
-        out = out.persist()
-        try:
-            bans = (out.where("kind = 'ban'")
-                       .select("uid", F.lit(batch_id).cast("bigint").alias("banned_batch")))
-            counts = out.where("kind = 'count'").select("uid", "ads_id", "dt", "clicks")
-            logs = (bans_log(spark, paths), _kv_store(spark, paths, kv.USER_ADS_DAYCOUNT),
-                    _kv_store(spark, paths, kv.BLACKLIST))
-            logs[0].write(bans, batch_id)
-            logs[1].write(kv.kv_user_ads_daycount(counts), batch_id)
-            logs[2].write(kv.kv_blacklist(bans), batch_id)
-            _maybe_compact(batch_id, compact_every, *logs)
-            # survivors last: their _SUCCESS marks the whole batch as done
-            (out.where("kind = 'event'").select("ts", "area", "city", "uid", "ads_id", "dt")
-                .write.mode("overwrite").parquet(folder))
-        finally:
-            out.unpersist()
-    return write
-
-
-PARSE_METRICS = "ads_parse"
-
-
-def start_blacklist_query(lines: DataFrame, paths: StreamPaths, threshold: int, trigger: dict,
-                          name: str = "ads_blacklist", state_partitions: int | None = None,
-                          keep_days: int | None = None, compact_every: int = COMPACT_EVERY):
-    """Q1. Malformed lines are dropped and counted: ``observedMetrics`` of
-    each progress report holds ``ads_parse`` = {lines, rejected}."""
-    parsed = parse_ads_lines(lines, observe_as=PARSE_METRICS)
-    tagged = blacklist_stream(parsed, threshold, keep_days)
-    with _state_partitions(lines.sparkSession, state_partitions):
-        return (tagged.writeStream.queryName(name)
-                      .option("checkpointLocation", paths.checkpoint("q1"))
-                      .outputMode("append")
-                      .foreachBatch(blacklist_batch_writer(paths, compact_every))
-                      .trigger(**trigger)
-                      .start())
-
-
-def survivors_stream(spark: SparkSession, paths: StreamPaths, max_files: int | None = None) -> DataFrame:
-    # a file stream needs its folder at start; Q1 may not have landed a batch yet
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(paths.survivors)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
-    r = spark.readStream.schema(SURVIVOR_SCHEMA)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", str(max_files))
-    return r.parquet(paths.survivors)
-
-
-# ---- Q2 ---------------------------------------------------------------------
-
-def area_counts_batch_writer(paths: StreamPaths, compact_every: int = COMPACT_EVERY):
-    def write(updated: DataFrame, batch_id: int) -> None:
-        spark = updated.sparkSession
-        if updated.isEmpty():  # no key changed (e.g. a watermark-only batch)
-            return
-        upd = updated.select("area", "city", "ads_id", "dt", F.col("count").alias("clicks")).persist()
+def process_batch(paths: StreamPaths, threshold: int, length_ms: int = WINDOW_MS, slide_ms: int = SLIDE_MS,
+                  keep_survivors: bool = False, publish: Publish | None = None,
+                  arrival_ms: Callable[[], int] = lambda: int(time.time() * 1000),
+                  after: Callable[[str, int], None] = lambda step, batch_id: None):
+    """The ``foreachBatch`` function. ``keep_survivors`` also writes the
+    filtered events, one folder a batch; ``after`` is called when a step of a
+    batch is done (tests stop the query there)."""
+    def run(lines: DataFrame, batch_id: int) -> None:
+        spark = lines.sparkSession
+        records = lines.select(parse_record(F.col("value")).alias("r")).persist()
         try:
-            days_log = daycount_log(spark, paths)
-            kv_counts = _kv_store(spark, paths, kv.AREA_CITY_ADS_DAYCOUNT)
-            kv_top = _kv_store(spark, paths, kv.TOP3_ADS_PER_DAY)
-            days_log.write(upd, batch_id)
-            kv_counts.write(kv.kv_area_city_ads_daycount(upd), batch_id)
-            # days touched by this batch: a handful of values, so pruning is static
-            days = [r.dt for r in upd.select("dt").distinct().collect()]
-            totals = days_log.current(upto=batch_id, where=F.col("dt").isin(days))
-            top = ads_ops.top_ads_per_day(ads_ops.area_ads_daycount(totals), 3)
-            kv_top.write(kv.kv_top3_ads_per_day(top), batch_id)
-            _maybe_compact(batch_id, compact_every, days_log, kv_counts, kv_top)
+            events = records.where("r is not null").select("r.*", epoch_ms_day(F.col("r.ts")).alias("dt"))
+            barred = broadcast_if_small(bans(spark, paths).read().where(F.col("banned_batch") < batch_id)
+                                        .select("uid"))
+            kept = events.join(barred, "uid", "left_anti").persist()
+            try:
+                _reports(spark, kept, batch_id, _count(spark, records, kept, batch_id))
+            finally:
+                kept.unpersist()
         finally:
-            upd.unpersist()
-    return write
-
-
-def start_area_counts_query(spark: SparkSession, paths: StreamPaths, trigger: dict,
-                            name: str = "ads_area_counts", max_files: int | None = None,
-                            state_partitions: int | None = None, compact_every: int = COMPACT_EVERY):
-    counts = survivors_stream(spark, paths, max_files).groupBy("area", "city", "ads_id", "dt").count()
-    with _state_partitions(spark, state_partitions):
-        return (counts.writeStream.queryName(name)
-                      .option("checkpointLocation", paths.checkpoint("q2"))
-                      .outputMode("update")
-                      .foreachBatch(area_counts_batch_writer(paths, compact_every))
-                      .trigger(**trigger)
-                      .start())
-
-
-# ---- Q3 ---------------------------------------------------------------------
-
-def last_hour_batch_writer(paths: StreamPaths, length_ms: int = WINDOW_MS, slide_ms: int = SLIDE_MS,
-                           compact_every: int = COMPACT_EVERY):
-    def write(updated: DataFrame, batch_id: int) -> None:
-        spark = updated.sparkSession
-        if updated.isEmpty():  # watermark-only batch: no pane changed
-            return
-        panes = (updated.select("ads_id", F.unix_millis(F.col("pane.start")).alias("pane_ms"),
-                                F.col("count").alias("clicks"))
-                        .sortWithinPartitions("pane_ms")   # parquet stats skip old panes on read
-                        .persist())
-        try:
-            plog, clog = pane_log(spark, paths), clock_log(spark, paths)
-            kv_last = _kv_store(spark, paths, kv.LAST_HOUR_ADS_CLICK)
-            plog.write(panes, batch_id)
-            # the clock: start of the latest pane seen so far (monotone)
-            last = panes.agg(F.max("pane_ms")).first()[0]
-            prev = clog.current(upto=batch_id - 1)
-            prev = prev.first().last_pane if prev is not None else None
-            last = max(v for v in (last, prev) if v is not None)
-            clog.write(spark.createDataFrame([("clock", int(last))], "clock string, last_pane long"), batch_id)
-        finally:
-            panes.unpersist()
-        end = int(last) + slide_ms - 1
-        start = end - length_ms  # window (start, end]
-        recent = plog.current(upto=batch_id,
-                              where=(F.col("pane_ms") > start) & (F.col("pane_ms") <= end))
-        minute = (F.col("pane_ms") - F.pmod(F.col("pane_ms"), F.lit(60000))).alias("minute_ms")
-        minutes = (recent.groupBy("ads_id", minute,
-                                  F.date_format(F.timestamp_millis("pane_ms"), "HH:mm").alias("hour_minute"))
-                         .agg(F.sum("clicks").cast("bigint").alias("clicks")))
-        snap = ads_ops.last_hour_ads_click(minutes)
-        kv_last.write(kv.kv_last_hour_ads_click(snap), batch_id, replace_keys=True)
-        _maybe_compact(batch_id, compact_every, plog, clog, kv_last)
-
-    return write
-
-
-def start_last_hour_query(spark: SparkSession, paths: StreamPaths, trigger: dict,
-                          length_ms: int = WINDOW_MS, slide_ms: int = SLIDE_MS,
-                          name: str = "ads_last_hour", max_files: int | None = None,
-                          state_partitions: int | None = None, compact_every: int = COMPACT_EVERY):
-    ev = survivors_stream(spark, paths, max_files).withColumn("event_time", F.timestamp_millis("ts"))
-    panes = (ev.withWatermark("event_time", f"{length_ms // 1000} seconds")
-               .groupBy("ads_id", F.window("event_time", f"{slide_ms // 1000} seconds").alias("pane"))
-               .count())
-    with _state_partitions(spark, state_partitions):
-        return (panes.writeStream.queryName(name)
-                     .option("checkpointLocation", paths.checkpoint("q3"))
-                     .outputMode("update")
-                     .foreachBatch(last_hour_batch_writer(paths, length_ms, slide_ms, compact_every))
-                     .trigger(**trigger)
-                     .start())
-
-
-# ---- driver -------------------------------------------------------------------
+            records.unpersist()
+
+    def _count(spark: SparkSession, records: DataFrame, kept: DataFrame, batch_id: int) -> int | None:
+        """Store the batch's line counts; returns the window's clock. A
+        replayed batch keeps the arrival of its first run."""
+        stats, block = batch_stats(spark, paths), batch_id // 1000
+        known = stats.read().where((F.col("block") >= block - 1) & (F.col("batch_id") <= batch_id))
+        known = {r.batch_id: r for r in known.orderBy(F.desc("batch_id")).limit(2).collect()}
+        if batch_id not in known:
+            arrived = arrival_ms()
+            seen = records.agg(F.count("*").alias("n"), F.count_if(F.col("r").isNull()).alias("rejected")).first()
+            latest = kept.agg(F.max(F.when(F.col("ts") <= arrived, F.col("ts")))).first()[0]
+            clocks = [x for x in (latest, *(r.clock_ms for r in known.values())) if x is not None]
+            row = (block, batch_id, seen.n, seen.rejected, arrived, max(clocks, default=None))
+            stats.merge(spark.createDataFrame([row], stats.schema), batch_id)
+            after("stats", batch_id)
+            return row[-1]
+        return known[batch_id].clock_ms
+
+    def _reports(spark: SparkSession, kept: DataFrame, batch_id: int, clock: int | None) -> None:
+        tell = publish or (lambda name, rows, batch: None)
+        if keep_survivors:
+            (kept.select("ts", "area", "city", "uid", "ads_id", "dt").write.mode("overwrite")
+                 .parquet(f"{paths.survivors}/batch_id={batch_id}"))
+            after("survivors", batch_id)
+
+        per_user = kept.groupBy("dt", "uid", "ads_id").agg(F.count("*").alias("clicks"))
+        users = user_counts(spark, paths)
+        users.merge(per_user, batch_id)
+        after("user counts", batch_id)
+        touched = users.read(per_user.select("dt").distinct()).join(per_user.drop("clicks"), users.keys, "left_semi")
+        tell(kv.USER_ADS_DAYCOUNT, kv.kv_user_ads_daycount(touched), batch_id)
+        reached = touched.where(F.col("clicks") >= threshold).select(
+            F.pmod("uid", F.lit(16)).cast("int").alias("bucket"), "uid",
+            F.lit(batch_id).cast("bigint").alias("banned_batch")).distinct()
+        bans(spark, paths).merge(reached, batch_id)
+        tell(kv.BLACKLIST, kv.kv_blacklist(reached), batch_id)
+        after("bans", batch_id)
+
+        per_area = kept.groupBy("dt", "area", "city", "ads_id").agg(F.count("*").alias("clicks"))
+        areas = area_counts(spark, paths)
+        days = areas.merge(per_area, batch_id)
+        totals = areas.read(days)
+        tell(kv.AREA_CITY_ADS_DAYCOUNT, kv.kv_area_city_ads_daycount(
+            totals.join(per_area.drop("clicks"), areas.keys, "left_semi")), batch_id)
+        tell(kv.TOP3_ADS_PER_DAY, kv.kv_top3_ads_per_day(
+            ads_ops.top_ads_per_day(ads_ops.area_ads_daycount(totals), 3)), batch_id)
+        after("area counts", batch_id)
+
+        if clock is not None:
+            oldest = clock - length_ms - slide_ms
+            pane = (F.col("ts") - F.pmod("ts", F.lit(slide_ms))).alias("pane_ms")
+            recent = kept.where((F.col("ts") > oldest) & (F.col("ts") <= clock))
+            counts = recent.groupBy("ads_id", pane).agg(F.count("*").alias("clicks")).withColumn(
+                "hour", F.floor(F.col("pane_ms") / HOUR_MS))
+            table = panes(spark, paths)
+            table.merge(counts, batch_id)
+            table.drop_parts(oldest // HOUR_MS)
+            tell(kv.LAST_HOUR_ADS_CLICK, kv.kv_last_hour_ads_click(
+                _last_hour(spark, paths, clock, length_ms, slide_ms)), batch_id)
+        after("panes", batch_id)
+
+    return run
+
+
+def start(lines: DataFrame, paths: StreamPaths, threshold: int, trigger: dict | None = None,
+          name: str = "ads_stream", **options):
+    """Run the stream (live: a 5-second trigger). ``options`` go to
+    ``process_batch``."""
+    return (lines.writeStream.queryName(name).option("checkpointLocation", paths.checkpoint)
+                 .foreachBatch(process_batch(paths, threshold, **options))
+                 .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
+
 
 def run_available_now(spark: SparkSession, lines: DataFrame, paths: StreamPaths, threshold: int,
-                      length_ms: int = WINDOW_MS, state_partitions: int | None = None,
-                      compact_every: int = COMPACT_EVERY, survivor_files_per_trigger: int | None = None) -> dict:
-    """Drain the line source through Q1, then Q2 and Q3 (tests, backfills).
-
-    Returns the summed parse metrics of Q1's batches."""
-    n = state_partitions
-    c = compact_every
-    q1 = start_blacklist_query(lines, paths, threshold, {"availableNow": True}, state_partitions=n,
-                               compact_every=c)
-    q1.awaitTermination()
-    seen = {"lines": 0, "rejected": 0}
-    for prog in q1.recentProgress:
-        m = (prog.get("observedMetrics") or {}).get(PARSE_METRICS)
-        if m:
-            seen["lines"] += int(m["lines"])
-            seen["rejected"] += int(m["rejected"])
-    m = survivor_files_per_trigger
-    q2 = start_area_counts_query(spark, paths, {"availableNow": True}, state_partitions=n,
-                                 compact_every=c, max_files=m)
-    q3 = start_last_hour_query(spark, paths, {"availableNow": True}, length_ms=length_ms,
-                               state_partitions=n, compact_every=c, max_files=m)
-    q2.awaitTermination()
-    q3.awaitTermination()
-    return seen
-
-
-def start_all(spark: SparkSession, lines: DataFrame, paths: StreamPaths, threshold: int,
-              interval: str = "5 seconds", state_partitions: int | None = None):
-    """Run the three queries continuously (the live deployment).
-
-    ``state_partitions`` sizes the state stores (fixed for the life of the
-    checkpoint); None keeps the session's shuffle partition setting."""
-    trig = {"processingTime": interval}
-    n = state_partitions
-    return [start_blacklist_query(lines, paths, threshold, trig, state_partitions=n),
-            start_area_counts_query(spark, paths, trig, state_partitions=n),
-            start_last_hour_query(spark, paths, trig, state_partitions=n)]
-
-
-def start_raw_preview(lines: DataFrame, trigger: dict | None = None, rows: int = 20,
-                      name: str = "ads_raw_preview"):
-    """Print each micro-batch's raw lines on the driver console (a debugging
-    aid; the console sink is not fault tolerant)."""
+                      **options) -> dict[str, int]:
+    """Drain the line source (tests, backfills). Returns the lines and rejected
+    lines of all batches of this run, as stored per batch."""
+    before = batch_stats(spark, paths).read().agg(F.coalesce(F.max("batch_id"), F.lit(-1))).first()[0]
+    start(lines, paths, threshold, {"availableNow": True}, **options).awaitTermination()
+    row = batch_stats(spark, paths).read().where(F.col("batch_id") > before).agg(
+        F.coalesce(F.sum("lines"), F.lit(0)).alias("lines"),
+        F.coalesce(F.sum("rejected"), F.lit(0)).alias("rejected")).first()
+    return {"lines": row.lines, "rejected": row.rejected}
+
+
+def start_raw_preview_first_rows(lines: DataFrame, trigger: dict | None = None, rows: int = 20,
+                                 name: str = "ads_raw_preview"):
+    """Print the first ``rows`` raw lines of each micro-batch on the driver
+    console: a debugging aid that shows a sample, not every record."""
     w = (lines.writeStream.queryName(name).format("console")
               .option("truncate", "false").option("numRows", str(rows)))
     return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
 
+# ---- what the stream holds now ---------------------------------------------
+
 def current_bans(spark: SparkSession, paths: StreamPaths) -> DataFrame:
-    cur = bans_log(spark, paths).current()
-    return cur if cur is not None else spark.createDataFrame([], "uid long, banned_batch long")
+    return bans(spark, paths).read().select("uid", "banned_batch")
 
 
 def current_survivors(spark: SparkSession, paths: StreamPaths) -> DataFrame:
     return spark.read.schema(SURVIVOR_SCHEMA).parquet(paths.survivors)
 
 
-def kv_current(spark: SparkSession, paths: StreamPaths, name: str) -> DataFrame:
-    return _kv_store(spark, paths, name).current()
+def kv_current(spark: SparkSession, paths: StreamPaths, name: str, length_ms: int = WINDOW_MS,
+               slide_ms: int = SLIDE_MS) -> DataFrame:
+    """(key, field, value): the content of one key of the hash store."""
+    if name == kv.USER_ADS_DAYCOUNT:
+        return kv.kv_user_ads_daycount(user_counts(spark, paths).read())
+    if name == kv.BLACKLIST:
+        return kv.kv_blacklist(current_bans(spark, paths))
+    totals = area_counts(spark, paths).read()
+    if name == kv.AREA_CITY_ADS_DAYCOUNT:
+        return kv.kv_area_city_ads_daycount(totals)
+    if name == kv.TOP3_ADS_PER_DAY:
+        return kv.kv_top3_ads_per_day(ads_ops.top_ads_per_day(ads_ops.area_ads_daycount(totals), 3))
+    clock = batch_stats(spark, paths).read().agg(F.max("clock_ms")).first()[0]
+    return kv.kv_last_hour_ads_click(_last_hour(spark, paths, clock or 0, length_ms, slide_ms))

@@ -3,11 +3,12 @@ from pyspark.sql import functions as F
 
 from clickscope.functions.city_remark import city_remark_by_group, register_city_remark
 from clickscope.operators import areas, categories, pages, visits
-from clickscope.params import VisitParams, flow_pairs, parse_condition
+from clickscope.params import (VisitParams, condition_from_properties, flow_pairs, parse_condition,
+                               parse_properties)
 from clickscope.schemas import USER_VISIT_ACTION
 
-CONDITION = """{startDate:"2018-11-01", endDate:"2018-12-28", startAge: "20", endAge: "50",
-  professionals: "", city: "", gender:"", keywords:"", categoryIds:"", targetPageFlow:"1,2,3,4,5,6,7"}"""
+CONDITION = """{targetPageFlow: "4,9,2", gender:"", endAge:"37", startAge: "18", endDate:"2023-06-30",
+  startDate:"2023-03-05", keywords:"a, b: c"}"""
 
 
 def uva_rows(spark, rows):
@@ -25,34 +26,25 @@ def uva_rows(spark, rows):
 
 def test_parse_condition():
     p = parse_condition(CONDITION)
-    assert p.visits == VisitParams("2018-11-01", "2018-12-28", 20, 50)
-    assert p.target_page_flow == (1, 2, 3, 4, 5, 6, 7)
-    q = parse_condition('{startDate:"", endDate:"2018-12-28", startAge:"", endAge:"50", targetPageFlow:"1, 2"}')
+    assert p.visits == VisitParams("2023-03-05", "2023-06-30", 18, 37)
+    assert p.target_page_flow == (4, 9, 2)
+    q = parse_condition('{startDate:"", endDate:"2023-06-30", startAge:"", endAge:"37", targetPageFlow:"1, 2"}')
     assert q.visits.start_date is None and q.visits.start_age is None
     assert q.target_page_flow == (1, 2)
 
 
-PROPERTIES = """# task condition
-condition.params.json={startDate:"2018-11-01", \\
-  endDate:"2018-12-28", \\
-  startAge: "20", \\
-  endAge: "50", \\
-  professionals: "",  \\
-  city: "", \\
-  gender:"", \\
-  keywords:"", \\
-  categoryIds:"", \\
-  targetPageFlow:"1,2,3,4,5,6,7"}
-other.key = x
+PROPERTIES = """! the run's condition
+other.key : x
+condition.params.json = {endAge: "37", startAge: "18", \\
+    targetPageFlow:"4,9,2", startDate:"2023-03-05", endDate:"2023-06-30"}
 """
 
 
 def test_condition_from_properties():
-    from clickscope.params import condition_from_properties, parse_properties
     assert parse_properties(PROPERTIES)["other.key"] == "x"
     p = condition_from_properties(PROPERTIES)
-    assert p.visits == VisitParams("2018-11-01", "2018-12-28", 20, 50)
-    assert p.target_page_flow == (1, 2, 3, 4, 5, 6, 7)
+    assert p.visits == VisitParams("2023-03-05", "2023-06-30", 18, 37)
+    assert p.target_page_flow == (4, 9, 2)
 
 
 def test_remark_one_city_and_two_cities(spark):
@@ -72,14 +64,15 @@ def test_remark_three_cities_and_tie(spark):
     assert r.remark == "C:50.0%,A:25.0%,其他:25.0%"
 
 
-def test_remark_pandas_udf_equals_composition(spark):
+def test_remark_sql_function_equals_composition(spark):
     register_city_remark(spark, "city_remark_t")
     rows = [("A", i % 4, c) for i, c in enumerate("XYZXXYQXZZYX" * 3)]
     df = spark.createDataFrame(rows, "area string, pid long, city_name string")
-    df.createOrReplaceTempView("remark_t")
-    # a grouped pandas UDF cannot share an aggregate with built-in functions
-    sql = spark.sql("select area, pid, city_remark_t(city_name) remark from remark_t group by area, pid")
-    comp = city_remark_by_group(df, ["area", "pid"], "city_name").drop("clicount")
+    df.groupBy("area", "pid", "city_name").count().createOrReplaceTempView("remark_t")
+    sql = spark.sql("""select area, pid, sum(count) clicount,
+                              city_remark_t(collect_list(named_struct('city', city_name, 'n', count))) remark
+                       from remark_t group by area, pid""")
+    comp = city_remark_by_group(df, ["area", "pid"], "city_name")
     assert sorted(map(tuple, sql.collect())) == sorted(map(tuple, comp.collect()))
 
 

@@ -3,6 +3,7 @@ import contextlib
 import io
 
 import __spark_entry__ as E
+from clickscope.plans import reports
 
 from .conftest import SF_SMALL
 
@@ -37,16 +38,32 @@ def test_dimensions_broadcast_after_size_check(spark):
     assert "BroadcastHashJoin" in p and "BuildRight" in p
 
 
-def test_pairing_reads_one_range_partitioning(spark):
-    p = plan(E.queries()["session_page_pairs"](spark, SF_SMALL))
-    assert "rangepartitioning" not in p      # materialised once, below the checkpoint
-    rdds = {line.split("MapPartitionsRDD[")[1].split("]")[0]
-            for line in p.splitlines() if "MapPartitionsRDD[" in line}
-    assert len(rdds) == 1                    # both branches read the same RDD
+def test_pairing_scans_events_once(spark):
+    df = E.queries()["session_page_pairs"](spark, SF_SMALL)
+    df.collect()
+    p = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "rangepartitioning" not in p and "Scan ExistingRDD" not in p
+    assert "ReusedExchange" in p  # both halves read the one clustering by session and hour
+
+
+def test_last_hour_range_reaches_the_scan(spark):
+    p = plan(E.queries()["last_hour_ads_click"](spark, SF_SMALL))
+    assert "GreaterThanOrEqual(ts,2024-" in p and "LessThan(ts,2024-" in p
+
+
+def test_ban_list_orders_only_keys_that_reach_the_threshold(spark):
+    p = plan(E.queries()["blacklist_users"](spark, SF_SMALL))
+    assert "LeftSemi" in p and "BroadcastHashJoin" in p
+
+
+def test_products_are_not_shuffled_for_the_top_list(spark):
+    p = plan(E.queries()["area_top3_product"](spark, SF_SMALL))
+    part = p[p.index("p_partkey"):] if "p_partkey" in p else p
+    assert "BroadcastExchange" in p and "hashpartitioning(p_partkey" not in part and "hashpartitioning(product_id" not in p
 
 
 def test_no_python_in_batch_reports(spark):
-    for key in E.queries():
+    for key in reports.registry():
         if key.startswith("stream_"):
             continue
         p = plan(E.queries()[key](spark, SF_SMALL))

@@ -1,7 +1,9 @@
 """Neighbour pairing equals a brute-force lead, also when one group is cut
-across many range partitions (a hot session)."""
+into many pieces (a hot session)."""
 import random
 
+from pyspark.sql import functions as F
+
 from clickscope.operators.sequence import consecutive_pairs
 
 
@@ -16,7 +18,7 @@ def brute(rows):
     return sorted(out)
 
 
-def test_hot_group_split_over_ranges(spark):
+def test_hot_group_split_into_pieces(spark):
     rnd = random.Random(7)
     rows = []
     eid = 0
@@ -26,13 +28,13 @@ def test_hot_group_split_over_ranges(spark):
             rows.append((g, f"2024-01-01 00:00:{rnd.randint(0, 59):02d}", eid, rnd.randint(1, 10)))
             eid += 1
     df = spark.createDataFrame(rows, "g string, t string, id long, v long")
-    for ranges in (1, 7, 37):
-        got = consecutive_pairs(df, "g", ["t", "id"], "v", num_ranges=ranges)
-        assert sorted(map(tuple, got.collect())) == brute(rows), ranges
+    for chars in (10, 18, 19):  # one piece a day, ten seconds, a second
+        got = consecutive_pairs(df, "g", ["t", "id"], "v", piece=F.substring("t", 1, chars))
+        assert sorted(map(tuple, got.collect())) == brute(rows), chars
 
 
 def test_single_rows_and_empty(spark):
     df = spark.createDataFrame([("a", "t", 1, 5)], "g string, t string, id long, v long")
-    assert consecutive_pairs(df, "g", ["t", "id"], "v", num_ranges=4).count() == 0
+    assert consecutive_pairs(df, "g", ["t", "id"], "v", piece=F.col("t")).count() == 0
     empty = spark.createDataFrame([], "g string, t string, id long, v long")
-    assert consecutive_pairs(empty, "g", ["t", "id"], "v", num_ranges=4).count() == 0
+    assert consecutive_pairs(empty, "g", ["t", "id"], "v", piece=F.col("t")).count() == 0

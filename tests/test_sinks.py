@@ -27,11 +27,11 @@ def test_raw_preview_prints_batches(spark):
     import tempfile
 
     from clickscope.session import fresh_subdir
-    from clickscope.streaming.adstream import start_raw_preview
-    src = tempfile.mkdtemp(dir=fresh_subdir(spark, "preview"))
+    from clickscope.streaming.adstream import start_raw_preview_first_rows
+    src = tempfile.mkdtemp(dir=fresh_subdir(spark, "preview").removeprefix("file:"))
     with open(os.path.join(src, "a.txt"), "w") as fh:
         fh.write("1704067200000 north cityA 7 3\n")
-    q = start_raw_preview(spark.readStream.format("text").load(src), {"availableNow": True})
+    q = start_raw_preview_first_rows(spark.readStream.format("text").load(src), {"availableNow": True})
     q.awaitTermination()
     # the console output goes to the JVM's stdout; check the query's progress
     prog = [p for p in q.recentProgress if p["numInputRows"]]

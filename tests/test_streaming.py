@@ -1,6 +1,6 @@
-"""The three stream queries equal the batch reports on the same input.
+"""The stream equals the batch reports on the same input, also after crashes.
 
-The ad records of sf0.001 become log lines in six time-ordered files; the
+The ad records of sf0.001 become log lines in four time-ordered files; the
 stream reads one file per micro-batch, so the batch form numbers batches by
 file.
 """
@@ -8,161 +8,185 @@ import os
 import tempfile
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from clickscope.operators import ads
 from clickscope.params import TEST_THRESHOLD
-from clickscope.session import fresh_subdir
+from clickscope.session import fresh_subdir, shared_dir
 from clickscope.sinks import kv
+from clickscope.sinks.merged import MergedTable
 from clickscope.sources import adslog
 from clickscope.sources import tables as tb
 from clickscope.streaming import adstream as pl
 
 from .conftest import SF_SMALL
 
-N_FILES = 6
+N_FILES = 4
+KVC = ["key", "field", "value"]
+DAY = 1704067200000  # 2024-01-01
 
 
-@pytest.fixture(scope="module")
-def stream_run(spark):
-    rows = (adslog.ads_lines(tb.ads_log(spark, SF_SMALL), keep=["ts"])
-                  .orderBy("ts").collect())
-    src = tempfile.mkdtemp(prefix="lines-", dir=fresh_subdir(spark, "stream-src"))
-    per = (len(rows) + N_FILES - 1) // N_FILES
-    bad = ["1704067200000 north cityA 7", "oops north cityA 7 3"]  # short / non-numeric
-    for i in range(N_FILES):
+def _rows(df, cols):
+    return sorted(tuple(r) for r in df.select(*cols).collect())
+
+
+def source(spark, files):
+    """A folder with one text file of lines per micro-batch, in order."""
+    base = shared_dir(spark).removeprefix("file:")
+    os.makedirs(base, exist_ok=True)
+    src = tempfile.mkdtemp(prefix="lines-", dir=base)
+    for i, lines in enumerate(files):
         path = os.path.join(src, f"part-{i:03d}.txt")
         with open(path, "w") as fh:
-            fh.write("\n".join([r.value for r in rows[i * per:(i + 1) * per]] + (bad if i == 2 else [])) + "\n")
+            fh.write("\n".join(lines) + "\n")
         os.utime(path, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
-    paths = pl.StreamPaths(fresh_subdir(spark, "stream-out"))
-    lines = adslog.text_lines(spark, src, max_files_per_trigger=1)
-    # compact every 2 batches, and let Q2/Q3 take a few survivor files per
-    # batch, so compaction and multi-batch merging run in all three queries
-    seen = pl.run_available_now(spark, lines, paths, TEST_THRESHOLD, state_partitions=4,
-                                compact_every=2, survivor_files_per_trigger=6)
-    assert seen == {"lines": len(rows) + len(bad), "rejected": len(bad)}
+    return src
 
-    # batch form over the same lines, batch number = file number
-    static = (spark.read.text(src)
-                   .withColumn("batch", F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1).cast("bigint")))
-    parsed = adslog.parse_ads_lines(static, keep=["batch"])
-    return spark, paths, parsed
 
+def parsed_batches(spark, src):
+    static = spark.read.text(src).withColumn(
+        "batch", F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1).cast("bigint"))
+    return adslog.parse_ads_lines(static, keep=["batch"])
 
-def _rows(df, cols):
-    return sorted(tuple(r) for r in df.select(*cols).collect())
 
-
-def test_stream_bans_and_survivors(stream_run):
-    spark, paths, parsed = stream_run
-    bans = ads.ban_batches(parsed, TEST_THRESHOLD)
-    assert bans.count() > 0
-    assert _rows(pl.current_bans(spark, paths), ["uid", "banned_batch"]) == _rows(bans, ["uid", "banned_batch"])
+def expected(parsed, threshold):
+    """What the stream must hold, from the batch operators."""
+    bans = ads.ban_batches(parsed, threshold)
     surv = ads.blacklist_filter(parsed, bans)
-    cols = ["ts", "area", "city", "uid", "ads_id", "dt"]
-    assert _rows(pl.current_survivors(spark, paths), cols) == _rows(surv, cols)
-    want = kv.kv_user_ads_daycount(ads.user_ads_daycount(surv))
-    assert _rows(pl.kv_current(spark, paths, kv.USER_ADS_DAYCOUNT), ["key", "field", "value"]) == \
-        _rows(want, ["key", "field", "value"])
+    acc = ads.area_city_ads_daycount(surv)
+    return {
+        "bans": _rows(bans, ["uid", "banned_batch"]),
+        "survivors": _rows(surv, ["ts", "area", "city", "uid", "ads_id", "dt"]),
+        kv.USER_ADS_DAYCOUNT: _rows(kv.kv_user_ads_daycount(ads.user_ads_daycount(surv)), KVC),
+        kv.AREA_CITY_ADS_DAYCOUNT: _rows(kv.kv_area_city_ads_daycount(acc), KVC),
+        kv.TOP3_ADS_PER_DAY: _rows(kv.kv_top3_ads_per_day(ads.top_ads_per_day(ads.area_ads_daycount(acc), 3)), KVC),
+        kv.LAST_HOUR_ADS_CLICK: _rows(kv.kv_last_hour_ads_click(
+            ads.last_hour_ads_click(ads.last_hour_ads_minutes(surv))), KVC),
+    }
+
+
+def held(spark, paths):
+    return {
+        "bans": _rows(pl.current_bans(spark, paths), ["uid", "banned_batch"]),
+        "survivors": _rows(pl.current_survivors(spark, paths), ["ts", "area", "city", "uid", "ads_id", "dt"]),
+        **{k: _rows(pl.kv_current(spark, paths, k), KVC) for k in (
+            kv.USER_ADS_DAYCOUNT, kv.AREA_CITY_ADS_DAYCOUNT, kv.TOP3_ADS_PER_DAY, kv.LAST_HOUR_ADS_CLICK)},
+    }
 
 
-def test_stream_daycounts_and_top3(stream_run):
-    spark, paths, parsed = stream_run
-    surv = ads.blacklist_filter(parsed, ads.ban_batches(parsed, TEST_THRESHOLD))
-    acc = ads.area_city_ads_daycount(surv)
-    kvc = ["key", "field", "value"]
-    assert _rows(pl.kv_current(spark, paths, kv.AREA_CITY_ADS_DAYCOUNT), kvc) == \
-        _rows(kv.kv_area_city_ads_daycount(acc), kvc)
-    top = ads.top_ads_per_day(ads.area_ads_daycount(acc), 3)
-    assert _rows(pl.kv_current(spark, paths, kv.TOP3_ADS_PER_DAY), kvc) == \
-        _rows(kv.kv_top3_ads_per_day(top), kvc)
-
-
-def test_stream_last_hour(stream_run):
-    spark, paths, parsed = stream_run
-    surv = ads.blacklist_filter(parsed, ads.ban_batches(parsed, TEST_THRESHOLD))
-    snap = ads.last_hour_ads_click(ads.last_hour_ads_minutes(surv))
-    kvc = ["key", "field", "value"]
-    got = _rows(pl.kv_current(spark, paths, kv.LAST_HOUR_ADS_CLICK), kvc)
-    assert got and got == _rows(kv.kv_last_hour_ads_click(snap), kvc)
-
-
-def test_replayed_batch_is_a_no_op(stream_run):
-    spark, paths, _ = stream_run
-    before = _rows(pl.current_survivors(spark, paths), ["ts", "uid", "batch_id"])
-    bans_before = _rows(pl.current_bans(spark, paths), ["uid", "banned_batch"])
-    # replay batch 0 of Q1 with different content: it must be skipped
-    fake = spark.createDataFrame([("event", 1, "a", "b", 1, 1, "2024-01-01", None)], pl_out_schema())
-    pl.blacklist_batch_writer(paths)(fake, 0)
-    assert _rows(pl.current_survivors(spark, paths), ["ts", "uid", "batch_id"]) == before
-    assert _rows(pl.current_bans(spark, paths), ["uid", "banned_batch"]) == bans_before
-
-
-def test_logs_were_compacted(stream_run):
-    spark, paths, _ = stream_run
-    from clickscope.sinks.keyed_log import _list_numbered
-    for log in (pl.bans_log(spark, paths), pl.daycount_log(spark, paths), pl.pane_log(spark, paths)):
-        assert _list_numbered(spark, f"{log.path}/_snapshots", "upto"), log.path
-
-
-def test_keyed_log_compaction(spark):
-    from clickscope.sinks.keyed_log import KeyedLog, _list_numbered
-    log = KeyedLog(spark, fresh_subdir(spark, "klog") + "/log", ["k"], ["v"])
-    rows = lambda *kv_: spark.createDataFrame(list(kv_), "k string, v long")
-    want = {}
-    for b in range(1, 10):
-        log.write(rows((f"k{b % 3}", b), ("fixed", 1)), b)
-        want[f"k{b % 3}"] = b
-        want["fixed"] = 1
-        if b % 3 == 0:
-            log.compact(b)
-        assert {r.k: r.v for r in log.current().collect()} == want
-    # batches folded into an older snapshot are gone (history before the
-    # retained snapshots is not kept); reads within the retained range work
-    assert min(_list_numbered(spark, log.path, "batch_id")) > 6
-    assert {r.k: r.v for r in log.current(upto=7).collect()} == {"k0": 6, "k1": 7, "k2": 5, "fixed": 1}
-
-
-def test_kv_log_replay_and_replace(spark):
-    store = kv.KvLog(spark, fresh_subdir(spark, "kv-test") + "/store")
-    rows = lambda *kvs: spark.createDataFrame(list(kvs), "key string, field string, value string")
-    store.write(rows(("h", "a", "1"), ("h", "b", "1")), 0, replace_keys=True)
-    store.write(rows(("h", "a", "2")), 1, replace_keys=True)
-    store.write(rows(("h", "a", "2")), 1, replace_keys=True)   # replay
-    assert _rows(store.current(), ["key", "field", "value"]) == [("h", "a", "2")]  # b left the window
-    store.write(rows(("m", "x", "1")), 2)
-    store.write(rows(("m", "y", "5")), 3)
-    store.compact(3)
-    store.write(rows(("m", "x", "3")), 4)
-    store.write(rows(("h", "c", "9")), 5, replace_keys=True)   # replaces h after a snapshot
-    store.compact(5)
-    assert _rows(store.current().where("key = 'm'"), ["field", "value"]) == [("x", "3"), ("y", "5")]
-    assert _rows(store.current().where("key = 'h'"), ["field", "value"]) == [("c", "9")]
-
-
-def pl_out_schema():
-    from clickscope.streaming.blacklist import OUT_SCHEMA
-    return OUT_SCHEMA
-
-
-def test_live_queries_with_processing_time_trigger(spark):
-    """start_all runs the three queries continuously; drain, check, stop."""
-    src = tempfile.mkdtemp(dir=fresh_subdir(spark, "live-src"))
-    day = 1704067200000
-    with open(os.path.join(src, "a.txt"), "w") as fh:
-        fh.write("\n".join(f"{day + i * 1000} north cityA {1 + i % 2} {1 + i % 3}" for i in range(12)) + "\n")
+@pytest.fixture(scope="module")
+def real_files(spark):
+    rows = [r.value for r in adslog.ads_lines(tb.ads_log(spark, SF_SMALL), keep=["ts"]).orderBy("ts").collect()]
+    per = (len(rows) + N_FILES - 1) // N_FILES
+    files = [rows[i * per:(i + 1) * per] for i in range(N_FILES)]
+    files[2] = files[2] + [f"{DAY} north cityA 7", "oops north cityA 7 3"]  # short / non-numeric
+    return files
+
+
+def run(spark, src, paths, threshold=TEST_THRESHOLD, **options):
+    lines = adslog.text_lines(spark, src, max_files_per_trigger=1)
+    return pl.run_available_now(spark, lines, paths, threshold, keep_survivors=True, **options)
+
+
+def test_stream_equals_batch_and_counts_every_line(spark, real_files):
+    old = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")  # fewer than the batches
+    try:
+        src, paths = source(spark, real_files), pl.StreamPaths(fresh_subdir(spark, "stream-out"))
+        seen = run(spark, src, paths)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", old)
+    assert seen == {"lines": sum(map(len, real_files)), "rejected": 2}
+    want = expected(parsed_batches(spark, src), TEST_THRESHOLD)
+    assert want["bans"] and want[kv.LAST_HOUR_ADS_CLICK]
+    assert held(spark, paths) == want
+    assert run(spark, src, paths) == {"lines": 0, "rejected": 0}  # nothing new
+
+
+@pytest.mark.parametrize("step", ["survivors", "user counts", "panes"])
+def test_one_restart_after_a_crash_goes_on_exactly_once(spark, real_files, step):
+    """The query dies after ``step`` of a batch; 'panes' is after the last
+    write, before the batch's offset is committed."""
+    src, paths = source(spark, real_files[:3]), pl.StreamPaths(fresh_subdir(spark, "stream-crash"))
+
+    def die(at, batch_id):
+        if at == step and batch_id == 1:
+            raise RuntimeError("killed")
+    with pytest.raises(StreamingQueryException):
+        run(spark, src, paths, after=die)
+    run(spark, src, paths)
+    assert held(spark, paths) == expected(parsed_batches(spark, src), TEST_THRESHOLD)
+    total = pl.batch_stats(spark, paths).read().agg(F.sum("lines")).first()[0]
+    assert total == sum(map(len, real_files[:3]))
+
+
+def test_hot_user_far_future_line_and_late_clicks(spark):
+    line = lambda ms, uid, ad: f"{ms} north cityA {uid} {ad}"
+    first = [line(DAY + i * 1000, 1 if i % 3 == 0 else 100 + i, 1 + i % 4) for i in range(300)]
+    odd = [line(253402300000000, 5, 9)]  # year 9999
+    later = [line(DAY + 3 * 3_600_000 + i * 1000, 200 + i, 2) for i in range(30)]
+    late = [line(DAY + i * 1000, 300 + i, 7) for i in range(20)]  # three hours late
+    src, paths = source(spark, [first + odd, later, late]), pl.StreamPaths(fresh_subdir(spark, "stream-odd"))
+    run(spark, src, paths, threshold=20)
+    parsed = parsed_batches(spark, src)
+    want = expected(parsed, 20)
+    assert [u for u, _ in want["bans"]] == [1]
+    got = held(spark, paths)
+    assert got == want  # the batch form's window does not follow the odd line either
+    assert [r[1] for r in got[kv.LAST_HOUR_ADS_CLICK]] == ["2"]
+    assert any("9999" in r[1] for r in got[kv.AREA_CITY_ADS_DAYCOUNT])
+    hours = {r.hour for r in pl.panes(spark, paths).read().select("hour").distinct().collect()}
+    end = (DAY + 3 * 3_600_000) // pl.HOUR_MS
+    assert hours <= {end, end - 1}  # one hour of panes is kept
+
+
+def test_published_rows_are_the_changed_ones(spark):
+    src = source(spark, [[f"{DAY} north cityA 1 1"], [f"{DAY + 1000} north cityB 2 1"]])
+    told = []
+    run(spark, src, pl.StreamPaths(fresh_subdir(spark, "stream-publish")), threshold=100,
+        publish=lambda name, rows, batch: told.extend((name, batch, r.field, r.value) for r in rows.collect()))
+    assert (kv.AREA_CITY_ADS_DAYCOUNT, 1, "north:cityB:1:2024-01-01", "1") in told
+    assert (kv.AREA_CITY_ADS_DAYCOUNT, 1, "north:cityA:1:2024-01-01", "1") not in told
+    assert (kv.TOP3_ADS_PER_DAY, 1, "north", '[{"1":2}]') in told
+
+
+def test_no_python_in_the_plans(spark, monkeypatch):
+    plans = []
+    real = MergedTable.merge
+
+    def spy(self, rows, batch_id, replace=False):
+        plans.append(rows._jdf.queryExecution().toString())
+        return real(self, rows, batch_id, replace)
+    monkeypatch.setattr(MergedTable, "merge", spy)
+    run(spark, source(spark, [[f"{DAY} north cityA 1 1"]]), pl.StreamPaths(fresh_subdir(spark, "stream-plan")))
+    assert len(plans) == 5 and not any("Python" in p or "Pandas" in p or "Arrow" in p for p in plans)
+
+
+def test_merged_table_replay_and_crash_between_partitions(spark):
+    t = MergedTable(spark, fresh_subdir(spark, "merged") + "/t", "p long, k string, n long", "p", ["p", "k"], {"n": "sum"})
+    rows = lambda *r: spark.createDataFrame(list(r), "p long, k string, n long")
+    t.merge(rows((1, "a", 1), (2, "a", 5)), 0)
+    t.merge(rows((1, "a", 1), (1, "b", 1)), 1)
+    t.merge(rows((1, "a", 1), (1, "b", 1)), 1)  # replay
+    assert _rows(t.read(), ["p", "k", "n"]) == [(1, "a", 2), (1, "b", 1), (2, "a", 5)]
+    t.merge(rows((1, "a", 7)), 2)  # as if the batch died before partition 2
+    t.merge(rows((1, "a", 7), (2, "a", 1)), 2)
+    assert _rows(t.read(), ["p", "k", "n"]) == [(1, "a", 9), (1, "b", 1), (2, "a", 6)]
+    t.merge(rows((2, "z", 3)), 3, replace=True)
+    assert _rows(t.read(), ["p", "k", "n"]) == [(1, "a", 9), (1, "b", 1), (2, "z", 3)]
+    t.drop_parts(2)
+    assert _rows(t.read(), ["p", "k", "n"]) == [(2, "z", 3)]
+
+
+def test_live_query_with_processing_time_trigger(spark):
+    src = source(spark, [[f"{DAY + i * 1000} north cityA {1 + i % 2} {1 + i % 3}" for i in range(12)]])
     paths = pl.StreamPaths(fresh_subdir(spark, "live-out"))
-    qs = pl.start_all(spark, adslog.text_lines(spark, src), paths, threshold=100,
-                      interval="1 second", state_partitions=2)
+    q = pl.start(adslog.text_lines(spark, src), paths, threshold=100, trigger={"processingTime": "1 second"})
     try:
-        qs[0].processAllAvailable()
-        for q in qs[1:]:
-            q.processAllAvailable()
+        q.processAllAvailable()
     finally:
-        for q in qs:
-            q.stop()
-    assert pl.current_survivors(spark, paths).count() == 12
+        q.stop()
     counts = pl.kv_current(spark, paths, kv.AREA_CITY_ADS_DAYCOUNT)
     assert sum(int(r.value) for r in counts.collect()) == 12
     assert pl.kv_current(spark, paths, kv.LAST_HOUR_ADS_CLICK).count() == 3
