@@ -13,8 +13,9 @@ therefore splits at those points into chunks, and the N best segmentations of
 the text are the N least sums of the chunks' losses. Only chunks with the N-1
 smallest losses to their own runner-up can differ from their best in them:
 the Viterbi pass carries the runner-up's score along, and the A-star search
-runs for those chunks alone. Chunks are short and repeat, so a bounded cache
-in each worker holds their best segmentations.
+runs for those chunks alone. Chunks are short and repeat: the new ones of a
+batch of texts go through the Viterbi pass together, a column of the batch at
+a time, and a bounded cache holds their best segmentations.
 
 The model file is the vocabulary (path a parameter, sent along as bytes of a
 fixed size); nothing is trained. Its scores are used as they stand.
@@ -35,16 +36,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shared import read_table
 
 MODEL = os.environ.get("TOKENIZER_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 NBEST = 4
-CACHE = 400_000  # chunks a worker remembers
+CACHE = 150_000  # chunks a task remembers
 CACHED_CHARS = 24
+TOGETHER = 256  # texts of a batch
 CHUNK = re.compile(r" +[^ \n]*|\n|[^ \n]+")
 
 
@@ -65,9 +70,108 @@ class Pieces:
             i: bytes([b]) for b, i in enumerate(self.byte)}
         # a character in byte pieces is worse than any ranked piece
         self.unknown = min(s for s in self.score.values() if s > -1e8) - 10.0
+        self.plain_chars = {p for p in self.ids if len(p) == 1}
+        self._fill_table()
         self.cache: dict[str, tuple] = {}
         self.few: dict[tuple[str, int], list] = {}
 
+    def _fill_table(self) -> None:
+        """Beginnings of pieces by hash: the piece's id, or -1 for no piece."""
+        heads = sorted(self.heads)
+        width = max(map(len, heads))
+        chars = np.zeros((len(heads), width), np.uint64)
+        for i, h in enumerate(heads):
+            chars[i, :len(h)] = list(map(ord, h))
+        size = np.array(list(map(len, heads)))
+        code = np.zeros(len(heads), np.uint64)
+        for n in range(width):
+            code = np.where(n < size, _step(code, chars[:, n]), code)
+        assert len(np.unique(code)) == len(code)
+        bits = int(len(heads) * 4).bit_length()
+        self.shift = np.uint64(64 - bits)
+        self.slots, self.piece = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -2, np.int32)
+        ids = np.array([self.ids.get(h, -1) for h in heads], np.int32)
+        left, at = np.arange(len(heads)), (code >> self.shift).astype(np.int64)
+        self.probes = 0
+        while len(left):  # linear probing, all of a round at once
+            free = np.flatnonzero(self.piece[at[left]] == -2)
+            _, one = np.unique(at[left[free]], return_index=True)
+            put = left[free[one]]
+            self.slots[at[put]], self.piece[at[put]] = code[put], ids[put]
+            left = np.setdiff1d(left, put)
+            at[left] = (at[left] + 1) & (len(self.slots) - 1)
+            self.probes += 1
+        self.scores = np.zeros(max(self.score) + 1)
+        for i, x in self.score.items():
+            self.scores[i] = x
+
+    def _lookup(self, code: np.ndarray) -> np.ndarray:
+        """Ids of beginnings by hash: -1 no piece, -2 no beginning."""
+        at = (code >> self.shift).astype(np.int64)
+        out = np.full(len(code), -2, np.int32)
+        open_ = np.arange(len(code))
+        for _ in range(self.probes):
+            found = self.slots[at[open_]] == code[open_]
+            out[open_[found]] = self.piece[at[open_[found]]]
+            open_ = open_[~found & (self.piece[at[open_]] != -2)]
+            if not len(open_):
+                break
+            at[open_] = (at[open_] + 1) & (len(self.slots) - 1)
+        return out
+
+    def best_of_all(self, words: list[str]) -> None:
+        """Put the best segmentations of short chunks, every character of them
+        a piece, into the cache: ``forward`` for all of them at once."""
+        size = np.array(list(map(len, words)))
+        width = int(size.max())
+        chars = np.frombuffer("".join(w.ljust(width, "\0") for w in words).encode("utf-32-le"), np.uint32)
+        chars = chars.reshape(len(words), width).astype(np.uint64)
+        none = float("-inf")
+        best, second = np.full((width + 1, len(words)), none), np.full((width + 1, len(words)), none)
+        back = np.zeros((width + 1, len(words)), np.int8)
+        last = np.zeros((width + 1, len(words)), np.int32)
+        best[0] = 0.0
+        for i in range(width):
+            word = np.flatnonzero((size > i) & (best[i] > none))
+            code = np.zeros(len(word), np.uint64)
+            for j in range(i + 1, width + 1):
+                code = _step(code, chars[word, j - 1])
+                ids = self._lookup(code)
+                alive = ids != -2
+                word, code, ids = word[alive], code[alive], ids[alive]
+                if not len(word):
+                    break
+                at = np.flatnonzero(ids >= 0)
+                w, score = word[at], self.scores[ids[at]]
+                x, y, old = best[i, w] + score, second[i, w] + score, best[j, w]
+                second[j, w] = np.maximum(np.maximum(second[j, w], np.minimum(x, old)), y)
+                new = np.flatnonzero(x > old)
+                best[j, w[new]], back[j, w[new]], last[j, w[new]] = x[new], i, ids[at[new]]
+                more = size[word] > j
+                word, code = word[more], code[more]
+        every = np.arange(len(words))
+        top, runner_up = best[size, every], second[size, every]
+        steps, at = [], size.copy()
+        while at.any():
+            steps.append(np.where(at > 0, last[at, every], -1))
+            at = np.where(at > 0, back[at, every], 0)
+        path = np.ascontiguousarray(np.stack(steps[::-1], axis=1), np.int32)
+        count = (path >= 0).sum(1)
+        flat, ends = path[path >= 0].tobytes(), np.cumsum(count) * 4
+        if len(self.cache) + len(words) > CACHE:
+            self.cache.clear()
+        a = 0
+        for w, b, s, loss in zip(words, ends.tolist(), top.tolist(), (top - runner_up).tolist()):
+            self.cache[w] = (flat[a:b], s, loss)
+            a = b
+
+    def meet(self, chunks: list[list[str]]) -> None:
+        """Prepare the cache for the chunks of some texts."""
+        new = {c for text in chunks for c in text if c not in self.cache}
+        new = [c for c in new if len(c) <= CACHED_CHARS and self.plain_chars.issuperset(c)]
+        if new:
+            self.best_of_all(sorted(new))
+
     def edges(self, text: str, i: int) -> list[tuple[int, tuple[int, ...], float]]:
         """(end, ids, score) of the pieces that start at ``i``."""
         out, ids, heads = [], self.ids, self.heads
@@ -93,13 +197,9 @@ class Pieces:
                 continue
             for j, ids, s in self.edges(text, i):
                 x = a + s
-                if x > best[j] or x == best[j] and back[j] is not None and ids < back[j][1]:
-                    second[j] = max(best[j], b + s)
+                second[j] = max(second[j], min(x, best[j]), b + s)
+                if x > best[j]:
                     best[j], back[j] = x, (i, ids)
-                else:
-                    second[j] = max(second[j], x)
-                if b + s > second[j]:
-                    second[j] = b + s
         return best, second[n], back
 
     def best(self, text: str) -> tuple[bytes, float, float]:
@@ -153,18 +253,24 @@ class Pieces:
     def encode(self, text: str, n: int = NBEST) -> tuple[np.ndarray, list[float], list]:
         """(best ids, scores of the n best, changes): ``changes[r]`` maps the
         chunks in which segmentation r differs from the best to their ids."""
-        chunks = CHUNK.findall(" " + text) if text else []
-        found = [self.best(c) for c in chunks]
-        ids = np.frombuffer(b"".join(f[0] for f in found), np.int32)
-        total = sum(f[1] for f in found)
+        return self.assemble(CHUNK.findall(" " + text) if text else [], n)
+
+    def assemble(self, chunks: list[str], n: int) -> tuple[np.ndarray, list[float], list]:
+        best, cache = self.best, self.cache
+        found = [cache.get(c) or best(c) for c in chunks]
+        ids = np.frombuffer(b"".join([f[0] for f in found]), np.int32)
+        total = sum([f[1] for f in found])
         # the n least sums of losses; each chosen chunk offers its own n best
+        loss = np.array([f[2] for f in found])
+        k = min(n - 1, len(loss))
+        least = np.argpartition(loss, k - 1)[:k].tolist() if k else []
         sums: list[tuple[float, dict]] = [(0.0, {})]
-        for at in heapq.nsmallest(n - 1, range(len(found)), key=lambda i: (found[i][2], i)):
+        for at in sorted(least, key=lambda i: (loss[i], i)):
             options = self.n_best(chunks[at], n)
-            more = [(loss + options[0][0] - s, (change | {at: path}) if r else change)
-                    for loss, change in sums for r, (s, path) in enumerate(options)]
+            more = [(x + options[0][0] - s, (change | {at: path}) if r else change)
+                    for x, change in sums for r, (s, path) in enumerate(options)]
             sums = heapq.nsmallest(n, more, key=lambda x: x[0])
-        return ids, [total - loss for loss, _ in sums], [change for _, change in sums]
+        return ids, [total - x for x, _ in sums], [change for _, change in sums]
 
     def paths(self, text: str, n: int = NBEST) -> list[np.ndarray]:
         """The piece ids of the n best segmentations."""
@@ -180,15 +286,24 @@ class Pieces:
         return b"".join([spelled[i] for i in ids]).decode()[1:]
 
 
-_loaded: dict[int, Pieces] = {}
+def _step(code: np.ndarray, char: np.ndarray) -> np.ndarray:
+    """The hash of a text with one more character."""
+    code = (code ^ char + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    return code ^ code >> np.uint64(29)
+
 
+ADDED = T.StructType([T.StructField("piece_ids", T.ArrayType(T.IntegerType())),
+                      T.StructField("n_best_scores", T.ArrayType(T.DoubleType())),
+                      T.StructField("n_best_longer", T.ArrayType(T.IntegerType())),
+                      T.StructField("round_trip", T.BooleanType())])
 
-def _pieces(model: bytes) -> Pieces:
-    """One table per worker process, kept over tasks."""
-    key = hash(model)
-    if key not in _loaded:
-        _loaded[key] = Pieces(model)
-    return _loaded[key]
+
+def _lists(rows: list, kind: pa.DataType) -> pa.Array:
+    """A list array from arrays (None: null) without a Python object a value."""
+    ends = np.cumsum([0] + [0 if r is None else len(r) for r in rows]).astype(np.int32)
+    values = pa.array(np.concatenate([r for r in rows if r is not None] or [np.empty(0)]), kind)
+    null = pa.array([r is None for r in rows] + [False])
+    return pa.ListArray.from_arrays(pc.if_else(null, pa.scalar(None, pa.int32()), pa.array(ends)), values)
 
 
 def encode(docs: DataFrame, model_path: str = MODEL, n: int = NBEST) -> DataFrame:
@@ -198,27 +313,31 @@ def encode(docs: DataFrame, model_path: str = MODEL, n: int = NBEST) -> DataFram
     and ``round_trip`` (decoding gives the text back)."""
     with open(model_path, "rb") as f:
         model = docs.sparkSession.sparkContext.broadcast(f.read())
+    rest = docs.drop(*ADDED.names)
+    place = rest.columns.index("text")
+
+    def row(pieces: Pieces, text: str | None, chunks: list[str]) -> tuple:
+        if text is None:
+            return None, None, None, None
+        ids, scores, changes = pieces.assemble(chunks, n)
+        longer = [sum(len(p) - len(pieces.best(chunks[i])[0]) // 4 for i, p in c.items()) for c in changes]
+        return ids, np.array(scores), np.array(longer), pieces.decode(ids.tolist()) == text
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = Pieces(model.value)
+        for batch in batches:
+            for at in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(at, TOGETHER)
+                texts = part.column(place).to_pylist()
+                chunks = [CHUNK.findall(" " + t) if t else [] for t in texts]
+                pieces.meet(chunks)
+                ids, scores, longer, same = zip(*(row(pieces, t, c) for t, c in zip(texts, chunks)))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, _lists(ids, pa.int32()), _lists(scores, pa.float64()),
+                     _lists(longer, pa.int32()), pa.array(same, pa.bool_())],
+                    names=[*part.schema.names, *ADDED.names])
 
-    def work(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        pieces = _pieces(model.value)
-        for texts in batches:
-            rows = []
-            for text in texts:
-                if text is None:
-                    rows.append((None, None, None, None))
-                    continue
-                ids, scores, changes = pieces.encode(text, n)
-                chunks = CHUNK.findall(" " + text) if any(changes) else []
-                longer = [sum(len(p) - len(pieces.best(chunks[i])[0]) // 4 for i, p in c.items())
-                          for c in changes]
-                rows.append((ids, scores, longer, pieces.decode(ids.tolist()) == text))
-            yield pd.DataFrame(rows, columns=["ids", "scores", "longer", "same"])
-
-    run = F.pandas_udf(work, "ids array<int>, scores array<double>, longer array<int>, same boolean")
-    out = docs.withColumn("_pieces", run(F.col("text")))
-    return out.withColumns({"piece_ids": F.col("_pieces.ids"), "n_best_scores": F.col("_pieces.scores"),
-                            "n_best_longer": F.col("_pieces.longer"),
-                            "round_trip": F.col("_pieces.same")}).drop("_pieces")
+    return rest.mapInArrow(work, T.StructType([*rest.schema.fields, *ADDED.fields]))
 
 
 def decode(encoded: DataFrame, model_path: str = MODEL) -> DataFrame:
@@ -227,7 +346,7 @@ def decode(encoded: DataFrame, model_path: str = MODEL) -> DataFrame:
         model = encoded.sparkSession.sparkContext.broadcast(f.read())
 
     def work(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        pieces = _pieces(model.value)
+        pieces = Pieces(model.value)
         for batch in batches:
             yield pd.Series([None if ids is None else pieces.decode(ids.tolist()) for ids in batch])
 

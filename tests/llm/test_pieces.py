@@ -76,3 +76,13 @@ def test_odd_rows(make_docs):
     assert [r[3] for r in got if r[1] is None] == [None]
     assert [r[3] for r in got if r[1] == ""] == [[], []]
     assert P.encode(make_docs([])).count() == 0
+
+
+def test_batched_forward_pass_equals_the_single_one():
+    rnd = random.Random(3)
+    words = sorted({" " * rnd.randrange(3) + "".join(rnd.choice("abdehinorst\u00e9") for _ in range(rnd.randrange(1, 20)))
+                    for _ in range(800)})
+    one, all_ = P.Pieces(MODEL), P.Pieces(MODEL)
+    all_.best_of_all(words)
+    for w in words:
+        assert all_.cache[w] == one.best(w)
