@@ -3,16 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
 from . import decontaminate, linededup, perplexity, pieces, pii, simhash, substrings, topk, toxicity, urlrep
+from .shared import bounded_batches
+
+
+def _bounded(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "op1_url_filter": urlrep.op1_url_filter,
         "op2_toxic_passages": toxicity.op2_toxic_passages,
         "op3_sentencepiece": pieces.op3_sentencepiece,
@@ -25,6 +36,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
         "pipeline": corpus_pipeline.run,
     }
+    return {name: _bounded(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:

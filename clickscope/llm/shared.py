@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir, shared_dir
 from ..sources.tables import read_table
 
-__all__ = ["broadcast", "buckets", "components", "landed", "read_table"]
+__all__ = ["bounded_batches", "broadcast", "buckets", "components", "landed", "read_table"]
 
 
 def landed(df: DataFrame, name: str) -> DataFrame:
@@ -30,6 +30,18 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of an Arrow batch: texts are long, so a batch of Spark's default number
+#: of rows takes hundreds of MB in a Python worker.
+BATCH_ROWS = 1_000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Set the session's Arrow batches to at most ``BATCH_ROWS`` rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def broadcast(spark: SparkSession, value: Any) -> Callable[[], Any]:
     """``value`` sent to every executor, its class by value; a task calls the
     result once to get it. For values of a bounded size only."""

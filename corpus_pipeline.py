@@ -15,32 +15,37 @@ from clickscope.llm.decontaminate import drop_contaminated
 from clickscope.llm.linededup import without_repeated_lines
 from clickscope.llm.perplexity import keep_good
 from clickscope.llm.pieces import encode
-from clickscope.llm.shared import landed, read_table
+from clickscope.llm.shared import bounded_batches, landed, read_table
 from clickscope.llm.simhash import keep_one_of_each
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity is not above their language's threshold."""
+    bounded_batches(spark)
     return keep_good(docs, read_table(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with one line of each group of like lines left."""
+    bounded_batches(spark)
     return without_repeated_lines(docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
+    bounded_batches(spark)
     return keep_one_of_each(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no test item."""
+    bounded_batches(spark)
     return drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their best and N-best segmentations."""
+    bounded_batches(spark)
     return encode(docs)
 
 
