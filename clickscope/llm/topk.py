@@ -66,11 +66,15 @@ def search_block(ids: np.ndarray, rows: np.ndarray, qids: np.ndarray, queries: n
     weight from its upper end, the others from its lower end.
     """
     n, dims = rows.shape
+    # sums in 32 bits where none can reach a quarter of their range
+    largest = np.abs(rows).max(initial=0) * np.abs(queries).sum(1).max(initial=0)
+    kind = np.int32 if largest < 1 << 28 else np.int64
+    rows, queries = rows.astype(kind), queries.astype(kind)
     order = np.argsort(rows, axis=0, kind="stable")
     values = np.take_along_axis(rows, order, 0)
     up, down = np.maximum(queries, 0), np.minimum(queries, 0)
     low = np.tile(up @ values[0] + down @ values[-1], (n, 1))  # every list at its worst
-    low[ids[:, None] == qids] = np.iinfo(np.int64).min // 4  # never its own neighbour
+    low[ids[:, None] == qids] = np.iinfo(kind).min  # never its own neighbour
     step, found = -(-n // DEPTHS), []
 
     def settle(q: int, left: np.ndarray) -> None:
