@@ -1,9 +1,9 @@
 """Fuzzy line deduplication by MinHash, with exact verification.
 
-A line is compared in normal form (lower case, white space runs as one space).
+A line is compared in normal form (lower case, no white space around it).
 Its set of ``SHINGLE``-character shingles has a MinHash signature of ``BANDS``
 bands of ``ROWS`` minima; at a similarity of ``SIMILARITY`` two lines share a
-band with probability 1 - (1 - 0.8 ** 3) ** 8 = 0.997. Lines that share a band
+band with probability 1 - (1 - 0.8 ** 3) ** 10 = 0.9992. Lines that share a band
 meet, their exact Jaccard similarity is computed from their texts, links of at
 least ``SIMILARITY`` are joined by distributed union-find (``components``), and
 of every component one line stays: the first by doc_id and line number.
@@ -12,7 +12,9 @@ Documents are dealt into hashed buckets (one shuffle of the text, used by all
 steps); a bucket folds equal lines into one node, so a line that a third of
 all documents share is one node a bucket. Band keys travel packed. Lines that
 meet in a band form a group; a group of up to ``GROUP`` nodes is verified pair
-by pair, and only a spanning forest of its links is sent on. A larger group is
+by pair, and only a spanning forest of its links is sent on; groups with the
+same smallest node meet in one task, so that a text is sent and cut into
+shingles there once for all of them. A larger group is
 cut into parts of that size, each of which also holds the group's smallest
 node: nodes that link to it are joined through it, in linear work. A node that
 does not is then held against every part of its group, so no link is lost.
@@ -37,7 +39,7 @@ from pyspark.sql import types as T
 from .shared import buckets, components, landed, read_table
 
 SHINGLE = 8
-ROWS, BANDS = 3, 8
+ROWS, BANDS = 3, 10
 SIMILARITY = 0.8
 GROUP = 64
 SLICE = 1 << 16  # bytes hashed at a time
@@ -47,7 +49,7 @@ FACTORS, OFFSETS = (_ODD[:, 0] | np.uint64(1)).astype(np.uint32), _ODD[:, 1].ast
 
 
 def normal(line: str) -> str:
-    return " ".join(line.lower().split())
+    return line.strip().lower()
 
 
 def shingle_set(line: str, k: int = SHINGLE) -> set[str]:
@@ -79,10 +81,11 @@ def signatures(lines: list[str]) -> np.ndarray:
         keep = np.repeat(start - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
         h = (x[keep] >> np.uint64(32)).astype(np.uint32)
         cuts = np.concatenate([[0], np.cumsum(count)[:-1]])
+        mixed = np.empty_like(h)
         for i, (a, b) in enumerate(zip(FACTORS, OFFSETS)):
-            mixed = (h ^ b) * a
-            mixed ^= mixed >> np.uint32(15)
-            out[at:end, i] = np.minimum.reduceat(mixed * a, cuts)
+            np.multiply(h, a, out=mixed)
+            mixed += b
+            out[at:end, i] = np.minimum.reduceat(mixed, cuts)
         at = end
     return out
 
@@ -121,16 +124,41 @@ class Bucket:
             self.node_of.append(which)
 
 
-def jaccard(a: set, b: set) -> float:
-    both = len(a & b)
-    return both / (len(a) + len(b) - both)
+def shingle_hashes(texts: list[str]) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of each text's shingles."""
+    gap = "\0" * (SHINGLE - 1)
+    x = np.frombuffer((gap.join(texts) + gap).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    width = 1
+    while width < SHINGLE:
+        x = x[:-width] * M1 + x[width:]
+        x *= M2
+        x ^= x >> np.uint64(31)
+        width *= 2
+    out, at = [], 0
+    for t in texts:
+        h = np.sort(x[at:at + max(1, len(t) - SHINGLE + 1)])
+        out.append(h[np.concatenate(([True], h[1:] != h[:-1]))])
+        at += len(t) + SHINGLE - 1
+    return out
+
 
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sorted sets."""
+    both = np.concatenate((a, b))
+    both.sort(kind="stable")
+    shared = int(np.count_nonzero(both[1:] == both[:-1]))
+    return shared / (len(both) - shared)
 
-def forest(texts: list[str], pivot_first: bool) -> tuple[list[tuple[int, int]], list[int]]:
+
+def forest(texts: list[str], shingles: dict[str, np.ndarray],
+           pivot_first: bool) -> tuple[list[tuple[int, int]], list[int]]:
     """Links of at least ``SIMILARITY`` that span the components of ``texts``,
     and, with ``pivot_first``, the places not linked to the first directly."""
-    sets: list[set | None] = [None] * len(texts)
-    root = list(range(len(texts)))
+    where: dict[str, int] = {}
+    same = [where.setdefault(t, len(where)) for t in texts]  # equal texts are one
+    sets = [shingles[t] for t in where]
+    size = list(map(len, sets))
+    root = list(range(len(where)))
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -139,37 +167,37 @@ def forest(texts: list[str], pivot_first: bool) -> tuple[list[tuple[int, int]],
         return i
 
     def similar(i: int, j: int) -> bool:
-        if texts[i] == texts[j]:
-            return True
-        # sizes alone can rule a pair out
-        a, b = sorted((len(texts[i]), len(texts[j])))
-        if a >= SHINGLE and 2 * a < b:
-            return False
-        for x in (i, j):
-            if sets[x] is None:
-                sets[x] = shingle_set(texts[x])
-        return jaccard(sets[i], sets[j]) >= SIMILARITY
-
-    links, apart = [], []
-    for j in range(1, len(texts)):
+        low, high = sorted((size[i], size[j]))
+        return low >= SIMILARITY * high and similarity(sets[i], sets[j]) >= SIMILARITY
+
+    spans = []
+    direct = {0}
+    for j in range(1, len(where)):
         if similar(0, j):
             root[find(j)] = find(0)
-            links.append((0, j))
-        elif pivot_first:
-            apart.append(j)
-    for j in range(2, len(texts)):
+            spans.append((0, j))
+            direct.add(j)
+    for j in range(2, len(where)):
         for i in range(1, j):
             if find(i) != find(j) and similar(i, j):
                 root[find(j)] = find(i)
-                links.append((i, j))
-    return links, apart
+                spans.append((i, j))
+    first: dict[int, int] = {}
+    links = []
+    for place, i in enumerate(same):
+        if i in first:
+            links.append((first[i], place))
+        else:
+            first[i] = place
+    links += [(first[i], first[j]) for i, j in spans]
+    return links, [p for p, i in enumerate(same) if i not in direct] if pivot_first else []
 
 
 BANDS_OUT = pa.schema([("bucket", pa.int32()), ("home", pa.int32()), ("low", pa.binary()), ("high", pa.binary()),
                        ("line", pa.binary())])
-MEMBERS = pa.schema([("unit", pa.int64()), ("hot", pa.int64()), ("part", pa.int32()), ("home", pa.int32()),
+MEMBERS = pa.schema([("unit", pa.int64()), ("hot", pa.int64()), ("route", pa.int64()), ("part", pa.int32()), ("home", pa.int32()),
                      ("line", pa.int32())])
-TEXTS = pa.schema([("unit", pa.int64()), ("hot", pa.int64()), ("node", pa.int64()), ("doc_id", pa.int64()),
+TEXTS = pa.schema([("unit", pa.int64()), ("hot", pa.int64()), ("route", pa.int64()), ("node", pa.int64()), ("doc_id", pa.int64()),
                    ("line_no", pa.int32()), ("line_text", pa.string())])
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("hot", pa.int64()), ("node", pa.int64()),
                    ("doc_id", pa.int64()), ("line_no", pa.int32())])
@@ -206,7 +234,7 @@ def _name(*parts: int) -> int:
 
 def deduplicated_lines(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """``docs`` with the lines that stay, and ``n_lines`` and ``n_removed``."""
-    n = buckets(docs.sparkSession)
+    n = 2 * buckets(docs.sparkSession)  # a task holds its bucket's lines as Python strings
     rest = [c for c in docs.columns if c != "text"]
     homes = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("home"),
                         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
@@ -249,11 +277,11 @@ def deduplicated_lines(docs: DataFrame, group: int = GROUP) -> DataFrame:
                 continue
             seen.add(unit)
             if b - a <= group:
-                out += [(unit, None, None, m >> 32, m & 0xFFFFFFFF) for m in members]
+                out += [(unit, None, members[0], None, m >> 32, m & 0xFFFFFFFF) for m in members]
                 continue
             for part in range(0, b - a - 1, group - 1):  # each part with the smallest node
                 name = _name(unit, part)
-                out += [(name, unit, part, m >> 32, m & 0xFFFFFFFF)
+                out += [(name, unit, name, part, m >> 32, m & 0xFFFFFFFF)
                         for m in [members[0], *members[1 + part:part + group]]]
         return _table(out, MEMBERS)
 
@@ -262,22 +290,31 @@ def deduplicated_lines(docs: DataFrame, group: int = GROUP) -> DataFrame:
             return _table([], TEXTS)
         bucket = Bucket(table)
         home, texts = table.column("home")[0].as_py(), list(bucket.nodes)
-        out = []
-        for unit, hot, line in sorted(set(zip(*(asked.column(c).to_pylist() for c in ("unit", "hot", "line")))),
-                                      key=lambda r: (r[0], r[2])):
+        out, sent = [], set()
+        columns = (asked.column(c).to_pylist() for c in ("unit", "hot", "route", "line"))
+        for unit, hot, route, line in sorted(set(zip(*columns)), key=lambda r: (r[2], r[0], r[3])):
             doc_id, line_no = bucket.first[line]
-            out.append((unit, hot, home << 32 | line, doc_id, line_no, texts[line]))
+            # a route's text once, whatever number of its units hold the line
+            text = None if (route, line) in sent else texts[line]
+            sent.add((route, line))
+            out.append((unit, hot, route, home << 32 | line, doc_id, line_no, text))
         return _table(out, TEXTS)
 
     def verify(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        text_of = {r["node"]: r["line_text"] for r in rows if r["line_text"] is not None}
+        distinct = list(set(text_of.values()))
+        shingles: dict[str, np.ndarray] = {}
+        for i in range(0, len(distinct), 256):
+            shingles |= zip(distinct[i:i + 256], shingle_hashes(distinct[i:i + 256]))
         units: dict[int, list[dict]] = {}
-        for row in table.to_pylist():
+        for row in rows:
             units.setdefault(row["unit"], []).append(row)
         out, used = [], set()
         for rows in units.values():
             rows.sort(key=lambda r: r["node"])
             hot = rows[0]["hot"]
-            links, apart = forest([r["line_text"] for r in rows], hot is not None)
+            links, apart = forest([text_of[r["node"]] for r in rows], shingles, hot is not None)
             for i, j in links:
                 out.append((rows[i]["node"], rows[j]["node"], None, None, None, None))
                 used |= {(rows[x]["node"], rows[x]["doc_id"], rows[x]["line_no"]) for x in (i, j)}
@@ -288,22 +325,22 @@ def deduplicated_lines(docs: DataFrame, group: int = GROUP) -> DataFrame:
     def verified(members: DataFrame, name: str) -> DataFrame:
         texts = at_home.cogroup(members.groupBy("home")).applyInArrow(fetch, _ddl(TEXTS))
         # many small units a task; a hashed bucket holds a bounded share of them
-        by_bucket = texts.groupBy(F.pmod("unit", F.lit(n)))
+        by_bucket = texts.groupBy(F.pmod(F.xxhash64("route"), F.lit(n)))
         return landed(by_bucket.applyInArrow(verify, _ddl(LINKS)), name)
 
     members = landed(at_home.applyInArrow(send_bands, _ddl(BANDS_OUT))
                      .groupBy("bucket").applyInArrow(meet, _ddl(MEMBERS)), "lines-groups")
-    found = verified(members.select("unit", "hot", "home", "line"), "lines-links")
+    found = verified(members.select("unit", "hot", "route", "home", "line"), "lines-links")
     apart = found.where("hot is not null").select("hot", F.col("node").alias("odd")).distinct()
     if apart.limit(1).count():
         # those not linked to the smallest node of a large group, against all of the group
         again = members.where("hot is not null").join(apart, "hot").select(
-            F.xxhash64("hot", "part", "odd").alias("unit"), "home", "line", "odd")
-        odd = again.select("unit", F.shiftright("odd", 32).cast("int").alias("home"),
+            F.xxhash64("hot", "part", "odd").alias("unit"), F.xxhash64("hot", "part").alias("route"), "home", "line", "odd")
+        odd = again.select("unit", "route", F.shiftright("odd", 32).cast("int").alias("home"),
                            F.col("odd").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("line"))
-        again = again.select("unit", "home", "line").union(odd).distinct()
+        again = again.select("unit", "route", "home", "line").union(odd).distinct()
         found = found.union(verified(again.withColumn("hot", F.lit(None).cast("long")).select(
-            "unit", "hot", "home", "line"), "lines-links"))
+            "unit", "hot", "route", "home", "line"), "lines-links"))
 
     roots = components(found.where("a is not null"))
     places = found.where("line_no is not null").select("node", "doc_id", "line_no").distinct()
