@@ -1,24 +1,18 @@
 """Quality classifier: perplexity under a Kneser-Ney model of trusted text.
 
-The model is an interpolated modified Kneser-Ney trigram model over symbols,
-one per language, trained on the whole text of every trusted document. A
-symbol is a character; digits count as one symbol, white space as another
-(runs once), and all characters beyond the ``ALPHABET - 2`` most frequent of
-the trusted text as a last one. Each task counts the trigrams of its text and
-sends every distinct one once; the counts are then sharded by context and
-joined: trigram counts with their contexts' totals and discounts, bigram and
-unigram continuation counts likewise, discounts from each order's counts of
-counts. The joined tables are bounded by construction (``ALPHABET``
-cubed for each of at most ``MODELS`` languages and the pooled model), so they
-go to every task and a document is scored where it is read, without a shuffle
-of the text.
+The model is an interpolated modified Kneser-Ney trigram model over code
+points, one for each language and one of all, trained on the whole text of
+every trusted document and kept as tables (see ``symbolmodel``).
 
 A document's perplexity per symbol is held against its language's threshold,
 taken from the trusted documents of that language: the median plus ``SPREAD``
 times the distance to the ``UPPER`` quantile. Above it, the document is
 rejected. A short text's perplexity is an average of few symbols, so for this
-it is shrunk towards the median as if ``PRIOR_SYMBOLS`` more had that one. Languages without a model of their own (too little trusted text, or
-beyond ``MODELS``) use the pooled model and threshold.
+it is shrunk towards the median as if ``PRIOR_SYMBOLS`` more had that one.
+Languages without trusted text use the model and the threshold of all.
+
+The functions from ``fold_table`` to ``kneser_ney`` are a dense form of the
+same model over a small alphabet, for tests; no query uses them.
 
 Defined results: a null or empty text, or one of white space only, has no
 perplexity and is kept; a null language uses the pooled model; without trusted
@@ -38,7 +32,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.joins import materialized_broadcast
-from .shared import broadcast, landed, read_table
+from . import symbolmodel
+from .shared import landed, read_table
 
 ALPHABET = 96
 MODELS = 32
@@ -84,11 +79,10 @@ def trigrams(s: np.ndarray) -> np.ndarray:
 
 
 def trusted_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(lang, text) of the documents labelled as of quality. The ids are
-    broadcast after a check of their size, else joined by a shuffle."""
+    """(doc_id, lang, text) of the documents labelled as of quality. The ids
+    are broadcast after a check of their size, else joined by a shuffle."""
     ids = labels.where("quality = 1").select("doc_id").where("doc_id is not null").distinct()
-    return docs.select("doc_id", F.coalesce("lang", F.lit(POOLED)).alias("lang"), "text").join(
-        materialized_broadcast(ids), "doc_id").select("lang", "text")
+    return docs.select("doc_id", "lang", "text").join(materialized_broadcast(ids), "doc_id")
 
 
 def frequent_symbols(trusted: DataFrame) -> tuple[list[int], dict[str, int]]:
@@ -207,76 +201,33 @@ def kneser_ney(counts: DataFrame) -> dict[str, np.ndarray]:
     return out
 
 
-class Model:
-    """What a task needs to score: the symbol alphabet and the models."""
-
-    def __init__(self, frequent: list[int], tables: dict[str, np.ndarray]):
-        self.frequent, self.tables = frequent, tables
-
-
-def fit(trusted: DataFrame) -> Model:
-    frequent, langs = frequent_symbols(trusted)
-    tables = kneser_ney(trigram_counts(trusted, frequent, list(langs))) if frequent else {}
-    return Model(frequent, tables)
-
-
-def with_perplexity(docs: DataFrame, model: Model, name: str = "_quality") -> DataFrame:
-    """``docs`` with a struct (n, logs): the number of symbols of each text
-    and their mean negative log-probability (null: none)."""
-    sent = broadcast(docs.sparkSession, model)
-
-    def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        m = sent()
-        table = fold_table(m.frequent)
-        pooled = m.tables.get(POOLED)
-        for langs, texts in batches:
-            out = []
-            for lang, text in zip(langs, texts):
-                s = symbols(text, table) if text else ()
-                if len(s) < 3 or pooled is None:
-                    out.append((0, None))
-                    continue
-                logs = m.tables.get(lang, pooled)[trigrams(s)]
-                out.append((len(logs), -float(logs.mean(dtype=np.float64))))
-            yield pd.DataFrame(out, columns=["n", "logs"]).astype({"logs": "float64"})
-
-    run = F.pandas_udf(score, "n long, logs double")
-    return docs.withColumn(name, run(F.col("lang"), F.col("text")))
-
-
-def quantiles(trusted: DataFrame, model: Model, upper: float = UPPER) -> dict[str, tuple[float, float]]:
-    """(median, ``upper`` quantile) of the trusted texts' perplexity, by model."""
-    if POOLED not in model.tables:
-        return {}
-    own = [x for x in model.tables if x != POOLED]
-    cut = F.percentile_approx(F.exp("_quality.logs"), [0.5, upper], 10_000).alias("q")
-    scored = with_perplexity(trusted, model).where("_quality.logs is not null")
-    rows = scored.where(F.col("lang").isin(own)).groupBy("lang").agg(cut).collect()
-    pooled = with_perplexity(trusted, Model(model.frequent, {POOLED: model.tables[POOLED]}))
-    every = pooled.where("_quality.logs is not null").agg(cut).first()
-    return {r.lang: tuple(r.q) for r in rows} | {POOLED: tuple(every.q)}
+def quantiles(scored: DataFrame, upper: float = UPPER) -> DataFrame:
+    """(lang, middle, high): median and ``upper`` quantile of the trusted
+    texts' perplexity by language; a null language for those of all."""
+    cut = F.percentile_approx(F.exp("_logs"), [0.5, upper], 10_000)
+    scored = scored.where("_logs is not null")
+    every = scored.agg(cut.alias("q")).select(F.lit(None).cast("string").alias("lang"), "q")
+    rows = scored.where("lang is not null").groupBy("lang").agg(cut.alias("q")).union(every)
+    return rows.select("lang", F.col("q")[0].alias("_middle"), F.col("q")[1].alias("_high"))
 
 
 def judged(docs: DataFrame, labels: DataFrame, spread: float = SPREAD,
            prior: float = PRIOR_SYMBOLS) -> DataFrame:
     """``docs`` with ``_perplexity``, ``_shrunk``, ``_threshold`` and ``_kept``."""
-    trusted = landed(trusted_rows(docs, labels), "quality-text")
-    model = fit(trusted)
-    cuts = quantiles(trusted, model)
-
-    def by_language(value) -> Column:
-        out = F.lit(value(cuts[POOLED]) if cuts else None).cast("double")
-        for lang, q in cuts.items():
-            out = F.when(F.col("lang") == lang, F.lit(value(q))).otherwise(out)
-        return out
-
-    scored = with_perplexity(docs, model)
-    n, logs = F.col("_quality.n"), F.col("_quality.logs")
-    middle = by_language(lambda q: float(np.log(q[0])))
+    trusted = trusted_rows(docs, labels)
+    model = symbolmodel.Model(trusted.withColumn("fold", F.lit(None).cast("int")))
+    cuts = materialized_broadcast(quantiles(symbolmodel.with_perplexity(trusted, model)))
+    every = cuts.where("lang is null").first()
+    middle = F.coalesce("_middle", F.lit(every._middle if every else None).cast("double"))
+    high = F.coalesce("_high", F.lit(every._high if every else None).cast("double"))
+    scored = symbolmodel.with_perplexity(docs, model).join(cuts, "lang", "left")
+    n, logs = F.col("_n"), F.col("_logs")
     scored = scored.withColumns({
-        "_perplexity": F.exp(logs), "_shrunk": F.exp((n * logs + prior * middle) / (n + prior)),
-        "_threshold": by_language(lambda q: q[0] + spread * (q[1] - q[0]))}).drop("_quality")
-    return scored.withColumn("_kept", F.coalesce(F.col("_shrunk") <= F.col("_threshold"), F.lit(True)))
+        "_perplexity": F.exp(logs), "_shrunk": F.exp((n * logs + prior * F.log(middle)) / (n + prior)),
+        "_threshold": middle + spread * (high - middle)}).drop("_n", "_logs", "_middle", "_high")
+    kept = F.coalesce(F.col("_shrunk") <= F.col("_threshold"), F.lit(True))
+    return scored.withColumn("_kept", kept).select(
+        *docs.columns, "_perplexity", "_shrunk", "_threshold", "_kept")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
