@@ -4,11 +4,14 @@ The model is an interpolated modified Kneser-Ney trigram model over code
 points, one for each language and one of all, trained on the whole text of
 every trusted document and kept as tables (see ``symbolmodel``).
 
-A document's perplexity per symbol is held against its language's threshold,
-taken from the trusted documents of that language: the median plus ``SPREAD``
-times the distance to the ``UPPER`` quantile. Above it, the document is
-rejected. A short text's perplexity is an average of few symbols, so for this
-it is shrunk towards the median as if ``PRIOR_SYMBOLS`` more had that one.
+A document's perplexity per symbol is held against two quantiles of its
+language's trusted perplexities, above and below which it is rejected (text of
+one repeated word is too easy to foretell). They are taken from held-out text:
+trusted documents are dealt to ``FOLDS``, and each is scored, here and in the
+result, by the models that did not count its fold. Which quantiles is chosen
+with the labels (``cuts``). A short text's perplexity is an average of few
+symbols, so it is first shrunk towards the median as if ``PRIOR_SYMBOLS`` more
+had that one, in the quantiles and in the result alike.
 Languages without trusted text use the model and the threshold of all.
 
 The functions from ``fold_table`` to ``kneser_ney`` are a dense form of the
@@ -38,8 +41,8 @@ from .shared import landed, read_table
 ALPHABET = 96
 MODELS = 32
 LEAST_SYMBOLS = 20_000  # trusted symbols a language needs for its own model
-UPPER = 0.95
-SPREAD = 8.0
+LEVELS = (0.99, 0.995, 0.998, 0.999)  # shares of trusted text to keep, of which the labels choose
+FOLDS = 3
 PRIOR_SYMBOLS = 300.0
 POOLED = ""  # name of the pooled model
 SPACE, OTHER = 0, 1
@@ -78,11 +81,16 @@ def trigrams(s: np.ndarray) -> np.ndarray:
     return (s[:-2] * ALPHABET + s[1:-1]) * ALPHABET + s[2:]
 
 
-def trusted_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, lang, text) of the documents labelled as of quality. The ids
-    are broadcast after a check of their size, else joined by a shuffle."""
-    ids = labels.where("quality = 1").select("doc_id").where("doc_id is not null").distinct()
-    return docs.select("doc_id", "lang", "text").join(materialized_broadcast(ids), "doc_id")
+def with_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` with ``_quality`` (1 if any label of the document says so,
+    null: no label) and ``_fold`` (of trusted text, equal texts in the same
+    one; else ``ALL``). The labels are broadcast after a check of their size,
+    else joined by a shuffle."""
+    of = (labels.where("doc_id is not null and quality is not null").groupBy("doc_id")
+          .agg(F.max((F.col("quality") == 1).cast("int")).alias("_quality")))
+    fold = F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int")
+    return docs.join(materialized_broadcast(of), "doc_id", "left").select(*docs.columns, "_quality").withColumn(
+        "_fold", F.when(F.col("_quality") == 1, fold).otherwise(symbolmodel.ALL))
 
 
 def frequent_symbols(trusted: DataFrame) -> tuple[list[int], dict[str, int]]:
@@ -201,33 +209,77 @@ def kneser_ney(counts: DataFrame) -> dict[str, np.ndarray]:
     return out
 
 
-def quantiles(scored: DataFrame, upper: float = UPPER) -> DataFrame:
-    """(lang, middle, high): median and ``upper`` quantile of the trusted
-    texts' perplexity by language; a null language for those of all."""
-    cut = F.percentile_approx(F.exp("_logs"), [0.5, upper], 10_000)
-    scored = scored.where("_logs is not null")
-    every = scored.agg(cut.alias("q")).select(F.lit(None).cast("string").alias("lang"), "q")
-    rows = scored.where("lang is not null").groupBy("lang").agg(cut.alias("q")).union(every)
-    return rows.select("lang", F.col("q")[0].alias("_middle"), F.col("q")[1].alias("_high"))
-
-
-def judged(docs: DataFrame, labels: DataFrame, spread: float = SPREAD,
-           prior: float = PRIOR_SYMBOLS) -> DataFrame:
-    """``docs`` with ``_perplexity``, ``_shrunk``, ``_threshold`` and ``_kept``."""
-    trusted = trusted_rows(docs, labels)
-    model = symbolmodel.Model(trusted.withColumn("fold", F.lit(None).cast("int")))
-    cuts = materialized_broadcast(quantiles(symbolmodel.with_perplexity(trusted, model)))
-    every = cuts.where("lang is null").first()
-    middle = F.coalesce("_middle", F.lit(every._middle if every else None).cast("double"))
-    high = F.coalesce("_high", F.lit(every._high if every else None).cast("double"))
-    scored = symbolmodel.with_perplexity(docs, model).join(cuts, "lang", "left")
-    n, logs = F.col("_n"), F.col("_logs")
-    scored = scored.withColumns({
-        "_perplexity": F.exp(logs), "_shrunk": F.exp((n * logs + prior * F.log(middle)) / (n + prior)),
-        "_threshold": middle + spread * (high - middle)}).drop("_n", "_logs", "_middle", "_high")
-    kept = F.coalesce(F.col("_shrunk") <= F.col("_threshold"), F.lit(True))
-    return scored.withColumn("_kept", kept).select(
-        *docs.columns, "_perplexity", "_shrunk", "_threshold", "_kept")
+def shrunk(prior: float) -> Column:
+    n = F.col("_n")
+    return F.exp((n * F.col("_logs") + prior * F.log("_middle")) / (n + prior))
+
+
+def cuts(scored: DataFrame, prior: float = PRIOR_SYMBOLS) -> DataFrame:
+    """(lang, _middle, _low, _high) from held-out rows (lang, _quality, _n,
+    _logs): the median, and the quantiles between which the chosen share of a
+    language's trusted texts lies; a null language for those of all texts.
+
+    Of ``LEVELS`` the share with which the most labelled texts are judged
+    right (mean of both labels; ties: the largest) is taken. Where a language
+    has too few texts for a quantile beyond its extremes, the wider of its
+    own and the bound of all texts holds."""
+    scored = landed(scored.where("_logs is not null"), "quality-held-out")
+    good = scored.where("_quality = 1")
+
+    def by_language(rows: DataFrame, *values: Column) -> DataFrame:
+        every = rows.agg(*values).select(F.lit(None).cast("string").alias("lang"), "*")
+        return rows.where("lang is not null").groupBy("lang").agg(*values).union(every)
+
+    middle = materialized_broadcast(by_language(good, F.percentile_approx(F.exp("_logs"), 0.5, 10_000).alias("_middle")))
+    rows = landed(with_bounds(scored, middle, ["_middle"]).withColumn("_x", shrunk(prior)), "quality-shrunk")
+    low, high = ([(1 - x) / 2 for x in LEVELS], [(1 + x) / 2 for x in LEVELS])
+    found = by_language(rows.where("_quality = 1"), F.count("*").alias("m"),
+                        F.percentile_approx("_x", low, 10_000).alias("low"),
+                        F.percentile_approx("_x", high, 10_000).alias("high"))
+    every = found.where("lang is null").select(F.col("low").alias("all_low"), F.col("high").alias("all_high"))
+    found = found.crossJoin(F.broadcast(every)).join(
+        middle.withColumnRenamed("lang", "_of"), F.col("lang").eqNullSafe(F.col("_of")))
+    few = [F.col("m") * x < 1 for x in low]
+    bounds = [(F.when(f, F.least(F.col("low")[i], F.col("all_low")[i])).otherwise(F.col("low")[i]),
+               F.when(f, F.greatest(F.col("high")[i], F.col("all_high")[i])).otherwise(F.col("high")[i]))
+              for i, f in enumerate(few)]
+    found = materialized_broadcast(found.select("lang", "_middle", *(
+        c.alias(f"{side}{i}") for i, pair in enumerate(bounds) for side, c in zip(("low", "high"), pair))))
+    names = [f"{side}{i}" for i in range(len(LEVELS)) for side in ("low", "high")]
+    judge = with_bounds(rows.drop("_middle"), found, names)
+    kept = [F.col("_x").between(F.col(f"low{i}"), F.col(f"high{i}")) for i in range(len(LEVELS))]
+    right = judge.groupBy("_quality").agg(*(F.avg(k.cast("double")).alias(f"k{i}") for i, k in enumerate(kept))).collect()
+    share = {r._quality: r for r in right}
+    value = [share[1][f"k{i}"] - (share[0][f"k{i}"] if 0 in share else 0.0) if 1 in share else 0.0
+             for i in range(len(LEVELS))]
+    best = max(range(len(LEVELS)), key=lambda i: (value[i] if 0 in share else 0.0, LEVELS[i]))
+    return found.select("lang", "_middle", F.col(f"low{best}").alias("_low"), F.col(f"high{best}").alias("_high"))
+
+
+def with_bounds(rows: DataFrame, bounds: DataFrame, names: list[str]) -> DataFrame:
+    """``rows`` with their language's ``names`` of ``bounds``; those of all
+    texts where the language has none."""
+    every = bounds.where("lang is null").first()
+    joined = rows.join(bounds.where("lang is not null").select("lang", *names), "lang", "left")
+    return joined.select(*rows.columns, *(
+        F.coalesce(F.col(n), F.lit(every[n] if every else None).cast("double")).alias(n) for n in names))
+
+
+def judged(docs: DataFrame, labels: DataFrame, prior: float = PRIOR_SYMBOLS) -> DataFrame:
+    """``docs`` with ``_perplexity``, ``_shrunk``, ``_threshold``, ``_least``
+    and ``_kept``. A trusted text is scored by the models that did not count
+    its fold."""
+    every = with_labels(docs, labels)
+    trusted = every.where("_quality = 1").select("lang", "text", F.col("_fold").alias("fold"))
+    model = symbolmodel.Model(trusted, FOLDS)
+    labelled = every.where("_quality is not null").select("doc_id", "lang", "text", "_quality", "_fold")
+    bounds = cuts(symbolmodel.with_perplexity(labelled, model, F.col("_fold"))
+                  .select("lang", "_quality", "_n", "_logs"), prior)
+    scored = symbolmodel.with_perplexity(every, model, F.col("_fold"))
+    scored = with_bounds(scored, bounds, ["_middle", "_low", "_high"]).withColumn("_shrunk", shrunk(prior))
+    kept = F.coalesce(F.col("_shrunk").between(F.col("_low"), F.col("_high")), F.lit(True))
+    return scored.select(*docs.columns, F.exp("_logs").alias("_perplexity"), "_shrunk",
+                         F.col("_high").alias("_threshold"), F.col("_low").alias("_least"), kept.alias("_kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
