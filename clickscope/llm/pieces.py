@@ -20,8 +20,8 @@ a time, and a bounded cache holds their best segmentations.
 The model file is the vocabulary (path a parameter, sent along as bytes of a
 fixed size); nothing is trained. Its scores are used as they stand.
 
-Defined results: a null text gives null ids, an empty one no pieces; both have
-no N-best list beyond the one of score 0. A literal U+2581 is written in byte
+Defined results: a null text gives nulls, an empty one no pieces and the one
+segmentation of score 0. A literal U+2581 is written in byte
 pieces, so decoding is exact for every text. Of equal scores the same one wins
 every time. Rows repeat as they are; an empty table gives no rows; added
 columns replace columns of the same name, others stay.
@@ -274,11 +274,23 @@ class Pieces:
 
     def paths(self, text: str, n: int = NBEST) -> list[np.ndarray]:
         """The piece ids of the n best segmentations."""
-        _, _, changes = self.encode(text, n)
-        chunks = CHUNK.findall(" " + text) if text else []
-        plain = [np.frombuffer(self.best(c)[0], np.int32) for c in chunks]
-        return [np.concatenate([np.array(change.get(i, p), np.int32) for i, p in enumerate(plain)])
-                if plain else np.empty(0, np.int32) for change in changes]
+        ids, _, changes = self.encode(text, n)
+        return self.spell_out(CHUNK.findall(" " + text) if text else [], ids, changes)
+
+    def spell_out(self, chunks: list[str], ids: np.ndarray, changes: list) -> list[np.ndarray]:
+        """The ids of all segmentations from the best ``ids`` and the chunks
+        in which each differs: whole stretches between them are copied."""
+        if not any(changes):
+            return [ids] * len(changes)
+        ends = np.cumsum([0] + [len(self.best(c)[0]) // 4 for c in chunks]).tolist()
+        out = []
+        for change in changes:
+            parts, at = [], 0
+            for i in sorted(change):
+                parts += [ids[at:ends[i]], np.array(change[i], np.int32)]
+                at = ends[i + 1]
+            out.append(np.concatenate([*parts, ids[at:]]) if parts else ids)
+        return out
 
     def decode(self, ids) -> str:
         """The text that ``ids`` spell; the space before the first word goes."""
@@ -295,6 +307,7 @@ def _step(code: np.ndarray, char: np.ndarray) -> np.ndarray:
 ADDED = T.StructType([T.StructField("piece_ids", T.ArrayType(T.IntegerType())),
                       T.StructField("n_best_scores", T.ArrayType(T.DoubleType())),
                       T.StructField("n_best_longer", T.ArrayType(T.IntegerType())),
+                      T.StructField("n_best_ids", T.ArrayType(T.ArrayType(T.IntegerType()))),
                       T.StructField("round_trip", T.BooleanType())])
 
 
@@ -306,11 +319,20 @@ def _lists(rows: list, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pc.if_else(null, pa.scalar(None, pa.int32()), pa.array(ends)), values)
 
 
+def _nested(rows: list) -> pa.Array:
+    """A list of list arrays (None: null) of int32."""
+    ends = np.cumsum([0] + [0 if r is None else len(r) for r in rows]).astype(np.int32)
+    null = pa.array([r is None for r in rows] + [False])
+    values = _lists([path for r in rows if r is not None for path in r], pa.int32())
+    return pa.ListArray.from_arrays(pc.if_else(null, pa.scalar(None, pa.int32()), pa.array(ends)), values)
+
+
 def encode(docs: DataFrame, model_path: str = MODEL, n: int = NBEST) -> DataFrame:
     """``docs`` with ``piece_ids`` (array<int>, the best segmentation),
     ``n_best_scores`` (array<double>, best first), ``n_best_longer``
-    (array<int>: pieces by which each segmentation is longer than the best)
-    and ``round_trip`` (decoding gives the text back)."""
+    (array<int>: pieces by which each segmentation is longer than the best),
+    ``n_best_ids`` (array<array<int>>: the segmentations, best first) and
+    ``round_trip`` (decoding any of them gives the text back)."""
     with open(model_path, "rb") as f:
         model = docs.sparkSession.sparkContext.broadcast(f.read())
     rest = docs.drop(*ADDED.names)
@@ -318,10 +340,12 @@ def encode(docs: DataFrame, model_path: str = MODEL, n: int = NBEST) -> DataFram
 
     def row(pieces: Pieces, text: str | None, chunks: list[str]) -> tuple:
         if text is None:
-            return None, None, None, None
+            return None, None, None, None, None
         ids, scores, changes = pieces.assemble(chunks, n)
         longer = [sum(len(p) - len(pieces.best(chunks[i])[0]) // 4 for i, p in c.items()) for c in changes]
-        return ids, np.array(scores), np.array(longer), pieces.decode(ids.tolist()) == text
+        paths = pieces.spell_out(chunks, ids, changes)
+        same = all(pieces.decode(p.tolist()) == text for p in paths)
+        return ids, np.array(scores), np.array(longer), paths, same
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(model.value)
@@ -331,29 +355,36 @@ def encode(docs: DataFrame, model_path: str = MODEL, n: int = NBEST) -> DataFram
                 texts = part.column(place).to_pylist()
                 chunks = [CHUNK.findall(" " + t) if t else [] for t in texts]
                 pieces.meet(chunks)
-                ids, scores, longer, same = zip(*(row(pieces, t, c) for t, c in zip(texts, chunks)))
+                ids, scores, longer, paths, same = zip(*(row(pieces, t, c) for t, c in zip(texts, chunks)))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, _lists(ids, pa.int32()), _lists(scores, pa.float64()),
-                     _lists(longer, pa.int32()), pa.array(same, pa.bool_())],
+                     _lists(longer, pa.int32()), _nested(paths), pa.array(same, pa.bool_())],
                     names=[*part.schema.names, *ADDED.names])
 
     return rest.mapInArrow(work, T.StructType([*rest.schema.fields, *ADDED.fields]))
 
 
 def decode(encoded: DataFrame, model_path: str = MODEL) -> DataFrame:
-    """``encoded`` with ``decoded``: the text spelled by ``piece_ids``."""
+    """``encoded`` with ``decoded`` (the text spelled by ``piece_ids``) and
+    ``n_best_decoded`` (the texts spelled by each of ``n_best_ids``)."""
     with open(model_path, "rb") as f:
         model = encoded.sparkSession.sparkContext.broadcast(f.read())
 
-    def work(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def best(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         pieces = Pieces(model.value)
         for batch in batches:
             yield pd.Series([None if ids is None else pieces.decode(ids.tolist()) for ids in batch])
 
-    return encoded.withColumn("decoded", F.pandas_udf(work, "string")(F.col("piece_ids")))
+    def every(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        pieces = Pieces(model.value)
+        for batch in batches:
+            yield pd.Series([None if paths is None else [pieces.decode(p.tolist()) for p in paths] for paths in batch])
+
+    return encoded.withColumns({"decoded": F.pandas_udf(best, "string")(F.col("piece_ids")),
+                                "n_best_decoded": F.pandas_udf(every, "array<string>")(F.col("n_best_ids"))})
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(read_table(spark, sf_dir, "documents")).select(
         "doc_id", F.size("piece_ids").alias("n_pieces"), "piece_ids", "n_best_scores",
-        "n_best_longer", "round_trip")
+        "n_best_longer", "n_best_ids", "round_trip")
