@@ -1,6 +1,7 @@
 """Fuzzy line deduplication by MinHash, with exact verification.
 
-A line is compared in normal form (lower case, no white space around it).
+A line is compared in normal form (lower case, no white space around it
+and one space for each run of it inside).
 Its set of ``SHINGLE``-character shingles has a MinHash signature of ``BANDS``
 bands of ``ROWS`` minima; at a similarity of ``SIMILARITY`` two lines share a
 band with probability 1 - (1 - 0.8 ** 3) ** 10 = 0.9992. Lines that share a band
@@ -49,7 +50,7 @@ FACTORS, OFFSETS = (_ODD[:, 0] | np.uint64(1)).astype(np.uint32), _ODD[:, 1].ast
 
 
 def normal(line: str) -> str:
-    return line.strip().lower()
+    return " ".join(line.lower().split())
 
 
 def shingle_set(line: str, k: int = SHINGLE) -> set[str]:
