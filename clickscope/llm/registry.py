@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import decontaminate, linededup, perplexity, pieces, pii, simhash, substrings, topk, toxicity, urlrep
+from . import (clusters, decontaminate, linededup, packing, perplexity, pieces, pii, simhash, spelling, substrings,
+               topk, toxicity, urlrep)
 from .shared import bounded_batches
 
 
@@ -34,6 +35,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontaminate": decontaminate.op8_decontaminate,
         "op9_quality_classifier": perplexity.op9_quality_classifier,
         "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
+        "op11_centroid_clusters": clusters.op11_centroid_clusters,
+        "op12_spelling_variants": spelling.op12_spelling_variants,
+        "op13_best_fit_packing": packing.op13_best_fit_packing,
         "pipeline": corpus_pipeline.run,
     }
     return {name: _bounded(query) for name, query in found.items()}
@@ -43,4 +47,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_url_filter": urlrep.OP1_SQL,
         "op4_exact_top_k": topk.OP4_SQL,
+        "op11_centroid_clusters": clusters.OP11_SQL,
+        "op12_spelling_variants": spelling.OP12_SQL,
     }
