@@ -40,6 +40,7 @@ from itertools import product
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -51,7 +52,7 @@ from .shared import landed, read_table
 LENGTH = 2048
 END = 0
 TOKENIZER = "word_bpe_49k.json"
-SLICE = 1 << 18  # code points of a text split into words together
+SLICE = 1 << 21  # code points split into words together
 KNOWN = 700_000  # words whose ids a worker remembers
 OUT_TOKENS = 1 << 21  # tokens of pieces sent on together
 #: Latin letters between marks, each part one pre-token under ``BY_WORD``: no
@@ -89,7 +90,6 @@ class Words(dict):
         self.by_word = all(settings[k] == v for k, v in BY_WORD.items())
         suffix = settings["model"].get("end_of_word_suffix")
         self.by_word &= bool(suffix) and not any(re.search(r"\s", t["content"]) for t in settings["added_tokens"])
-        self.missing: list[str] = []
         if self.by_word:
             vocab = self.tokenizer.get_vocab()
             self.closes = np.zeros(max(vocab.values()) + 1, bool)
@@ -98,50 +98,82 @@ class Words(dict):
             self.parts.pre_tokenizer = pre_tokenizers.Sequence([
                 pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
 
-    def __missing__(self, word: str) -> bytes:
-        self.missing.append(word)
-        return b""
-
     def _learn(self, words: list[str]) -> None:
-        plain, other = {}, []
+        whole, composed, other = [], {}, []
         for w in words:
-            m = PLAIN.fullmatch(w)
-            if m:
-                plain[w] = [p for p in (m[1], m[2].lower(), m[3]) if p]
+            if w.isascii() and w.isalpha():
+                whole.append(w)
+            elif m := PLAIN.fullmatch(w):
+                composed[w] = [p for p in m.groups() if p]
             else:
                 other.append(w)
-        new = list({p for parts in plain.values() for p in parts if p not in self})
-        if new:
-            together = self.parts.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0]
-            ids = np.array(together.ids, "<u4")
+        whole += {p for parts in composed.values() for p in parts if p not in self}
+        if whole:
+            together = " ".join(whole).lower()  # Latin letters and marks
+            ids = np.array(self.parts.encode_batch_fast([together], add_special_tokens=False)[0].ids, "<u4")
             ends = (4 * (np.flatnonzero(self.closes[ids]) + 1)).tolist()
             data = ids.tobytes()
-            self.update(zip(new, (data[a:b] for a, b in zip([0, *ends], ends))))
-        for w, parts in plain.items():
+            self.update(zip(whole, (data[a:b] for a, b in zip([0, *ends], ends))))
+        for w, parts in composed.items():
             self[w] = b"".join([self[p] for p in parts])
         for w, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
             self[w] = np.array(e.ids, "<u4").tobytes()
 
-    def ids(self, text: str) -> Iterator[bytes]:
-        """The ids of ``text``, slice by slice."""
+    def _split(self, texts: list[str]) -> pa.ListArray:
+        """The words of texts, in fewer spellings with the same ids: Latin-1 text
+        in lower case, marks apart from the letter or digit before them at the
+        end of a word (they start a pre-token there)."""
+        text = pc.replace_substring(pa.array(texts, pa.string()), "\n", " ")
+        other = pc.match_substring_regex(text, r"[^\x00-\x{FF}]|<\|")
+        text = pc.if_else(other, text, pc.utf8_lower(text))
+        text = pc.replace_substring_regex(text, r"([A-Za-z0-9\x{DF}-\x{F6}\x{F8}-\x{FF}])([,.;:!?]+)( |$)", r"\1 \2\3")
+        return pc.split_pattern(text, " ")
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each of ``texts``. Each distinct word is looked up once."""
         if not self.by_word:
-            yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-            return
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            return [np.array(e.ids, "<u4") for e in found]
+        words = self._split(texts)
+        ends = words.offsets.to_numpy()[1:]
+        coded = words.flatten().dictionary_encode()
+        distinct, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        if len(self) > KNOWN:
+            self.clear()
+            self[""] = b""
+        new = [w for w in distinct if w not in self]
+        if new:
+            self._learn(new)
+        held = [self[w] for w in distinct]
+        sizes = np.fromiter(map(len, held), np.int64, len(held)) // 4
+        data = np.frombuffer(b"".join(held), "<u4")
+        starts, each = np.cumsum(sizes) - sizes, sizes[at]
+        upto = np.cumsum(each)
+        if not len(upto) or not upto[-1]:
+            return [data[:0]] * len(texts)
+        ids = data[np.repeat(starts[at] - (upto - each), each) + np.arange(upto[-1])]
+        return np.split(ids, np.where(ends > 0, upto[ends - 1], 0)[:-1])
+
+
+def sliced(texts: Iterator[str]) -> Iterator[list[tuple[int, str]]]:
+    """(number of the text, slice) of all texts in order, cut between words
+    where a text is longer than ``SLICE``, about ``SLICE`` code points at a time."""
+    out, size = [], 0
+    for number, text in enumerate(texts):
         start = 0
-        while start < len(text):
-            end = text.find(" ", start + SLICE)  # cut at the first blank after the slice
+        while True:
+            end = text.find(" ", start + SLICE)
             end = len(text) if end < 0 else end
-            words = text[start:end].replace("\n", " ").split(" ")
-            if len(self) > KNOWN:
-                self.clear()
-                self[""] = b""
-            found = b"".join(map(self.__getitem__, words))
-            if self.missing:
-                self._learn(list(set(self.missing)))
-                self.missing.clear()
-                found = b"".join(map(self.__getitem__, words))
-            yield found
+            out.append((number, text[start:end]))
+            size += end - start
+            if size >= SLICE:
+                yield out
+                out, size = [], 0
             start = end
+            if end == len(text):
+                break
+    if out:
+        yield out
 
 
 def pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = END) -> DataFrame:
@@ -161,32 +193,33 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = END) ->
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
         for batch in batches:
-            for doc, text in zip(batch.column(0), batch.column(1)):
-                doc, text = doc.as_py(), text.as_py() or ""
-                rest, number = b"", 0
-
-                def add(ids: bytes) -> None:
-                    size = len(ids) // 4
-                    rows.append((doc, number, number * length, size, ids, task, seen[size]))
-                    seen[size] += 1
-
-                for found in words.ids(text):
-                    rest += found
-                    at = 0
-                    while len(rest) - at >= full:
-                        add(rest[at:at + full])
-                        number, at, held = number + 1, at + full, held + length
-                    rest = rest[at:]
+            names, rest, number, current = batch.column(0).to_pylist(), b"", 0, 0
+
+            def add(ids: bytes) -> None:
+                nonlocal held
+                size = len(ids) // 4
+                rows.append((names[current], number, number * length, size, ids, task, seen[size]))
+                seen[size] += 1
+                held += size
+
+            texts = (t.as_py() or "" for t in batch.column(1))
+            for group in sliced(texts):
+                for (doc, _), found in zip(group, words.ids([t for _, t in group])):
+                    if doc != current:
+                        add(rest + last)  # fits: less than a full piece was left
+                        rest, number, current = b"", 0, doc
+                    data, at = rest + found.tobytes(), 0
+                    while len(data) - at >= full:
+                        add(data[at:at + full])
+                        number, at = number + 1, at + full
+                    rest = data[at:]
                     if held > OUT_TOKENS:
                         yield sent()
                         rows, held = [], 0
-                rest += last  # fits: less than a full piece was left
-                add(rest)
-                held += len(rest) // 4
-            if held > OUT_TOKENS:
-                yield sent()
-                rows, held = [], 0
-        yield sent()
+            if names:
+                add(rest + last)
+            yield sent()
+            rows, held = [], 0
 
     slim = docs.select(F.col("doc_id").cast("long"), F.col("text"))
     return landed(slim.mapInArrow(cut, PIECES), "packing-pieces")
