@@ -1,11 +1,12 @@
 """Stream reports over the driver's tables: a deterministic replay.
 
 The ad records are replayed through the stream in time blocks
-(``BLOCK_DAYS`` days each, blocks in time order). Each block is written as
-log lines by one parallel Spark job, then the query drains it with an
-``availableNow`` trigger, so micro-batch k is block k and the batch form
-(and its SQL oracle) can number batches the same way. One replay per session
-and input folder serves every ``stream_*`` key.
+(``BLOCK_DAYS`` days each, blocks in time order). Each block is appended to a
+message topic (``sources.topic``) by one parallel Spark job, then the query
+drains it with an ``availableNow`` trigger, from the offsets its checkpoint
+holds, so micro-batch k is block k and the batch form (and its SQL oracle) can
+number batches the same way. The reports are read back from the hash store.
+One replay per session and input folder serves every ``stream_*`` key.
 """
 
 from __future__ import annotations
@@ -16,11 +17,13 @@ from pyspark.sql import functions as F
 from ..params import TEST_THRESHOLD
 from ..session import fresh_subdir
 from ..sinks import kv
-from ..sources import adslog
+from ..sources import adslog, topic
 from ..sources import tables as tb
 from ..streaming import adstream as pl
+from ..streaming import running
 
 BLOCK_DAYS = 10
+PARTITIONS = 4
 _DAY_MS = 86400 * 1000
 _RUNS: dict[tuple[str, str], pl.StreamPaths] = {}
 
@@ -36,16 +39,22 @@ def replay(spark: SparkSession, sf_dir: str, threshold: int = TEST_THRESHOLD) ->
     if key in _RUNS:
         return _RUNS[key]
     base = fresh_subdir(spark, "stream-replay")
-    src, paths = f"{base}/lines", pl.StreamPaths(f"{base}/out")
+    src, paths = f"{base}/ads_log", pl.StreamPaths(f"{base}/out")
+    topic.create(src, PARTITIONS)
     ads = tb.ads_log(spark, sf_dir)
     # the block numbers: one value per BLOCK_DAYS days of data
     blocks = [r[0] for r in ads.select(block_of(F.col("ts")).alias("b")).distinct().orderBy("b").collect()]
     span = BLOCK_DAYS * _DAY_MS
-    for b in blocks:
-        # the block's time range reaches the events scan as pushed filters
-        part = tb.ads_log(spark, sf_dir, since_ms=b * span, until_ms=(b + 1) * span)
-        adslog.ads_lines(part).write.mode("overwrite").text(f"{src}/block-{b:08d}")
-        pl.run_available_now(spark, adslog.text_lines(spark, f"{src}/*"), paths, threshold, keep_survivors=True)
+    totals = running.start(spark, paths, threshold, f"replay_totals_{key[0]}", BLOCK_DAYS, keep_survivors=True)
+    try:
+        for b in blocks:
+            # the block's time range reaches the events scan as pushed filters
+            part = tb.ads_log(spark, sf_dir, since_ms=b * span, until_ms=(b + 1) * span)
+            topic.append(adslog.ads_lines(part), src)
+            pl.run_available_now(spark, topic.topic_lines(spark, src, "earliest"), paths, threshold,
+                                 keep_days=BLOCK_DAYS, totals=totals)
+    finally:
+        totals.stop()
     _RUNS[key] = paths
     return paths
 

@@ -8,6 +8,8 @@ import os
 import tempfile
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from clickscope.sinks.merged import MergedTable
 from clickscope.sources import adslog
 from clickscope.sources import tables as tb
 from clickscope.streaming import adstream as pl
+from clickscope.streaming import running
 
 from .conftest import SF_SMALL
 
@@ -117,7 +120,7 @@ def test_one_restart_after_a_crash_goes_on_exactly_once(spark, real_files, step)
         run(spark, src, paths, after=die)
     run(spark, src, paths)
     assert held(spark, paths) == expected(parsed_batches(spark, src), TEST_THRESHOLD)
-    total = pl.batch_stats(spark, paths).read().agg(F.sum("lines")).first()[0]
+    total = pl.batch_stats(spark, paths).agg(F.sum("lines")).first()[0]
     assert total == sum(map(len, real_files[:3]))
 
 
@@ -141,14 +144,16 @@ def test_hot_user_far_future_line_and_late_clicks(spark):
     assert hours <= {end, end - 1}  # one hour of panes is kept
 
 
-def test_published_rows_are_the_changed_ones(spark):
-    src = source(spark, [[f"{DAY} north cityA 1 1"], [f"{DAY + 1000} north cityB 2 1"]])
-    told = []
-    run(spark, src, pl.StreamPaths(fresh_subdir(spark, "stream-publish")), threshold=100,
-        publish=lambda name, rows, batch: told.extend((name, batch, r.field, r.value) for r in rows.collect()))
-    assert (kv.AREA_CITY_ADS_DAYCOUNT, 1, "north:cityB:1:2024-01-01", "1") in told
-    assert (kv.AREA_CITY_ADS_DAYCOUNT, 1, "north:cityA:1:2024-01-01", "1") not in told
-    assert (kv.TOP3_ADS_PER_DAY, 1, "north", '[{"1":2}]') in told
+def test_a_batch_writes_its_changed_fields_to_the_store(spark):
+    src = source(spark, [[f"{DAY} north cityA 1 1", f"{DAY} south cityC 1 2"], [f"{DAY + 1000} north cityB 2 1"]])
+    paths = pl.StreamPaths(fresh_subdir(spark, "stream-store"))
+    run(spark, src, paths, threshold=100)
+    told = {tuple(r) for r in spark.read.parquet(paths.store).where("batch = 1").select("key", "field", "value").collect()}
+    day = "2024-01-01"
+    assert told == {
+        (kv.AREA_CITY_ADS_DAYCOUNT, f"north:cityB:1:{day}", "1"), (kv.USER_ADS_DAYCOUNT, f"2:1:{day}", "1"),
+        (f"{kv.TOP3_ADS_PER_DAY}:{day}", "north", '[{"1":2}]'), (kv.LAST_HOUR_ADS_CLICK, None, None),
+        (kv.LAST_HOUR_ADS_CLICK, "1", '[{"00:00":2}]'), (kv.LAST_HOUR_ADS_CLICK, "2", '[{"00:00":1}]')}
 
 
 def test_no_python_in_the_plans(spark, monkeypatch):
@@ -160,7 +165,74 @@ def test_no_python_in_the_plans(spark, monkeypatch):
         return real(self, rows, batch_id, replace)
     monkeypatch.setattr(MergedTable, "merge", spy)
     run(spark, source(spark, [[f"{DAY} north cityA 1 1"]]), pl.StreamPaths(fresh_subdir(spark, "stream-plan")))
-    assert len(plans) == 5 and not any("Python" in p or "Pandas" in p or "Arrow" in p for p in plans)
+    assert len(plans) == 3  # panes, bans, top lists
+    assert not any("Python" in p or "Pandas" in p or "Arrow" in p for p in plans)
+
+
+def test_totals_are_keyed_state_in_rocksdb(spark):
+    paths = pl.StreamPaths(fresh_subdir(spark, "stream-state"))
+    files = [[f"{DAY + d * 86_400_000 + i * 1000} north city{i} {i} {i % 3}" for i in range(20)] for d in range(4)]
+    src = source(spark, files)
+    sizes = []
+
+    def look(step, batch):
+        if step == "area counts":
+            sizes.append(batch)
+    run(spark, src, paths, threshold=100, keep_days=1, after=look)
+    assert sizes == [0, 1, 2, 3]
+    # a batch appends the keys of its day only: users, cities and areas x ads
+    rows = spark.read.parquet(paths.counts).groupBy("seen", "dt").count().collect()
+    assert sorted((r.seen, str(r.dt), r["count"]) for r in rows) == [
+        (d, f"2024-01-0{d + 1}", 20 + 20 + 3) for d in range(4)]
+    state = spark.read.format("statestore").load(paths.running_checkpoint)
+    days = {str(r.event_day)[:10] for r in state.select("key.event_day").distinct().collect()}
+    assert "2024-01-01" not in days and "2024-01-04" in days  # old days leave the state
+    meta = spark.read.format("state-metadata").load(paths.running_checkpoint).first()
+    assert meta.operatorName == "stateStoreSave"
+
+
+def test_clicks_later_than_the_watermark_still_count(spark):
+    line = lambda d, uid, ad: f"{DAY + d * 86_400_000} north cityA {uid} {ad}"
+    files = [[line(0, 1, 1)] * 2 + [line(0, 2, 2)], [line(9, 3, 1)], [line(0, 1, 1)] * 2 + [line(0, 4, 3)],
+             [line(20, 3, 1)], [line(0, 1, 1), line(9, 5, 1)]]
+    src, paths = source(spark, files), pl.StreamPaths(fresh_subdir(spark, "stream-late"))
+    run(spark, src, paths, threshold=4, keep_days=1)
+    assert held(spark, paths) == expected(parsed_batches(spark, src), 4)
+    assert running.exists(spark, f"{paths.odd}/dt=2024-01-01")
+    # user 1 reached the threshold by late clicks, in batch 2; the click of batch 4 is dropped
+    assert [tuple(r) for r in pl.current_bans(spark, paths).collect()] == [(1, 2)]
+
+
+def test_one_day_batch_reads_one_day(spark):
+    t = MergedTable(spark, fresh_subdir(spark, "merged") + "/t", "p string, k string, n long", "p", ["p", "k"],
+                    {"n": "sum"})
+    t.merge(spark.createDataFrame([(f"2024-01-{d:02d}", "a", d) for d in range(1, 31)], "p string, k string, n long"), 0)
+    one = t.read(["2024-01-07"])
+    assert [tuple(r) for r in one.collect()] == [("2024-01-07", "a", 7)]
+    assert "PartitionFilters: [isnotnull(p" in one._jdf.queryExecution().toString() or \
+        "PartitionFilters: [(p" in one._jdf.queryExecution().toString()
+    read = one._jdf.queryExecution().executedPlan().toString()
+    assert "2024-01-07" in read.split("PartitionFilters")[1]
+
+
+top_rows = st.lists(st.lists(st.tuples(st.sampled_from(["d1", "d2"]), st.sampled_from(["n", "s"]), st.integers(1, 6),
+                                       st.integers(1, 4)), max_size=12), min_size=1, max_size=4)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(top_rows)
+def test_top_lists_by_changed_keys_equal_a_full_ranking(spark, batches):
+    kind = "dt string, area string, ads_id long, clicks long"
+    total, held_lists = {}, spark.createDataFrame([], kind)
+    for batch in batches:
+        for dt, area, ad, n in batch:
+            total[dt, area, ad] = total.get((dt, area, ad), 0) + n
+        changed = {k: total[k] for k in {r[:3] for r in batch}}
+        rows = sorted(tuple(r) for r in running.new_top(
+            held_lists, spark.createDataFrame([(*k, n) for k, n in changed.items()], kind)).collect())
+        held_lists = spark.createDataFrame(rows, kind)
+        full = running.best(spark.createDataFrame([(*k, n) for k, n in total.items()], kind))
+        assert rows == sorted(tuple(r) for r in full.select("dt", "area", "ads_id", "clicks").collect())
 
 
 def test_merged_table_replay_and_crash_between_partitions(spark):
