@@ -1,9 +1,10 @@
 """Runnable jobs: the offline reports, the area report, and the ad stream.
 
 Inputs are the model's tables in a catalog database (``schemas.py`` has their
-columns). A job reads its parameters, stamps every report with the run's task
-id and replaces the report's table, in the same database unless another is
-named. Each returns the names of the tables it wrote.
+columns). A job reads its parameters and adds every report, stamped with the
+run's task id, to the report's table, in the same database unless another is
+named; a task that runs again replaces its own rows. Each returns the names of
+the tables it wrote.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .operators import areas, categories, pages, visits
 from .params import BLACKLIST_THRESHOLD, ReportParams, condition_from_properties
 from .session import shared_dir
-from .sinks.tables import replace_table, with_task_id
+from .sinks.tables import append_task
 from .streaming import adstream
 
 
@@ -26,7 +27,7 @@ def _table(spark: SparkSession, database: str, name: str) -> DataFrame:
 def _write(reports: dict[str, DataFrame], task_id: str | None, database: str) -> list[str]:
     task = task_id or uuid.uuid4().hex
     for name, df in reports.items():
-        replace_table(with_task_id(df, task), f"{database}.{name}")
+        append_task(df, f"{database}.{name}", task)
     return [f"{database}.{name}" for name in reports]
 
 
@@ -36,8 +37,7 @@ def offline_reports(spark: SparkSession, database: str, params: ReportParams) ->
                                  _table(spark, database, "user_info"), params.visits)
     top = categories.category_top(categories.category_action_counts(v), 10)
     sessions = categories.top_sessions(categories.category_session_counts(v, top), 10)
-    jumps = pages.page_jump_counts(pages.session_page_pairs(v), params.target_page_flow)
-    ratio = pages.page_convert_ratio(jumps, pages.page_visit_counts(v, params.target_page_flow))
+    ratio = pages.page_convert_ratio_of(pages.session_page_pairs(v, keep_last=True), params.target_page_flow)
     return {"category_top10": top, "category_top10_session": sessions, "page_convert_ratio": ratio}
 
 
@@ -56,8 +56,9 @@ def run_area_top3(spark: SparkSession, database: str, task_id: str | None = None
 
 
 def run_realtime(spark: SparkSession, lines: DataFrame, name: str = "ads", threshold: int = BLACKLIST_THRESHOLD,
-                 trigger: dict | None = None, **options):
-    """Start the ad stream over a streaming frame of log lines; its tables are
-    below the shared folder. Returns the running query."""
+                 trigger: dict | None = None, **options) -> adstream.AdStream:
+    """Start the ad stream over a streaming frame of log lines (``topic_lines``,
+    ``kafka_lines``, ``text_lines``). Its tables and the hash store with every
+    report are below the shared folder. Returns the running stream."""
     paths = adstream.StreamPaths(f"{shared_dir(spark)}/{name}")
     return adstream.start(lines, paths, threshold, trigger, **options)

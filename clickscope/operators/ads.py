@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import epoch_ms_minute, json_pairs
 from ..params import BATCH_MS, SLIDE_MS, WINDOW_MS
-from ..plans.joins import materialized_broadcast
+from ..plans.joins import MAX_BROADCAST_ROWS, broadcast_if_small, marked_by_bitmaps, materialized_broadcast
 
 
 def with_batch(ads: DataFrame, batch_ms: int = BATCH_MS) -> DataFrame:
@@ -58,6 +58,21 @@ def blacklist_filter(ads: DataFrame, bans: DataFrame, batch_col: str = "batch")
     return j.where(keep).drop("banned_batch")
 
 
+def survivors(ads: DataFrame, bans: DataFrame, batch_col: str = "batch", max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``blacklist_filter`` by the measured size of ``bans`` (checkpointed: it is
+    read more than once). A list too long to broadcast goes out as bitmaps of
+    its users: events of all others pass where they are read, and only events
+    of listed users are shuffled to their ban's batch."""
+    small = broadcast_if_small(bans, max_rows)
+    if small is not bans:
+        return blacklist_filter(ads, small, batch_col)
+    marked = marked_by_bitmaps(ads, bans.select("uid"), "uid", "_listed")
+    if marked is None:
+        return blacklist_filter(ads, bans, batch_col)
+    listed = blacklist_filter(marked.where("_listed"), bans, batch_col)
+    return marked.where(~F.coalesce("_listed", F.lit(False))).unionByName(listed).drop("_listed")
+
+
 def user_ads_daycount(survivors: DataFrame) -> DataFrame:
     return survivors.groupBy("uid", "ads_id", "dt").agg(F.count(F.lit(1)).alias("clicks"))
 

@@ -8,7 +8,7 @@ occur are reported.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import pct_half_up
@@ -27,11 +27,13 @@ def page_visit_counts(visits: DataFrame, flow: tuple[int, ...]) -> DataFrame:
                   .groupBy("page_id").agg(F.count(F.lit(1)).alias("visits")))
 
 
-def session_page_pairs(visits: DataFrame) -> DataFrame:
-    """(session_id, from_page, to_page) for every pair of neighbouring actions."""
+def session_page_pairs(visits: DataFrame, keep_last: bool = False) -> DataFrame:
+    """(session_id, from_page, to_page) for every pair of neighbouring actions;
+    with ``keep_last`` one row for every action, ``to_page`` null at the end of
+    its session."""
     hour = F.substring("action_time", 1, len("yyyy-MM-dd HH"))
     return consecutive_pairs(visits, "session_id", ["action_time", "event_id"], "page_id", piece=hour,
-                             prev_name="from_page", next_name="to_page")
+                             prev_name="from_page", next_name="to_page", keep_last=keep_last)
 
 
 def _jump(a, b):
@@ -64,3 +66,19 @@ def page_convert_ratio(jumps: DataFrame, visit_counts: DataFrame) -> DataFrame:
     joined = j.join(F.broadcast(v), "_from", "left")
     den = F.coalesce(F.col("visits"), F.lit(MISSING_VISITS))
     return joined.select("page_jump", pct_half_up(F.col("jumps"), den).alias("ratio"))
+
+
+def page_convert_ratio_of(steps: DataFrame, flow: tuple[int, ...]) -> DataFrame:
+    """``page_convert_ratio`` from one pass over every action with the page after
+    it (``session_page_pairs`` with ``keep_last``): jumps and visits are both
+    counts of (from_page, to_page), at most flow length x pages of them."""
+    wanted = [f"{a}-{b}" for a, b in flow_pairs(flow)]
+    if not wanted:
+        return steps.sparkSession.createDataFrame([], "page_jump string, ratio double")
+    counts = (steps.where(F.col("from_page").isin(sorted(set(flow[:-1]))))
+                   .groupBy("from_page", "to_page").agg(F.count(F.lit(1)).alias("jumps")))
+    visits = F.sum("jumps").over(Window.partitionBy("from_page"))
+    rows = counts.select(_jump(F.col("from_page"), F.col("to_page")).alias("page_jump"), "to_page", "jumps",
+                         visits.alias("visits"))
+    return (rows.where(F.col("to_page").isNotNull() & F.col("page_jump").isin(wanted))
+                .select("page_jump", pct_half_up(F.col("jumps"), F.col("visits")).alias("ratio")))

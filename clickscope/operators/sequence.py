@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 
 
 def consecutive_pairs(df: DataFrame, group: str, order: list[str], value: str, piece: Column,
-                      prev_name: str | None = None, next_name: str | None = None) -> DataFrame:
-    """(group, prev value, next value) for each pair of neighbouring rows.
+                      prev_name: str | None = None, next_name: str | None = None,
+                      keep_last: bool = False) -> DataFrame:
+    """(group, prev value, next value) for each pair of neighbouring rows; with
+    ``keep_last`` also each group's last row, its next value null.
 
     ``order`` must make the row order inside a group total (add a unique id
     as the last key), and ``piece`` must not decrease along it; a group with a
@@ -40,6 +42,7 @@ def consecutive_pairs(df: DataFrame, group: str, order: list[str], value: str, p
     across = Window.partitionBy(group).orderBy(*order)  # at most two rows a piece
     edges = marked.where(F.col("_first") | F.col("_last")).drop("_next")
     after = F.lead(F.struct("_v")).over(across)
-    stitched = (edges.withColumn("_after", after).where(F.col("_last") & F.col("_after").isNotNull())
+    ends = F.col("_last") if keep_last else F.col("_last") & F.col("_after").isNotNull()
+    stitched = (edges.withColumn("_after", after).where(ends)
                      .withColumn("_next", F.col("_after._v")).select(*pair))
     return inner.unionByName(stitched)

@@ -105,6 +105,7 @@ def flow_pairs(flow: tuple[int, ...]) -> list[tuple[int, int]]:
 FILTER_PARAMS = VisitParams("2024-01-05", "2024-01-25", 20, 50)
 REPORT_PARAMS = ReportParams(VisitParams("2024-01-01", "2024-12-31", 20, 50), (1, 2, 3, 4, 5, 6, 7))
 REPORT_TASK_ID = "task-1"     # stamped on the registered task report
+TASKS = ["task-1", "task-2"]  # of the registered table with the reports of two tasks
 BLACKLIST_THRESHOLD = 100     # clicks per user, ad and day
 TEST_THRESHOLD = 3            # the driver's data never reaches 100
 BATCH_MS = 5000               # micro-batch width

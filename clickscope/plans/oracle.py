@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from ..params import (BATCH_MS, FILTER_PARAMS, REPORT_PARAMS, REPORT_TASK_ID, SLIDE_MS, TEST_THRESHOLD,
+from ..params import (BATCH_MS, FILTER_PARAMS, REPORT_PARAMS, REPORT_TASK_ID, SLIDE_MS, TASKS, TEST_THRESHOLD,
                       WINDOW_MS, flow_pairs)
 
 EV = "ev AS (SELECT *, cast(json_extract_string(props,'$.k') AS BIGINT) AS k FROM events)"
@@ -162,6 +162,8 @@ def offline_sql() -> dict[str, str]:
         "user_visit_filter_as_written": written + "SELECT event_id, user_id, date, age FROM uva_f",
         "category_action_counts": cats + "SELECT * FROM counts",
         "category_top10": cats + "SELECT * FROM top",
+        "report_tasks": cats + "SELECT t.task_id, top.* FROM top, (VALUES "
+        + ", ".join(f"('{t}')" for t in TASKS) + ") t(task_id)",
         "category_session_counts": cats + "SELECT * FROM scc",
         "top10_session": cats + """SELECT category_id, session_id, click_count FROM (
   SELECT *, row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id) AS rn FROM scc)

@@ -10,15 +10,17 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dataclasses import replace
 
 from . import streams
 from ..operators import ads, areas, categories, pages, visits
-from ..params import FILTER_PARAMS, REPORT_PARAMS, REPORT_TASK_ID, TEST_THRESHOLD
-from .joins import materialized_broadcast
+from ..params import FILTER_PARAMS, REPORT_PARAMS, REPORT_TASK_ID, TASKS, TEST_THRESHOLD
+from ..session import fresh_subdir
+from .joins import materialized, materialized_broadcast
 from ..sinks import kv
-from ..sinks.tables import with_task_id
+from ..sinks.tables import append_task, replace_table, with_task_id
 from ..sources import adslog
 from ..sources import tables as tb
 
@@ -74,7 +76,8 @@ def _page_jump_counts(spark, d):
 
 
 def _page_convert_ratio(spark, d):
-    return pages.page_convert_ratio(_page_jump_counts(spark, d), _page_visit_counts(spark, d))
+    steps = pages.session_page_pairs(_report_visits(spark, d), keep_last=True)
+    return pages.page_convert_ratio_of(steps, REPORT_PARAMS.target_page_flow)
 
 
 def _area_city_clicks(spark, d):
@@ -111,10 +114,9 @@ def _blacklist_users(spark, d):
 
 def _survivors(spark, d):
     b = _batched_ads(spark, d)
-    # the ban list is measured before the join: broadcast when small, so the
-    # ad records are filtered map-side instead of shuffled
-    bans = materialized_broadcast(ads.ban_batches(b, TEST_THRESHOLD))
-    return ads.blacklist_filter(b, bans)
+    # the ban list is measured before the join, so that the ad records are
+    # filtered where they are read instead of shuffled
+    return ads.survivors(b, materialized(ads.ban_batches(b, TEST_THRESHOLD)))
 
 
 def _blacklist_filter(spark, d):
@@ -178,17 +180,25 @@ def _kv_blacklist(spark, d):
 
 
 def _table_replace(spark, d):
-    """Catalog-table replace (drop and recreate) written twice, read back. The
-    table has a name of its own and does not stay in the catalog; its files
-    are in shared storage."""
-    from ..session import fresh_subdir
-    from ..sinks.tables import replace_table
+    """Catalog-table replace written twice, read back. The entry has a name of
+    its own and does not stay in the catalog; its files are in shared storage."""
     where = fresh_subdir(spark, "tables") + "/city_info"
     name = f"city_info_{uuid.uuid4().hex}"
     for _ in range(2):
-        replace_table(tb.city_info(spark, d), name, path=where)
+        held = replace_table(tb.city_info(spark, d), name, path=where)
+    spark.sql(f"DROP VIEW {name}")  # the files stay
+    return spark.read.parquet(held)
+
+
+def _report_tasks(spark, d):
+    """The category report of two tasks in one table, the second run twice."""
+    where = fresh_subdir(spark, "tables") + "/category_top10"
+    name = f"category_top10_{uuid.uuid4().hex}"
+    for task in TASKS + TASKS[1:]:
+        append_task(_category_top10(spark, d), name, task, path=where)
+    columns = spark.table(name).columns
     spark.sql(f"DROP TABLE {name}")  # external: the files stay
-    return spark.read.parquet(where)
+    return spark.read.parquet(where).withColumn("task_id", F.col("task_id").cast("string")).select(*columns)
 
 
 def _page_convert_ratio_task(spark, d):
@@ -227,5 +237,6 @@ def registry() -> dict[str, Report]:
         "kv_user_ads_daycount": _kv_user_ads_daycount,
         "kv_blacklist": _kv_blacklist,
         "table_replace": _table_replace,
+        "report_tasks": _report_tasks,
         **streams.registry(),
     }

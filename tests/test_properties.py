@@ -54,11 +54,12 @@ def test_blacklist_closed_form_equals_simulation(spark, evs, threshold):
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from("abcd"), st.integers(0, 5), st.integers(0, 9)),
                 min_size=0, max_size=80),
-       st.integers(1, 9))
-def test_pairs_equal_lead(spark, rows, ranges):
+       st.integers(1, 9), st.booleans())
+def test_pairs_equal_lead(spark, rows, width, keep_last):
     data = [(g, t, i, v) for i, (g, t, v) in enumerate(rows)]
     df = spark.createDataFrame(data, "g string, t long, id long, v long")
-    got = sorted(map(tuple, consecutive_pairs(df, "g", ["t", "id"], "v", num_ranges=ranges).collect()))
+    piece = F.floor(F.col("t") / width)  # does not decrease along the order
+    got = sorted(map(tuple, consecutive_pairs(df, "g", ["t", "id"], "v", piece, keep_last=keep_last).collect()), key=str)
     by = {}
     for g, t, i, v in data:
         by.setdefault(g, []).append((t, i, v))
@@ -66,7 +67,8 @@ def test_pairs_equal_lead(spark, rows, ranges):
     for g, xs in by.items():
         xs.sort()
         want += [(g, a[2], b[2]) for a, b in zip(xs, xs[1:])]
-    assert got == sorted(want)
+        want += [(g, xs[-1][2], None)] if keep_last else []
+    assert got == sorted(want, key=str)
 
 
 def remark_text(cities):

@@ -1,6 +1,11 @@
 """Table sinks."""
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
 from clickscope.session import fresh_subdir
-from clickscope.sinks.tables import preview, replace_table, with_task_id
+from clickscope.sinks.tables import append_task, preview, replace_table, with_task_id
 from clickscope.sources import tables as tb
 
 from .conftest import SF_SMALL
@@ -13,7 +18,36 @@ def test_replace_table_twice(spark):
     replace_table(ci, "city_info_t", path=where)          # replace, not append
     got = sorted(map(tuple, spark.table("city_info_t").collect()))
     assert got == sorted(map(tuple, ci.collect()))
-    spark.sql("DROP TABLE IF EXISTS city_info_t")
+    spark.sql("DROP VIEW IF EXISTS city_info_t")
+
+
+def test_readers_see_the_old_or_the_new_rows_and_a_failed_write_changes_nothing(spark):
+    where, name = fresh_subdir(spark, "swap"), f"swap_{uuid.uuid4().hex[:8]}"
+    replace_table(spark.range(3), name, path=where)
+    reading = spark.table(name)
+    replace_table(spark.range(5).withColumn("more", F.lit("x")), name, path=where)  # other columns too
+    assert reading.count() == 3 and spark.table(name).columns == ["id", "more"]
+    assert spark.table(name).count() == 5
+    with pytest.raises(Exception, match="dead task"):
+        replace_table(spark.range(2).select(F.raise_error(F.lit("dead task")).alias("id")), name, path=where)
+    assert spark.table(name).count() == 5
+    spark.sql(f"DROP VIEW {name}")
+    spark.range(2).write.saveAsTable(name, path=where + "/old")
+    replace_table(spark.range(7), name, path=where)  # a table of that name goes
+    assert spark.table(name).count() == 7
+    spark.sql(f"DROP VIEW {name}")
+
+
+def test_tasks_share_a_table(spark):
+    where, name = fresh_subdir(spark, "tasks") + "/t", f"tasks_{uuid.uuid4().hex[:8]}"
+    append_task(spark.range(3), name, "a", path=where)
+    append_task(spark.range(5), name, "b-2", path=where)
+    append_task(spark.range(2), name, "a", path=where)  # again: its own rows only
+    assert sorted(map(tuple, spark.table(name).collect())) == [(0, "a"), (0, "b-2"), (1, "a"), (1, "b-2"),
+                                                               (2, "b-2"), (3, "b-2"), (4, "b-2")]
+    with pytest.raises(ValueError):
+        append_task(spark.range(1), name, "it's", path=where)
+    spark.sql(f"DROP TABLE {name}")
 
 
 def test_task_id_and_preview(spark):
