@@ -33,6 +33,8 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+import types
 from collections import Counter
 from collections.abc import Callable, Iterator
 from itertools import product
@@ -52,8 +54,8 @@ from .shared import landed, read_table
 LENGTH = 2048
 END = 0
 TOKENIZER = "word_bpe_49k.json"
-SLICE = 1 << 21  # code points split into words together
-KNOWN = 700_000  # words whose ids a worker remembers
+SLICE = 1 << 22  # code points split into words together
+KNOWN = 1_000_000  # words whose ids a worker remembers
 OUT_TOKENS = 1 << 21  # tokens of pieces sent on together
 #: Latin letters between marks, each part one pre-token under ``BY_WORD``: no
 #: apostrophe (it starts contractions), nothing that special tokens begin with.
@@ -141,10 +143,11 @@ class Words(dict):
         if len(self) > KNOWN:
             self.clear()
             self[""] = b""
-        new = [w for w in distinct if w not in self]
-        if new:
-            self._learn(new)
-        held = [self[w] for w in distinct]
+        held = list(map(self.get, distinct))
+        new = [i for i, ids in enumerate(held) if ids is None]
+        self._learn([distinct[i] for i in new])
+        for i in new:
+            held[i] = self[distinct[i]]
         sizes = np.fromiter(map(len, held), np.int64, len(held)) // 4
         data = np.frombuffer(b"".join(held), "<u4")
         starts, each = np.cumsum(sizes) - sizes, sizes[at]
@@ -155,6 +158,15 @@ class Words(dict):
         return np.split(ids, np.where(ends > 0, upto[ends - 1], 0)[:-1])
 
 
+def worker_words(path: str) -> Words:
+    """The ``Words`` of this worker process: they outlive a task. (Functions
+    travel by value, so a module of their own holds them.)"""
+    memory = sys.modules.setdefault("clickscope_worker_words", types.ModuleType("clickscope_worker_words"))
+    if path not in vars(memory):
+        vars(memory)[path] = Words(path)
+    return vars(memory)[path]
+
+
 def sliced(texts: Iterator[str]) -> Iterator[list[tuple[int, str]]]:
     """(number of the text, slice) of all texts in order, cut between words
     where a text is longer than ``SLICE``, about ``SLICE`` code points at a time."""
@@ -182,7 +194,7 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = END) ->
     full, last = 4 * length, np.array([end], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, seen, task = Words(path), Counter(), TaskContext.get().partitionId()
+        words, seen, task = worker_words(path), Counter(), TaskContext.get().partitionId()
         rows: list[tuple] = []
         held = 0
 

@@ -20,7 +20,8 @@ component, or has a null id, takes no part, nor does a query like it; repeated
 rows count once, different vectors under one id count each; vectors of
 different lengths are compared over the shorter (missing components are
 zero); fewer than k candidates give all of them; an empty table gives no rows;
-further columns are not read.
+further columns are not read. Scores are 64-bit: vectors whose inner products
+could reach 2^61 are refused with a ValueError.
 """
 
 from __future__ import annotations
@@ -67,7 +68,9 @@ def search_block(ids: np.ndarray, rows: np.ndarray, qids: np.ndarray, queries: n
     """
     n, dims = rows.shape
     # sums in 32 bits where none can reach a quarter of their range
-    largest = np.abs(rows).max(initial=0) * np.abs(queries).sum(1).max(initial=0)
+    largest = float(np.abs(rows).max(initial=0)) * float(np.abs(queries).astype(float).sum(1).max(initial=0))
+    if largest >= 1 << 61:
+        raise ValueError("scores beyond 64 bits")
     kind = np.int32 if largest < 1 << 28 else np.int64
     rows, queries = rows.astype(kind), queries.astype(kind)
     order = np.argsort(rows, axis=0, kind="stable")

@@ -35,7 +35,7 @@ from .shared import landed, read_table
 RULES = [
     ("org/", "allow"),
     ("example.org/es/", "block"),
-    ("example.org/en/1", "allow"),
+    ("example.org/en/1", "block"),
     ("com/fr/", "allow"),
     ("com/de/", "block"),
 ]
@@ -168,13 +168,18 @@ def _level_sql(level: str, parent: str | None) -> str:
   FROM {level}_n, {level}_w)"""
 
 
-def _rule_sql() -> str:
-    cases = []
-    for rule, verdict in sorted(RULES, key=lambda r: (-len(r[0]), r[0])):
-        site, _, rest = rule.partition("/")
-        cases.append(f"WHEN (host = '{site}' OR ends_with(host, '.{site}')) AND starts_with(path, '/{rest}') "
-                     f"THEN {{'rule': '{rule}', 'verdict': '{verdict}'}}")
-    return "CASE " + " ".join(cases) + " END"
+# Fixed value: the rules once more, written out for the SQL; the longest first.
+RULE_SQL = """CASE
+  WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1')
+    THEN {'rule': 'example.org/en/1', 'verdict': 'block'}
+  WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/')
+    THEN {'rule': 'example.org/es/', 'verdict': 'block'}
+  WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/')
+    THEN {'rule': 'com/fr/', 'verdict': 'allow'}
+  WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/')
+    THEN {'rule': 'com/de/', 'verdict': 'block'}
+  WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/')
+    THEN {'rule': 'org/', 'verdict': 'allow'} END"""
 
 
 OP1_SQL = f"""
@@ -204,7 +209,7 @@ method AS (
   SELECT host, CASE WHEN a / (a + b) + {Z} * sqrt(a / (a + b) * (1 - a / (a + b)) / (a + b + 1))
                          < prior - {MARGIN} THEN 'block' ELSE 'allow' END AS method
   FROM beta),
-ruled AS (SELECT *, {_rule_sql()} AS found FROM placed)
+ruled AS (SELECT *, {RULE_SQL} AS found FROM placed)
 SELECT page_id, host, path, found.rule AS rule, coalesce(found.verdict, method) AS verdict
 FROM ruled JOIN method USING (host)
 """.replace("\\\\", "\\")

@@ -54,3 +54,17 @@ def test_reading_stops_early_on_a_clear_winner():
     rows[7] = 10_000
     got = K.search_block(np.arange(400), rows, np.array([1000]), np.full((1, 8), 3), 1)
     assert [tuple(int(y[0]) for y in x) for x in got] == [(1000, 7, 240_000)]
+
+
+def test_components_up_to_ten_million(spark):
+    rows = [(0, [3.0e6, 0.0]), (1, [0.0, 5.0]), (2, [0.0, 7.0]), (100, [0.0, 4.0e6]), (3, [-1.0e7, 1.0e7])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in K.top_k(df, F.col("vec_id") % 100 == 0, 3, block_rows=2).collect())
+    assert got == brute(rows, 3, lambda i: i % 100 == 0)
+
+
+def test_scores_beyond_64_bits_are_refused():
+    import pytest
+    wide = np.array([[1 << 40, 0], [0, 1 << 40]])
+    with pytest.raises(ValueError):
+        K.search_block(np.array([1, 2]), wide, np.array([3]), wide[:1], 1)

@@ -21,6 +21,11 @@ URLS = [None, "", "no scheme/x", "http://EXAMPLE.org/es/a", "http://sub.Example.
         "http://q.example.org/es\n/x", "http://" + "l" * 50000 + ".org/" + "p" * 50000]
 
 
+#: The rules as the contract has them.
+RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"),
+         ("com/de/", "block")]
+
+
 def brute(url):
     host = path = ""
     if url and "://" in url:
@@ -28,7 +33,7 @@ def brute(url):
         host = re.match("[^/?#]*", rest).group()
         path = re.match("[^?#]*", rest[len(host):]).group()
         host = re.sub("[A-Z]", lambda m: m.group().lower(), host)
-    fits = [(len(r), r, v) for r, v in U.RULES
+    fits = [(len(r), r, v) for r, v in RULES
             if (("." + host).endswith("." + r.split("/", 1)[0])) and path.startswith("/" + r.split("/", 1)[1])]
     return (host, path) + (max(fits)[1:] if fits else (None, None))
 
@@ -43,6 +48,20 @@ def test_hosts_paths_and_rules(spark):
         assert got[i].verdict == (verdict or "allow")  # no labels: nothing is blocked
 
 
+def test_contract_rules(spark):
+    urls = {"http://example.org/en/1/x": "block", "http://a.example.org/en/123": "block", "http://example.org/en/2": "allow",
+            "http://b.example.org/es/": "block", "http://x.com/fr/1": "allow", "http://x.com/de/1": "block"}
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    got = U.judge(pages, spark.createDataFrame([], "page_id long, good int")).orderBy("page_id").collect()
+    assert [r.verdict for r in got] == list(urls.values())
+
+
+def test_repeated_rows(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/x")] * 3, "page_id long, url string")
+    votes = spark.createDataFrame([(1, 1)] * 2, "page_id long, good int")
+    assert [r.verdict for r in U.judge(pages, votes).collect()] == ["allow"] * 3
+
+
 def test_reputation_shrinks_and_blocks(spark):
     pages, votes = [], []
     for host, n, good in (("bad.spam.net", 60, 3), ("new.spam.net", 1, 1), ("fine.net", 80, 75),
