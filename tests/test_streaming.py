@@ -160,9 +160,9 @@ def test_no_python_in_the_plans(spark, monkeypatch):
     plans = []
     real = MergedTable.merge
 
-    def spy(self, rows, batch_id, replace=False):
+    def spy(self, rows, batch_id, **options):
         plans.append(rows._jdf.queryExecution().toString())
-        return real(self, rows, batch_id, replace)
+        return real(self, rows, batch_id, **options)
     monkeypatch.setattr(MergedTable, "merge", spy)
     run(spark, source(spark, [[f"{DAY} north cityA 1 1"]]), pl.StreamPaths(fresh_subdir(spark, "stream-plan")))
     assert len(plans) == 3  # panes, bans, top lists
