@@ -68,7 +68,7 @@ def search_block(ids: np.ndarray, rows: np.ndarray, qids: np.ndarray, queries: n
     """
     n, dims = rows.shape
     # sums in 32 bits where none can reach a quarter of their range
-    largest = float(np.abs(rows).max(initial=0)) * float(np.abs(queries).astype(float).sum(1).max(initial=0))
+    largest = (np.abs(queries.astype(float)) @ np.abs(rows.astype(float)).max(0, initial=0)).max(initial=0)
     if largest >= 1 << 61:
         raise ValueError("scores beyond 64 bits")
     kind = np.int32 if largest < 1 << 28 else np.int64
