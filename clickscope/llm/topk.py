@@ -20,8 +20,8 @@ component, or has a null id, takes no part, nor does a query like it; repeated
 rows count once, different vectors under one id count each; vectors of
 different lengths are compared over the shorter (missing components are
 zero); fewer than k candidates give all of them; an empty table gives no rows;
-further columns are not read. Scores are 64-bit: vectors whose inner products
-could reach 2^61 are refused with a ValueError.
+further columns are not read. A result's score that does not fit 64 bits is
+refused with a ValueError.
 """
 
 from __future__ import annotations
@@ -59,6 +59,20 @@ def _padded(vectors: pd.Series, width: int) -> np.ndarray:
     return out
 
 
+def _wide(ids: np.ndarray, rows: np.ndarray, qids: np.ndarray, queries: np.ndarray,
+          k: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``search_block`` for components whose bounds do not fit 64 bits: every list
+    read to its end, in Python integers. Only a score that is a result must fit."""
+    found = []
+    for qid, query in zip(qids, queries.astype(object)):
+        scores = rows.astype(object) @ query
+        best = sorted(np.flatnonzero(ids != qid), key=lambda i: (-scores[i], ids[i]))[:k]
+        if any(abs(scores[i]) >= 1 << 63 for i in best):
+            raise ValueError("a score does not fit 64 bits")
+        found.append((np.full(len(best), qid), ids[best], np.array([scores[i] for i in best], np.int64)))
+    return found
+
+
 def search_block(ids: np.ndarray, rows: np.ndarray, qids: np.ndarray, queries: np.ndarray,
                  k: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(query ids, ids, scores) of the k best rows of one block for each query.
@@ -70,7 +84,7 @@ def search_block(ids: np.ndarray, rows: np.ndarray, qids: np.ndarray, queries: n
     # sums in 32 bits where none can reach a quarter of their range
     largest = (np.abs(queries.astype(float)) @ np.abs(rows.astype(float)).max(0, initial=0)).max(initial=0)
     if largest >= 1 << 61:
-        raise ValueError("scores beyond 64 bits")
+        return _wide(ids, rows, qids, queries, k)
     kind = np.int32 if largest < 1 << 28 else np.int64
     rows, queries = rows.astype(kind), queries.astype(kind)
     order = np.argsort(rows, axis=0, kind="stable")

@@ -68,3 +68,5 @@ def test_scores_beyond_64_bits_are_refused():
     wide = np.array([[1 << 40, 0], [0, 1 << 40]])
     with pytest.raises(ValueError):
         K.search_block(np.array([1, 2]), wide, np.array([3]), wide[:1], 1)
+    (found,) = K.search_block(np.array([1, 2]), wide, np.array([1]), wide[:1], 1)  # its own score is none
+    assert [x.tolist() for x in found] == [[1], [2], [0]]
