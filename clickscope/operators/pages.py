@@ -33,7 +33,8 @@ def session_page_pairs(visits: DataFrame, keep_last: bool = False) -> DataFrame:
     its session."""
     hour = F.substring("action_time", 1, len("yyyy-MM-dd HH"))
     return consecutive_pairs(visits, "session_id", ["action_time", "event_id"], "page_id", piece=hour,
-                             prev_name="from_page", next_name="to_page", keep_last=keep_last)
+                             prev_name="from_page", next_name="to_page", keep_last=keep_last,
+                             finer=F.col("action_time"))
 
 
 def _jump(a, b):
