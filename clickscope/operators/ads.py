@@ -13,6 +13,8 @@ default ``ts div 5000``, the 5-second trigger; a stream test passes its own):
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,6 +111,22 @@ def latest_event(ads: DataFrame) -> int | None:
     return ads.where(F.col("ts") <= now).agg(F.max("ts")).first()[0]
 
 
+def latest_event_back(scan: Callable[[int | None, int], DataFrame], now_ms: int,
+                      first_ms: int = WINDOW_MS, factor: int = 16) -> int | None:
+    """``latest_event`` by a probe backwards from now: ``scan(since, until)`` gives
+    the records of ``[since, until)``; the newest range is read first, then
+    ranges ``factor`` times as long, until one has a record. Data that reaches up
+    to now costs one short range, and no range is read twice; the last one has
+    no lower end."""
+    until, width = now_ms + 1, first_ms
+    while True:
+        since = now_ms + 1 - width if width < now_ms else None
+        found = scan(since, until).agg(F.max("ts")).first()[0]
+        if found is not None or since is None:
+            return found
+        until, width = since, width * factor
+
+
 def window(latest_ms: int, length_ms: int = WINDOW_MS, slide_ms: int = SLIDE_MS) -> tuple[int, int]:
     """(start, end) of the window ``(start, end]`` in ms: it ends with the
     slide pane that holds the latest event."""

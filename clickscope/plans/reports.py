@@ -6,6 +6,7 @@ Each report reads the driver's tables through the bindings in
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 
@@ -18,7 +19,7 @@ from . import streams
 from ..operators import ads, areas, categories, pages, visits
 from ..params import FILTER_PARAMS, REPORT_PARAMS, REPORT_TASK_ID, TASKS, TEST_THRESHOLD
 from ..session import fresh_subdir
-from .joins import materialized, materialized_broadcast
+from .joins import materialized
 from ..sinks import kv
 from ..sinks.tables import append_task, replace_table, with_task_id
 from ..sources import adslog
@@ -140,15 +141,17 @@ def _top3_ads_per_day(spark, d):
 
 
 def _last_hour_minutes(spark, d):
-    """The window is found first, over what survives; then only its time range
-    is scanned (the range reaches the events scan), with the ban list made
-    from all history."""
-    b = _batched_ads(spark, d)
-    bans = materialized_broadcast(ads.ban_batches(b, TEST_THRESHOLD))
-    latest = ads.latest_event(ads.blacklist_filter(b, bans))
+    """The window is found first, by a probe backwards over what survives; then
+    only its time range is scanned (the ranges reach the events scan), with the
+    ban list made from all history."""
+    bans = materialized(ads.ban_batches(_batched_ads(spark, d), TEST_THRESHOLD))
+
+    def surviving(since, until):
+        return ads.survivors(ads.with_batch(tb.ads_log(spark, d, since_ms=since, until_ms=until)), bans)
+
+    latest = ads.latest_event_back(surviving, int(time.time() * 1000))
     start, end = ads.window(-1 if latest is None else latest)
-    recent = ads.with_batch(tb.ads_log(spark, d, since_ms=start + 1, until_ms=end + 1))
-    return ads.last_hour_ads_minutes(ads.blacklist_filter(recent, bans), as_of_ms=end)
+    return ads.last_hour_ads_minutes(surviving(start + 1, end + 1), as_of_ms=end)
 
 
 def _last_hour_ads_minutes(spark, d):

@@ -1,4 +1,6 @@
 """Hand-made edge cases of the ad-log parser and the batch ad reports."""
+from pyspark.sql import functions as F
+
 from clickscope.operators import ads
 from clickscope.sources import adslog
 
@@ -77,3 +79,24 @@ def test_last_hour_window_edges(spark):
     assert got == [(1, "02:00", 1), (1, "03:00", 1), (2, "02:59", 1)]
     j = {r.ads_id: r.minutes_json for r in ads.last_hour_ads_click(m).collect()}
     assert j == {1: '[{"02:00":1},{"03:00":1}]', 2: '[{"02:59":1}]'}
+
+
+def test_latest_event_is_found_backwards_without_reading_older_ranges(spark):
+    now, hour = 1_700_000_000_000, 3_600_000
+    read = []
+
+    def scan_of(times):
+        df = spark.createDataFrame([(t,) for t in times], "ts long")
+
+        def scan(since, until):
+            read.append((since, until))
+            return df.where((F.col("ts") < until) & (F.lit(True) if since is None else F.col("ts") >= since))
+        return scan
+
+    for times, probes in (([now - 5, now - 40 * hour, now + 9], 1), ([now - 2 * hour, 7], 2), ([now - 100 * hour], 3),
+                          ([-5], 6), ([], 6), ([now + 1], 6)):
+        read.clear()
+        want = max([t for t in times if t <= now], default=None)
+        assert ads.latest_event_back(scan_of(times), now) == want
+        assert len(read) == probes
+        assert all(a[0] == b[1] for a, b in zip(read, read[1:]))  # ranges touch and never overlap
