@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import buckets, components, landed, read_table
+from .shared import buckets, components, landed, read_table, under_other_names
 
 SHINGLE = 8
 ROWS, BANDS = 3, 10
@@ -384,7 +384,7 @@ def deduplicated_lines(docs: DataFrame, group: int = GROUP) -> DataFrame:
 
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the lines that stay."""
-    return deduplicated_lines(docs).select(*docs.columns)
+    return under_other_names(docs, deduplicated_lines)
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,9 +14,6 @@ symbols, so it is first shrunk towards the median as if ``PRIOR_SYMBOLS`` more
 had that one, in the quantiles and in the result alike.
 Languages without trusted text use the model and the threshold of all.
 
-The functions from ``fold_table`` to ``kneser_ney`` are a dense form of the
-same model over a small alphabet, for tests; no query uses them.
-
 Defined results: a null or empty text, or one of white space only, has no
 perplexity and is kept; a null language uses the pooled model; without trusted
 text nothing is rejected; labels that repeat for a document make it trusted if
@@ -26,59 +23,17 @@ columns are not read (the filtering form returns them as they are).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.joins import materialized_broadcast
 from . import symbolmodel
-from .shared import landed, read_table
+from .shared import landed, read_table, under_other_names
 
-ALPHABET = 96
-MODELS = 32
-LEAST_SYMBOLS = 20_000  # trusted symbols a language needs for its own model
 LEVELS = (0.99, 0.995, 0.998, 0.999)  # shares of trusted text to keep, of which the labels choose
 FOLDS = 3
 PRIOR_SYMBOLS = 300.0
-POOLED = ""  # name of the pooled model
-SPACE, OTHER = 0, 1
-UNICODE = 0x110000
-
-
-def points(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
-
-
-_SPACES = np.array([c for c in range(UNICODE) if chr(c).isspace()])
-_DIGITS = np.array([c for c in range(0x3000) if chr(c).isdigit()])
-
-
-def fold_table(frequent: list[int]) -> np.ndarray:
-    """Symbol of every code point."""
-    table = np.full(UNICODE, OTHER, np.uint8)
-    table[np.array(frequent, np.int64)] = np.arange(2, 2 + len(frequent))
-    table[_SPACES] = SPACE
-    table[_DIGITS] = table[ord("0")]
-    return table
-
-
-def symbols(text: str, table: np.ndarray) -> np.ndarray:
-    """The symbols of a text after two leading spaces, runs of space once."""
-    s = table[points(text)]
-    if not len(s):
-        return np.zeros(2, np.int64)
-    run = np.ones(len(s), bool)
-    run[1:] = (s[1:] != SPACE) | (s[:-1] != SPACE)
-    run[0] = s[0] != SPACE
-    return np.concatenate([np.zeros(2, np.int64), s[run]])
-
-
-def trigrams(s: np.ndarray) -> np.ndarray:
-    return (s[:-2] * ALPHABET + s[1:-1]) * ALPHABET + s[2:]
 
 
 def with_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -93,122 +48,6 @@ def with_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "_fold", F.when(F.col("_quality") == 1, fold).otherwise(symbolmodel.ALL))
 
 
-def frequent_symbols(trusted: DataFrame) -> tuple[list[int], dict[str, int]]:
-    """(most frequent code points, symbols of each of the largest languages)."""
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: dict[str, np.ndarray] = {}
-
-        def drain() -> Iterator[pd.DataFrame]:
-            for lang, at in seen.items():
-                used = np.flatnonzero(at)
-                yield pd.DataFrame({"lang": lang, "point": used, "n": at[used]})
-            seen.clear()
-
-        for batch in batches:
-            for lang, text in zip(batch["lang"], batch["text"]):
-                if text:
-                    if lang not in seen and len(seen) >= MODELS:
-                        yield from drain()
-                    n = np.bincount(points(text))
-                    seen.setdefault(lang, np.zeros(UNICODE, np.int64))[:len(n)] += n
-        yield from drain()
-
-    rows = landed(trusted.mapInPandas(count, "lang string, point int, n long")
-                  .groupBy("lang", "point").agg(F.sum("n").alias("n")), "quality-symbols")
-    plain = [int(x) for x in _SPACES] + [int(x) for x in _DIGITS if x != ord("0")]
-    known = (rows.where(~F.col("point").isin(plain)).groupBy("point").agg(F.sum("n").alias("n"))
-             .orderBy(F.desc("n"), "point").limit(ALPHABET - 2)).collect()
-    langs = (rows.groupBy("lang").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_SYMBOLS)
-             .where(F.col("lang") != POOLED).orderBy(F.desc("n"), "lang").limit(MODELS)).collect()
-    return [r.point for r in known], {r.lang: r.n for r in langs}
-
-
-def trigram_counts(trusted: DataFrame, frequent: list[int], langs: list[str]) -> DataFrame:
-    """(model, ab, b, c, n): trigrams of the trusted text of each model; a
-    language without a model adds to the pooled one only."""
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, seen = fold_table(frequent), {}
-        for batch in batches:
-            for lang, text in zip(batch["lang"], batch["text"]):
-                if text:
-                    at = seen.setdefault(lang if lang in own else None, np.zeros(ALPHABET ** 3, np.int64))
-                    np.add.at(at, trigrams(symbols(text, table)), 1)
-        for lang, at in seen.items():
-            used = np.flatnonzero(at)
-            yield pd.DataFrame({"lang": lang, "code": used, "n": at[used]})
-
-    own = set(langs)
-    rows = (trusted.mapInPandas(count, "lang string, code int, n long")
-            .groupBy("lang", "code").agg(F.sum("n").alias("n")))
-    rows = landed(rows, "quality-trigrams")
-    pooled = rows.groupBy("code").agg(F.sum("n").alias("n")).select(F.lit(POOLED).alias("model"), "code", "n")
-    every = rows.where("lang is not null").select(F.col("lang").alias("model"), "code", "n").union(pooled)
-    return every.select("model", F.floor(F.col("code") / ALPHABET).cast("int").alias("ab"),
-                        (F.floor(F.col("code") / ALPHABET) % ALPHABET).cast("int").alias("b"),
-                        (F.col("code") % ALPHABET).cast("int").alias("c"), "n")
-
-
-def _level(counts: DataFrame, context: list[str]) -> tuple[DataFrame, DataFrame]:
-    """One order of the model from its (continuation) counts ``n``.
-
-    (model, context, c, p): the discounted share of each seen symbol, and
-    (model, context, g): the mass each context leaves to the lower order."""
-    of = [F.count(F.when(F.col("n") == k, 1)).alias(f"t{k}") for k in (1, 2, 3, 4)]
-    types = counts.groupBy("model").agg(*of)
-    y = F.when(F.col("t1") > 0, F.col("t1") / (F.col("t1") + 2 * F.col("t2"))).otherwise(0.5)
-
-    def discount(k: int):
-        d = k - (k + 1) * y * F.col(f"t{k + 1}") / F.col(f"t{k}")
-        safe = F.when(F.col(f"t{k}") > 0, d).otherwise(F.lit(0.5 * k))
-        return F.greatest(F.lit(0.05), F.least(safe, F.lit(k - 0.05)))
-
-    types = types.select("model", *(discount(k).alias(f"d{k}") for k in (1, 2, 3)))
-    totals = counts.groupBy("model", *context).agg(
-        F.sum("n").alias("total"), F.count(F.when(F.col("n") == 1, 1)).alias("s1"),
-        F.count(F.when(F.col("n") == 2, 1)).alias("s2"), F.count(F.when(F.col("n") > 2, 1)).alias("s3"))
-    totals = totals.join(types, "model")
-    left = F.col("d1") * F.col("s1") + F.col("d2") * F.col("s2") + F.col("d3") * F.col("s3")
-    gaps = totals.select("model", *context, (left / F.col("total")).alias("g"))
-    d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-    shares = counts.join(totals, ["model", *context]).select(
-        "model", *context, "c", ((F.col("n") - d) / F.col("total")).alias("p"))
-    return shares, gaps
-
-
-def kneser_ney(counts: DataFrame) -> dict[str, np.ndarray]:
-    """log p(c | a b) of every symbol trigram, by model, as flat float32.
-
-    The three orders are joined and interpolated over the seen trigrams'
-    tables; at most ``ALPHABET ** 3`` rows a model come to the driver."""
-    c2 = counts.groupBy("model", "b", "c").agg(F.count("*").alias("n"))  # distinct symbols before bc
-    c1 = c2.groupBy("model", "c").agg(F.count("*").alias("n"))
-    (p3, g3), (p2, g2), (p1, g1) = _level(counts, ["ab"]), _level(c2, ["b"]), _level(c1, [])
-
-    def cells(df: DataFrame, place, kind: str) -> DataFrame:
-        value = F.col("p") if "p" in df.columns else F.col("g")
-        return df.select("model", F.lit(kind).alias("kind"), place.cast("int").alias("at"), value.alias("x"))
-
-    zero = F.lit(0)
-    rows = reduce(DataFrame.union, (
-        cells(p3, F.col("ab") * ALPHABET + F.col("c"), "p3"), cells(g3, F.col("ab"), "g3"),
-        cells(p2, F.col("b") * ALPHABET + F.col("c"), "p2"), cells(g2, F.col("b"), "g2"),
-        cells(p1, F.col("c"), "p1"), cells(g1, zero, "g1")))
-    size = {"p3": ALPHABET ** 3, "g3": ALPHABET ** 2, "p2": ALPHABET ** 2, "g2": ALPHABET, "p1": ALPHABET, "g1": 1}
-    found: dict[str, dict[str, np.ndarray]] = {}
-    for (model, kind), part in landed(rows, "quality-model").toPandas().groupby(["model", "kind"]):
-        # a context never seen leaves all its mass to the lower order
-        cell = np.zeros(size[kind]) if kind[0] == "p" else np.ones(size[kind])
-        cell[part["at"].to_numpy()] = part["x"].to_numpy()
-        found.setdefault(model, {})[kind] = cell
-    out = {}
-    for model, x in found.items():
-        p = x["p1"] + x["g1"] / ALPHABET
-        p = x["p2"].reshape(ALPHABET, ALPHABET) + x["g2"][:, None] * p
-        p = x["p3"].reshape(ALPHABET, ALPHABET, ALPHABET) + x["g3"].reshape(ALPHABET, ALPHABET)[..., None] * p
-        out[model] = np.log(p).astype(np.float32).reshape(-1)
-    return out
-
-
 def shrunk(prior: float) -> Column:
     n = F.col("_n")
     return F.exp((n * F.col("_logs") + prior * F.log("_middle")) / (n + prior))
@@ -284,7 +123,7 @@ def judged(docs: DataFrame, labels: DataFrame, prior: float = PRIOR_SYMBOLS) ->
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not rejected, as they are."""
-    return judged(docs, labels).where("_kept").select(*docs.columns)
+    return under_other_names(docs, lambda rows: judged(rows, labels).where("_kept"))
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

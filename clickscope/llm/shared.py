@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir, shared_dir
 from ..sources.tables import read_table
 
-__all__ = ["bounded_batches", "broadcast", "buckets", "components", "landed", "read_table"]
+__all__ = ["bounded_batches", "broadcast", "buckets", "components", "landed", "read_table",
+           "under_other_names"]
 
 
 def landed(df: DataFrame, name: str) -> DataFrame:
@@ -49,6 +50,20 @@ def broadcast(spark: SparkSession, value: Any) -> Callable[[], Any]:
     return lambda: cloudpickle.loads(sent.value)
 
 
+#: The columns of ``documents``.
+DOCUMENTS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def under_other_names(docs: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work(docs)`` with the columns of ``docs``. Those beyond ``DOCUMENTS``
+    pass through it under names that nothing else has, so that none of them
+    meets a column that ``work`` makes on its way."""
+    mark = uuid.uuid4().hex
+    names = {c: f"own_{mark}_{i}" for i, c in enumerate(docs.columns) if c not in DOCUMENTS}
+    out = work(docs.withColumnsRenamed(names))
+    return out.select(*(F.col(names.get(c, c)).alias(c) for c in docs.columns))
+
+
 def buckets(spark: SparkSession) -> int:
     """Hash buckets for packed shuffles: one for each shuffle partition at
     least, so that what one task holds falls as the cluster's setting grows."""

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import components, landed, read_table
+from .shared import components, landed, read_table, under_other_names
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -137,6 +137,10 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the row whose
     doc_id is the group's smallest; where that doc_id repeats inside the
     group, one of its texts, once. Rows without a doc_id are all kept."""
+    return under_other_names(docs, _first_of_each)
+
+
+def _first_of_each(docs: DataFrame) -> DataFrame:
     firsts = near_duplicate_groups(docs).where("doc_id = component_id")
     stays = firsts.groupBy("root", "doc_id").agg(F.min("text_id").alias("_text_id"))
     stays = stays.select("doc_id", "_text_id").distinct()

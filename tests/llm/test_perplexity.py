@@ -1,67 +1,15 @@
-import math
-from collections import Counter, defaultdict
-
-import numpy as np
-import pytest
-
 from clickscope.llm import perplexity as Q
 
 from .conftest import SF_MID
 
 
-def brute_model(texts, frequent):
-    """log p(c | a b) from the textbook definition, for every symbol triple."""
-    table, n = Q.fold_table(frequent), Q.ALPHABET
-    c3 = Counter()
-    for t in texts:
-        s = Q.symbols(t, table).tolist()
-        c3.update(zip(s, s[1:], s[2:]))
-    c2 = Counter((b, c) for a, b, c in c3)
-    c1 = Counter(c for b, c in c2)
-
-    def level(counts, split):
-        t = Counter(counts.values())
-        y = t[1] / (t[1] + 2 * t[2]) if t[1] else 0.5
-        d = [0.0] + [min(k - 0.05, max(0.05, k - (k + 1) * y * t[k + 1] / t[k] if t[k] else 0.5 * k)) for k in (1, 2, 3)]
-        total, gap = defaultdict(int), defaultdict(float)
-        for key, x in counts.items():
-            total[split(key)] += x
-            gap[split(key)] += d[min(x, 3)]
-        return (lambda key: max(counts.get(key, 0) - d[min(counts.get(key, 0), 3)], 0) / total[split(key)]
-                if split(key) in total else 0.0), lambda ctx: gap[ctx] / total[ctx] if ctx in total else 1.0
-    p1, g1 = level(c1, lambda k: ())
-    p2, g2 = level(c2, lambda k: k[0])
-    p3, g3 = level(c3, lambda k: k[:2])
-
-    def log_p(a, b, c):
-        p = p1(c) + g1(()) / n
-        p = p2((b, c)) + g2(b) * p
-        return math.log(p3((a, b, c)) + g3((a, b)) * p)
-    return log_p
-
-
-def test_model_equals_the_definition(spark):
-    texts = ["the cat sat on the mat", "a cat and a hat", "12 cats  sat\n\nthere", "été cat"] * 3 + ["zebra"]
-    trusted = spark.createDataFrame([("xx", t) for t in texts], "lang string, text string")
-    frequent, langs = Q.frequent_symbols(trusted)
-    assert langs == {}  # too little text for a model of its own
-    tables = Q.kneser_ney(Q.trigram_counts(trusted, frequent, []))
-    assert set(tables) == {Q.POOLED}
-    log_p = brute_model(texts, frequent)
-    cube = tables[Q.POOLED].reshape((Q.ALPHABET,) * 3)
-    rnd = np.random.default_rng(0)
-    for a, b, c in [*rnd.integers(0, 20, (400, 3)).tolist(), (0, 0, 3), (90, 91, 92)]:
-        assert cube[a, b, c] == pytest.approx(log_p(a, b, c), abs=1e-4)
-    assert np.exp(cube.astype(float)).sum(2) == pytest.approx(np.ones((Q.ALPHABET,) * 2), abs=1e-4)
-
-
 def test_rejects_junk_and_keeps_clean_text(spark):
     labels = spark.read.parquet(f"{SF_MID}/labels.parquet")
     rows = Q.op9_quality_classifier(spark, SF_MID).join(labels, "doc_id").collect()
     clean = [r.kept for r in rows if r.quality == 1]
     junk = [r.kept for r in rows if r.quality == 0]
     assert sum(clean) >= 0.99 * len(clean)
-    assert sum(junk) <= 0.45 * len(junk)
+    assert sum(junk) <= 0.3 * len(junk)
 
 
 def test_odd_rows(spark, make_docs):
