@@ -60,19 +60,28 @@ def blacklist_filter(ads: DataFrame, bans: DataFrame, batch_col: str = "batch")
     return j.where(keep).drop("banned_batch")
 
 
-def survivors(ads: DataFrame, bans: DataFrame, batch_col: str = "batch", max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``blacklist_filter`` by the measured size of ``bans`` (checkpointed: it is
-    read more than once). A list too long to broadcast goes out as bitmaps of
-    its users: events of all others pass where they are read, and only events
-    of listed users are shuffled to their ban's batch."""
+def blacklist(bans: DataFrame, batch_col: str = "batch",
+              max_rows: int = MAX_BROADCAST_ROWS) -> Callable[[DataFrame], DataFrame]:
+    """``blacklist_filter`` with ``bans`` (checkpointed: it is read more than
+    once), by its size, which is measured once. A list too long to broadcast
+    goes out as bitmaps of its users: events of all others pass where they are
+    read, and only events of listed users are shuffled to their ban's batch."""
     small = broadcast_if_small(bans, max_rows)
-    if small is not bans:
-        return blacklist_filter(ads, small, batch_col)
-    marked = marked_by_bitmaps(ads, bans.select("uid"), "uid", "_listed")
-    if marked is None:
-        return blacklist_filter(ads, bans, batch_col)
-    listed = blacklist_filter(marked.where("_listed"), bans, batch_col)
-    return marked.where(~F.coalesce("_listed", F.lit(False))).unionByName(listed).drop("_listed")
+
+    def keep(ads: DataFrame) -> DataFrame:
+        if small is not bans:
+            return blacklist_filter(ads, small, batch_col)
+        marked = marked_by_bitmaps(ads, bans.select("uid"), "uid", "_listed")
+        if marked is None:
+            return blacklist_filter(ads, bans, batch_col)
+        listed = blacklist_filter(marked.where("_listed"), bans, batch_col)
+        return marked.where(~F.coalesce("_listed", F.lit(False))).unionByName(listed).drop("_listed")
+
+    return keep
+
+
+def survivors(ads: DataFrame, bans: DataFrame, batch_col: str = "batch", max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    return blacklist(bans, batch_col, max_rows)(ads)
 
 
 def user_ads_daycount(survivors: DataFrame) -> DataFrame:
@@ -112,7 +121,7 @@ def latest_event(ads: DataFrame) -> int | None:
 
 
 def latest_event_back(scan: Callable[[int | None, int], DataFrame], now_ms: int,
-                      first_ms: int = WINDOW_MS, factor: int = 16) -> int | None:
+                      first_ms: int = WINDOW_MS, factor: int = 256) -> int | None:
     """``latest_event`` by a probe backwards from now: ``scan(since, until)`` gives
     the records of ``[since, until)``; the newest range is read first, then
     ranges ``factor`` times as long, until one has a record. Data that reaches up

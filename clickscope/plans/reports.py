@@ -144,10 +144,10 @@ def _last_hour_minutes(spark, d):
     """The window is found first, by a probe backwards over what survives; then
     only its time range is scanned (the ranges reach the events scan), with the
     ban list made from all history."""
-    bans = materialized(ads.ban_batches(_batched_ads(spark, d), TEST_THRESHOLD))
+    keep = ads.blacklist(materialized(ads.ban_batches(_batched_ads(spark, d), TEST_THRESHOLD)))
 
     def surviving(since, until):
-        return ads.survivors(ads.with_batch(tb.ads_log(spark, d, since_ms=since, until_ms=until)), bans)
+        return keep(ads.with_batch(tb.ads_log(spark, d, since_ms=since, until_ms=until)))
 
     latest = ads.latest_event_back(surviving, int(time.time() * 1000))
     start, end = ads.window(-1 if latest is None else latest)

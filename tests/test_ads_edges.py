@@ -97,6 +97,6 @@ def test_latest_event_is_found_backwards_without_reading_older_ranges(spark):
                           ([-5], 6), ([], 6), ([now + 1], 6)):
         read.clear()
         want = max([t for t in times if t <= now], default=None)
-        assert ads.latest_event_back(scan_of(times), now) == want
+        assert ads.latest_event_back(scan_of(times), now, factor=16) == want
         assert len(read) == probes
         assert all(a[0] == b[1] for a, b in zip(read, read[1:]))  # ranges touch and never overlap
