@@ -297,6 +297,12 @@ class Pieces:
         spelled = self.spelled
         return b"".join([spelled[i] for i in ids]).decode()[1:]
 
+    def respells(self, chunk: str, ids) -> bool:
+        """Whether ``ids`` spell what the best ids of ``chunk`` do."""
+        spelled = self.spelled
+        best = np.frombuffer(self.best(chunk)[0], np.int32).tolist()
+        return b"".join([spelled[i] for i in ids]) == b"".join([spelled[i] for i in best])
+
 
 def _step(code: np.ndarray, char: np.ndarray) -> np.ndarray:
     """The hash of a text with one more character."""
@@ -344,7 +350,9 @@ def encode(docs: DataFrame, model_path: str = MODEL, n: int = NBEST) -> DataFram
         ids, scores, changes = pieces.assemble(chunks, n)
         longer = [sum(len(p) - len(pieces.best(chunks[i])[0]) // 4 for i, p in c.items()) for c in changes]
         paths = pieces.spell_out(chunks, ids, changes)
-        same = all(pieces.decode(p.tolist()) == text for p in paths)
+        # segmentations share all but their changed chunks: those are decoded again
+        same = pieces.decode(ids.tolist()) == text and all(
+            pieces.respells(chunks[i], p) for c in changes for i, p in c.items())
         return ids, np.array(scores), np.array(longer), paths, same
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
