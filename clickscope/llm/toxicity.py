@@ -1,12 +1,16 @@
 """Toxicity by maximum-scoring segment search.
 
 A word's weight is its log-odds between toxic and clean training texts, each
-smoothed by an informative Dirichlet prior (the word's share of all training
-texts, worth ``PRIOR`` of them), where its z-score is above ``LEAST_Z`` and the
-log-odds are at least ``LEAST_ODDS``. Words
-without a weight of their own are pooled by their beginnings of ``STEMS``
-characters, which get weights the same way; such a word takes the weight of
-its beginning with the largest z, and one without any weighs ``-DRIFT``. Words
+smoothed by an informative Dirichlet prior: the word's share of all training
+texts, worth ``PRIOR`` times the smaller class. Which words carry a weight is a
+matter of false discoveries, not of a fixed cut: a word's counts are tested
+against the classes' sizes (signed root of the likelihood ratio), and the cut
+is where the words expected beyond it by chance are ``FALSE_SHARE`` of those
+found, so it follows the number of words and of texts; their log-odds must be
+at least ``LEAST_ODDS``. Words without a weight of their own are pooled by
+their beginnings of ``STEMS`` characters, each counted once a text, which get
+weights the same way; such a word takes the weight of its beginning with the
+largest test value, and one without any weighs ``-DRIFT``. Words
 are counted once a text, and texts with the same three longest words (copies and
 near copies) count as one, so that a text that was copied often does not teach its
 own vocabulary. A linear-time scan finds all
@@ -23,9 +27,9 @@ scores. The evidence -ln p of a text becomes its score by a logistic curve
 fitted to the training texts.
 
 The model is fitted on a bounded sample of labelled training rows (at most
-``TRAIN_ROWS``, the first by a hash of the doc_id) and holds at most ``TOKENS``
-words and as many beginnings, so what is broadcast has a fixed size; every text is scored whole, in
-one pass without a shuffle.
+``TRAIN_ROWS``, the first by a hash of the doc_id), and only words and
+beginnings that this sample bears out are broadcast, so their number is bounded
+by the sample's; every text is scored whole, in one pass without a shuffle.
 
 Defined results: a null or empty text has no passage and the lowest score;
 rows repeat as they are; a null doc_id is in no fold and not held out; labels
@@ -39,7 +43,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -49,11 +53,10 @@ from pyspark.sql import functions as F
 from .shared import broadcast, landed, read_table
 
 TRAIN_ROWS = 20_000
-TOKENS = 20_000
 STEMS = range(3, 10)
 STEM_WORDS = 3  # different toxic words a beginning needs
-PRIOR = 0.01
-LEAST_Z = 4.0
+PRIOR = 1.0  # weight of the prior, in sizes of the smaller class
+FALSE_SHARE = 0.01  # false discoveries among the words that carry a weight
 LEAST_ODDS = 1.0
 DRIFT = 0.05
 CUT = 0.7
@@ -68,7 +71,7 @@ class Weights(dict):
     """Weight of a word, None where it has none; words are remembered."""
 
     def __init__(self, known: dict[str, tuple[float, float]]):
-        self.known = known  # word and a space, or beginning -> (weight, |z|)
+        self.known = known  # word and a space, or beginning -> (weight, test value)
 
     def __missing__(self, word: str) -> float | None:
         found = self.known.get(word + " ") or max(
@@ -102,47 +105,82 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
 
 
 def word_counts(train: DataFrame) -> DataFrame:
-    """(word, n1, n0): toxic and clean training texts that hold it."""
+    """(name, n1, n0): toxic and clean training texts that hold a word."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            seen = (Counter(), Counter())
-            for text, toxic in zip(batch["text"], batch["toxic"]):
-                seen[int(toxic == 1)].update(set(tokens(text or "")))
-            yield pd.DataFrame([(t, seen[1][t], seen[0][t]) for t in seen[0].keys() | seen[1].keys()],
-                               columns=["word", "n1", "n0"])
+            yield _counted(batch, lambda words: words)
 
-    rows = train.mapInPandas(count, "word string, n1 long, n0 long")
-    return rows.groupBy("word").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+    return _summed(train, count)
 
 
-def word_weights(train: DataFrame, prior: float = PRIOR, least_z: float = LEAST_Z,
-                 most: int = TOKENS) -> dict[str, tuple[float, float]]:
-    """(weight, |z|) of words (with a closing space) and of beginnings, the
-    ``most`` of either with the largest |z|; none without both kinds of text."""
-    counts = landed(word_counts(train), "toxicity-words")
-    total = counts.agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).first()
+def stem_counts(train: DataFrame, own: dict[str, tuple[float, float]]) -> DataFrame:
+    """(name, n1, n0): texts that hold a word of a beginning, of words not in ``own``."""
+    sent = broadcast(train.sparkSession, {w[:-1] for w in own})
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = sent()
+        for batch in batches:
+            yield _counted(batch, lambda words: {w[:n] for w in words - known for n in STEMS if n <= len(w)})
+
+    return _summed(train, count)
+
+
+def _counted(batch: pd.DataFrame, names: Callable[[set[str]], set[str]]) -> pd.DataFrame:
+    seen = (Counter(), Counter())
+    for text, toxic in zip(batch["text"], batch["toxic"]):
+        seen[int(toxic == 1)].update(names(set(tokens(text or ""))))
+    return pd.DataFrame([(t, seen[1][t], seen[0][t]) for t in seen[0].keys() | seen[1].keys()],
+                        columns=["name", "n1", "n0"])
+
+
+def _summed(train: DataFrame, count: Callable) -> DataFrame:
+    rows = train.mapInPandas(count, "name string, n1 long, n0 long")
+    return rows.groupBy("name").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+
+
+def discovered(counts: DataFrame, prior: float, false_share: float) -> DataFrame:
+    """(name, odds, z): names whose counts differ between the classes by more
+    than chance, z the root of their likelihood ratio; none without both classes."""
+    total = counts.agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"), F.count("*").alias("n")).first()
     n1, n0 = total.n1 or 0, total.n0 or 0
     if not n1 or not n0:
-        return {}
-    alpha = prior * (F.col("n1") + F.col("n0"))
-    a1, a0 = n1 + prior * (n1 + n0), n0 + prior * (n1 + n0)
+        return counts.select("name", F.lit(0.0).alias("odds"), F.lit(0.0).alias("z")).limit(0)
+    share, worth = n1 / (n1 + n0), prior * min(n1, n0)
+    alpha = F.lit(worth / (n1 + n0)) * (F.col("n1") + F.col("n0"))
     y1, y0 = F.col("n1") + alpha, F.col("n0") + alpha
-    odds = F.log(y1 / (a1 - y1)) - F.log(y0 / (a0 - y0))
-    z = odds / F.sqrt(1 / y1 + 1 / y0)
-
-    def strongest(df: DataFrame, name: str) -> DataFrame:
-        return (df.select(F.col(name).alias("name"), odds.alias("odds"), F.abs(z).alias("z"))
-                .where((F.col("z") >= least_z) & (F.abs("odds") >= LEAST_ODDS)).orderBy(F.desc("z"), "name").limit(most))
-
-    own = landed(strongest(counts, "word"), "toxicity-own")
-    rest = counts.join(F.broadcast(own), F.col("word") == F.col("name"), "left_anti")  # at most ``most`` words
+    odds = F.log(y1 / (n1 + worth - y1)) - F.log(y0 / (n0 + worth - y0))
+
+    def part(n: str, share: float) -> Column:
+        held = F.col(n) / ((F.col("n1") + F.col("n0")) * share)
+        return F.when(F.col(n) > 0, F.col(n) * F.log(held)).otherwise(0.0)
+
+    ratio = part("n1", share) + part("n0", 1 - share)
+    tested = counts.select("name", odds.alias("odds"), F.sqrt(2 * F.greatest(ratio, F.lit(0.0))).alias("z"))
+    bins = (tested.groupBy(F.least(F.floor(F.col("z") * 20), F.lit(800)).alias("bin"))
+            .count().collect())  # at most 801 rows
+    beyond, cut = 0, math.inf
+    for bin_, n in sorted(((r.bin, r["count"]) for r in bins), reverse=True):
+        beyond += n
+        if total.n * math.erfc(bin_ / 20 / math.sqrt(2)) <= false_share * beyond:
+            cut = bin_ / 20
+    return tested.where((F.col("z") >= cut) & (F.abs("odds") >= LEAST_ODDS))
+
+
+def word_weights(train: DataFrame, prior: float = PRIOR,
+                 false_share: float = FALSE_SHARE) -> dict[str, tuple[float, float]]:
+    """(weight, test value) of words (with a closing space) and of beginnings;
+    none without both kinds of text."""
+    counts = landed(word_counts(train), "toxicity-words")
+    own = {f"{r.name} ": (r.odds, r.z) for r in discovered(counts, prior, false_share).collect()}
+    stems = landed(stem_counts(train, own), "toxicity-stems")
+    found = discovered(stems, prior, false_share)
+    # a beginning speaks for words of its kind only if several of them are toxic
     sizes = F.array(*(F.lit(n) for n in STEMS))
-    stems = (rest.select("*", F.explode(sizes).alias("size")).where(F.length("word") >= F.col("size"))
-             .groupBy(F.substring("word", F.lit(1), F.col("size")).alias("stem"))
-             .agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"),
-                  F.count(F.when(F.col("n1") > 0, 1)).alias("words")).where(F.col("words") >= STEM_WORDS))
-    return {f"{r.name} ": (r.odds, r.z) for r in own.collect()} | {
-        r.name: (r.odds, r.z) for r in strongest(stems, "stem").collect()}
+    several = (counts.where("n1 > 0").select("name", F.explode(sizes).alias("size"))
+               .where(F.length("name") >= F.col("size"))
+               .groupBy(F.substring("name", F.lit(1), F.col("size")).alias("name")).count()
+               .where(F.col("count") >= STEM_WORDS))
+    return own | {r.name: (r.odds, r.z) for r in found.join(several, "name", "left_semi").collect()}
 
 
 def weight_shares(clean: DataFrame, known: dict[str, tuple[float, float]]) -> tuple[list[tuple[float, float]], float]:
@@ -157,7 +195,7 @@ def weight_shares(clean: DataFrame, known: dict[str, tuple[float, float]]) -> tu
         yield pd.DataFrame([(w, n) for w, n in seen.items()], columns=["weight", "n"])
 
     rows = (clean.select("text").mapInPandas(count, "weight double, n long")
-            .groupBy("weight").agg(F.sum("n").alias("n"))).collect()  # at most twice TOKENS weights
+            .groupBy("weight").agg(F.sum("n").alias("n"))).collect()  # one for each weight
     total = sum(r.n for r in rows) or 1
     return [(r.weight, r.n / total) for r in rows if r.weight is not None], sum(
         r.n for r in rows if r.weight is None) / total
@@ -214,7 +252,7 @@ def evidence(docs: DataFrame, weights: dict[str, tuple[float, float]], lam: floa
     """``keep`` columns with (n_tokens, best, r, total, passages): the best
     normalised score lam * s - ln n; with ``log_k`` the number of significant
     passages, the sum of their normalised scores, and their token spans."""
-    known = broadcast(docs.sparkSession, weights)  # at most twice TOKENS entries
+    known = broadcast(docs.sparkSession, weights)  # what the bounded sample bears out
 
     def scan(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         table = Weights(known())

@@ -4,6 +4,8 @@ import pytest
 
 from clickscope.llm import toxicity as X
 
+from .conftest import SF_MID
+
 SF = "/root/testdata/sf0.1"
 
 
@@ -45,6 +47,28 @@ def test_held_out_accuracy(spark):
     assert sum(r.predicted for r in rows) - hits <= 0.05 * hits + 1
 
 
+def test_ranking_of_the_small_table(spark):
+    """33 toxic training rows suffice; clean documents stay."""
+    labels = spark.read.parquet(f"{SF_MID}/labels.parquet")
+    rows = X.op2_toxic_passages(spark, SF_MID).join(labels, "doc_id").where("held_out").collect()
+    toxic, clean = ([r.score for r in rows if r.toxic == x] for x in (1, 0))
+    auc = sum((a > b) + (a == b) / 2 for a in toxic for b in clean) / len(toxic) / len(clean)
+    caught = sum(x >= X.CUT for x in toxic)
+    print("auc", auc, "caught", caught, "of", len(toxic), "clean", sum(x >= X.CUT for x in clean), "of", len(clean))
+    assert auc > 0.85  # four of the 18 hold words that no training text bears out
+    assert caught >= 0.7 * len(toxic) and sum(x >= X.CUT for x in clean) <= 0.01 * len(clean) + 1
+
+
+def test_weights_follow_the_number_of_words(spark):
+    """A word of toxic texts only is found among many words of chance; those are not."""
+    rnd = random.Random(5)
+    rows = [(" ".join(f"w{rnd.randrange(4000)}" for _ in range(60)) + (" vile" if i < 30 else ""), int(i < 30))
+            for i in range(300)]
+    found = X.word_weights(spark.createDataFrame(rows, "text string, toxic int"))
+    assert "vile " in found and found["vile "][0] > 2
+    assert len([w for w in found if w.startswith("w")]) <= 1
+
+
 def test_labels_of_the_held_out_fold_are_not_used(spark, make_docs):
     docs = make_docs([(i, f"text{i} thing{i} again{i} with a vile word" if i % 4 == 0 else f"text{i} thing{i} again{i} of calm talk") for i in range(400)])
     true = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, toxic int")
