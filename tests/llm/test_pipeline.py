@@ -4,6 +4,7 @@ from clickscope.llm.pieces import Pieces
 
 from .conftest import SF_MID
 from .test_decontaminate import brute as brute_pairs
+from .test_decontaminate import terms
 from .test_linededup import result
 from .test_simhash import brute_fp, brute_roots
 
@@ -28,7 +29,7 @@ def test_stages_match_brute_force_and_the_whole(spark):
     assert {r.doc_id for r in near.collect()} == set(brute_roots(fps))
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF_MID}/benchmark.parquet").collect()]
     rows = [(r.doc_id, r.text) for r in near.collect()]
-    leaks = {d for d, _ in brute_pairs(rows, items)}
+    leaks = {d for d, _ in brute_pairs([(i, terms(t)) for i, t in rows], items)}
     assert {r.doc_id for r in clean.collect()} == {i for i, _ in rows} - leaks
     with open("/opt/tokenizers/piece_bpe_32k.model", "rb") as f:
         pieces = Pieces(f.read())
