@@ -54,7 +54,6 @@ def test_ranking_of_the_small_table(spark):
     toxic, clean = ([r.score for r in rows if r.toxic == x] for x in (1, 0))
     auc = sum((a > b) + (a == b) / 2 for a in toxic for b in clean) / len(toxic) / len(clean)
     caught = sum(x >= X.CUT for x in toxic)
-    print("auc", auc, "caught", caught, "of", len(toxic), "clean", sum(x >= X.CUT for x in clean), "of", len(clean))
     assert auc > 0.85  # four of the 18 hold words that no training text bears out
     assert caught >= 0.7 * len(toxic) and sum(x >= X.CUT for x in clean) <= 0.01 * len(clean) + 1
 
