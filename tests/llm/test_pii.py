@@ -111,6 +111,24 @@ def test_sample_does_not_depend_on_the_order(make_docs, monkeypatch):
     assert len(one) == 40 and one == two
 
 
+def test_all_documents_teach(make_docs):
+    rows = [(i, f"write to user{i}@mail.example.com or call +44 20 {i % 90:04d} 7000 today") for i in range(20_500)]
+    found = P.training_rows(make_docs(rows).repartition(8))
+    want = sum(len(list(P.lessons(text))) for _, text in rows[:500]) * 41  # each text has as many
+    assert found.agg({"n": "sum"}).first()[0] == want
+    assert found.count() < 2000  # equal lessons are one row
+
+
+def test_cut_by_all_held_out_rows(spark):
+    class Same:
+        def score(self, x):
+            return x[0]
+    kind = "kind string, x array<double>, label double, n long"
+    rows = [("ip", [0.9], 1.0, 60_000), ("ip", [0.8], 1.0, 10), ("ip", [0.8], None, 10), ("ip", [0.7], 0.0, 700),
+            ("ip", [0.6], 1.0, 9), ("card", [0.9], 1.0, 19), ("phone", [0.5], 1.0, 50), ("phone", [0.6], 0.0, 50)]
+    assert P.calibrated(spark.createDataFrame(rows, kind), Same()) == {"ip": 0.8}
+
+
 def test_odd_rows(make_docs):
     rows = [(1, None), (2, ""), (None, "x a@b.co"), (3, "a@b.co"), (3, "a@b.co"), (4, "9" * 50000), (5, "a" * 50000 + "@"),
             (6, "+1" + "(" * 50000), (7, "1." * 20000), (8, "a@b." * 10000), (9, ":" * 9 + "a:" * 20000)]
