@@ -19,6 +19,12 @@ those of clicks out of range to ``odd``. Counts only grow, so the latest total
 of a key and ``event_day`` is its largest one: a batch that comes again after
 a crash adds nothing. A day's earlier rows are read only if it has odd clicks.
 
+What is done with a batch's changes reads them back from ``counts`` and ``odd``:
+a plan that holds the aggregate's frame twice would run the state anew for the
+second one, also when it is cached. It runs in as many tasks as there are rows
+for, not in one a state partition, and with adaptive execution, which Spark
+switches off for a query with state: files and tasks grow with the changes alone.
+
 The top ads of an area and day follow by monotone maintenance: as totals only
 grow, an ad enters the list only in a batch that changes it, so the new list is
 the top of the old list and the changed keys.
@@ -26,8 +32,10 @@ the top of the old list and the changed keys.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +55,7 @@ SETTINGS = {
 }
 TOP_ADS = 3
 KEEP_DAYS = 2
+TASK_ROWS = 50_000  # changed rows of a task
 SURVIVOR_SCHEMA = ("ts long, area string, city string, uid long, ads_id long, dt string, event_day date, "
                    "batch_id long")
 KEYS = ["kind", "dt", "area", "city", "uid", "ads_id"]
@@ -114,6 +123,16 @@ def best(clicks: DataFrame, k: int = TOP_ADS) -> DataFrame:
     return clicks.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
 
 
+def batch_changes(spark: SparkSession, paths: StreamPaths, batch: int, days: list) -> DataFrame:
+    """The changed totals of a batch, on ``days``, as they were appended."""
+    frames = []
+    for where in (paths.counts, paths.odd):
+        held = [p for p in (f"{where}/dt={d}/seen={batch}" for d in days) if exists(spark, p)]
+        if held:
+            frames.append(spark.read.schema(COUNTS).option("basePath", where).parquet(*held))
+    return reduce(DataFrame.unionByName, frames)
+
+
 def new_top(old: DataFrame, changed: DataFrame, k: int = TOP_ADS) -> DataFrame:
     """The top lists after a batch, from the lists before it and the changed
     totals (both dt, area, ads_id, clicks). Exact while totals only grow."""
@@ -134,14 +153,29 @@ def stored_totals(spark: SparkSession, paths: StreamPaths, days: list | None = N
                 .groupBy(*KEYS).agg(F.sum("clicks").cast("bigint").alias("clicks")))
 
 
+@contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution for the work on a batch's changes. The state's own
+    plan is made before it and is not touched."""
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def process_changes(paths: StreamPaths, threshold: int, after: Callable[[str, int], None] = lambda step, batch: None):
     """The ``foreachBatch`` function of the aggregate's changed rows."""
     def run(changed: DataFrame, micro_batch: int) -> None:
         changed = changed.persist()
         try:
-            batch = changed.agg(F.max("last_batch")).first()[0]
+            batch, n = changed.agg(F.max("last_batch"), F.count(F.lit(1))).first()
             if batch is not None:
-                _apply(changed, batch)
+                with adaptive(changed.sparkSession):
+                    tasks = -(-n // TASK_ROWS)
+                    _apply(changed.coalesce(tasks), batch, tasks)
         finally:
             changed.unpersist()
 
@@ -150,7 +184,7 @@ def process_changes(paths: StreamPaths, threshold: int, after: Callable[[str, in
         rows.withColumn("seen", F.lit(batch)).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic").partitionBy("dt", "seen").parquet(where)
 
-    def _apply(changed: DataFrame, batch: int) -> None:
+    def _apply(changed: DataFrame, batch: int, tasks: int) -> None:
         spark = changed.sparkSession
         in_range = F.to_date("event_day").cast("string") == F.col("dt")
         odd = changed.where(~in_range)
@@ -161,6 +195,7 @@ def process_changes(paths: StreamPaths, threshold: int, after: Callable[[str, in
         after("user counts", batch)
 
         days = [r[0] for r in changed.select("dt").distinct().collect()]  # the days of one batch
+        changed = batch_changes(spark, paths, batch, days)
         mixed = [d for d in days if exists(spark, f"{paths.odd}/dt={d}")]
         now = changed.select(*KEYS, "clicks")
         if mixed:  # totals of these days' changed keys from all their rows
@@ -184,8 +219,8 @@ def process_changes(paths: StreamPaths, threshold: int, after: Callable[[str, in
             lists = tops.join(areas.select("dt", "area").distinct(), ["dt", "area"], "left_semi")
             rows = [kv.kv_user_ads_daycount(users), kv.kv_blacklist(reached), kv.kv_area_city_ads_daycount(cities),
                     kv.kv_top3_ads_per_day(ads_ops.top_ads_per_day(lists, TOP_ADS))]
-            hashstore.write_batch(rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3]),
-                                  paths.store, batch, writer="running")
+            fields = reduce(DataFrame.unionByName, rows).coalesce(tasks)
+            hashstore.write_batch(fields, paths.store, batch, writer="running")
             tops.unpersist()
         finally:
             now.unpersist()

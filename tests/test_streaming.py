@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from clickscope.operators import ads
 from clickscope.params import TEST_THRESHOLD
 from clickscope.session import fresh_subdir, shared_dir
-from clickscope.sinks import kv
+from clickscope.sinks import hashstore, kv
 from clickscope.sinks.merged import MergedTable
 from clickscope.sources import adslog
 from clickscope.sources import tables as tb
@@ -156,6 +156,26 @@ def test_a_batch_writes_its_changed_fields_to_the_store(spark):
         (kv.LAST_HOUR_ADS_CLICK, "1", '[{"00:00":2}]'), (kv.LAST_HOUR_ADS_CLICK, "2", '[{"00:00":1}]')}
 
 
+def test_a_batch_runs_its_state_once_and_in_few_tasks(spark, monkeypatch):
+    seen = []
+    real = hashstore.write_batch
+
+    def spy(rows, path, batch, writer="main"):
+        if writer == "running":
+            seen.append((rows._jdf.queryExecution().toString(), rows.rdd.getNumPartitions()))
+        return real(rows, path, batch, writer)
+    monkeypatch.setattr(hashstore, "write_batch", spy)
+    paths = pl.StreamPaths(fresh_subdir(spark, "stream-once"))
+    lines = [[f"{DAY + b * 1000 + i} north city{i % 5} {i} {i % 4}" for i in range(200)] for b in range(2)]
+    run(spark, source(spark, lines), paths, threshold=2)
+    assert len(seen) == 2
+    # a plan on the aggregate's own frame restores and saves the state again
+    assert not any("ExistingRDD" in plan for plan, _ in seen)
+    assert [tasks for _, tasks in seen] == [1, 1]
+    files = [f for at, _, names in os.walk(paths.counts.removeprefix("file:")) for f in names if f.endswith(".parquet")]
+    assert len(files) == 2  # a day in each of two batches
+
+
 def test_no_python_in_the_plans(spark, monkeypatch):
     plans = []
     real = MergedTable.merge
