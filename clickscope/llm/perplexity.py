@@ -127,6 +127,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = judged(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    texts = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    docs = judged(texts, read_table(spark, sf_dir, "labels"))
     return docs.select("doc_id", "lang", F.col("_perplexity").alias("perplexity"), F.col("_shrunk").alias("shrunk"),
                        F.col("_threshold").alias("threshold"), F.col("_kept").alias("kept"))

@@ -19,15 +19,23 @@ __all__ = ["bounded_batches", "broadcast", "buckets", "components", "landed", "r
            "under_other_names"]
 
 
-def landed(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read back.
+def landed(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back;
+    ``compression`` is the codec, if not the session's.
 
     Cuts lineage in compact form: later uses read the files, and a lost
-    executor costs a re-read, not the work that made them.
+    executor costs a re-read, not the work that made them. The shuffles of the
+    write go when it ends, not when the driver next collects its garbage.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        df.write.parquet(path, compression=compression)
+    finally:
+        spark.conf.set(key, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -67,6 +67,11 @@ def model_name(fold: Column, lang: Column) -> Column:
     return F.when(lang.isNull(), pool_name(fold)).otherwise(F.concat(fold.cast("string"), F.lit(":"), lang))
 
 
+def pool_of(model: Column) -> Column:
+    """The name of the pooled model behind a model."""
+    return F.substring_index(model, ":", 1)
+
+
 def distinct_trigrams(rows: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, code, n): the trigrams of ``rows``'s texts, added up by task."""
     kinds = {f.name: f.dataType for f in rows.schema}
@@ -145,19 +150,19 @@ class Model:
     """The orders of the models as tables, and their number of symbols."""
 
     def __init__(self, trusted: DataFrame, folds: int = 0):
-        counts = landed(trigram_counts(trusted, folds), "quality-trigrams")
-        c2 = landed(counts.groupBy("model", "b", "c").agg(F.count("*").alias("n")), "quality-bigrams")
-        c1 = landed(c2.groupBy("model", "c").agg(F.count("*").alias("n")), "quality-symbols")
+        counts = landed(trigram_counts(trusted, folds), "quality-trigrams", "zstd")
+        c2 = landed(counts.groupBy("model", "b", "c").agg(F.count("*").alias("n")), "quality-bigrams", "zstd")
+        c1 = landed(c2.groupBy("model", "c").agg(F.count("*").alias("n")), "quality-symbols", "zstd")
         self.size = c1.where(F.col("model") == pool_name(F.lit(ALL))).count()
         self.orders = [([], *level(c1, [])), (["b"], *level(c2, ["b"])), (["ab"], *level(counts, ["ab"]))]
 
     def log_probabilities(self, asked: DataFrame) -> DataFrame:
-        """``asked`` (model, pool, code) with ``logp`` = log p(c | a b).
+        """``asked`` (model, code) with ``logp`` = log p(c | a b).
 
         Interpolation is linear in the share ``low`` that the lowest order
         backs off to, so a (model, trigram) has p = own + left * low."""
         ab = F.shiftright("code", BITS)
-        q = (asked.select("model", "code").union(asked.select(F.col("pool").alias("model"), "code")).distinct()
+        q = (asked.select("model", "code").union(asked.select(pool_of(F.col("model")).alias("model"), "code")).distinct()
              .select("model", "code", ab.alias("ab"), ab.bitwiseAND(F.lit(MASK)).alias("b"),
                      F.col("code").bitwiseAND(F.lit(MASK)).alias("c"),
                      F.lit(0.0).alias("own"), F.lit(1.0).alias("left")))
@@ -167,13 +172,13 @@ class Model:
             g = F.coalesce("g", F.lit(1.0))
             q = q.select("model", "code", "ab", "b", "c", (F.coalesce("p", F.lit(0.0)) + g * F.col("own")).alias("own"),
                          (g * F.col("left")).alias("left"))
-        q = landed(q.select("model", "code", "own", "left"), "quality-orders")
-        low = q.select(F.col("model").alias("pool"), "code",
-                       (F.col("own") + F.col("left") / (self.size + 1)).alias("low"))
+        q = landed(q.select("model", "code", "own", "left"), "quality-orders", "zstd")
+        low = q.where(F.col("model") == pool_of(F.col("model"))).select(
+            F.col("model").alias("pool"), "code", (F.col("own") + F.col("left") / (self.size + 1)).alias("low"))
         p = F.when(F.col("model") == F.col("pool"), F.col("low")).otherwise(
             F.col("own") + F.col("left") * F.col("low"))
-        return (asked.join(q, ["model", "code"]).join(low, ["pool", "code"])
-                .select("model", "pool", "code", F.log(p).cast("float").alias("logp")))
+        return (asked.join(q, ["model", "code"]).withColumn("pool", pool_of(F.col("model"))).join(low, ["pool", "code"])
+                .select("model", "code", F.log(p).cast("float").alias("logp")))
 
 
 def with_perplexity(docs: DataFrame, model: Model, fold: Column | None = None) -> DataFrame:
@@ -185,13 +190,14 @@ def with_perplexity(docs: DataFrame, model: Model, fold: Column | None = None) -
         return docs.withColumns({"_n": F.lit(0).cast("long"), "_logs": F.lit(None).cast("double")})
     n = buckets(docs.sparkSession)
     keyed = docs.withColumns({
-        "_pool": pool_name(fold), "_model": model_name(fold, F.col("lang")),
+        "_model": model_name(fold, F.col("lang")),
         "_bucket": F.pmod(F.xxhash64("doc_id", "lang", "text"), F.lit(n)).cast("int")})
-    asked = distinct_trigrams(keyed.select(F.col("_bucket").alias("bucket"), F.col("_model").alias("model"),
-                                           F.col("_pool").alias("pool"), "text"), ["bucket", "model", "pool"])
-    asked = landed(asked.select("bucket", "model", "pool", "code").distinct(), "quality-asked")
-    answers = asked.join(model.log_probabilities(asked.select("model", "pool", "code").distinct()),
-                         ["model", "pool", "code"]).select(F.col("bucket").alias("_bucket"), "model", "code", "logp")
+    # a question names its model alone; the pool behind it is in the name
+    asked = distinct_trigrams(keyed.select(F.col("_bucket").alias("bucket"), F.col("_model").alias("model"), "text"),
+                              ["bucket", "model"])
+    asked = landed(asked.select("bucket", "model", "code").distinct(), "quality-asked", "zstd")
+    answers = asked.join(model.log_probabilities(asked.select("model", "code").distinct()),
+                         ["model", "code"]).select(F.col("bucket").alias("_bucket"), "model", "code", "logp")
     schema = T.StructType([*docs.schema.fields, T.StructField("_n", T.LongType()), T.StructField("_logs", T.DoubleType())])
     columns = docs.columns
 

@@ -66,6 +66,20 @@ def test_every_language_has_the_model_of_the_definition(spark):
         assert got[lang, text]._logs == pytest.approx(-sum(logs) / len(logs), abs=1e-4), (lang, text)
 
 
+def test_a_question_names_its_model_alone(spark):
+    """The pool follows from the model's name, also where a language holds the mark."""
+    rows = [(1, "xx", "the cat sat"), (2, "a:b", "a cat and a hat"), (3, None, "plain text")]
+    trusted = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = M.Model(trusted.withColumn("fold", F.lit(None).cast("int")))
+    names = [(f"-1:{lang}" if lang else "-1", int(M.trigrams("a cat")[2])) for _, lang, _ in rows]
+    got = model.log_probabilities(spark.createDataFrame(names, "model string, code long"))
+    assert got.columns == ["model", "code", "logp"] and got.count() == 3
+    every = brute([t for *_, t in rows], None)
+    want = {"-1": every, "-1:xx": brute(["the cat sat"], every), "-1:a:b": brute(["a cat and a hat"], every)}
+    for r in got.collect():
+        assert r.logp == pytest.approx(math.log(want[r.model](*fold("a cat")[2:5])), abs=1e-4), r.model
+
+
 def test_a_minority_script_is_told_from_junk(spark, make_docs):
     rnd = random.Random(5)
 
