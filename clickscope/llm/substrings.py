@@ -61,6 +61,7 @@ WINDOW = 50
 GRAM = 20
 WIDTH = 2 * WINDOW - GRAM  # of a context
 SLICE = 1 << 16  # bytes hashed at a time
+STEP = 1 << 14  # contexts spread out at a time
 M1, M2 = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -139,13 +140,15 @@ class Bucket:
         size = np.minimum(self.ends[doc], places + WINDOW) - lo
         fits = size >= WINDOW
         places, doc, lo, size = places[fits], doc[fits], lo[fits], size[fits]
-        width = 2 * WINDOW - GRAM
         # aligned at the anchor, zeros where the document does not reach
         left = lo - (places + GRAM - WINDOW)
         col = np.arange(WIDTH)
-        at = np.clip((places + GRAM - WINDOW)[:, None] + col, 0, max(0, len(self.data) - 1))
-        rows = self.data[at] if len(self.data) else np.empty((0, WIDTH), np.uint8)
-        rows[(col < left[:, None]) | (col >= (left + size)[:, None])] = 0
+        rows = np.empty((len(places), WIDTH), np.uint8)
+        for a in range(0, len(places), STEP):
+            part = slice(a, a + STEP)
+            at = (places[part] + GRAM - WINDOW)[:, None] + col
+            rows[part] = self.data[np.clip(at, 0, len(self.data) - 1, out=at)]
+            rows[part][(col < left[part, None]) | (col >= (left + size)[part, None])] = 0
         bounds = np.stack([left, left + size], axis=1).astype(np.uint8)
         which, first = _distinct(rows, bounds)
         owner = np.full(len(first), np.iinfo(np.int64).max)
@@ -165,11 +168,20 @@ def _row_hash(rows: np.ndarray) -> np.ndarray:
     return h
 
 
+def _same(rows: np.ndarray, first: np.ndarray, which: np.ndarray) -> bool:
+    """Whether every row equals the first one of its class."""
+    return all((rows[a:a + STEP] == rows[first[which[a:a + STEP]]]).all() for a in range(0, len(rows), STEP))
+
+
 def _distinct(rows: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(class of each row, first row of each class); equal content, equal class."""
-    both = np.concatenate([rows, bounds], axis=1)
-    _, first, which = np.unique(_row_hash(both), return_index=True, return_inverse=True)
-    if not (both == both[first][which]).all():  # two contents with one hash
+    h = np.empty(len(rows), np.uint64)
+    for a in range(0, len(rows), STEP):
+        h[a:a + STEP] = _row_hash(np.concatenate([rows[a:a + STEP], bounds[a:a + STEP]], axis=1))
+    _, first, which = np.unique(h, return_index=True, return_inverse=True)
+    which = which.reshape(-1)
+    if not (_same(rows, first, which) and _same(bounds, first, which)):  # two contents with one hash
+        both = np.concatenate([rows, bounds], axis=1)
         _, first, which = np.unique(both, axis=0, return_index=True, return_inverse=True)
     return which.reshape(-1), first
 
@@ -382,28 +394,38 @@ def repeated_bytes_removed(docs: DataFrame, keep_bytes: bool = True) -> DataFram
         if not docs.num_rows:
             return _table([], RESULT)
         bucket = Bucket(docs)
-        covered = np.zeros(len(bucket.data) + 1, np.int32)
+        starts = np.zeros(len(bucket.data), bool)  # of strings that go
         if notes.num_rows:
             places = notes.filter(notes.column("place").is_valid())
             found = notes.filter(notes.column("owner").is_valid())
             got = bucket.contexts(_packed(places, "place", np.uint32)[0])
             number, start, owner = (_packed(found, c, k)[0] for c, k in (
                 ("number", np.uint32), ("start", np.uint8), ("owner", np.int64)))
+            order = np.argsort(number, kind="stable")
+            number, start, owner = number[order].astype(np.int64), start[order], owner[order]
             best = np.repeat(got["owner"][:, None], WIDTH - WINDOW + 1, axis=1)
-            told = np.zeros(best.shape, bool)
-            told[number, start] = True
-            best[number, start] = owner
-            # a value holds from its start to the next one
-            last = np.maximum.accumulate(np.where(told, np.arange(best.shape[1]), 0), axis=1)
-            best = np.take_along_axis(best, last, axis=1)
-            loses = best[got["which"]] < bucket.ids[got["doc"]][:, None]
-            column, bounds = np.arange(best.shape[1]), got["bounds"][got["which"]]
-            loses &= (column >= bounds[:, :1]) & (column + WINDOW <= bounds[:, 1:])
-            occ, off = np.nonzero(loses)
-            begin = np.unique(got["begin"][occ] + off)
-            covered[begin] += 1
-            covered[begin + WINDOW] -= 1
-        gone = np.cumsum(covered[:-1]) > 0
+            column = np.arange(best.shape[1])
+            for a in range(0, len(best), STEP):
+                part = best[a:a + STEP]
+                told = np.zeros(part.shape, bool)
+                x, y = np.searchsorted(number, (a, a + STEP))
+                told[number[x:y] - a, start[x:y]] = True
+                part[number[x:y] - a, start[x:y]] = owner[x:y]
+                # a value holds from its start to the next one
+                last = np.maximum.accumulate(np.where(told, column, 0), axis=1)
+                part[:] = np.take_along_axis(part, last, axis=1)
+            for a in range(0, len(got["which"]), STEP):
+                which = got["which"][a:a + STEP]
+                loses = best[which] < bucket.ids[got["doc"][a:a + STEP]][:, None]
+                bounds = got["bounds"][which]
+                loses &= (column >= bounds[:, :1]) & (column + WINDOW <= bounds[:, 1:])
+                occ, off = np.nonzero(loses)
+                starts[got["begin"][a:a + STEP][occ] + off] = True
+        # the starts among the last ``WINDOW`` places, at most as many
+        turns = np.zeros(len(starts) + 1, np.int8)
+        turns[:-1] = starts
+        turns[WINDOW:] -= starts[:len(turns) - WINDOW].astype(np.int8) if len(turns) > WINDOW else 0
+        gone = np.cumsum(turns[:-1], dtype=np.int8) > 0
         out = []
         for i, (a, b) in enumerate(zip(bucket.starts, bucket.ends)):
             g, body = gone[a:b], bucket.data[a:b]
