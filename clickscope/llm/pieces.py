@@ -15,7 +15,8 @@ smallest losses to their own runner-up can differ from their best in them:
 the Viterbi pass carries the runner-up's score along, and the A-star search
 runs for those chunks alone. Chunks are short and repeat: the new ones of a
 batch of texts go through the Viterbi pass together, a column of the batch at
-a time, and a bounded cache holds their best segmentations.
+a time, and a cache holds the best segmentations of those met lately. The
+texts of a batch are put together, and decoded, from those in one step.
 
 The model file is the vocabulary (path a parameter, sent along as bytes of a
 fixed size); nothing is trained. Its scores are used as they stand.
@@ -33,6 +34,8 @@ import heapq
 import os
 import re
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -50,9 +53,33 @@ NBEST = 4
 CACHE = 150_000  # chunks a task remembers
 CACHED_CHARS = 24
 TOGETHER = 256  # texts of a batch
+WORDS = 8192  # chunks of a Viterbi pass
 CHUNK = re.compile(r" +[^ \n]*|\n|[^ \n]+")
 
 
+class Store:
+    """Best segmentations of chunks: all ids, how many each has, its score and
+    the loss of its runner-up."""
+
+    def __init__(self, ids: np.ndarray, count: np.ndarray, score: np.ndarray, loss: np.ndarray):
+        self.ids, self.count, self.score, self.loss = ids, count, score, loss
+
+    def rows(self, which: np.ndarray) -> Store:
+        count = self.count[which]
+        place = np.repeat(np.cumsum(self.count)[which] - np.cumsum(count), count)
+        place += np.arange(len(place))
+        return Store(self.ids[place], count, self.score[which], self.loss[which])
+
+
+class Met:
+    """Best segmentations of a batch's texts, each text's chunks in order."""
+
+    def __init__(self, rows: Store, ends: np.ndarray):
+        self.chunk_ends = ends  # of each text, after a 0
+        self.id_ends = np.r_[0, np.cumsum(rows.count)]  # of each chunk, after a 0
+        self.ids, self.scores, self.losses = rows.ids, rows.score.tolist(), rows.loss
+
+
 class Pieces:
     """Segmentation with one model's pieces and scores."""
 
@@ -69,10 +96,16 @@ class Pieces:
         self.spelled = {i: p.encode() for p, i in self.ids.items()} | {
             i: bytes([b]) for b, i in enumerate(self.byte)}
         # a character in byte pieces is worse than any ranked piece
+        size = np.array([len(self.spelled.get(i, b"")) for i in range(size)])
+        self.spelled_ends = np.cumsum(size)
+        self.spelled_size = size
+        self.spelled_bytes = np.frombuffer(b"".join([self.spelled.get(i, b"") for i in range(len(size))]), np.uint8)
         self.unknown = min(s for s in self.score.values() if s > -1e8) - 10.0
         self.plain_chars = {p for p in self.ids if len(p) == 1}
         self._fill_table()
         self.cache: dict[str, tuple] = {}
+        self.seen: dict[str, int] = {}
+        self.store = Store(np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0), np.empty(0))
         self.few: dict[tuple[str, int], list] = {}
 
     def _fill_table(self) -> None:
@@ -108,9 +141,11 @@ class Pieces:
     def _lookup(self, code: np.ndarray) -> np.ndarray:
         """Ids of beginnings by hash: -1 no piece, -2 no beginning."""
         at = (code >> self.shift).astype(np.int64)
-        out = np.full(len(code), -2, np.int32)
-        open_ = np.arange(len(code))
-        for _ in range(self.probes):
+        piece, found = self.piece[at], self.slots[at] == code
+        out = np.where(found, piece, np.int32(-2))
+        open_ = np.flatnonzero(~found & (piece != -2))
+        at[open_] = (at[open_] + 1) & (len(self.slots) - 1)
+        for _ in range(self.probes - 1):
             found = self.slots[at[open_]] == code[open_]
             out[open_[found]] = self.piece[at[open_[found]]]
             open_ = open_[~found & (self.piece[at[open_]] != -2)]
@@ -121,11 +156,20 @@ class Pieces:
 
     def best_of_all(self, words: list[str]) -> None:
         """Put the best segmentations of short chunks, every character of them
-        a piece, into the cache: ``forward`` for all of them at once."""
+        a piece, into the cache."""
+        if len(self.cache) + len(words) > CACHE:
+            self.cache.clear()
+        ids, count, top, loss = self.viterbi(words)
+        ends = np.cumsum(count).tolist()
+        for w, a, b, s, x in zip(words, [0, *ends], ends, top.tolist(), loss.tolist()):
+            self.cache[w] = (ids[a:b].tobytes(), s, x)
+
+    def viterbi(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``forward`` for all of such chunks at once: (ids of the best
+        segmentations, their numbers, scores, losses of the runners-up)."""
         size = np.array(list(map(len, words)))
         width = int(size.max())
-        chars = np.frombuffer("".join(w.ljust(width, "\0") for w in words).encode("utf-32-le"), np.uint32)
-        chars = chars.reshape(len(words), width).astype(np.uint64)
+        chars = np.array(words, f"<U{width}").view(np.uint32).reshape(len(words), width).astype(np.uint64)
         none = float("-inf")
         best, second = np.full((width + 1, len(words)), none), np.full((width + 1, len(words)), none)
         back = np.zeros((width + 1, len(words)), np.int8)
@@ -157,20 +201,36 @@ class Pieces:
             at = np.where(at > 0, back[at, every], 0)
         path = np.ascontiguousarray(np.stack(steps[::-1], axis=1), np.int32)
         count = (path >= 0).sum(1)
-        flat, ends = path[path >= 0].tobytes(), np.cumsum(count) * 4
-        if len(self.cache) + len(words) > CACHE:
-            self.cache.clear()
-        a = 0
-        for w, b, s, loss in zip(words, ends.tolist(), top.tolist(), (top - runner_up).tolist()):
-            self.cache[w] = (flat[a:b], s, loss)
-            a = b
-
-    def meet(self, chunks: list[list[str]]) -> None:
-        """Prepare the cache for the chunks of some texts."""
-        new = {c for text in chunks for c in text if c not in self.cache}
-        new = [c for c in new if len(c) <= CACHED_CHARS and self.plain_chars.issuperset(c)]
-        if new:
-            self.best_of_all(sorted(new))
+        return path[path >= 0], count, top, top - runner_up
+
+    def meet(self, chunks: list[list[str]]) -> Met:
+        """The best segmentations of the chunks of some texts."""
+        seen, store = self.seen, self.store
+        every = list(chain.from_iterable(chunks))
+        rows = list(map(seen.get, every))
+        if len(store.count) > CACHE or len(store.ids) > CACHE * CACHED_CHARS:  # only those of these texts stay
+            known = {c: row for c, row in zip(every, rows) if row is not None}
+            store = self.store = store.rows(np.fromiter(known.values(), np.int64, len(known)))
+            seen = self.seen = dict(zip(known, range(len(known))))
+            rows = list(map(seen.get, every))
+        new = list(dict.fromkeys([c for c, row in zip(every, rows) if row is None]))
+        odd = [c for c in new if len(c) > CACHED_CHARS or not self.plain_chars.issuperset(c)]
+        if odd:
+            new = list(set(new).difference(odd))
+        new.sort(key=len)
+        more = [self.viterbi(new[at:at + WORDS]) for at in range(0, len(new), WORDS)]
+        if odd:
+            found = [self.best(c) for c in odd]
+            more.append((np.frombuffer(b"".join([f[0] for f in found]), np.int32), np.array([len(f[0]) // 4 for f in found]),
+                         np.array([f[1] for f in found]), np.array([f[2] for f in found])))
+        if more:
+            seen.update(zip(chain(new, odd), range(len(store.count), len(store.count) + len(new) + len(odd))))
+            store = self.store = Store(*map(np.concatenate, zip((store.ids, store.count, store.score, store.loss), *more)))
+        which = np.array([seen[c] if row is None else row for c, row in zip(every, rows)], np.int64)
+        for c in odd:
+            if len(c) > CACHED_CHARS:
+                del seen[c]
+        return Met(store.rows(which), np.cumsum([0, *map(len, chunks)]))
 
     def edges(self, text: str, i: int) -> list[tuple[int, tuple[int, ...], float]]:
         """(end, ids, score) of the pieces that start at ``i``."""
@@ -256,12 +316,13 @@ class Pieces:
         return self.assemble(CHUNK.findall(" " + text) if text else [], n)
 
     def assemble(self, chunks: list[str], n: int) -> tuple[np.ndarray, list[float], list]:
-        best, cache = self.best, self.cache
-        found = [cache.get(c) or best(c) for c in chunks]
+        found = [self.best(c) for c in chunks]
         ids = np.frombuffer(b"".join([f[0] for f in found]), np.int32)
-        total = sum([f[1] for f in found])
+        return ids, *self.least(chunks, sum([f[1] for f in found]), np.array([f[2] for f in found]), n)
+
+    def least(self, chunks: list[str], total: float, loss: np.ndarray, n: int) -> tuple[list[float], list]:
+        """(scores, changes) of the n best from the best score and the chunks' losses."""
         # the n least sums of losses; each chosen chunk offers its own n best
-        loss = np.array([f[2] for f in found])
         k = min(n - 1, len(loss))
         least = np.argpartition(loss, k - 1)[:k].tolist() if k else []
         sums: list[tuple[float, dict]] = [(0.0, {})]
@@ -270,19 +331,18 @@ class Pieces:
             more = [(x + options[0][0] - s, (change | {at: path}) if r else change)
                     for x, change in sums for r, (s, path) in enumerate(options)]
             sums = heapq.nsmallest(n, more, key=lambda x: x[0])
-        return ids, [total - x for x, _ in sums], [change for _, change in sums]
+        return [total - x for x, _ in sums], [change for _, change in sums]
 
     def paths(self, text: str, n: int = NBEST) -> list[np.ndarray]:
         """The piece ids of the n best segmentations."""
         ids, _, changes = self.encode(text, n)
-        return self.spell_out(CHUNK.findall(" " + text) if text else [], ids, changes)
-
-    def spell_out(self, chunks: list[str], ids: np.ndarray, changes: list) -> list[np.ndarray]:
-        """The ids of all segmentations from the best ``ids`` and the chunks
-        in which each differs: whole stretches between them are copied."""
-        if not any(changes):
-            return [ids] * len(changes)
-        ends = np.cumsum([0] + [len(self.best(c)[0]) // 4 for c in chunks]).tolist()
+        chunks = CHUNK.findall(" " + text) if text else []
+        return self.spell_out(ids, changes, np.cumsum([0] + [len(self.best(c)[0]) // 4 for c in chunks]))
+
+    def spell_out(self, ids: np.ndarray, changes: list, ends: np.ndarray) -> list[np.ndarray]:
+        """The ids of all segmentations from the best ``ids``, the chunks in
+        which each differs and where the best ids of each chunk end, after a 0:
+        whole stretches between them are copied."""
         out = []
         for change in changes:
             parts, at = [], 0
@@ -297,13 +357,29 @@ class Pieces:
         spelled = self.spelled
         return b"".join([spelled[i] for i in ids]).decode()[1:]
 
-    def respells(self, chunk: str, ids) -> bool:
-        """Whether ``ids`` spell what the best ids of ``chunk`` do."""
+    def spell(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """The bytes that ``ids`` spell, cut where each of ``ends`` is."""
+        size = self.spelled_size[ids]
+        after = np.cumsum(size)
+        place = np.repeat(self.spelled_ends[ids] - after, size)
+        place += np.arange(len(place))
+        spelled = self.spelled_bytes[place].tobytes()
+        cuts = [0, *np.r_[0, after][ends].tolist()]
+        return [spelled[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def respells(self, best: np.ndarray, ids) -> bool:
+        """Whether ``ids`` spell what the ``best`` ones of a chunk do."""
         spelled = self.spelled
-        best = np.frombuffer(self.best(chunk)[0], np.int32).tolist()
+        best = best.tolist()
         return b"".join([spelled[i] for i in ids]) == b"".join([spelled[i] for i in best])
 
 
+@lru_cache(maxsize=1)
+def pieces_of(model: bytes) -> Pieces:
+    """``Pieces(model)``, made once a worker, not once a task."""
+    return Pieces(model)
+
+
 def _step(code: np.ndarray, char: np.ndarray) -> np.ndarray:
     """The hash of a text with one more character."""
     code = (code ^ char + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
@@ -333,43 +409,50 @@ def _nested(rows: list) -> pa.Array:
     return pa.ListArray.from_arrays(pc.if_else(null, pa.scalar(None, pa.int32()), pa.array(ends)), values)
 
 
-def encode(docs: DataFrame, model_path: str = MODEL, n: int = NBEST) -> DataFrame:
+def encode(docs: DataFrame, model_path: str = MODEL, n: int = NBEST, keep_text: bool = True) -> DataFrame:
     """``docs`` with ``piece_ids`` (array<int>, the best segmentation),
     ``n_best_scores`` (array<double>, best first), ``n_best_longer``
     (array<int>: pieces by which each segmentation is longer than the best),
     ``n_best_ids`` (array<array<int>>: the segmentations, best first) and
-    ``round_trip`` (decoding any of them gives the text back)."""
+    ``round_trip`` (decoding any of them gives the text back); without the text
+    itself unless ``keep_text``."""
     with open(model_path, "rb") as f:
         model = docs.sparkSession.sparkContext.broadcast(f.read())
     rest = docs.drop(*ADDED.names)
     place = rest.columns.index("text")
+    kept = [i for i in range(len(rest.columns)) if keep_text or i != place]
 
-    def row(pieces: Pieces, text: str | None, chunks: list[str]) -> tuple:
+    def row(pieces: Pieces, text: str | None, chunks: list[str], met: Met, number: int, spelled: bytes) -> tuple:
         if text is None:
             return None, None, None, None, None
-        ids, scores, changes = pieces.assemble(chunks, n)
-        longer = [sum(len(p) - len(pieces.best(chunks[i])[0]) // 4 for i, p in c.items()) for c in changes]
-        paths = pieces.spell_out(chunks, ids, changes)
+        a, b = met.chunk_ends[number:number + 2]
+        first, last = met.id_ends[a], met.id_ends[b]
+        ids, ends = met.ids[first:last], met.id_ends[a:b + 1] - first
+        scores, changes = pieces.least(chunks, sum(met.scores[a:b]), met.losses[a:b], n)
+        longer = [sum(len(p) - int(ends[i + 1] - ends[i]) for i, p in c.items()) for c in changes]
+        paths = pieces.spell_out(ids, changes, ends)
         # segmentations share all but their changed chunks: those are decoded again
-        same = pieces.decode(ids.tolist()) == text and all(
-            pieces.respells(chunks[i], p) for c in changes for i, p in c.items())
+        same = spelled[1:] == text.encode() and all(
+            pieces.respells(ids[ends[i]:ends[i + 1]], p) for c in changes for i, p in c.items())
         return ids, np.array(scores), np.array(longer), paths, same
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(model.value)
+        pieces = pieces_of(model.value)
         for batch in batches:
             for at in range(0, batch.num_rows, TOGETHER):
                 part = batch.slice(at, TOGETHER)
                 texts = part.column(place).to_pylist()
                 chunks = [CHUNK.findall(" " + t) if t else [] for t in texts]
-                pieces.meet(chunks)
-                ids, scores, longer, paths, same = zip(*(row(pieces, t, c) for t, c in zip(texts, chunks)))
+                met = pieces.meet(chunks)
+                spelled = pieces.spell(met.ids, met.id_ends[met.chunk_ends[1:]])
+                ids, scores, longer, paths, same = zip(*(
+                    row(pieces, t, c, met, i, x) for i, (t, c, x) in enumerate(zip(texts, chunks, spelled))))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, _lists(ids, pa.int32()), _lists(scores, pa.float64()),
+                    [*(part.column(i) for i in kept), _lists(ids, pa.int32()), _lists(scores, pa.float64()),
                      _lists(longer, pa.int32()), _nested(paths), pa.array(same, pa.bool_())],
-                    names=[*part.schema.names, *ADDED.names])
+                    names=[*(part.schema.names[i] for i in kept), *ADDED.names])
 
-    return rest.mapInArrow(work, T.StructType([*rest.schema.fields, *ADDED.fields]))
+    return rest.mapInArrow(work, T.StructType([*(rest.schema.fields[i] for i in kept), *ADDED.fields]))
 
 
 def decode(encoded: DataFrame, model_path: str = MODEL) -> DataFrame:
@@ -393,6 +476,7 @@ def decode(encoded: DataFrame, model_path: str = MODEL) -> DataFrame:
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode(read_table(spark, sf_dir, "documents")).select(
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode(docs, keep_text=False).select(
         "doc_id", F.size("piece_ids").alias("n_pieces"), "piece_ids", "n_best_scores",
         "n_best_longer", "n_best_ids", "round_trip")
